@@ -39,3 +39,200 @@ def q_opex_sanity_patch(spark, sf):
     out = cashflow.impute_low_cost(inc, "operating_expenses", "revenue", 0.01, 0.15,
                                    raw_col="outflow_opex_raw", out="outflow_opex", flag_col="is_patched")
     return out.select("entity", "ds", "revenue", "outflow_opex_raw", "outflow_opex", "is_patched")
+
+
+# ---------------------------------------------------------------- calendar
+from ..operators import calendar as cal  # noqa: E402
+from ..operators import dimensions as dim  # noqa: E402
+from ..operators import upsert as ups  # noqa: E402
+
+# Event types of the driver's events table (pivot columns).
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+DUP_KEYS = ("l_orderkey", "l_linenumber")
+DUP_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+@query("resample_sum")
+def q_resample_sum(spark, sf):
+    """D-26 / R-41: capex per nation on each nation's full month spine, empty = 0."""
+    return cal.resample(fx.capex(spark, sf), ["entity"], "ds", ["capex_outflow"], how="sum")
+
+
+@query("resample_mean_ffill")
+def q_resample_mean_ffill(spark, sf):
+    """D-26 / R-42 + R-56: daily mean per user on the global day spine, then
+    forward fill (users keep leading nulls before their first event)."""
+    daily = cal.resample(fx.user_daily(spark, sf), ["entity"], "ds", ["value"], how="mean",
+                         freq="day", bounds="global")
+    return cal.fill_forward(daily, ["entity"], "ds", ["value"])
+
+
+# ---------------------------------------------------------------- dimensional ETL
+def _brand_dim(spark, sf):
+    """Brand dimension restricted to brands sorting before 'Brand#2' so the
+    bridge meets unknown names."""
+    p = fx.table(spark, sf, "part")
+    return dim.load_dimension([p.select("p_brand").filter(F.col("p_brand") < "Brand#2")])
+
+
+def _supplier_dim(spark, sf):
+    return dim.load_dimension([fx.table(spark, sf, "supplier").select("s_name")])
+
+
+@query("dim_load")
+def q_dim_load(spark, sf):
+    """D-01: distinct part brands and types from two sources, ids by name."""
+    p = fx.table(spark, sf, "part")
+    return dim.load_dimension([p.select("p_brand"), p.select("p_type")])
+
+
+def _supplier_brand_text(spark, sf):
+    """Bridge source: one row per supplier, its part brands as '; '-joined
+    text plus a padded repeat of the first brand (duplicates and blanks)."""
+    li = fx.table(spark, sf, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    p = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    s = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    pairs = li.join(p, "l_partkey").select("l_suppkey", "p_brand").distinct()
+    per = pairs.groupBy("l_suppkey").agg(F.sort_array(F.collect_set("p_brand")).alias("b"))
+    txt = F.concat(F.array_join("b", "; "), F.lit(" ; "), F.element_at("b", 1), F.lit(" ;"))
+    return per.join(s, "l_suppkey").select("s_name", txt.alias("brands"))
+
+
+@query("bridge_explode")
+def q_bridge_explode(spark, sf):
+    """D-02: supplier x brand bridge from list text; unknown brands dropped."""
+    bridge, _unknown = dim.load_bridge(_supplier_brand_text(spark, sf), "s_name", "brands",
+                                       _supplier_dim(spark, sf), _brand_dim(spark, sf),
+                                       left_out="supplier_id", right_out="brand_id")
+    return bridge
+
+
+@query("bridge_unknown_names")
+def q_bridge_unknown(spark, sf):
+    """D-02 report: list items that have no dimension entry."""
+    _bridge, unknown = dim.load_bridge(_supplier_brand_text(spark, sf), "s_name", "brands",
+                                       _supplier_dim(spark, sf), _brand_dim(spark, sf))
+    return unknown
+
+
+@query("fact_append_fk")
+def q_fact_append_fk(spark, sf):
+    """D-03 append mode: lineitem rows keyed by part code and supplier name
+    mapped to ids; rows whose part is not in the (p_size < 25) part
+    dimension are dropped."""
+    p = fx.table(spark, sf, "part")
+    part_dim = dim.load_dimension([p.filter(F.col("p_size") < 25)
+                                   .select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")))])
+    li = fx.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("part_code"),
+        "l_suppkey", "l_quantity", "l_extendedprice")
+    src = li.join(fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"),
+                  "l_suppkey")
+    out = dim.load_fact(src, {"part_code": (part_dim, "part_id"),
+                              "s_name": (_supplier_dim(spark, sf), "supplier_id")},
+                        required=["part_id", "supplier_id"], mode="append")
+    return out.select("l_orderkey", "l_linenumber", "part_id", "supplier_id", "l_quantity", "l_extendedprice")
+
+
+@query("fact_upsert_last_wins")
+def q_fact_upsert_last_wins(spark, sf):
+    """D-03 / D-07 / R-10: one row per (l_orderkey, l_linenumber), the last by
+    (l_shipdate, l_partkey, l_suppkey, l_extendedprice, then the rest)."""
+    return ups.upsert(None, fx.dup_facts(spark, sf), DUP_KEYS, DUP_ORDER)
+
+
+@query("fact_upsert_first_wins")
+def q_fact_upsert_first_wins(spark, sf):
+    """R-11: insert-if-absent keeps the first row per key (ascending order)."""
+    facts = fx.dup_facts(spark, sf)
+    return ups.insert_new(facts.limit(0), facts, DUP_KEYS, DUP_ORDER)
+
+
+@query("unmatched_refs")
+def q_unmatched_refs(spark, sf):
+    """R-36: orders with no lineitem."""
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
+                                              F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    li = fx.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return dim.unmatched(o, li.withColumn("name", F.col("o_orderkey")), "o_orderkey", "name")
+
+
+@query("profile_pivot")
+def q_profile_pivot(spark, sf):
+    """D-04 / R-48: user x event_type -> one column of sums per listed type."""
+    e = fx.table(spark, sf, "events").select("user_id", "event_type", "value")
+    return dim.profile_pivot(e, "user_id", "event_type", "value", EVENT_TYPES, agg="sum")
+
+
+@query("goal_year_extract")
+def q_goal_year_extract(spark, sf):
+    """D-05: goal text per order; pending orders carry no 'by YYYY'."""
+    o = fx.table(spark, sf, "orders")
+    txt = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("Improve "), F.col("o_orderpriority"))) \
+        .otherwise(F.concat(F.lit("Target "), F.col("o_orderpriority"), F.lit(" by "),
+                            F.year("o_orderdate").cast("string")))
+    g = o.select("o_orderkey", F.col("o_orderpriority").alias("goal"), txt.alias("description"))
+    return dim.parse_goals(g).select("o_orderkey", "goal_description", "target_year")
+
+
+@query("percent_text_clean")
+def q_percent_text_clean(spark, sf):
+    """D-06: '7%' / 'N/A' / 'abc' / null uplift text -> fraction; int duration."""
+    li = fx.table(spark, sf, "lineitem")
+    pct = F.concat(F.round(F.col("l_discount") * F.lit(100.0)).cast("bigint").cast("string"), F.lit("%"))
+    txt = (F.when(F.col("l_discount") == 0, F.lit("N/A"))
+           .when(F.col("l_linenumber") == 7, F.lit("abc"))
+           .when(F.col("l_linenumber") == 6, F.lit(None).cast("string"))
+           .otherwise(pct))
+    src = li.select("l_orderkey", "l_linenumber", txt.alias("uplift_text"),
+                    txt.alias("sales_uplift_est"), F.col("l_quantity").alias("duration_months"))
+    return dim.clean_campaigns(src)
+
+
+@query("money_text_clean")
+def q_money_text_clean(spark, sf):
+    """R-72: '12,345.67' text -> double; blank and junk -> null."""
+    o = fx.table(spark, sf, "orders")
+    txt = F.expr("""case when o_orderstatus = 'P' then '  '
+                         when o_orderpriority = '5-LOW' then 'n/a'
+                         else concat(cast(cast(round(o_totalprice * 100) as bigint) div 100000 as string), ',',
+                                     lpad(cast((cast(round(o_totalprice * 100) as bigint) div 100) % 1000 as string), 3, '0'),
+                                     '.', lpad(cast(cast(round(o_totalprice * 100) as bigint) % 100 as string), 2, '0'))
+                    end""")
+    from ..functions.expr import money_text
+    return o.select("o_orderkey", txt.alias("money_text")).withColumn("amount", money_text("money_text"))
+
+
+@query("latest_per_group")
+def q_latest_per_group(spark, sf):
+    """R-43: the latest order of each customer (tie-break: higher order key),
+    as an aggregate (``max_by``) rather than a sorted window."""
+    o = fx.table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"),
+                                              "o_totalprice")
+    last = o.groupBy("o_custkey").agg(F.max_by(F.struct("o_orderkey", "o_orderdate", "o_totalprice"),
+                                                F.struct("o_orderdate", "o_orderkey")).alias("r"))
+    return last.select("o_custkey", "r.o_orderkey", "r.o_orderdate", "r.o_totalprice")
+
+
+@query("nway_outer")
+def q_nway_outer(spark, sf):
+    """R-33: three monthly component tables full-outer joined on (entity, ds)
+    as one union + group (one shuffle instead of two joins)."""
+    from ..operators.joins import outer_merge
+    inc = fx.income(spark, sf, by="nation").select("entity", "ds", "revenue")
+    cx = fx.capex(spark, sf)
+    db = fx.debt(spark, sf).select("entity", "ds", "long_term_debt")
+    return outer_merge([inc, cx, db], ["entity", "ds"])
+
+
+@query("peer_statement_merge")
+def q_peer_statement_merge(spark, sf):
+    """D-08: supplier income-years (1997 missing) full outer join balance-years
+    (1995 and 2001 missing), upserted on (competitor_id, fiscal_year)."""
+    inc = fx.income(spark, sf, by="supplier", period="year").withColumnRenamed("entity", "competitor_id") \
+        .filter(F.col("fiscal_year") != 1997)
+    sup = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("bigint").alias("competitor_id"),
+                                                  F.col("s_nationkey").cast("bigint").alias("nation"))
+    bal = (fx.balance_year_end(spark, sf).join(sup, "nation").drop("nation")
+           .filter(~F.col("fiscal_year").isin(1995, 2001)))
+    return dim.merge_peer_financials(inc, bal, ["competitor_id"], "fiscal_year")

@@ -115,3 +115,170 @@ ORACLE: dict[str, str] = {
     "cash_flow_fact": CASH_FLOW_FACT,
     "opex_sanity_patch": OPEX_SANITY_PATCH,
 }
+
+CAPEX = f"""SELECT entity, ds, cast(capex as double) AS capex_outflow FROM ({ORDERS_MONTHLY}) om WHERE n_urgent > 0"""
+
+ORACLE["resample_sum"] = f"""
+WITH cx AS ({CAPEX}),
+rng AS (SELECT entity, date_trunc('month', min(ds)) AS lo, date_trunc('month', max(ds)) AS hi FROM cx GROUP BY 1),
+sp AS (SELECT entity, last_day(cast(unnest(generate_series(lo, hi, interval 1 month)) as date)) AS ds FROM rng)
+SELECT sp.entity, sp.ds, coalesce(cast(sum(cast(cx.capex_outflow as {D})) as double), 0.0) AS capex_outflow
+FROM sp LEFT JOIN cx ON sp.entity = cx.entity AND sp.ds = cx.ds
+GROUP BY 1, 2
+"""
+
+ORACLE["resample_mean_ffill"] = f"""
+WITH e AS (SELECT cast(user_id as bigint) AS entity, cast(ts as date) AS ds, value FROM events),
+m AS (SELECT entity, ds, {_mean('value')} AS value FROM e GROUP BY 1, 2),
+days AS (SELECT cast(unnest(generate_series(min(ds), max(ds), interval 1 day)) as date) AS ds FROM e),
+sp AS (SELECT u.entity, d.ds FROM (SELECT DISTINCT entity FROM e) u, days d),
+j AS (SELECT sp.entity, sp.ds, m.value FROM sp LEFT JOIN m ON sp.entity = m.entity AND sp.ds = m.ds)
+SELECT entity, ds, {_ffill('value')} AS value FROM j
+"""
+
+ORACLE["dim_load"] = """
+SELECT name, row_number() OVER (ORDER BY name) AS id
+FROM (SELECT p_brand AS name FROM part UNION SELECT p_type FROM part) WHERE name IS NOT NULL
+"""
+
+_BRAND_DIM = """SELECT name, row_number() OVER (ORDER BY name) AS id
+  FROM (SELECT DISTINCT p_brand AS name FROM part WHERE p_brand < 'Brand#2' AND p_brand IS NOT NULL)"""
+_SUPP_DIM = """SELECT name, row_number() OVER (ORDER BY name) AS id
+  FROM (SELECT DISTINCT s_name AS name FROM supplier WHERE s_name IS NOT NULL)"""
+_BRAND_TEXT = """
+  SELECT s.s_name, b.brands || ' ; ' || b.first_brand || ' ;' AS brands
+  FROM (SELECT l_suppkey, string_agg(p_brand, '; ' ORDER BY p_brand) AS brands, min(p_brand) AS first_brand
+        FROM (SELECT DISTINCT l.l_suppkey, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
+        GROUP BY 1) b
+  JOIN supplier s ON b.l_suppkey = s.s_suppkey"""
+_BRAND_ITEMS = f"""
+  SELECT s_name, item FROM (
+    SELECT s_name, trim(unnest(string_split(brands, ';'))) AS item FROM ({_BRAND_TEXT}))
+  WHERE item <> ''"""
+
+ORACLE["bridge_explode"] = f"""
+SELECT DISTINCT sd.id AS supplier_id, bd.id AS brand_id
+FROM ({_BRAND_ITEMS}) i JOIN ({_SUPP_DIM}) sd ON i.s_name = sd.name JOIN ({_BRAND_DIM}) bd ON i.item = bd.name
+"""
+
+ORACLE["bridge_unknown_names"] = f"""
+SELECT DISTINCT i.s_name, i.item AS unknown_brands
+FROM ({_BRAND_ITEMS}) i JOIN ({_SUPP_DIM}) sd ON i.s_name = sd.name
+WHERE i.item NOT IN (SELECT name FROM ({_BRAND_DIM}))
+"""
+
+ORACLE["fact_append_fk"] = f"""
+WITH pd AS (SELECT name, row_number() OVER (ORDER BY name) AS id
+            FROM (SELECT DISTINCT 'P' || cast(p_partkey as varchar) AS name FROM part WHERE p_size < 25)),
+sd AS ({_SUPP_DIM})
+SELECT l.l_orderkey, l.l_linenumber, pd.id AS part_id, sd.id AS supplier_id, l.l_quantity, l.l_extendedprice
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN pd ON 'P' || cast(l.l_partkey as varchar) = pd.name JOIN sd ON s.s_name = sd.name
+"""
+
+_DUP = """SELECT l_orderkey, l_linenumber, cast(l_shipdate as date) AS l_shipdate, l_partkey, l_suppkey,
+                 l_extendedprice, l_quantity FROM lineitem"""
+
+
+def _dedupe(direction: str) -> str:
+    return f"""
+SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate {direction}, l_partkey {direction}, l_suppkey {direction},
+                 l_extendedprice {direction}, l_quantity {direction}) AS rn
+  FROM ({_DUP})) WHERE rn = 1
+"""
+
+
+ORACLE["fact_upsert_last_wins"] = _dedupe("DESC")
+ORACLE["fact_upsert_first_wins"] = _dedupe("ASC")
+
+ORACLE["unmatched_refs"] = """
+SELECT o_orderkey, o_custkey, o_totalprice, cast(o_orderdate as date) AS o_orderdate FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+"""
+
+ORACLE["profile_pivot"] = "SELECT user_id, " + ", ".join(
+    f"cast(sum(case when event_type = '{t}' then cast(value as {D}) end) as double) AS {t}"
+    for t in ("click", "error", "purchase", "signup", "view")) + " FROM events WHERE user_id IS NOT NULL GROUP BY 1"
+
+ORACLE["goal_year_extract"] = """
+WITH g AS (SELECT o_orderkey, o_orderpriority AS goal,
+                  case when o_orderstatus = 'P' then 'Improve ' || o_orderpriority
+                       else 'Target ' || o_orderpriority || ' by ' || cast(year(o_orderdate) as varchar) end AS description
+           FROM orders)
+SELECT o_orderkey, concat_ws(' - ', goal, description) AS goal_description,
+       try_cast(nullif(regexp_extract(description, 'by\\s+(\\d{4})', 1), '') as integer) AS target_year
+FROM g
+"""
+
+ORACLE["percent_text_clean"] = """
+WITH s AS (SELECT l_orderkey, l_linenumber,
+                  case when l_discount = 0 then 'N/A' when l_linenumber = 7 then 'abc'
+                       when l_linenumber = 6 then NULL
+                       else cast(cast(round(l_discount * 100.0) as bigint) as varchar) || '%' end AS uplift_text,
+                  l_quantity AS duration_months
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber, uplift_text,
+       case when upper(trim(uplift_text)) = 'N/A' then NULL
+            else try_cast(replace(trim(uplift_text), '%', '') as double) / 100.0 end AS sales_uplift_est,
+       cast(duration_months as integer) AS duration_months
+FROM s
+"""
+
+ORACLE["money_text_clean"] = """
+WITH c AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, cast(round(o_totalprice * 100) as bigint) AS cents FROM orders),
+t AS (SELECT o_orderkey,
+             case when o_orderstatus = 'P' then '  ' when o_orderpriority = '5-LOW' then 'n/a'
+                  else cast(cents // 100000 as varchar) || ',' || lpad(cast((cents // 100) % 1000 as varchar), 3, '0')
+                       || '.' || lpad(cast(cents % 100 as varchar), 2, '0') end AS money_text
+      FROM c)
+SELECT o_orderkey, money_text, try_cast(nullif(trim(replace(money_text, ',', '')), '') as double) AS amount FROM t
+"""
+
+ORACLE["latest_per_group"] = """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT o_custkey, o_orderkey, cast(o_orderdate as date) AS o_orderdate, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1
+"""
+
+ORACLE["nway_outer"] = f"""
+WITH inc AS (SELECT entity, ds, revenue FROM ({INCOME_NATION})),
+cx AS ({CAPEX}),
+db AS (SELECT entity, ds, long_term_debt FROM ({ORDERS_MONTHLY}))
+SELECT coalesce(inc.entity, cx.entity, db.entity) AS entity, coalesce(inc.ds, cx.ds, db.ds) AS ds,
+       inc.revenue, cx.capex_outflow, db.long_term_debt
+FROM inc FULL OUTER JOIN cx ON inc.entity = cx.entity AND inc.ds = cx.ds
+FULL OUTER JOIN db ON coalesce(inc.entity, cx.entity) = db.entity AND coalesce(inc.ds, cx.ds) = db.ds
+"""
+
+BALANCE_YEAR_END = """
+  SELECT nation, fiscal_year,
+    o_totalprice * 10.0 AS total_assets, o_totalprice * 6.0 AS total_current_assets,
+    o_totalprice * 0.5 AS inventory_raw_materials, o_totalprice * 0.25 AS inventory_wip,
+    o_totalprice * 0.75 AS inventory_finished_goods, o_totalprice * 1.5 AS accounts_payable,
+    o_totalprice * 2.0 AS long_term_debt, o_totalprice * 0.5 AS short_term_debt,
+    o_totalprice * 3.0 AS total_current_liabilities, o_totalprice * 4.0 - c_acctbal AS total_liabilities,
+    o_totalprice * 6.0 + c_acctbal AS total_equity, c_acctbal AS cash
+  FROM (SELECT cast(c.c_nationkey as bigint) AS nation, year(o.o_orderdate) AS fiscal_year, o.o_totalprice, c.c_acctbal,
+               row_number() OVER (PARTITION BY c.c_nationkey, year(o.o_orderdate)
+                                  ORDER BY o.o_orderdate DESC, o.o_orderkey DESC) AS rn
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) WHERE rn = 1"""
+
+BAL_COLS = ("total_assets", "total_current_assets", "inventory_raw_materials", "inventory_wip",
+            "inventory_finished_goods", "accounts_payable", "long_term_debt", "short_term_debt",
+            "total_current_liabilities", "total_liabilities", "total_equity", "cash")
+INC_COLS = ("revenue", "cogs_materials", "cogs_labor", "cogs_overhead", "operating_expenses",
+            "interest_expense", "taxes")
+
+ORACLE["peer_statement_merge"] = f"""
+WITH inc AS (SELECT entity AS competitor_id, fiscal_year, {', '.join(INC_COLS)} FROM ({INCOME_SUPPLIER_YEAR})
+             WHERE fiscal_year <> 1997),
+bal AS (SELECT cast(s.s_suppkey as bigint) AS competitor_id, b.fiscal_year, {', '.join('b.' + c for c in BAL_COLS)}
+        FROM ({BALANCE_YEAR_END}) b JOIN supplier s ON b.nation = cast(s.s_nationkey as bigint)
+        WHERE b.fiscal_year NOT IN (1995, 2001))
+SELECT coalesce(inc.competitor_id, bal.competitor_id) AS competitor_id, coalesce(inc.fiscal_year, bal.fiscal_year) AS fiscal_year,
+       {', '.join('inc.' + c for c in INC_COLS)}, {', '.join('bal.' + c for c in BAL_COLS)}
+FROM inc FULL OUTER JOIN bal ON inc.competitor_id = bal.competitor_id AND inc.fiscal_year = bal.fiscal_year
+"""
