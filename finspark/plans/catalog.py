@@ -236,3 +236,75 @@ def q_peer_statement_merge(spark, sf):
     bal = (fx.balance_year_end(spark, sf).join(sup, "nation").drop("nation")
            .filter(~F.col("fiscal_year").isin(1995, 2001)))
     return dim.merge_peer_financials(inc, bal, ["competitor_id"], "fiscal_year")
+
+
+# ---------------------------------------------------------------- benchmark ratios
+from ..operators import allocate as alloc  # noqa: E402
+from ..operators import ratios as rat  # noqa: E402
+
+
+def _annual(spark, sf):
+    """D-20 per supplier: yearly income sums + its nation's year-end balance
+    (latest month-end row of the year)."""
+    inc = rat.annual_income(fx.income(spark, sf, by="supplier"), ["entity"], "ds")
+    bal = rat.year_end_balance(fx.balance_monthly(spark, sf), ["nation"], "balance_date")
+    bal = bal.join(fx.supplier_nation(spark, sf), "nation").drop("nation")
+    keep = [c for c in rat.BALANCE_COLUMNS if c in bal.columns]
+    return inc.join(bal.select("entity", "fiscal_year", *keep), ["entity", "fiscal_year"], "inner")
+
+
+@query("annual_statements")
+def q_annual_statements(spark, sf):
+    return _annual(spark, sf)
+
+
+@query("financial_ratios")
+def q_financial_ratios(spark, sf):
+    """D-21: the 12 level ratios per (supplier, year), long, nulls dropped."""
+    return rat.financial_ratios(_annual(spark, sf), ["entity"], include="level")
+
+
+@query("growth_yoy")
+def q_growth_yoy(spark, sf):
+    """D-21: revenue and net-income growth against the previous row."""
+    return rat.financial_ratios(_annual(spark, sf), ["entity"], include="growth")
+
+
+@query("derive_equity")
+def q_derive_equity(spark, sf):
+    """D-22: nations of regions 0 and 2 lose equity in every year (derived
+    back from assets - liabilities); nation 1 loses it in 1998 only (kept null)."""
+    bal = rat.year_end_balance(fx.balance_monthly(spark, sf), ["nation"], "balance_date")
+    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("nation"), "n_regionkey")
+    bal = bal.join(n, "nation").withColumn(
+        "total_equity",
+        F.when(F.col("n_regionkey").isin(0, 2) | ((F.col("nation") == 1) & (F.col("fiscal_year") == 1998)),
+               F.lit(None).cast("double")).otherwise(F.col("total_equity")))
+    out = rat.derive_equity(bal, ["nation"])
+    return out.select("nation", "fiscal_year", "total_assets", "total_liabilities", "total_equity")
+
+
+# ---------------------------------------------------------------- budget allocation
+# Scenario caps as shares of the total requested budget; 0.5 is below the sum
+# of minimums (0.7 x requested for most departments), so it is infeasible.
+ALLOC_SCENARIOS = (("full", "1.0"), ("tight", "0.8"), ("infeasible", "0.5"))
+
+
+def _allocation(spark, sf):
+    d = fx.depts(spark, sf)
+    total = d.agg(F.sum("requested_budget").alias("t")).select("t").scalar()
+    sc = spark.createDataFrame(list(ALLOC_SCENARIOS), "scenario string, f string").select(
+        "scenario", (F.col("f").cast("decimal(2,1)") * total).alias("cap"))
+    return alloc.allocate_budget(d, sc)
+
+
+@query("budget_allocation")
+def q_budget_allocation(spark, sf):
+    """D-23: greedy-by-value allocation under each scenario cap."""
+    return _allocation(spark, sf)
+
+
+@query("budget_pivot")
+def q_budget_pivot(spark, sf):
+    """D-23 + R-48: allocation per department, one column per scenario."""
+    return alloc.allocation_pivot(_allocation(spark, sf), ["full", "tight"])

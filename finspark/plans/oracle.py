@@ -282,3 +282,132 @@ SELECT coalesce(inc.competitor_id, bal.competitor_id) AS competitor_id, coalesce
        {', '.join('inc.' + c for c in INC_COLS)}, {', '.join('bal.' + c for c in BAL_COLS)}
 FROM inc FULL OUTER JOIN bal ON inc.competitor_id = bal.competitor_id AND inc.fiscal_year = bal.fiscal_year
 """
+
+
+BALANCE_MONTHLY = """
+  SELECT nation, balance_date,
+    o_totalprice * 10.0 AS total_assets, o_totalprice * 6.0 AS total_current_assets,
+    o_totalprice * 0.5 AS inventory_raw_materials, o_totalprice * 0.25 AS inventory_wip,
+    o_totalprice * 0.75 AS inventory_finished_goods, o_totalprice * 1.5 AS accounts_payable,
+    o_totalprice * 2.0 AS long_term_debt, o_totalprice * 0.5 AS short_term_debt,
+    o_totalprice * 3.0 AS total_current_liabilities, o_totalprice * 4.0 - c_acctbal AS total_liabilities,
+    o_totalprice * 6.0 + c_acctbal AS total_equity, c_acctbal AS cash
+  FROM (SELECT cast(c.c_nationkey as bigint) AS nation, last_day(cast(o.o_orderdate as date)) AS balance_date,
+               o.o_totalprice, c.c_acctbal,
+               row_number() OVER (PARTITION BY c.c_nationkey, last_day(cast(o.o_orderdate as date))
+                                  ORDER BY o.o_orderdate DESC, o.o_orderkey DESC) AS rn
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) WHERE rn = 1"""
+
+YEAR_END = f"""
+  SELECT nation, year(balance_date) AS fiscal_year, total_assets,
+         inventory_raw_materials + inventory_wip + inventory_finished_goods AS inventory,
+         accounts_payable, long_term_debt, total_current_assets, total_current_liabilities,
+         total_liabilities, total_equity, cash AS cash_and_equivalents
+  FROM (SELECT *, row_number() OVER (PARTITION BY nation, year(balance_date) ORDER BY balance_date DESC) AS rn
+        FROM ({BALANCE_MONTHLY})) WHERE rn = 1"""
+
+_INCM = f"SELECT * FROM ({INCOME_SUPPLIER})"
+_dd = lambda c: f"cast({c} as {D})"
+_COGS = f"({_dd('cogs_materials')} + {_dd('cogs_labor')} + {_dd('cogs_overhead')})"
+ANNUAL = f"""
+  SELECT i.entity, i.fiscal_year, i.total_revenue, i.cost_of_revenue, i.gross_profit, i.operating_income,
+         i.interest_expense, i.net_income, b.total_assets, b.inventory, b.accounts_payable, b.long_term_debt,
+         b.total_current_assets, b.total_current_liabilities, b.total_liabilities, b.total_equity,
+         b.cash_and_equivalents
+  FROM (SELECT entity, year(ds) AS fiscal_year,
+               cast(sum({_dd('revenue')}) as double) AS total_revenue,
+               cast(sum({_COGS}) as double) AS cost_of_revenue,
+               cast(sum({_dd('revenue')} - {_COGS}) as double) AS gross_profit,
+               cast(sum({_dd('revenue')} - {_COGS} - {_dd('operating_expenses')}) as double) AS operating_income,
+               cast(sum({_dd('interest_expense')}) as double) AS interest_expense,
+               cast(sum({_dd('revenue')} - {_COGS} - {_dd('operating_expenses')} - {_dd('interest_expense')}
+                        - {_dd('taxes')}) as double) AS net_income
+        FROM ({_INCM}) GROUP BY 1, 2) i
+  JOIN (SELECT cast(s.s_suppkey as bigint) AS entity, y.* EXCLUDE (nation)
+        FROM ({YEAR_END}) y JOIN supplier s ON y.nation = cast(s.s_nationkey as bigint)) b
+    ON i.entity = b.entity AND i.fiscal_year = b.fiscal_year"""
+
+ORACLE["annual_statements"] = ANNUAL
+
+_LEVEL = [
+    ("Profitability", "Gross Profit Margin", "gross_profit", "total_revenue"),
+    ("Profitability", "Operating Profit Margin", "operating_income", "total_revenue"),
+    ("Profitability", "Net Profit Margin", "net_income", "total_revenue"),
+    ("Profitability", "Return on Assets (ROA)", "net_income", "total_assets"),
+    ("Profitability", "Return on Equity (ROE)", "net_income", "total_equity"),
+    ("Liquidity", "Current Ratio", "total_current_assets", "total_current_liabilities"),
+    ("Liquidity", "Quick Ratio (Acid Test)", "(total_current_assets - inventory)", "total_current_liabilities"),
+    ("Solvency", "Debt-to-Equity Ratio", "total_liabilities", "total_equity"),
+    ("Solvency", "Debt-to-Assets Ratio", "total_liabilities", "total_assets"),
+    ("Solvency", "Interest Coverage Ratio", "operating_income", "interest_expense"),
+    ("Efficiency", "Asset Turnover", "total_revenue", "total_assets"),
+    ("Efficiency", "Inventory Turnover", "cost_of_revenue", "inventory"),
+]
+ORACLE["financial_ratios"] = f"WITH a AS ({ANNUAL})\nSELECT * FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT entity, fiscal_year, '{cat}' AS ratio_category, '{name}' AS ratio_name, "
+    f"cast({num} as double) / nullif(cast({den} as double), 0) AS ratio_value FROM a"
+    for cat, name, num, den in _LEVEL) + "\n) WHERE ratio_value IS NOT NULL"
+
+ORACLE["growth_yoy"] = f"""
+WITH a AS ({ANNUAL}),
+p AS (SELECT entity, fiscal_year, total_revenue, net_income,
+             lag(total_revenue) OVER (PARTITION BY entity ORDER BY fiscal_year) AS prev_rev,
+             lag(net_income) OVER (PARTITION BY entity ORDER BY fiscal_year) AS prev_ni FROM a)
+SELECT * FROM (
+  SELECT entity, fiscal_year, 'Growth' AS ratio_category, 'Revenue Growth YoY' AS ratio_name,
+         (total_revenue - prev_rev) / nullif(abs(prev_rev), 0) AS ratio_value FROM p
+  UNION ALL
+  SELECT entity, fiscal_year, 'Growth', 'Net Income Growth YoY',
+         (net_income - prev_ni) / nullif(abs(prev_ni), 0) FROM p
+) WHERE ratio_value IS NOT NULL"""
+
+ORACLE["derive_equity"] = f"""
+WITH y AS (SELECT y.nation, y.fiscal_year, y.total_assets, y.total_liabilities,
+                  case when n.n_regionkey IN (0, 2) OR (y.nation = 1 AND y.fiscal_year = 1998) then NULL
+                       else y.total_equity end AS total_equity
+           FROM ({YEAR_END}) y JOIN nation n ON y.nation = cast(n.n_nationkey as bigint)),
+f AS (SELECT nation, count(total_equity) = 0 AND count(total_assets) > 0 AND count(total_liabilities) > 0 AS d
+      FROM y GROUP BY nation)
+SELECT y.nation, y.fiscal_year, y.total_assets, y.total_liabilities,
+       case when f.d then y.total_assets - y.total_liabilities else y.total_equity end AS total_equity
+FROM y JOIN f ON y.nation = f.nation
+"""
+
+DEPTS = f"""
+  SELECT concat_ws('-', c_mktsegment, cast(c_nationkey as varchar)) AS department, requested AS requested_budget,
+         case when n_regionkey = 1 then NULL else requested * 0.7 end AS min_required,
+         case when n_regionkey = 3 then NULL else requested * 1.2 end AS max_plausible,
+         cast(bal as double) / cast(n as double) / 1000.0 AS roi_score,
+         cast(n as double) / 10.0 AS efficiency_score,
+         25.0 - cast(c_nationkey as double) AS strategic_score
+  FROM (SELECT c_mktsegment, c_nationkey, sum(cast(abs(c_acctbal) as {D})) AS requested,
+               sum(cast(c_acctbal as {D})) AS bal, count(*) AS n
+        FROM customer GROUP BY 1, 2) g JOIN nation ON g.c_nationkey = nation.n_nationkey"""
+
+ALLOCATION = f"""
+WITH d AS ({DEPTS}),
+sc AS (SELECT scenario, cast(f as decimal(2,1)) * (SELECT sum(requested_budget) FROM d) AS cap
+       FROM (VALUES ('full', '1.0'), ('tight', '0.8'), ('infeasible', '0.5')) t(scenario, f)),
+x AS (SELECT sc.scenario, d.department, d.requested_budget, d.min_required, d.max_plausible,
+             0.5 * roi_score + 0.2 * efficiency_score + 0.3 * strategic_score AS value_factor,
+             cast(coalesce(min_required, 0) as decimal(38,6)) AS lo,
+             greatest(cast(coalesce(max_plausible, requested_budget * 1.5) as decimal(38,6)),
+                      cast(coalesce(min_required, 0) as decimal(38,6))) AS hi,
+             cast(sc.cap as decimal(38,6)) AS cap
+      FROM d, sc),
+y AS (SELECT *, sum(lo) OVER (PARTITION BY scenario) AS sum_lo,
+             coalesce(sum(hi - lo) OVER (PARTITION BY scenario ORDER BY value_factor DESC, department
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM x)
+SELECT scenario, department, cast(requested_budget as double) AS requested_budget,
+       cast(min_required as double) AS min_required, cast(max_plausible as double) AS max_plausible, value_factor,
+       cast(lo + case when value_factor > 0 then least(hi - lo, greatest(0, cap - sum_lo - before)) else 0 end
+            as double) AS optimized_allocation
+FROM y WHERE sum_lo <= cap"""
+
+ORACLE["budget_allocation"] = ALLOCATION
+ORACLE["budget_pivot"] = f"""
+WITH a AS ({ALLOCATION})
+SELECT department, max(case when scenario = 'full' then optimized_allocation end) AS "full",
+       max(case when scenario = 'tight' then optimized_allocation end) AS "tight"
+FROM a GROUP BY department"""

@@ -183,20 +183,62 @@ def dup_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def depts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``depts``: one department per (market segment, nation) with requested
-    budget and optional bounds (exact decimals) and three double scores."""
+    budget and optional bounds (exact decimals) and three double scores.
+    Departments of region 1 have no minimum, of region 3 no maximum."""
     c = table(spark, sf_dir, "customer").select("c_mktsegment", "c_nationkey", "c_acctbal")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     g = c.groupBy("c_mktsegment", "c_nationkey").agg(
         F.sum(F.abs("c_acctbal").cast(MONEY)).alias("requested"),
         F.sum(F.col("c_acctbal").cast(MONEY)).alias("_bal"),
-        F.count(F.lit(1)).alias("_n"))
+        F.count(F.lit(1)).alias("_n")).join(n, "c_nationkey")
     req = F.col("requested")
     nk = F.col("c_nationkey")
+    reg = F.col("n_regionkey")
     return g.select(
         F.concat_ws("-", "c_mktsegment", nk.cast("string")).alias("department"),
         req.alias("requested_budget"),
-        F.when(nk % 7 == 0, F.lit(None)).otherwise(req * F.lit(0.7).cast("decimal(2,1)")).alias("min_required"),
-        F.when(nk % 5 == 0, F.lit(None)).otherwise(req * F.lit(1.2).cast("decimal(2,1)")).alias("max_plausible"),
+        F.when(reg == 1, F.lit(None)).otherwise(req * F.lit(0.7).cast("decimal(2,1)")).alias("min_required"),
+        F.when(reg == 3, F.lit(None)).otherwise(req * F.lit(1.2).cast("decimal(2,1)")).alias("max_plausible"),
         (F.col("_bal").cast("double") / F.col("_n").cast("double") / F.lit(1000.0)).alias("roi_score"),
         (F.col("_n").cast("double") / F.lit(10.0)).alias("efficiency_score"),
         (F.lit(25.0) - nk.cast("double")).alias("strategic_score"),
     )
+
+
+def balance_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-end balance per customer nation: the month's latest order
+    supplies the figures (same formulas as :func:`balance_year_end`)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_acctbal")
+    order_key = F.struct("o_orderdate", "o_orderkey")
+    month = F.last_day(F.col("o_orderdate").cast("date"))
+    per_cust = o.groupBy("o_custkey", month.alias("balance_date")).agg(
+        F.max_by(F.struct("o_totalprice", order_key.alias("k")), order_key).alias("r"))
+    last = (per_cust.join(c, "o_custkey")
+            .groupBy(F.col("c_nationkey").cast("bigint").alias("nation"), "balance_date")
+            .agg(F.max_by(F.struct(F.col("r.o_totalprice").alias("o_totalprice"), "c_acctbal"),
+                          F.col("r.k")).alias("r")))
+    p, a = F.col("r.o_totalprice"), F.col("r.c_acctbal")
+    return last.select("nation", "balance_date", *_balance_figures(p, a))
+
+
+def _balance_figures(p: Column, a: Column) -> list[Column]:
+    return [
+        (p * F.lit(10.0)).alias("total_assets"),
+        (p * F.lit(6.0)).alias("total_current_assets"),
+        (p * F.lit(0.5)).alias("inventory_raw_materials"),
+        (p * F.lit(0.25)).alias("inventory_wip"),
+        (p * F.lit(0.75)).alias("inventory_finished_goods"),
+        (p * F.lit(1.5)).alias("accounts_payable"),
+        (p * F.lit(2.0)).alias("long_term_debt"),
+        (p * F.lit(0.5)).alias("short_term_debt"),
+        (p * F.lit(3.0)).alias("total_current_liabilities"),
+        (p * F.lit(4.0) - a).alias("total_liabilities"),
+        (p * F.lit(6.0) + a).alias("total_equity"),
+        a.alias("cash"),
+    ]
+
+
+def supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("entity"),
+                                                    F.col("s_nationkey").cast("bigint").alias("nation"))
