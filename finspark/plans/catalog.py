@@ -308,3 +308,71 @@ def q_budget_allocation(spark, sf):
 def q_budget_pivot(spark, sf):
     """D-23 + R-48: allocation per department, one column per scenario."""
     return alloc.allocation_pivot(_allocation(spark, sf), ["full", "tight"])
+
+
+# ---------------------------------------------------------------- driver scenarios and history
+from ..operators import drivers as drv  # noqa: E402
+from ..operators import history as hist  # noqa: E402
+
+# Scenario definitions on the fixture calendar (1995-2001): the reference
+# tariff shock moved into the data's range, plus a second scenario.
+SHOCK_WINDOWS = {
+    "tariff": (drv.TARIFF_SHOCKS, "1998-03-01", "1999-06-30"),
+    "recession": ((("economic_activity_index", -0.05), ("interest_rate_proxy", 0.10)), "2000-01-01", "2000-12-31"),
+}
+
+
+def _shocks(spark):
+    out = None
+    for name, (sh, a, b) in SHOCK_WINDOWS.items():
+        t = drv.shock_table(spark, name, sh, a, b)
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query("driver_shock")
+def q_driver_shock(spark, sf):
+    """D-11: drivers shocked for two scenarios in one job."""
+    return drv.shock_drivers(fx.drivers(spark, sf), _shocks(spark))
+
+
+@query("scenario_overlay")
+def q_scenario_overlay(spark, sf):
+    """D-12: base drivers, shocked values inside 1998-01-31..1999-06-30; the
+    alternative table stops at 1999-03 so late window months become null."""
+    base = fx.drivers(spark, sf)
+    alt = drv.shock_drivers(base, drv.shock_table(spark, "alt", drv.TARIFF_SHOCKS, "1995-01-01", "2001-12-31"))
+    alt = alt.drop("scenario").filter(F.col("ds") <= F.lit("1999-03-31").cast("date"))
+    return drv.overlay_window(base, alt, "1998-01-31", "1999-06-30")
+
+
+@query("history_splice")
+def q_history_splice(spark, sf):
+    """D-13: order-value history before each nation's first shipped-revenue
+    month (1998-01 for regions 0-1, 1999-06 for the rest), then actuals."""
+    older = fx.order_revenue_by_nation(spark, sf)
+    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("entity"), "n_regionkey")
+    start = F.when(F.col("n_regionkey") <= 1, F.lit("1998-01-31")).otherwise(F.lit("1999-06-30")).cast("date")
+    newer = (fx.income(spark, sf, by="nation").select("entity", "ds", "revenue").join(n, "entity")
+             .filter(F.col("ds") >= start).drop("n_regionkey"))
+    return drv.splice_history(older, newer, ["entity"])
+
+
+def _calibration(spark, sf):
+    return hist.calibrate(q_cash_flow_fact(spark, sf), ["entity"], "ds", n=12)
+
+
+@query("calibration_stats")
+def q_calibration_stats(spark, sf):
+    """D-24: first 12 months of each nation's cash-flow fact."""
+    return _calibration(spark, sf)
+
+
+@query("synthetic_history")
+def q_synthetic_history(spark, sf):
+    """D-25: per-nation drivers as the macro series (order count = vehicle
+    sales, unit price = CPI), calibrated on the nation's actuals, noise 0."""
+    macro = fx.drivers_by_nation(spark, sf).withColumnsRenamed(
+        {"economic_activity_index": "total_vehicle_sales"}).withColumn("cpi", F.col("ev_component_cost_index"))
+    return hist.synthetic_history(macro, _calibration(spark, sf), ["entity"], "ds", noise_std=0.0,
+                                  passthrough=["interest_rate_proxy", "consumer_confidence_index"])

@@ -411,3 +411,101 @@ WITH a AS ({ALLOCATION})
 SELECT department, max(case when scenario = 'full' then optimized_allocation end) AS "full",
        max(case when scenario = 'tight' then optimized_allocation end) AS "tight"
 FROM a GROUP BY department"""
+
+_SHOCKS = """(VALUES ('tariff', 'ev_component_cost_index', cast(0.25 as double), DATE '1998-03-01', DATE '1999-06-30'),
+         ('tariff', 'consumer_confidence_index', cast(-0.15 as double), DATE '1998-03-01', DATE '1999-06-30'),
+         ('recession', 'economic_activity_index', cast(-0.05 as double), DATE '2000-01-01', DATE '2000-12-31'),
+         ('recession', 'interest_rate_proxy', cast(0.10 as double), DATE '2000-01-01', DATE '2000-12-31'))
+        sh(scenario, driver, pct, s, e)"""
+
+
+def _factor(col: str, scen: str, ds: str, shocks: str = "shk") -> str:
+    return (f"coalesce((SELECT product(1.0 + pct) FROM {shocks} WHERE {shocks}.scenario = {scen} "
+            f"AND {shocks}.driver = '{col}' AND {ds} BETWEEN {shocks}.s AND {shocks}.e), 1.0)")
+
+
+ORACLE["driver_shock"] = f"""
+WITH drv AS ({DRIVERS}),
+shk AS (SELECT * FROM {_SHOCKS}),
+sc AS (SELECT DISTINCT scenario FROM shk)
+SELECT sc.scenario, drv.ds, {', '.join(f"drv.{c} * {_factor(c, 'sc.scenario', 'drv.ds')} AS {c}" for c in DRV)}
+FROM drv, sc
+"""
+
+ORACLE["scenario_overlay"] = f"""
+WITH drv AS ({DRIVERS}),
+alt AS (SELECT ds, economic_activity_index * 1.0 AS economic_activity_index,
+               consumer_confidence_index * (1.0 + cast(-0.15 as double)) AS consumer_confidence_index,
+               interest_rate_proxy * 1.0 AS interest_rate_proxy,
+               ev_component_cost_index * (1.0 + cast(0.25 as double)) AS ev_component_cost_index
+        FROM drv WHERE ds <= DATE '1999-03-31')
+SELECT drv.ds, {', '.join(f"case when drv.ds BETWEEN DATE '1998-01-31' AND DATE '1999-06-30' then alt.{c} else drv.{c} end AS {c}" for c in DRV)}
+FROM drv LEFT JOIN alt ON drv.ds = alt.ds
+"""
+
+ORDER_REVENUE_NATION = f"""
+  SELECT cast(c.c_nationkey as bigint) AS entity, last_day(cast(o.o_orderdate as date)) AS ds,
+         cast(sum(cast(o.o_totalprice as {D})) as double) AS revenue
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2"""
+
+ORACLE["history_splice"] = f"""
+WITH older AS ({ORDER_REVENUE_NATION}),
+newer AS (SELECT i.entity, i.ds, i.revenue FROM ({INCOME_NATION}) i JOIN nation n ON i.entity = n.n_nationkey
+          WHERE i.ds >= case when n.n_regionkey <= 1 then DATE '1998-01-31' else DATE '1999-06-30' end),
+f AS (SELECT entity, min(ds) AS first_ds FROM newer GROUP BY 1)
+SELECT o.entity, o.ds, o.revenue, 'synthetic' AS source FROM older o LEFT JOIN f ON o.entity = f.entity
+WHERE f.first_ds IS NULL OR o.ds < f.first_ds
+UNION ALL
+SELECT entity, ds, revenue, 'actual' FROM newer
+"""
+
+
+def _ordered_mean(expr: str, order: str) -> str:
+    lst = f"list_filter(list({expr} ORDER BY {order}), lambda v: v IS NOT NULL)"
+    return (f"list_reduce(list_prepend(cast(0.0 as double), {lst}), lambda a, b: a + b) "
+            f"/ nullif(cast(len({lst}) as double), 0)")
+
+
+CALIBRATION = f"""
+  SELECT entity, cast(sum(cast(inflow_operating_revenue as {D})) as double) / count(inflow_operating_revenue) AS avg_revenue,
+         {_ordered_mean('outflow_cogs / nullif(inflow_operating_revenue, 0)', 'ds')} AS avg_cogs_ratio,
+         {_ordered_mean('outflow_opex / nullif(inflow_operating_revenue, 0)', 'ds')} AS avg_opex_ratio,
+         count(*) AS n_months
+  FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ds) AS rn FROM ({CASH_FLOW_FACT}))
+  WHERE rn <= 12 GROUP BY entity"""
+
+ORACLE["calibration_stats"] = CALIBRATION
+
+DRIVERS_NATION = f"""
+  SELECT coalesce(od.entity, ld.entity) AS entity, coalesce(od.ds, ld.ds) AS ds,
+         od.economic_activity_index, od.consumer_confidence_index, ld.interest_rate_proxy, ld.ev_component_cost_index
+  FROM (SELECT cast(c.c_nationkey as bigint) AS entity, last_day(cast(o.o_orderdate as date)) AS ds,
+               cast(count(*) as double) AS economic_activity_index,
+               cast(sum(cast(o.o_totalprice as {D})) as double) / nullif(cast(count(o.o_totalprice) as double), 0)
+                 AS consumer_confidence_index
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2) od
+  FULL OUTER JOIN
+       (SELECT cast(s.s_nationkey as bigint) AS entity, last_day(cast(l.l_shipdate as date)) AS ds,
+               cast(sum(cast(l.l_discount as {D})) as double) / nullif(cast(count(l.l_discount) as double), 0)
+                 AS interest_rate_proxy,
+               cast(sum(cast(l.l_extendedprice as {D})) as double) / nullif(cast(sum(cast(l.l_quantity as {D})) as double), 0)
+                 AS ev_component_cost_index
+        FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1, 2) ld
+  ON od.entity = ld.entity AND od.ds = ld.ds"""
+
+ORACLE["synthetic_history"] = f"""
+WITH m AS (SELECT *, economic_activity_index AS total_vehicle_sales, ev_component_cost_index AS cpi,
+                  row_number() OVER (PARTITION BY entity ORDER BY ds DESC) AS rn FROM ({DRIVERS_NATION})),
+st AS (SELECT entity, {_ordered_mean('case when rn <= 12 then total_vehicle_sales end', 'ds')} AS market,
+              {_ordered_mean('cpi', 'ds')} AS cpi_mean
+       FROM m GROUP BY entity),
+c AS ({CALIBRATION}),
+x AS (SELECT m.*, st.market, st.cpi_mean, coalesce(c.avg_revenue, 500000000.0) AS scale,
+             coalesce(c.avg_cogs_ratio, 0.65) AS r_cogs, coalesce(c.avg_opex_ratio, 0.15) AS r_opex
+      FROM m JOIN st ON m.entity = st.entity LEFT JOIN c ON m.entity = c.entity),
+y AS (SELECT *, total_vehicle_sales * (scale / market) AS inflow_operating_revenue FROM x)
+SELECT entity, ds, inflow_operating_revenue, inflow_operating_revenue * r_cogs * (cpi / cpi_mean) AS outflow_cogs,
+       inflow_operating_revenue * r_opex AS outflow_opex, cpi AS ev_component_cost_index,
+       interest_rate_proxy, consumer_confidence_index
+FROM y
+"""

@@ -242,3 +242,37 @@ def _balance_figures(p: Column, a: Column) -> list[Column]:
 def supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("entity"),
                                                     F.col("s_nationkey").cast("bigint").alias("nation"))
+
+
+def drivers_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro-like drivers per (nation, month): order count and mean order
+    value by customer nation; mean discount and unit price by supplier
+    nation. Raw rows are pre-aggregated per customer / supplier and month
+    before the dimension join."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    op = o.groupBy("o_custkey", F.last_day(F.col("o_orderdate").cast("date")).alias("ds")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast(MONEY)).alias("p"),
+        F.count("o_totalprice").alias("np"))
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    od = (op.join(cust, "o_custkey").groupBy(F.col("c_nationkey").cast("bigint").alias("entity"), "ds")
+          .agg(F.sum("n").cast("double").alias("economic_activity_index"),
+               F.try_divide(F.sum("p").cast("double"), F.sum("np").cast("double")).alias("consumer_confidence_index")))
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_discount", "l_extendedprice", "l_quantity")
+    lp = li.groupBy("l_suppkey", F.last_day(F.col("l_shipdate").cast("date")).alias("ds")).agg(
+        F.sum(F.col("l_discount").cast(MONEY)).alias("d"), F.count("l_discount").alias("nd"),
+        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("e"), F.sum(F.col("l_quantity").cast(MONEY)).alias("q"))
+    sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    ld = (lp.join(sup, "l_suppkey").groupBy(F.col("s_nationkey").cast("bigint").alias("entity"), "ds")
+          .agg(F.try_divide(F.sum("d").cast("double"), F.sum("nd").cast("double")).alias("interest_rate_proxy"),
+               F.try_divide(F.sum("e").cast("double"), F.sum("q").cast("double")).alias("ev_component_cost_index")))
+    return od.join(ld, ["entity", "ds"], "full_outer")
+
+
+def order_revenue_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly order value per customer nation (an older, coarser revenue proxy)."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    op = o.groupBy("o_custkey", F.last_day(F.col("o_orderdate").cast("date")).alias("ds")).agg(
+        F.sum(F.col("o_totalprice").cast(MONEY)).alias("p"))
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return (op.join(cust, "o_custkey").groupBy(F.col("c_nationkey").cast("bigint").alias("entity"), "ds")
+            .agg(F.sum("p").cast("double").alias("revenue")))
