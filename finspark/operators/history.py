@@ -27,6 +27,13 @@ def ordered_mean(value: Column, order: Column) -> Column:
     return F.try_divide(F.aggregate(vals, F.lit(0.0), lambda a, v: a + v), F.size(vals).cast("double"))
 
 
+def ordered_sum(value: Column, order: Column) -> Column:
+    """Sum of a bounded group in ``order`` (sequential), null when empty."""
+    arr = F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v"))))
+    vals = F.filter(F.transform(arr, lambda s: s["v"]), lambda v: v.isNotNull())
+    return F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda a, v: a + v))
+
+
 def calibrate(actual: DataFrame, keys: Sequence[str] = (), ds: str = "ds", n: int = 12,
               revenue: str = "inflow_operating_revenue", cogs: str = "outflow_cogs",
               opex: str = "outflow_opex", which: str = "first") -> DataFrame:

@@ -376,3 +376,90 @@ def q_synthetic_history(spark, sf):
         {"economic_activity_index": "total_vehicle_sales"}).withColumn("cpi", F.col("ev_component_cost_index"))
     return hist.synthetic_history(macro, _calibration(spark, sf), ["entity"], "ds", noise_std=0.0,
                                   passthrough=["interest_rate_proxy", "consumer_confidence_index"])
+
+
+# ---------------------------------------------------------------- metrics, backtest, roll-up
+from ..operators import metrics as met  # noqa: E402
+from ..operators import rollup as ru  # noqa: E402
+
+COMPONENTS = ("inflow_operating_revenue", "outflow_cogs", "outflow_opex")
+ACTUALS_END = "2000-12-31"
+BACKTEST_CUTOFF = "2000-01-01"
+ELASTICITY_SHOCKS = (("economic_activity_index", -0.05), ("consumer_confidence_index", -0.15))
+ELASTICITY_WINDOW = ("2000-06-01", "2001-06-30")
+
+
+def _prior_year(df, keys, value, out):
+    """Seasonal-naive forecast: the value of the same month one year earlier."""
+    return df.select(*keys, F.last_day(F.add_months("ds", 12)).alias("ds"), F.col(value).alias(out))
+
+
+def _components_long(spark, sf):
+    fact = q_cash_flow_fact(spark, sf)
+    arr = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("y")) for c in COMPONENTS])
+    long = fact.select("entity", "ds", F.explode(arr).alias("_c")).select("entity", "_c.component", "ds", "_c.y")
+    return long.join(_prior_year(long, ["entity", "component"], "y", "yhat"), ["entity", "component", "ds"], "left")
+
+
+@query("holdout_metrics")
+def q_holdout_metrics(spark, sf):
+    """D-15: last 6 months of each (nation, component) vs the seasonal-naive forecast."""
+    return met.holdout_metrics(_components_long(spark, sf), ["entity", "component"], n=6)
+
+
+@query("backtest_verdict")
+def q_backtest_verdict(spark, sf):
+    """D-16: blind backtest from 2000-01-01; prediction = the same calendar
+    month of the last training year; MAPE fraction and verdict band."""
+    inc = fx.income(spark, sf, by="nation").select("entity", "ds", F.col("revenue").alias("y"))
+    cut = F.lit(BACKTEST_CUTOFF).cast("date")
+    train12 = inc.filter((F.col("ds") < cut) & (F.col("ds") >= F.add_months(cut, -12))).select(
+        "entity", F.month("ds").alias("_moy"), F.col("y").alias("yhat"))
+    scored = inc.withColumn("_moy", F.month("ds")).join(train12, ["entity", "_moy"], "left")
+    return met.backtest(scored, ["entity"], BACKTEST_CUTOFF)
+
+
+def _components_wide(spark, sf):
+    """Actuals hidden after 2000-12; forecast = same month of the prior year."""
+    fact = q_cash_flow_fact(spark, sf)
+    cols = {}
+    for c in COMPONENTS:
+        cols[f"{c}_actual"] = F.when(F.col("ds") <= F.lit(ACTUALS_END).cast("date"), F.col(c))
+    comp = fact.select("entity", "ds", *[v.alias(k) for k, v in cols.items()])
+    prev = fact.select("entity", F.last_day(F.add_months("ds", 12)).alias("ds"),
+                       *[F.col(c).alias(f"{c}_forecast") for c in COMPONENTS])
+    return comp.join(prev, ["entity", "ds"], "left")
+
+
+def _hist(spark, sf):
+    return q_cash_flow_fact(spark, sf).filter(F.col("ds") <= F.lit(ACTUALS_END).cast("date")).select(
+        "entity", "ds", "interest_expense", "taxes", "long_term_debt", "net_debt_financing_activity", "capex_outflow")
+
+
+@query("net_cash_rollup")
+def q_net_cash_rollup(spark, sf):
+    """D-17 (forecast-start path): components + history + full capex -> cash flow."""
+    return ru.net_cash_rollup(_components_wide(spark, sf), _hist(spark, sf), fx.capex(spark, sf),
+                              ["entity"], mode="forecast_start")
+
+
+def _elasticity(spark, sf):
+    base = fx.drivers(spark, sf)
+    alt = drv.shock_drivers(base, drv.shock_table(spark, "alt", ELASTICITY_SHOCKS, *ELASTICITY_WINDOW)).drop("scenario")
+    return ru.elasticity_overlay(_components_wide(spark, sf), base, alt, ["entity"])
+
+
+@query("elasticity_overlay")
+def q_elasticity_overlay(spark, sf):
+    """D-18: revenue forecasts scaled by driver changes where actuals are missing."""
+    return _elasticity(spark, sf).select("entity", "ds", *[f"{c}_final" for c in COMPONENTS],
+                                         "activity_pct_delta", "confidence_pct_delta", "cost_pct_delta")
+
+
+@query("scenario_comparison")
+def q_scenario_comparison(spark, sf):
+    """D-19: base vs elasticity scenario net cash (projection-everywhere path)."""
+    hist = _hist(spark, sf)
+    base = ru.net_cash_rollup(_components_wide(spark, sf), hist, keys=["entity"], mode="everywhere")
+    alt = ru.net_cash_rollup(_elasticity(spark, sf), hist, keys=["entity"], mode="everywhere")
+    return ru.compare_scenarios(base, alt, keys=["entity"], window=ELASTICITY_WINDOW)

@@ -509,3 +509,129 @@ SELECT entity, ds, inflow_operating_revenue, inflow_operating_revenue * r_cogs *
        interest_rate_proxy, consumer_confidence_index
 FROM y
 """
+
+_COMP = ("inflow_operating_revenue", "outflow_cogs", "outflow_opex")
+
+ORACLE["holdout_metrics"] = f"""
+WITH f AS ({CASH_FLOW_FACT}),
+l AS ({' UNION ALL '.join(f"SELECT entity, '{c}' AS component, ds, {c} AS y FROM f" for c in _COMP)}),
+j AS (SELECT l.entity, l.component, l.ds, l.y, p.y AS yhat FROM l
+      LEFT JOIN l p ON p.entity = l.entity AND p.component = l.component AND last_day(p.ds + INTERVAL 12 MONTH) = l.ds),
+h AS (SELECT *, row_number() OVER (PARTITION BY entity, component ORDER BY ds DESC) AS rn FROM j)
+SELECT entity, component, count(case when y IS NOT NULL AND yhat IS NOT NULL then 1 end) AS n,
+       {_ordered_mean('abs(y - yhat)', 'ds')} AS mae,
+       sqrt({_ordered_mean('(y - yhat) * (y - yhat)', 'ds')}) AS rmse,
+       {_ordered_mean('abs((y - yhat) / nullif(y, 0))', 'ds')} * 100.0 AS mape
+FROM h WHERE rn <= 6 GROUP BY 1, 2
+"""
+
+ORACLE["backtest_verdict"] = f"""
+WITH inc AS (SELECT entity, ds, revenue AS y FROM ({INCOME_NATION})),
+tr AS (SELECT entity, month(ds) AS moy, y AS yhat FROM inc WHERE ds < DATE '2000-01-01' AND ds >= DATE '1999-01-01'),
+s AS (SELECT i.entity, i.ds, i.y, tr.yhat FROM inc i LEFT JOIN tr ON i.entity = tr.entity AND month(i.ds) = tr.moy
+      WHERE i.ds >= DATE '2000-01-01' AND i.y IS NOT NULL AND tr.yhat IS NOT NULL),
+m AS (SELECT entity, count(*) AS n_test,
+             {_ordered_mean('abs(y - yhat) / greatest(abs(y), 2.220446049250313e-16)', 'ds')} AS mape
+      FROM s GROUP BY 1)
+SELECT entity, n_test, mape,
+       case when mape < 0.10 then 'EXCELLENT' when mape < 0.20 then 'ACCEPTABLE' else 'VOLATILE' end AS verdict
+FROM m
+"""
+
+_COMP_WIDE = f"""
+  SELECT f.entity, f.ds,
+         case when f.ds <= DATE '2000-12-31' then f.inflow_operating_revenue end AS rev_a,
+         case when f.ds <= DATE '2000-12-31' then f.outflow_cogs end AS cogs_a,
+         case when f.ds <= DATE '2000-12-31' then f.outflow_opex end AS opex_a,
+         p.inflow_operating_revenue AS rev_f, p.outflow_cogs AS cogs_f, p.outflow_opex AS opex_f
+  FROM f LEFT JOIN f p ON p.entity = f.entity AND last_day(p.ds + INTERVAL 12 MONTH) = f.ds"""
+_HIST = """SELECT entity, ds, interest_expense AS h_int, taxes AS h_tax, long_term_debt AS h_ltd,
+                  net_debt_financing_activity AS h_nf, capex_outflow AS h_capex FROM f WHERE ds <= DATE '2000-12-31'"""
+
+ORACLE["net_cash_rollup"] = f"""
+WITH f AS ({CASH_FLOW_FACT}),
+comp AS ({_COMP_WIDE}),
+h AS ({_HIST}),
+cx AS (SELECT entity, ds, sum(capex_outflow) AS capex FROM ({CAPEX}) GROUP BY 1, 2),
+j AS (SELECT c.*, coalesce(rev_a, rev_f) AS rev, coalesce(cogs_a, cogs_f) AS cogs, coalesce(opex_a, opex_f) AS opex,
+             h.h_int, h.h_tax, h.h_ltd, h.h_nf, coalesce(cast(cx.capex as double), 0.0) AS capex
+      FROM comp c LEFT JOIN h ON c.entity = h.entity AND c.ds = h.ds
+                  LEFT JOIN cx ON c.entity = cx.entity AND c.ds = cx.ds),
+st AS (SELECT entity, min(case when rev_a IS NULL then ds end) AS start FROM j GROUP BY 1),
+j2 AS (SELECT j.*, st.start FROM j LEFT JOIN st ON j.entity = st.entity),
+lt AS (SELECT entity, arg_max(h_ltd, ds) FILTER (WHERE ds < start AND h_ltd IS NOT NULL) AS last_ltd FROM j2 GROUP BY 1),
+k AS (SELECT j2.*, case when ds >= start then coalesce(lt.last_ltd, 0.0) end AS ltd
+      FROM j2 LEFT JOIN lt ON j2.entity = lt.entity),
+k2 AS (SELECT *, coalesce(h_int, coalesce(ltd, 0.0) * 0.03 / 12.0) AS interest_final FROM k),
+k3 AS (SELECT *, coalesce(coalesce(rev - (cogs + opex), rev_f - (cogs_f + opex_f)), 0.0)
+                 - coalesce(interest_final, 0.0) AS ebt FROM k2),
+k4 AS (SELECT *, coalesce(h_tax, case when ebt > 0 then ebt * 0.25 else 0.0 end) AS taxes_final FROM k3),
+k5 AS (SELECT *, rev - (cogs + opex + interest_final + taxes_final) AS cfo, -coalesce(capex, 0.0) AS cfi,
+              coalesce(coalesce(h_nf, 0.0), 0.0) AS cff FROM k4)
+SELECT entity, ds, rev AS inflow_operating_revenue_final, cogs AS outflow_cogs_final, opex AS outflow_opex_final,
+       interest_final AS outflow_interest_final, taxes_final AS outflow_taxes_final,
+       cfo AS net_operating_cash_flow, cfi AS net_investing_cash_flow, cff AS net_financing_cash_flow,
+       coalesce(cfo, 0.0) + coalesce(cfi, 0.0) + coalesce(cff, 0.0) AS net_change_in_cash_total
+FROM k5
+"""
+
+_ELAST = f"""
+drv AS ({DRIVERS}),
+alt AS (SELECT ds,
+          economic_activity_index * (case when ds BETWEEN DATE '2000-06-01' AND DATE '2001-06-30'
+                                          then 1.0 + cast(-0.05 as double) else 1.0 end) AS economic_activity_index,
+          consumer_confidence_index * (case when ds BETWEEN DATE '2000-06-01' AND DATE '2001-06-30'
+                                            then 1.0 + cast(-0.15 as double) else 1.0 end) AS consumer_confidence_index,
+          ev_component_cost_index * 1.0 AS ev_component_cost_index
+        FROM drv),
+ind AS (SELECT b.ds,
+          (a.economic_activity_index - b.economic_activity_index) / nullif(b.economic_activity_index, 0) AS activity_pct_delta,
+          (a.consumer_confidence_index - b.consumer_confidence_index) / nullif(b.consumer_confidence_index, 0) AS confidence_pct_delta,
+          (a.ev_component_cost_index - b.ev_component_cost_index) / nullif(b.ev_component_cost_index, 0) AS cost_pct_delta
+        FROM drv b JOIN alt a ON b.ds = a.ds),
+el AS (SELECT c.entity, c.ds, c.rev_a, c.rev_f, c.cogs_a, c.cogs_f, c.opex_a, c.opex_f,
+          case when c.rev_a IS NULL
+               then coalesce(c.rev_a, c.rev_f) * (1.0 + (0.6 * coalesce(ind.activity_pct_delta, 0.0)
+                                                         + 0.4 * coalesce(ind.confidence_pct_delta, 0.0)))
+               else coalesce(c.rev_a, c.rev_f) end AS rev,
+          coalesce(c.cogs_a, c.cogs_f) AS cogs, coalesce(c.opex_a, c.opex_f) AS opex,
+          ind.activity_pct_delta, ind.confidence_pct_delta, ind.cost_pct_delta
+        FROM comp c LEFT JOIN ind ON c.ds = ind.ds)"""
+
+ORACLE["elasticity_overlay"] = f"""
+WITH f AS ({CASH_FLOW_FACT}),
+comp AS ({_COMP_WIDE}),
+{_ELAST}
+SELECT entity, ds, rev AS inflow_operating_revenue_final, cogs AS outflow_cogs_final, opex AS outflow_opex_final,
+       activity_pct_delta, confidence_pct_delta, cost_pct_delta
+FROM el
+"""
+
+
+def _everywhere(src: str) -> str:
+    return f"""
+  SELECT x.entity, x.ds,
+         x.rev - (x.cogs + x.opex + x.interest_final + x.taxes_final) - coalesce(x.h_capex, 0.0)
+           + coalesce(x.h_nf, 0.0) AS total
+  FROM (SELECT y.*, coalesce(y.h_tax, case when y.ebt > 0 then y.ebt * 0.25 else 0.0 end) AS taxes_final
+        FROM (SELECT z.*, (z.rev - (z.cogs + z.opex)) - z.interest_final AS ebt
+              FROM (SELECT s.entity, s.ds, s.rev, s.cogs, s.opex, h.h_tax, h.h_nf, h.h_capex,
+                           coalesce(h.h_int, coalesce(lt.last_ltd, 0.0) * 0.03 / 12.0) AS interest_final
+                    FROM ({src}) s
+                    LEFT JOIN h ON s.entity = h.entity AND s.ds = h.ds
+                    LEFT JOIN (SELECT entity, arg_max(h_ltd, ds) FILTER (WHERE h_ltd IS NOT NULL) AS last_ltd
+                               FROM h GROUP BY 1) lt ON s.entity = lt.entity) z) y) x"""
+
+
+ORACLE["scenario_comparison"] = f"""
+WITH f AS ({CASH_FLOW_FACT}),
+comp AS ({_COMP_WIDE}),
+h AS ({_HIST}),
+{_ELAST},
+b AS ({_everywhere("SELECT entity, ds, coalesce(rev_a, rev_f) AS rev, coalesce(cogs_a, cogs_f) AS cogs, coalesce(opex_a, opex_f) AS opex FROM comp")}),
+a AS ({_everywhere("SELECT entity, ds, rev, cogs, opex FROM el")})
+SELECT coalesce(b.entity, a.entity) AS entity, coalesce(b.ds, a.ds) AS ds, b.total AS base_value, a.total AS alt_value,
+       a.total - b.total AS delta, (a.total - b.total) / nullif(abs(b.total), 0) AS pct_delta,
+       coalesce(b.ds, a.ds) BETWEEN DATE '2000-06-01' AND DATE '2001-06-30' AS in_window
+FROM b FULL OUTER JOIN a ON b.entity = a.entity AND b.ds = a.ds
+"""
