@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cashflow
@@ -463,3 +463,52 @@ def q_scenario_comparison(spark, sf):
     base = ru.net_cash_rollup(_components_wide(spark, sf), hist, keys=["entity"], mode="everywhere")
     alt = ru.net_cash_rollup(_elasticity(spark, sf), hist, keys=["entity"], mode="everywhere")
     return ru.compare_scenarios(base, alt, keys=["entity"], window=ELASTICITY_WINDOW)
+
+
+# ---------------------------------------------------------------- forecasting
+from ..operators import forecast as fc  # noqa: E402
+
+DRIVERS = ("economic_activity_index", "consumer_confidence_index", "interest_rate_proxy", "ev_component_cost_index")
+
+
+def _forecast_input(spark, sf):
+    """Long components per nation joined with the nation's drivers."""
+    fact = q_cash_flow_fact(spark, sf).select("entity", "ds", *COMPONENTS)
+    arr = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("y")) for c in COMPONENTS])
+    long = fact.select("entity", "ds", F.explode(arr).alias("_c")).select("entity", "_c.component", "ds", "_c.y")
+    return long.join(fx.drivers_by_nation(spark, sf), ["entity", "ds"], "left")
+
+
+@query("forecast_trend")
+def q_forecast_trend(spark, sf):
+    """D-14 trend term: least-squares revenue trend per nation on the month
+    index (months since 1995-01), from exact sums."""
+    inc = fx.income(spark, sf, by="nation").withColumn(
+        "t", F.year("ds") * 12 + F.month("ds") - F.lit(1995 * 12 + 1))
+    return fc.linear_trend(inc, ["entity"], "t", "revenue")
+
+
+@query("forecast_gram")
+def q_forecast_gram(spark, sf):
+    """D-14 fit statistics: the exact Gram aggregate of the revenue model's
+    design (trend, 3 seasonal pairs, 4 standardised drivers) per nation."""
+    df = _forecast_input(spark, sf).filter(F.col("component") == "inflow_operating_revenue").drop("component")
+    obs = df.filter(F.col("y").isNotNull())
+    w = Window.partitionBy("entity").orderBy(F.col("ds").desc())
+    train = obs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 6).drop("_rn")
+    stats = fc.series_stats(train, ["entity"], "ds", "y", DRIVERS)
+    x = fc.design(train, stats, ["entity"], "ds", DRIVERS).withColumn("_t", fc.target_expr("y"))
+    return fc.gram(x, ["entity"], fc.feature_names(3, DRIVERS))
+
+
+@query("forecast_components")
+def q_forecast_components(spark, sf):
+    """D-14 full model: fit per (nation, component) with a 6-month holdout,
+    predict from the first month to 24 months after the training end."""
+    df = _forecast_input(spark, sf)
+    keys = ["entity", "component"]
+    model = fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6)
+    drv_nat = fx.drivers_by_nation(spark, sf)
+    fut = fc.future_frame(df.select("entity", "component", "ds", "y"), model, drv_nat, keys, "ds", 24, DRIVERS,
+                          driver_keys=["entity"])
+    return fc.predict_forecast(fut, model, keys, "ds", DRIVERS)

@@ -635,3 +635,54 @@ SELECT coalesce(b.entity, a.entity) AS entity, coalesce(b.ds, a.ds) AS ds, b.tot
        coalesce(b.ds, a.ds) BETWEEN DATE '2000-06-01' AND DATE '2001-06-30' AS in_window
 FROM b FULL OUTER JOIN a ON b.entity = a.entity AND b.ds = a.ds
 """
+
+
+ORACLE["forecast_trend"] = f"""
+WITH i AS (SELECT entity, year(ds) * 12 + month(ds) - {1995 * 12 + 1} AS t, revenue FROM ({INCOME_NATION})),
+s AS (SELECT entity, cast(count(*) as double) AS n, cast(sum(cast(t as bigint)) as double) AS sx,
+             cast(sum(cast(t as bigint) * cast(t as bigint)) as double) AS sxx,
+             cast(sum(cast(revenue as {D})) as double) AS sy,
+             cast(sum(cast(cast(t as double) * revenue as decimal(22,4))) as double) AS sxy
+      FROM i WHERE t IS NOT NULL AND revenue IS NOT NULL GROUP BY 1),
+r AS (SELECT *, (n * sxy - sx * sy) / nullif(n * sxx - sx * sx, 0) AS slope FROM s)
+SELECT entity, cast(n as bigint) AS n, slope, (sy - slope * sx) / n AS intercept FROM r
+"""
+
+
+def _gram_sql() -> str:
+    import math
+    drivers = DRV
+    feats = ["x_intercept", "x_trend"] + [f"x_{a}{k}" for k in (1, 2, 3) for a in ("sin", "cos")] + \
+        [f"x_{d}" for d in drivers]
+    F_ = "decimal(16,6)"
+    ang = lambda k: f"cast(dayofyear(ds) as double) * {repr(2.0 * math.pi / 365.25 * k)}"
+    fx = {"x_intercept": f"cast(1.0 as {F_})",
+          "x_trend": f"cast(cast(year(ds) * 12 + month(ds) - m0 as double) / 12.0 as {F_})"}
+    for k in (1, 2, 3):
+        fx[f"x_sin{k}"] = f"cast(sin({ang(k)}) as {F_})"
+        fx[f"x_cos{k}"] = f"cast(cos({ang(k)}) as {F_})"
+    for d in drivers:
+        fx[f"x_{d}"] = f"cast(coalesce(({d} - mu_{d}) / nullif(sd_{d}, 0), 0.0) as {F_})"
+    aggs = ["count(t) AS n"]
+    for i in range(len(feats)):
+        for j in range(i, len(feats)):
+            aggs.append(f"cast(sum({feats[i]} * {feats[j]}) as double) AS g_{i}_{j}")
+    for i in range(len(feats)):
+        aggs.append(f"cast(sum({feats[i]} * t) as double) AS xy_{i}")
+    aggs.append("cast(sum(t * t) as double) AS yy")
+    stats = ", ".join([f"avg({d}) AS mu_{d}, stddev_samp({d}) AS sd_{d}" for d in drivers])
+    return f"""
+WITH f AS ({CASH_FLOW_FACT}),
+dn AS ({DRIVERS_NATION}),
+o AS (SELECT f.entity, f.ds, f.inflow_operating_revenue AS y, {', '.join('dn.' + d for d in drivers)}
+      FROM f LEFT JOIN dn ON f.entity = dn.entity AND f.ds = dn.ds WHERE f.inflow_operating_revenue IS NOT NULL),
+tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ds DESC) AS rn FROM o) WHERE rn > 6),
+st AS (SELECT entity, min(year(ds) * 12 + month(ds)) AS m0, min(y) > 0 AS mult, {stats} FROM tr GROUP BY 1),
+x AS (SELECT tr.entity, {', '.join(f'{v} AS {k}' for k, v in fx.items())},
+             cast(case when st.mult then ln(y) else y end as {F_}) AS t
+      FROM tr JOIN st ON tr.entity = st.entity)
+SELECT entity, {', '.join(aggs)} FROM x WHERE t IS NOT NULL GROUP BY entity
+"""
+
+
+ORACLE["forecast_gram"] = _gram_sql()
