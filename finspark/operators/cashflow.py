@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import ensure_columns
-from .calendar import diff_prev, resample
+from .calendar import diff_prev
 from .joins import sized_broadcast
 
 # Income statement columns of the fact, in output order.
@@ -61,7 +61,8 @@ def net_debt_activity(debt: DataFrame, keys: Sequence[str], ds: str = "ds") -> D
 def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
                    indicators: DataFrame | None = None, debt: DataFrame | None = None,
                    keys: Sequence[str] = (), ds: str = "ds", opex_floor: float = 0.01,
-                   opex_share: float = 0.15, driver_cols: Sequence[str] | None = None) -> DataFrame:
+                   opex_share: float = 0.15, driver_cols: Sequence[str] | None = None,
+                   month_end: bool = False) -> DataFrame:
     """D-09: one row per (keys, month) of ``income`` with capex, drivers,
     debt and the derived cash-flow legs.
 
@@ -72,27 +73,46 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
     * income nulls -> 0; cogs = materials + labor + overhead; opex patched
       (D-10); CFO = revenue - (cogs + opex + interest + taxes); CFI = -capex;
       CFF = net financing; net = CFO + CFI + CFF.
+
+    ``month_end=True`` declares that every input's ``ds`` is already a month
+    end, so periods are not re-snapped (keeps the inputs' partitioning).
+
+    Plan: income, capex and debt meet in equi-joins on (keys, ds), which
+    their aggregations already hash-partition; the driver table (one row per
+    month) is broadcast behind a size check; one exchange by ``keys`` then
+    serves the forward-fill window.
     """
     keys = list(keys)
+
+    def period(df):
+        return F.col(ds) if month_end else F.last_day(F.col(ds).cast("date"))
+
     inc = ensure_columns(income, {c: "double" for c in INCOME_COLUMNS})
-    fact = inc.select(*keys, F.last_day(F.col(ds).cast("date")).alias(ds),
+    fact = inc.select(*keys, period(inc).alias(ds),
                       *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in INCOME_COLUMNS])
 
     if capex is not None:
-        cx = resample(capex.select(*keys, ds, F.col("capex_outflow").cast("double").alias("capex_outflow")),
-                      keys, ds, ["capex_outflow"], how="sum")
+        cx = capex.groupBy(*keys, period(capex).alias(ds)).agg(
+            F.sum(F.col("capex_outflow").cast("decimal(18,4)")).cast("double").alias("capex_outflow"))
         fact = fact.join(cx, keys + [ds], "left")
         fact = fact.withColumn("capex_outflow", F.coalesce("capex_outflow", F.lit(0.0)))
     else:
         fact = fact.withColumn("capex_outflow", F.lit(0.0))
 
+    if debt is not None:
+        db = net_debt_activity(debt.withColumn(ds, period(debt)), keys, ds)
+        fact = fact.join(db, keys + [ds], "left")
+        fact = fact.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in DEBT_COLUMNS})
+    else:
+        fact = fact.withColumns({c: F.lit(0.0) for c in DEBT_COLUMNS})
+
     drivers = []
     if indicators is not None:
         drivers = list(driver_cols or [c for c in indicators.columns if c not in keys and c != ds])
         ind_keys = [k for k in keys if k in indicators.columns]
         # Monthly mean (indicator tables are usually one row per month already,
         # so this is the identity there and never re-rounds a value).
-        ind = indicators.groupBy(*ind_keys, F.last_day(F.col(ds).cast("date")).alias(ds)).agg(
+        ind = indicators.groupBy(*ind_keys, period(indicators).alias(ds)).agg(
             *[F.avg(F.col(c).cast("double")).alias(c) for c in drivers])
         # Driver tables are one row per month (times entity when keyed); the
         # hint is applied only when the planner's size estimate is small.
@@ -100,13 +120,6 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
         w = Window.partitionBy(*keys).orderBy(ds).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         fact = fact.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in drivers})
 
-    if debt is not None:
-        db = net_debt_activity(debt.withColumn(ds, F.last_day(F.col(ds).cast("date"))), keys, ds)
-        fact = fact.join(db, keys + [ds], "left")
-        fact = fact.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in DEBT_COLUMNS})
-    else:
-        fact = fact.withColumns({c: F.lit(0.0) for c in DEBT_COLUMNS})
-
     rev = F.col("revenue")
     fact = fact.withColumns({
         "inflow_operating_revenue": rev,
