@@ -27,25 +27,44 @@ def safe_div(num, den) -> Column:
     return F.try_divide(col_of(num).cast("double"), col_of(den).cast("double"))
 
 
+def scaled(c, digits: int = 4) -> Column:
+    """Exact fixed-point form of a money value: ``x`` rounded half away from
+    zero to ``digits`` decimals, as a ``bigint`` count of 10^-digits units.
+
+    Money sums use this instead of ``cast(x as decimal)`` (G9): integer sums
+    are exact and order-independent like decimals, but stay in codegen'd long
+    arithmetic (a double -> decimal cast goes through a string per value).
+    Exact while ``|x| * 10^digits`` fits a long; ANSI mode fails loudly past it."""
+    c = col_of(c).cast("double")
+    f = F.lit(float(10 ** digits))
+    return F.when(c < 0, -F.floor(-c * f + F.lit(0.5))).otherwise(F.floor(c * f + F.lit(0.5))).cast("bigint")
+
+
+def unscaled(c, digits: int = 4) -> Column:
+    """A scaled ``bigint`` (or a sum of them) back to double."""
+    return col_of(c).cast("double") / F.lit(float(10 ** digits))
+
+
 def money(c) -> Column:
-    """Addend for an exact sum: cast to ``decimal(18,4)`` before ``sum`` (G9)."""
+    """Addend for an exact sum as ``decimal(18,4)`` (for decimal arithmetic
+    on already-aggregated rows; raw-row sums use :func:`scaled`)."""
     return col_of(c).cast(MONEY)
 
 
 def dsum(c) -> Column:
     """Exact, order-independent sum of a double expression, returned as double."""
-    return F.sum(money(c)).cast("double")
+    return unscaled(F.sum(scaled(c)))
 
 
 def dsum_if(pred: Column, c) -> Column:
     """Exact conditional sum; 0 (not null) when no row matches."""
-    return F.sum(F.when(pred, money(c)).otherwise(F.lit(0).cast(MONEY))).cast("double")
+    return unscaled(F.sum(F.when(pred, scaled(c)).otherwise(F.lit(0).cast("bigint"))))
 
 
 def dmean(c) -> Column:
     """Mean as exact sum / count of non-null values (G9: never avg(double))."""
     c = col_of(c)
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(c).cast("double"))
+    return F.try_divide(unscaled(F.sum(scaled(c))), F.count(c).cast("double"))
 
 
 def month_end(c) -> Column:

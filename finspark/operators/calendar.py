@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import dsum, money, month_end
+from ..functions.expr import dmean, dsum, month_end
 
 FREQS = {"month": ("MM", "1 month"), "day": (None, "1 day")}
 
@@ -68,7 +68,7 @@ def resample(df: DataFrame, keys: Sequence[str], ds: str, values: Sequence[str],
 
     ``how='sum'``: empty periods are 0 (pandas ``resample().sum()``);
     ``how='mean'``: empty periods are null. With ``exact`` the sums run in
-    ``decimal(18,4)`` so results do not depend on partitioning (G9).
+    exact fixed point so results do not depend on partitioning (G9).
     Spine rows are unioned in before the single aggregation, so the spine
     costs no extra join."""
     keys = list(keys)
@@ -83,8 +83,7 @@ def resample(df: DataFrame, keys: Sequence[str], ds: str, values: Sequence[str],
             aggs.append(F.coalesce(s, F.lit(0.0)).alias(v))
         elif how == "mean":
             if exact:
-                aggs.append(F.try_divide(F.sum(money(v)).cast("double"),
-                                         F.count(v).cast("double")).alias(v))
+                aggs.append(dmean(v).alias(v))
             else:
                 aggs.append(F.avg(v).alias(v))
         else:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import dsum
 from ..functions.names import ensure_columns
 from .calendar import diff_prev
 from .joins import sized_broadcast
@@ -93,7 +94,7 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
 
     if capex is not None:
         cx = capex.groupBy(*keys, period(capex).alias(ds)).agg(
-            F.sum(F.col("capex_outflow").cast("decimal(18,4)")).cast("double").alias("capex_outflow"))
+            dsum("capex_outflow").alias("capex_outflow"))
         fact = fact.join(cx, keys + [ds], "left")
         fact = fact.withColumn("capex_outflow", F.coalesce("capex_outflow", F.lit(0.0)))
     else:

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import concat_sep, money_text, percent_text, split_trim, year_from_text
+from ..functions.expr import concat_sep, dsum, money_text, percent_text, split_trim, year_from_text
 from ..functions.names import find_date_column, standardise_columns, standardise_name
 from .joins import sized_broadcast
 from .upsert import assign_keys, dedupe, insert_new, upsert
@@ -95,7 +95,7 @@ def profile_pivot(long: DataFrame, entity: str, attr: str, value: str, attrs: Se
     if agg == "first":
         out = g.agg(F.first(value, ignorenulls=True))
     elif agg == "sum":
-        out = g.agg(F.sum(F.col(value).cast("decimal(18,4)")).cast("double"))
+        out = g.agg(dsum(value))
     else:
         raise ValueError(agg)
     for a in int_attrs:

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.expr import scaled, unscaled
 from .calendar import fill_both
 from .joins import sized_broadcast
 
@@ -214,7 +215,7 @@ def coefficient_table(model: DataFrame, keys: Sequence[str], drivers: Sequence[s
 
 def linear_trend(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Least-squares slope and intercept of ``y`` on an integer ``x`` per
-    group from exact sums (``decimal`` for ``y``), so the result does not
+    group from exact sums (fixed point for ``y``), so the result does not
     depend on partitioning."""
     keys = list(keys)
     ok = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -222,8 +223,8 @@ def linear_trend(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFram
         F.count(F.lit(1)).cast("double").alias("_n"),
         F.sum(F.col(x).cast("bigint")).cast("double").alias("_sx"),
         F.sum(F.col(x).cast("bigint") * F.col(x).cast("bigint")).cast("double").alias("_sxx"),
-        F.sum(F.col(y).cast("decimal(18,4)")).cast("double").alias("_sy"),
-        F.sum((F.col(x).cast("double") * F.col(y)).cast("decimal(22,4)")).cast("double").alias("_sxy"))
+        unscaled(F.sum(scaled(y))).alias("_sy"),
+        unscaled(F.sum(scaled(F.col(x).cast("double") * F.col(y)))).alias("_sxy"))
     slope = F.try_divide(F.col("_n") * F.col("_sxy") - F.col("_sx") * F.col("_sy"),
                          F.col("_n") * F.col("_sxx") - F.col("_sx") * F.col("_sx"))
     s = s.withColumn("slope", slope)

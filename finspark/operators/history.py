@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import MONEY, gaussian_noise
+from ..functions.expr import dmean, gaussian_noise
 
 # Fallbacks when no actual history exists (revenue scale, cogs ratio, opex ratio).
 FALLBACK_REVENUE = 500_000_000.0
@@ -52,7 +52,7 @@ def calibrate(actual: DataFrame, keys: Sequence[str] = (), ds: str = "ds", n: in
         return ordered_mean(F.try_divide(F.col(c).cast("double"), rev), F.col(ds))
 
     return head.groupBy(*keys).agg(
-        F.try_divide(F.sum(rev.cast(MONEY)).cast("double"), F.count(rev).cast("double")).alias("avg_revenue"),
+        dmean(rev).alias("avg_revenue"),
         ratio(cogs, FALLBACK_COGS_RATIO).alias("avg_cogs_ratio"),
         ratio(opex, FALLBACK_OPEX_RATIO).alias("avg_opex_ratio"),
         F.count(F.lit(1)).alias("n_months"),

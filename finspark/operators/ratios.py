@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import MONEY, safe_div
+from ..functions.expr import safe_div, scaled, unscaled
 
 # Ratio categories and names (as stored in the ratio table).
 LEVEL_RATIOS = (
@@ -40,25 +40,25 @@ BALANCE_COLUMNS = ("total_assets", "inventory", "accounts_payable", "long_term_d
 
 
 def _d(c: str) -> Column:
-    return F.col(c).cast(MONEY)
+    return scaled(c)
 
 
 def annual_income(income: DataFrame, keys: Sequence[str], ds: str = "ds",
                   year: str = "fiscal_year") -> DataFrame:
     """R-40: yearly sums of a monthly income table, including sums of
-    expressions (cogs, gross profit, EBIT, net income). Exact decimal
+    expressions (cogs, gross profit, EBIT, net income). Exact fixed-point
     arithmetic; a null addend nulls its row's expression, which ``sum`` skips."""
     cogs = _d("cogs_materials") + _d("cogs_labor") + _d("cogs_overhead")
     gross = _d("revenue") - cogs
     ebit = gross - _d("operating_expenses")
     net = ebit - _d("interest_expense") - _d("taxes")
     return income.groupBy(*keys, F.year(ds).alias(year)).agg(
-        F.sum(_d("revenue")).cast("double").alias("total_revenue"),
-        F.sum(cogs).cast("double").alias("cost_of_revenue"),
-        F.sum(gross).cast("double").alias("gross_profit"),
-        F.sum(ebit).cast("double").alias("operating_income"),
-        F.sum(_d("interest_expense")).cast("double").alias("interest_expense"),
-        F.sum(net).cast("double").alias("net_income"),
+        unscaled(F.sum(_d("revenue"))).alias("total_revenue"),
+        unscaled(F.sum(cogs)).alias("cost_of_revenue"),
+        unscaled(F.sum(gross)).alias("gross_profit"),
+        unscaled(F.sum(ebit)).alias("operating_income"),
+        unscaled(F.sum(_d("interest_expense"))).alias("interest_expense"),
+        unscaled(F.sum(net)).alias("net_income"),
     )
 
 

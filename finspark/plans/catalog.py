@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cashflow
+from ..session import materialize
 from ..sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -394,8 +395,15 @@ def _prior_year(df, keys, value, out):
     return df.select(*keys, F.last_day(F.add_months("ds", 12)).alias("ds"), F.col(value).alias(out))
 
 
+def _fact(spark, sf):
+    """The monthly fact materialised once in the shared checkpoint folder:
+    queries below consume it in several branches, which would otherwise each
+    re-scan the raw tables."""
+    return materialize(q_cash_flow_fact(spark, sf), "cash_flow_fact")
+
+
 def _components_long(spark, sf):
-    fact = q_cash_flow_fact(spark, sf)
+    fact = _fact(spark, sf)
     arr = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("y")) for c in COMPONENTS])
     long = fact.select("entity", "ds", F.explode(arr).alias("_c")).select("entity", "_c.component", "ds", "_c.y")
     return long.join(_prior_year(long, ["entity", "component"], "y", "yhat"), ["entity", "component", "ds"], "left")
@@ -419,9 +427,8 @@ def q_backtest_verdict(spark, sf):
     return met.backtest(scored, ["entity"], BACKTEST_CUTOFF)
 
 
-def _components_wide(spark, sf):
+def _components_wide(fact):
     """Actuals hidden after 2000-12; forecast = same month of the prior year."""
-    fact = q_cash_flow_fact(spark, sf)
     cols = {}
     for c in COMPONENTS:
         cols[f"{c}_actual"] = F.when(F.col("ds") <= F.lit(ACTUALS_END).cast("date"), F.col(c))
@@ -431,37 +438,39 @@ def _components_wide(spark, sf):
     return comp.join(prev, ["entity", "ds"], "left")
 
 
-def _hist(spark, sf):
-    return q_cash_flow_fact(spark, sf).filter(F.col("ds") <= F.lit(ACTUALS_END).cast("date")).select(
+def _hist(fact):
+    return fact.filter(F.col("ds") <= F.lit(ACTUALS_END).cast("date")).select(
         "entity", "ds", "interest_expense", "taxes", "long_term_debt", "net_debt_financing_activity", "capex_outflow")
 
 
 @query("net_cash_rollup")
 def q_net_cash_rollup(spark, sf):
     """D-17 (forecast-start path): components + history + full capex -> cash flow."""
-    return ru.net_cash_rollup(_components_wide(spark, sf), _hist(spark, sf), fx.capex(spark, sf),
+    fact = _fact(spark, sf)
+    return ru.net_cash_rollup(_components_wide(fact), _hist(fact), fx.capex(spark, sf),
                               ["entity"], mode="forecast_start")
 
 
-def _elasticity(spark, sf):
+def _elasticity(spark, sf, fact):
     base = fx.drivers(spark, sf)
     alt = drv.shock_drivers(base, drv.shock_table(spark, "alt", ELASTICITY_SHOCKS, *ELASTICITY_WINDOW)).drop("scenario")
-    return ru.elasticity_overlay(_components_wide(spark, sf), base, alt, ["entity"])
+    return ru.elasticity_overlay(_components_wide(fact), base, alt, ["entity"])
 
 
 @query("elasticity_overlay")
 def q_elasticity_overlay(spark, sf):
     """D-18: revenue forecasts scaled by driver changes where actuals are missing."""
-    return _elasticity(spark, sf).select("entity", "ds", *[f"{c}_final" for c in COMPONENTS],
+    return _elasticity(spark, sf, _fact(spark, sf)).select("entity", "ds", *[f"{c}_final" for c in COMPONENTS],
                                          "activity_pct_delta", "confidence_pct_delta", "cost_pct_delta")
 
 
 @query("scenario_comparison")
 def q_scenario_comparison(spark, sf):
     """D-19: base vs elasticity scenario net cash (projection-everywhere path)."""
-    hist = _hist(spark, sf)
-    base = ru.net_cash_rollup(_components_wide(spark, sf), hist, keys=["entity"], mode="everywhere")
-    alt = ru.net_cash_rollup(_elasticity(spark, sf), hist, keys=["entity"], mode="everywhere")
+    fact = _fact(spark, sf)
+    hist = _hist(fact)
+    base = ru.net_cash_rollup(_components_wide(fact), hist, keys=["entity"], mode="everywhere")
+    alt = ru.net_cash_rollup(_elasticity(spark, sf, fact), hist, keys=["entity"], mode="everywhere")
     return ru.compare_scenarios(base, alt, keys=["entity"], window=ELASTICITY_WINDOW)
 
 
@@ -472,11 +481,12 @@ DRIVERS = ("economic_activity_index", "consumer_confidence_index", "interest_rat
 
 
 def _forecast_input(spark, sf):
-    """Long components per nation joined with the nation's drivers."""
+    """Long components per nation joined with the nation's drivers,
+    materialised (fit and prediction read it in several branches)."""
     fact = q_cash_flow_fact(spark, sf).select("entity", "ds", *COMPONENTS)
     arr = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("y")) for c in COMPONENTS])
     long = fact.select("entity", "ds", F.explode(arr).alias("_c")).select("entity", "_c.component", "ds", "_c.y")
-    return long.join(fx.drivers_by_nation(spark, sf), ["entity", "ds"], "left")
+    return materialize(long.join(fx.drivers_by_nation(spark, sf), ["entity", "ds"], "left"), "forecast_input")
 
 
 @query("forecast_trend")
@@ -508,7 +518,7 @@ def q_forecast_components(spark, sf):
     df = _forecast_input(spark, sf)
     keys = ["entity", "component"]
     model = fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6)
-    drv_nat = fx.drivers_by_nation(spark, sf)
+    drv_nat = df.select("entity", "ds", *DRIVERS).dropDuplicates(["entity", "ds"])
     fut = fc.future_frame(df.select("entity", "component", "ds", "y"), model, drv_nat, keys, "ds", 24, DRIVERS,
                           driver_keys=["entity"])
     return fc.predict_forecast(fut, model, keys, "ds", DRIVERS)

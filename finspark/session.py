@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,7 +40,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when the session has none (local tests) is a private folder set."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Connect)
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="finspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -49,6 +53,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder: survives executor loss
-    (never ``localCheckpoint``)."""
+    (never ``localCheckpoint``). Used for small derived tables (entity x
+    month grain) that several branches of one plan consume, so the raw
+    tables behind them are scanned once."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back: lineage is cut (a lost executor re-reads files instead of
+    recomputing the raw scans), the write is a single job (``checkpoint()``
+    without a cache computes its plan twice), and the read-back keeps column
+    pruning, filter pushdown and size statistics for the planner."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/finspark-materialized/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

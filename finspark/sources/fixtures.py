@@ -3,8 +3,10 @@
 Each adapter reads only the columns it needs (pruned at the parquet scan)
 and aggregates raw rows *before* joining them to a dimension: a supplier or
 customer holding a third of all rows collapses to one row per month before
-any exchange, so joins never see raw-row skew. Money sums are exact
-(``decimal(18,4)`` addends) and order-independent.
+any exchange, so joins never see raw-row skew. Money sums are exact and
+order-independent: per-row values become scaled ``bigint`` units of 10^-4
+(:func:`~finspark.functions.expr.scaled`), summed as longs at both levels,
+and turned back into doubles once at the end.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import MONEY, money
+from ..functions.expr import scaled, unscaled
 
 # Table names provided by the driver.
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -24,11 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _dsum(c: Column) -> Column:
-    return F.sum(c.cast(MONEY))
+    """Exact partial sum (scaled long)."""
+    return F.sum(scaled(c))
 
 
 def _dsum_if(pred: Column, c: Column) -> Column:
-    return F.sum(F.when(pred, c.cast(MONEY)).otherwise(F.lit(0).cast(MONEY)))
+    return F.sum(F.when(pred, scaled(c)).otherwise(F.lit(0).cast("bigint")))
 
 
 def _income_partials(li: DataFrame, key: str, period: Column) -> DataFrame:
@@ -63,12 +66,11 @@ def income(spark: SparkSession, sf_dir: str, by: str = "nation", period: str = "
     if by == "supplier":
         sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("_k"))
         out = part.join(sup, "_k", "left_semi").withColumnRenamed("_k", "entity")
-        out = out.select(F.col("entity").cast("bigint"), "ds",
-                         *[F.col(c).cast("double").alias(c) for c in INCOME_OUT])
+        out = out.select(F.col("entity").cast("bigint"), "ds", *[unscaled(c).alias(c) for c in INCOME_OUT])
     elif by == "nation":
         sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("_k"), "s_nationkey")
         out = (part.join(sup, "_k").groupBy(F.col("s_nationkey").cast("bigint").alias("entity"), "ds")
-               .agg(*[F.sum(c).cast("double").alias(c) for c in INCOME_OUT]))
+               .agg(*[unscaled(F.sum(c)).alias(c) for c in INCOME_OUT]))
     else:
         raise ValueError(by)
     if period == "year":
@@ -91,15 +93,15 @@ def orders_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     return (part.join(cust, "o_custkey")
             .groupBy(F.col("c_nationkey").cast("bigint").alias("entity"), "ds")
-            .agg(F.sum("capex").alias("capex"), F.sum("n_urgent").alias("n_urgent"),
-                 F.sum("long_term_debt").cast("double").alias("long_term_debt"),
-                 F.sum("short_term_debt").cast("double").alias("short_term_debt")))
+            .agg(unscaled(F.sum("capex")).alias("capex"), F.sum("n_urgent").alias("n_urgent"),
+                 unscaled(F.sum("long_term_debt")).alias("long_term_debt"),
+                 unscaled(F.sum("short_term_debt")).alias("short_term_debt")))
 
 
 def capex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``capex(entity, ds, capex_outflow)``: months with urgent orders only."""
     m = orders_monthly(spark, sf_dir)
-    return m.filter(F.col("n_urgent") > 0).select("entity", "ds", F.col("capex").cast("double").alias("capex_outflow"))
+    return m.filter(F.col("n_urgent") > 0).select("entity", "ds", F.col("capex").alias("capex_outflow"))
 
 
 def debt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +110,7 @@ def debt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mean(c: Column) -> Column:
-    return F.try_divide(F.sum(c.cast(MONEY)).cast("double"), F.count(c).cast("double"))
+    return F.try_divide(unscaled(F.sum(scaled(c))), F.count(c).cast("double"))
 
 
 def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,8 +124,8 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_discount", "l_extendedprice", "l_quantity")
     ld = li.groupBy(F.last_day(F.col("l_shipdate").cast("date")).alias("ds")).agg(
         _mean(F.col("l_discount")).alias("interest_rate_proxy"),
-        F.try_divide(F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double"),
-                     F.sum(F.col("l_quantity").cast(MONEY)).cast("double")).alias("ev_component_cost_index"))
+        F.try_divide(unscaled(F.sum(scaled(F.col("l_extendedprice")))),
+                     unscaled(F.sum(scaled(F.col("l_quantity"))))).alias("ev_component_cost_index"))
     return od.join(ld, "ds", "full_outer")
 
 
@@ -188,9 +190,11 @@ def depts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_mktsegment", "c_nationkey", "c_acctbal")
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     g = c.groupBy("c_mktsegment", "c_nationkey").agg(
-        F.sum(F.abs("c_acctbal").cast(MONEY)).alias("requested"),
-        F.sum(F.col("c_acctbal").cast(MONEY)).alias("_bal"),
+        F.sum(scaled(F.abs("c_acctbal"))).alias("_req"),
+        F.sum(scaled(F.col("c_acctbal"))).alias("_bal"),
         F.count(F.lit(1)).alias("_n")).join(n, "c_nationkey")
+    # back to an exact decimal amount for the allocation arithmetic
+    g = g.withColumn("requested", F.col("_req").cast("decimal(28,0)") * F.lit(0.0001).cast("decimal(4,4)"))
     req = F.col("requested")
     nk = F.col("c_nationkey")
     reg = F.col("n_regionkey")
@@ -199,7 +203,7 @@ def depts(spark: SparkSession, sf_dir: str) -> DataFrame:
         req.alias("requested_budget"),
         F.when(reg == 1, F.lit(None)).otherwise(req * F.lit(0.7).cast("decimal(2,1)")).alias("min_required"),
         F.when(reg == 3, F.lit(None)).otherwise(req * F.lit(1.2).cast("decimal(2,1)")).alias("max_plausible"),
-        (F.col("_bal").cast("double") / F.col("_n").cast("double") / F.lit(1000.0)).alias("roi_score"),
+        (unscaled(F.col("_bal")) / F.col("_n").cast("double") / F.lit(1000.0)).alias("roi_score"),
         (F.col("_n").cast("double") / F.lit(10.0)).alias("efficiency_score"),
         (F.lit(25.0) - nk.cast("double")).alias("strategic_score"),
     )
@@ -251,20 +255,20 @@ def drivers_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     before the dimension join."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     op = o.groupBy("o_custkey", F.last_day(F.col("o_orderdate").cast("date")).alias("ds")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast(MONEY)).alias("p"),
+        F.count(F.lit(1)).alias("n"), F.sum(scaled(F.col("o_totalprice"))).alias("p"),
         F.count("o_totalprice").alias("np"))
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     od = (op.join(cust, "o_custkey").groupBy(F.col("c_nationkey").cast("bigint").alias("entity"), "ds")
           .agg(F.sum("n").cast("double").alias("economic_activity_index"),
-               F.try_divide(F.sum("p").cast("double"), F.sum("np").cast("double")).alias("consumer_confidence_index")))
+               F.try_divide(unscaled(F.sum("p")), F.sum("np").cast("double")).alias("consumer_confidence_index")))
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_discount", "l_extendedprice", "l_quantity")
     lp = li.groupBy("l_suppkey", F.last_day(F.col("l_shipdate").cast("date")).alias("ds")).agg(
-        F.sum(F.col("l_discount").cast(MONEY)).alias("d"), F.count("l_discount").alias("nd"),
-        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("e"), F.sum(F.col("l_quantity").cast(MONEY)).alias("q"))
+        F.sum(scaled(F.col("l_discount"))).alias("d"), F.count("l_discount").alias("nd"),
+        F.sum(scaled(F.col("l_extendedprice"))).alias("e"), F.sum(scaled(F.col("l_quantity"))).alias("q"))
     sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     ld = (lp.join(sup, "l_suppkey").groupBy(F.col("s_nationkey").cast("bigint").alias("entity"), "ds")
-          .agg(F.try_divide(F.sum("d").cast("double"), F.sum("nd").cast("double")).alias("interest_rate_proxy"),
-               F.try_divide(F.sum("e").cast("double"), F.sum("q").cast("double")).alias("ev_component_cost_index")))
+          .agg(F.try_divide(unscaled(F.sum("d")), F.sum("nd").cast("double")).alias("interest_rate_proxy"),
+               F.try_divide(unscaled(F.sum("e")), unscaled(F.sum("q"))).alias("ev_component_cost_index")))
     return od.join(ld, ["entity", "ds"], "full_outer")
 
 
@@ -272,7 +276,7 @@ def order_revenue_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly order value per customer nation (an older, coarser revenue proxy)."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     op = o.groupBy("o_custkey", F.last_day(F.col("o_orderdate").cast("date")).alias("ds")).agg(
-        F.sum(F.col("o_totalprice").cast(MONEY)).alias("p"))
+        F.sum(scaled(F.col("o_totalprice"))).alias("p"))
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     return (op.join(cust, "o_custkey").groupBy(F.col("c_nationkey").cast("bigint").alias("entity"), "ds")
-            .agg(F.sum("p").cast("double").alias("revenue")))
+            .agg(unscaled(F.sum("p")).alias("revenue")))
