@@ -46,8 +46,10 @@ def lookup(df: DataFrame, dim: DataFrame, name_col: str, name_key: str, id_col:
 
 
 def unmatched(df: DataFrame, dim: DataFrame, name_col: str, name_key: str) -> DataFrame:
-    """R-36: rows whose reference has no dimension entry (left anti join)."""
-    return df.join(dim.select(F.col(name_key).alias(name_col)), name_col, "left_anti")
+    """R-36: rows whose reference has no dimension entry (left anti join).
+    The reference side is de-duplicated first (a partial aggregate), so a
+    key repeated in a third of a fact table cannot skew the join."""
+    return df.join(dim.select(F.col(name_key).alias(name_col)).distinct(), name_col, "left_anti")
 
 
 def load_bridge(src: DataFrame, left_name: str, list_col: str, left_dim: DataFrame,
