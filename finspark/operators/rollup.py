@@ -58,29 +58,38 @@ def net_cash_rollup(components: DataFrame, hist: DataFrame, capex: DataFrame | N
     keys = list(keys)
     if null_as_zero is None:
         null_as_zero = mode == "forecast_start"
-    df = merge_actuals_and_forecasts(components)
+    comp = merge_actuals_and_forecasts(components)
     hcols = {"interest_expense": "_h_interest", "taxes": "_h_taxes", "long_term_debt": "_h_ltd",
              "net_debt_financing_activity": "_h_netfin", "capex_outflow": "_h_capex"}
     h = hist.select(*keys, ds, *[_hist_col(hist, c).alias(a) for c, a in hcols.items()])
-    df = df.join(h, keys + [ds], "left")
+    df = comp.join(h, keys + [ds], "left")
+
+    def attach(frame, stats):
+        if keys:
+            return frame.join(stats, keys, "left")
+        return frame.withColumns({c: stats.select(c).scalar() for c in stats.columns})
 
     if mode == "forecast_start":
-        cx = (capex.groupBy(*keys, ds).agg(F.sum("capex_outflow").alias("_capex")) if capex is not None
-              else None)
-        df = df.join(cx, keys + [ds], "left") if cx is not None else df.withColumn("_capex", F.lit(None))
-        df = df.withColumn("_capex", F.coalesce(F.col("_capex").cast("double"), F.lit(0.0)))
-        start = df.groupBy(*keys).agg(
+        # Per-entity statistics from the components and history only (small
+        # grouped aggregates joined back); capex is joined once afterwards.
+        start = comp.groupBy(*keys).agg(
             F.min(F.when(F.col("inflow_operating_revenue_actual").isNull(), F.col(ds))).alias("_start"))
-        df = df.join(start, keys, "left") if keys else df.withColumn("_start", start.select("_start").scalar())
         before = (F.col(ds) < F.col("_start")) & F.col("_h_ltd").isNotNull()
-        last = df.groupBy(*keys).agg(F.max_by(F.col("_h_ltd"), F.when(before, F.col(ds))).alias("_last_ltd"))
-        df = df.join(last, keys, "left") if keys else df.withColumn("_last_ltd", last.select("_last_ltd").scalar())
+        last = attach(df, start).groupBy(*keys).agg(
+            F.first("_start").alias("_start"), F.max_by(F.col("_h_ltd"), F.when(before, F.col(ds))).alias("_last_ltd"))
+        df = attach(df, last)
+        if capex is not None:
+            cx = capex.groupBy(*keys, ds).agg(F.sum("capex_outflow").alias("_capex"))
+            df = df.join(cx, keys + [ds], "left")
+        else:
+            df = df.withColumn("_capex", F.lit(None))
+        df = df.withColumn("_capex", F.coalesce(F.col("_capex").cast("double"), F.lit(0.0)))
         ltd = F.when(F.col(ds) >= F.col("_start"), F.coalesce(F.col("_last_ltd"), F.lit(0.0)))
         netfin = F.coalesce(F.col("_h_netfin"), F.lit(0.0))
     elif mode == "everywhere":
         last = hist.groupBy(*keys).agg(F.max_by(F.col("long_term_debt"),
                                                 F.when(F.col("long_term_debt").isNotNull(), F.col(ds))).alias("_last_ltd"))
-        df = df.join(last, keys, "left") if keys else df.withColumn("_last_ltd", last.select("_last_ltd").scalar())
+        df = attach(df, last)
         ltd = F.col("_last_ltd")
         df = df.withColumn("_capex", F.col("_h_capex"))
         netfin = F.col("_h_netfin")
