@@ -92,11 +92,12 @@ def synthetic_history(macro: DataFrame, calib: DataFrame | None, keys: Sequence[
     r_cogs = F.coalesce(F.col("avg_cogs_ratio"), F.lit(FALLBACK_COGS_RATIO))
     r_opex = F.coalesce(F.col("avg_opex_ratio"), F.lit(FALLBACK_OPEX_RATIO))
     z = gaussian_noise(seed, *keys, ds) if noise_std else F.lit(0.0)
-    rev = F.col(sales).cast("double") * (scale / F.col("_market")) * (F.lit(1.0) + F.lit(float(noise_std)) * z)
+    rev = (F.col(sales).cast("double") * F.try_divide(scale, F.col("_market"))
+           * (F.lit(1.0) + F.lit(float(noise_std)) * z))
     x = x.withColumn("inflow_operating_revenue", rev)
     x = x.withColumns({
         "ev_component_cost_index": F.col(cpi).cast("double"),
-        "outflow_cogs": F.col("inflow_operating_revenue") * r_cogs * (F.col(cpi) / F.col("_cpi_mean")),
+        "outflow_cogs": F.col("inflow_operating_revenue") * r_cogs * F.try_divide(F.col(cpi), F.col("_cpi_mean")),
         "outflow_opex": F.col("inflow_operating_revenue") * r_opex,
     })
     return x.select(*keys, ds, "inflow_operating_revenue", "outflow_cogs", "outflow_opex",

@@ -77,4 +77,4 @@ def scaled_truth(series: DataFrame, keys: Sequence[str], value: str, scale: Colu
             .groupBy(*keys).agg(ordered_mean(F.col(value), F.col(ds)).alias("_base")))
     sc = scale if isinstance(scale, Column) else F.lit(float(scale))
     j = series.join(base, keys, "inner") if keys else series.withColumn("_base", base.select("_base").scalar())
-    return j.withColumn(out, F.col(value) * (sc / F.col("_base"))).drop("_base")
+    return j.withColumn(out, F.col(value) * F.try_divide(sc, F.col("_base"))).drop("_base")

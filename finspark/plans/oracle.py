@@ -503,8 +503,8 @@ c AS ({CALIBRATION}),
 x AS (SELECT m.*, st.market, st.cpi_mean, coalesce(c.avg_revenue, 500000000.0) AS scale,
              coalesce(c.avg_cogs_ratio, 0.65) AS r_cogs, coalesce(c.avg_opex_ratio, 0.15) AS r_opex
       FROM m JOIN st ON m.entity = st.entity LEFT JOIN c ON m.entity = c.entity),
-y AS (SELECT *, total_vehicle_sales * (scale / market) AS inflow_operating_revenue FROM x)
-SELECT entity, ds, inflow_operating_revenue, inflow_operating_revenue * r_cogs * (cpi / cpi_mean) AS outflow_cogs,
+y AS (SELECT *, total_vehicle_sales * (scale / nullif(market, 0)) AS inflow_operating_revenue FROM x)
+SELECT entity, ds, inflow_operating_revenue, inflow_operating_revenue * r_cogs * (cpi / nullif(cpi_mean, 0)) AS outflow_cogs,
        inflow_operating_revenue * r_opex AS outflow_opex, cpi AS ev_component_cost_index,
        interest_rate_proxy, consumer_confidence_index
 FROM y

@@ -75,10 +75,15 @@ def clean_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: Iterable[str] = (), mode: str = "overwrite") -> None:
+                partition_by: Iterable[str] = (), mode: str = "overwrite",
+                sort_within: Iterable[str] = ()) -> None:
     """R-09: one sink per stage. Partitioned overwrite only replaces the
     partitions present in ``df`` (dynamic mode), so re-running one scenario
-    does not drop the others."""
+    does not drop the others. R-62: ordering happens only here, inside each
+    output file (``sortWithinPartitions``: no global sort, no extra shuffle)."""
+    sw = list(sort_within)
+    if sw:
+        df = df.sortWithinPartitions(*sw)
     w = df.write.mode(mode).format(fmt)
     pb = list(partition_by)
     if pb:

@@ -105,3 +105,13 @@ def test_sources_pivot_and_transpose(spark, tmp_path):
     spark.createDataFrame([("1,5", "a")], "n string, s string").write.option("header", True).csv(p)
     r = files.read_csv_as_text(spark, p, ["n", "s"], numeric=["n"]).first()
     assert r["n"] is None and r["s"] == "a"
+
+
+def test_write_table_partitioned_dynamic_overwrite(spark, tmp_path):
+    p = str(tmp_path / "t")
+    a = spark.createDataFrame([("base", 2, 1.0), ("base", 1, 2.0), ("alt", 1, 3.0)], "scenario string, m int, v double")
+    files.write_table(a, p, partition_by=["scenario"], sort_within=["m"])
+    files.write_table(spark.createDataFrame([("alt", 1, 9.0)], "scenario string, m int, v double"), p,
+                      partition_by=["scenario"])
+    got = sorted((r.scenario, r.m, r.v) for r in spark.read.parquet(p).collect())
+    assert got == [("alt", 1, 9.0), ("base", 1, 2.0), ("base", 2, 1.0)]
