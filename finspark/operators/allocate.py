@@ -4,17 +4,19 @@ The reference solves an LP with one ``sum(x) <= cap`` row and box bounds.
 That LP is a continuous bounded knapsack, whose optimum is greedy by value:
 every department gets its minimum, then the remaining cap goes to the
 departments in decreasing value order up to their maximum. As Spark: a
-running sum window per scenario, no solver and no driver loop.
+running sum per scenario (distributed, see ``windows.running_sum_before``),
+no solver and no driver loop.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import sized_broadcast
+from .windows import running_sum_before
 
 # Value-score weights (ROI, operational efficiency, strategic importance).
 WEIGHT_ROI = 0.5
@@ -66,10 +68,13 @@ def allocate_budget(depts: DataFrame, scenarios: DataFrame, dept_col: str = "dep
         arr = sc.agg(F.collect_list(F.struct("scenario", "_cap")).alias("a")).select("a").scalar()
         x = d.withColumn("_s", F.explode(arr)).select("*", "_s.scenario", "_s._cap").drop("_s")
     part = keys + ["scenario"]
-    total_lo = F.sum("_lo").over(Window.partitionBy(*part))
-    order = Window.partitionBy(*part).orderBy(F.col("value_factor").desc(), F.col("department"))
-    before = F.sum(F.col("_hi") - F.col("_lo")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    x = x.withColumns({"_sum_lo": total_lo, "_before": F.coalesce(before, F.lit(0).cast(AMOUNT))})
+    # Scenario totals as a grouped aggregate joined back, and the greedy
+    # "budget taken by better departments" as a distributed running sum:
+    # neither puts a whole scenario into one task.
+    sum_lo = x.groupBy(*part).agg(F.sum("_lo").alias("_sum_lo"))
+    x = x.withColumn("_room", (F.col("_hi") - F.col("_lo")).cast(AMOUNT))
+    x = running_sum_before(x, part, [F.col("value_factor").desc(), F.col("department").asc()], "_room", "_before")
+    x = x.join(sized_broadcast(sum_lo), part, "inner")
     room = F.col("_cap") - F.col("_sum_lo") - F.col("_before")
     extra = F.when(F.col("value_factor") > 0,
                    F.least(F.col("_hi") - F.col("_lo"), F.greatest(F.lit(0).cast(AMOUNT), room))) \
