@@ -20,7 +20,9 @@ Spark plan:
 3. the p x p solve (p = 2 + 2K + R) per series in numpy via ``mapInPandas``
    over the aggregated rows (one small row per series);
 4. prediction as a join of the coefficients and a dot-product expression,
-   bounds ``exp(eta -/+ z80 sigma)`` (80% interval).
+   bounds ``exp(eta -/+ z80 sigma)`` (80% interval), where sigma is the
+   larger of the in-sample residual sigma and the RMS error of a second fit
+   on the last training months it did not see (interval calibration).
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.expr import scaled, unscaled
 from .calendar import fill_both
+from .history import ordered_mean
 from .joins import sized_broadcast
 
 FEAT = "decimal(16,6)"
@@ -130,31 +132,71 @@ def _solver(keys: Sequence[str], p: int, ridge: float, unpenalised: int = 2):
     return solve
 
 
+def _fit_core(train: DataFrame, keys: list[str], ds: str, y: str, drivers: list[str], n_season: int,
+              ridge: float, min_rows: int | None) -> DataFrame:
+    stats = series_stats(train, keys, ds, y, drivers)
+    p = 2 + 2 * n_season + len(drivers)
+    need = max(min_rows or 0, p // 2 + 1)
+    stats = stats.filter(F.col("_n_train") >= need)
+    x = design(train, stats, keys, ds, drivers, n_season).withColumn("_t", target_expr(y))
+    g = gram(x, keys, feature_names(n_season, drivers))
+    kt = {f.name: f.dataType.simpleString() for f in g.schema.fields if f.name in keys}
+    schema = ", ".join(f"{k} {kt[k]}" for k in keys) + ", beta array<double>, sigma double, n_fit long"
+    coef = g.mapInPandas(_solver(keys, p, ridge), schema)
+    return stats.join(coef, keys, "inner")
+
+
+def _eta(feats: Sequence[str]) -> Column:
+    eta = F.lit(0.0)
+    for i, f in enumerate(feats):
+        eta = eta + F.col(f).cast("double") * F.element_at("beta", i + 1)
+    return eta
+
+
+def _model_cols(model: DataFrame, keys: Sequence[str]) -> list[str]:
+    return list(keys) + [c for c in model.columns
+                         if c.startswith("_") or c in ("beta", "sigma", "train_end")]
+
+
 def fit_forecast(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y",
                  drivers: Sequence[str] = (), holdout: int = 6, n_season: int = 3,
-                 ridge: float = 0.1, min_rows: int | None = None) -> DataFrame:
+                 ridge: float = 0.1, min_rows: int | None = None,
+                 interval_calibration: int = 6) -> DataFrame:
     """Fit one model per series. Training rows: non-null target, all but the
     last ``holdout`` rows of the series (R-59). Series with too few rows
-    (``<= holdout`` or below ``min_rows``) are skipped.
+    (below ``min_rows`` or half the number of features) are skipped.
+
+    Interval width: in-sample residuals understate forecast error, so a
+    second fit leaves out the last ``interval_calibration`` training rows,
+    scores them, and the bounds use ``max(in-sample sigma, out-of-sample
+    RMS error)`` (model scale). ``0`` disables the calibration.
 
     Returns one row per series: keys, statistics, ``beta`` (array in
-    :func:`feature_names` order), ``sigma``, ``n_fit``, ``train_end``."""
+    :func:`feature_names` order), ``sigma`` (used for the bounds),
+    ``sigma_in``, ``sigma_oos``, ``n_fit``, ``train_end``."""
     keys, drivers = list(keys), list(drivers)
     obs = df.filter(F.col(y).isNotNull())
     w = Window.partitionBy(*keys).orderBy(F.col(ds).desc())
     ranked = obs.withColumn("_rn", F.row_number().over(w))
     train = ranked.filter(F.col("_rn") > holdout).drop("_rn")
-    stats = series_stats(train, keys, ds, y, drivers)
-    p = 2 + 2 * n_season + len(drivers)
-    need = max(min_rows or 0, p // 2 + 1)
-    stats = stats.filter(F.col("_n_train") >= need)
-    feats = feature_names(n_season, drivers)
-    x = design(train, stats, keys, ds, drivers, n_season).withColumn("_t", target_expr(y))
-    g = gram(x, keys, feats)
-    kt = {f.name: f.dataType.simpleString() for f in g.schema.fields if f.name in keys}
-    schema = ", ".join(f"{k} {kt[k]}" for k in keys) + ", beta array<double>, sigma double, n_fit long"
-    coef = g.mapInPandas(_solver(keys, p, ridge), schema)
-    return stats.join(coef, keys, "inner")
+    model = _fit_core(train, keys, ds, y, drivers, n_season, ridge, min_rows)
+    model = model.withColumn("sigma_in", F.col("sigma"))
+    if interval_calibration <= 0:
+        return model.withColumn("sigma_oos", F.lit(None).cast("double"))
+    tr = train.withColumn("_rc", F.row_number().over(w))
+    early = tr.filter(F.col("_rc") > interval_calibration).drop("_rc")
+    late = tr.filter(F.col("_rc") <= interval_calibration).drop("_rc")
+    m_a = _fit_core(early, keys, ds, y, drivers, n_season, ridge, min_rows)
+    xa = design(late, m_a.select(*_model_cols(m_a, keys)), keys, ds, drivers, n_season)
+    err = target_expr(y).cast("double") - _eta(feature_names(n_season, drivers))
+    xa = xa.withColumn("_e2", err * err)
+    oos = xa.groupBy(*keys).agg(F.sqrt(ordered_mean(F.col("_e2"), F.col(ds))).alias("sigma_oos"),
+                               F.first("_multiplicative").alias("_mult_a"))
+    model = model.join(oos, keys, "left")
+    same_scale = F.col("_mult_a").isNotNull() & (F.col("_mult_a") == F.col("_multiplicative"))
+    model = model.withColumn("sigma", F.when(same_scale & F.col("sigma_oos").isNotNull(),
+                                             F.greatest("sigma_in", "sigma_oos")).otherwise(F.col("sigma_in")))
+    return model.drop("_mult_a")
 
 
 def future_frame(history: DataFrame, model: DataFrame, drivers_df: DataFrame | None, keys: Sequence[str],
@@ -184,12 +226,8 @@ def predict_forecast(df: DataFrame, model: DataFrame, keys: Sequence[str], ds: s
     ``yhat_upper`` (80%), plus ``actual`` when ``y`` is present."""
     keys, drivers = list(keys), list(drivers)
     feats = feature_names(n_season, drivers)
-    stats_cols = [c for c in model.columns if c.startswith("_") or c in ("beta", "sigma", "train_end")]
-    x = design(df, model.select(*keys, *stats_cols), keys, ds, drivers, n_season)
-    eta = F.lit(0.0)
-    for i, f in enumerate(feats):
-        eta = eta + F.col(f).cast("double") * F.element_at("beta", i + 1)
-    x = x.withColumn("_eta", eta)
+    x = design(df, model.select(*_model_cols(model, keys)), keys, ds, drivers, n_season)
+    x = x.withColumn("_eta", _eta(feats))
     lo = F.col("_eta") - F.lit(Z80) * F.col("sigma")
     hi = F.col("_eta") + F.lit(Z80) * F.col("sigma")
     mult = F.col("_multiplicative")
