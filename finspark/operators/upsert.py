@@ -70,13 +70,20 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], out: str = "id", start
     without moving the data into one task: range-partition + sort, position
     inside each partition, plus the row count of all earlier partitions
     (a table with one row per partition, broadcast). ``order_cols`` must be
-    unique so the numbering is deterministic."""
+    unique so the numbering is deterministic. The range-partitioned rows are
+    materialised once (dimension-sized: distinct names), since a second
+    range shuffle could sample different bounds."""
+    from ..session import materialize
+
     order_cols = list(order_cols)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_pos", F.monotonically_increasing_id()
                      - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    # Partition ids and positions depend on the sampled range bounds, so they
+    # are computed once and stored: both branches below read the same values.
+    s = materialize(s, "dense_index")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
@@ -98,3 +105,27 @@ def assign_keys(names: DataFrame, name_col: str, existing: DataFrame | None = No
     fresh = dense_index(new, [name_col], "_seq", 1).select(
         name_col, (F.col("_seq") + top).cast("bigint").alias(id_col))
     return existing.select(name_col, F.col(id_col).cast("bigint")).unionByName(fresh)
+
+
+def upsert_into_table(batch: DataFrame, path: str, keys: Sequence[str], order_cols: Sequence[str] = (),
+                      partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """R-10 against a stored table (the ``INSERT .. ON CONFLICT DO UPDATE``
+    write path): read only the table partitions the batch touches, upsert,
+    cut lineage with a reliable checkpoint (the result is computed from the
+    files about to be replaced), then overwrite just those partitions
+    (dynamic partition overwrite). Re-running the same batch gives the same
+    table. ``partition_by`` columns must be functions of ``keys``."""
+    from ..session import cut_lineage
+
+    spark = batch.sparkSession
+    try:
+        target = spark.read.format(fmt).load(path)
+    except Exception:  # noqa: BLE001 - no table yet
+        target = None
+    if target is not None and partition_by:
+        target = target.join(batch.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    merged = cut_lineage(upsert(target, batch, keys, order_cols))
+    w = merged.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    w.save(path)

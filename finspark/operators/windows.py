@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import sized_broadcast
 
 
@@ -27,7 +28,9 @@ def running_sum_before(df: DataFrame, part: Sequence[str], order: Sequence[Colum
     v = F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType))
     local = F.sum(v).over(Window.partitionBy(*part, "_chunk").orderBy(*order)
                           .rowsBetween(Window.unboundedPreceding, -1))
-    r = r.withColumn("_local", local)
+    # Chunk ids depend on the sampled range bounds: store the chunked rows
+    # once so the totals and the rows agree (one write of the input's size).
+    r = materialize(r.withColumn("_local", local), "running_sum")
     tot = r.groupBy(*part, "_chunk").agg(F.sum(v).alias("_tot"))
     off = tot.select(*part, "_chunk", F.sum("_tot").over(
         Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))

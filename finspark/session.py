@@ -57,7 +57,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     month grain) that several branches of one plan consume, so the raw
     tables behind them are scanned once."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    # Without a cache the checkpoint write recomputes the plan a second time.
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:

@@ -63,9 +63,19 @@ def transpose_statement(long: DataFrame, items: Iterable[str], key_cols=("ticker
             .agg(F.first(value_col, ignorenulls=True)))
 
 
-def optional_source(df: DataFrame | None, fallback: Mapping[str, float]) -> dict:
-    """R-08 helper: constants to use when an optional input is absent."""
-    return dict(fallback) if df is None else {}
+def optional_source(spark: SparkSession, path: str, fmt: str = "parquet",
+                    schema: T.StructType | str | None = None, **options) -> DataFrame | None:
+    """R-08: an input that may be absent. Returns ``None`` when the path does
+    not exist (a metadata check, no data pass); the consumer then applies its
+    fallback constants (e.g. ``history.calibrate`` / ``synthetic_history``)."""
+    try:
+        df = read_table(spark, path, fmt, schema, **options)
+        df.schema  # noqa: B018 - resolves the path now
+        return df
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return None
+        raise
 
 
 def clean_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:

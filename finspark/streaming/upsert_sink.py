@@ -8,36 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import upsert
-from ..session import cut_lineage
+from ..operators.upsert import upsert_into_table
 
 SEQ = "_load_seq"
 
 
 def _merge_batch(path: str, keys: Sequence[str], order_cols: Sequence[str], partition_by: Sequence[str]):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         # batch_id orders micro-batches: a later batch wins over an earlier one
         b = batch.withColumn(SEQ, F.lit(int(batch_id)).cast("bigint"))
-        try:
-            target = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            target = None
-        if target is not None:
-            # Only target partitions touched by this batch are rewritten.
-            if partition_by:
-                touched = b.select(*partition_by).distinct()
-                target = target.join(touched, list(partition_by), "left_semi")
-            merged = upsert(target, b, keys, [SEQ, *order_cols])
-        else:
-            merged = upsert(None, b, keys, [SEQ, *order_cols])
-        # Materialise (reliable checkpoint in the shared folder) before
-        # overwriting the files the merge was read from.
-        merged = cut_lineage(merged)
-        w = merged.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-        w.parquet(path)
+        upsert_into_table(b, path, keys, [SEQ, *order_cols], partition_by)
     return run
 
 

@@ -115,3 +115,15 @@ def test_write_table_partitioned_dynamic_overwrite(spark, tmp_path):
                       partition_by=["scenario"])
     got = sorted((r.scenario, r.m, r.v) for r in spark.read.parquet(p).collect())
     assert got == [("alt", 1, 9.0), ("base", 1, 2.0), ("base", 2, 1.0)]
+
+
+def test_upsert_into_table_and_optional_source(spark, tmp_path):
+    p = str(tmp_path / "facts")
+    assert files.optional_source(spark, p) is None
+    b1 = spark.createDataFrame([(1, "x", 1, 1.0), (2, "y", 1, 2.0)], "k int, part string, o int, v double")
+    ups.upsert_into_table(b1, p, ["k"], ["o"], partition_by=["part"])
+    b2 = spark.createDataFrame([(1, "x", 2, 5.0), (1, "x", 0, 9.0), (3, "x", 1, 3.0)], "k int, part string, o int, v double")
+    ups.upsert_into_table(b2, p, ["k"], ["o"], partition_by=["part"])
+    ups.upsert_into_table(b2, p, ["k"], ["o"], partition_by=["part"])  # idempotent re-run
+    got = sorted((r.k, r.part, r.v) for r in files.optional_source(spark, p).collect())
+    assert got == [(1, "x", 5.0), (2, "y", 2.0), (3, "x", 3.0)]
