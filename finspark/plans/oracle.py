@@ -29,7 +29,7 @@ INCOME_SUPPLIER = _income("cast(l.l_suppkey as bigint)",
                           "WHERE l.l_suppkey IN (SELECT s_suppkey FROM supplier)")
 INCOME_SUPPLIER_YEAR = _income("cast(l.l_suppkey as bigint)",
                                "WHERE l.l_suppkey IN (SELECT s_suppkey FROM supplier)",
-                               "year(l.l_shipdate)", "fiscal_year")
+                               "cast(year(l.l_shipdate) as integer)", "fiscal_year")
 
 ORDERS_MONTHLY = f"""
   SELECT cast(c.c_nationkey as bigint) AS entity, last_day(cast(o.o_orderdate as date)) AS ds,
@@ -261,7 +261,7 @@ BALANCE_YEAR_END = """
     o_totalprice * 2.0 AS long_term_debt, o_totalprice * 0.5 AS short_term_debt,
     o_totalprice * 3.0 AS total_current_liabilities, o_totalprice * 4.0 - c_acctbal AS total_liabilities,
     o_totalprice * 6.0 + c_acctbal AS total_equity, c_acctbal AS cash
-  FROM (SELECT cast(c.c_nationkey as bigint) AS nation, year(o.o_orderdate) AS fiscal_year, o.o_totalprice, c.c_acctbal,
+  FROM (SELECT cast(c.c_nationkey as bigint) AS nation, cast(year(o.o_orderdate) as integer) AS fiscal_year, o.o_totalprice, c.c_acctbal,
                row_number() OVER (PARTITION BY c.c_nationkey, year(o.o_orderdate)
                                   ORDER BY o.o_orderdate DESC, o.o_orderkey DESC) AS rn
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) WHERE rn = 1"""
@@ -299,7 +299,7 @@ BALANCE_MONTHLY = """
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) WHERE rn = 1"""
 
 YEAR_END = f"""
-  SELECT nation, year(balance_date) AS fiscal_year, total_assets,
+  SELECT nation, cast(year(balance_date) as integer) AS fiscal_year, total_assets,
          inventory_raw_materials + inventory_wip + inventory_finished_goods AS inventory,
          accounts_payable, long_term_debt, total_current_assets, total_current_liabilities,
          total_liabilities, total_equity, cash AS cash_and_equivalents
@@ -314,7 +314,7 @@ ANNUAL = f"""
          i.interest_expense, i.net_income, b.total_assets, b.inventory, b.accounts_payable, b.long_term_debt,
          b.total_current_assets, b.total_current_liabilities, b.total_liabilities, b.total_equity,
          b.cash_and_equivalents
-  FROM (SELECT entity, year(ds) AS fiscal_year,
+  FROM (SELECT entity, cast(year(ds) as integer) AS fiscal_year,
                cast(sum({_dd('revenue')}) as double) AS total_revenue,
                cast(sum({_COGS}) as double) AS cost_of_revenue,
                cast(sum({_dd('revenue')} - {_COGS}) as double) AS gross_profit,

@@ -57,3 +57,10 @@ def test_forecast_components_shape(spark):
     assert df.columns == ["entity", "component", "ds", "actual", "yhat", "yhat_lower", "yhat_upper"]
     bad = df.filter("yhat_lower > yhat or yhat > yhat_upper").count()
     assert df.count() > 0 and bad == 0
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_arrow_schema_matches_oracle(spark, con, name):
+    sp = E.queries()[name](spark, SF).limit(0).toArrow().schema
+    dd = con.sql(ORACLE[name]).limit(0).to_arrow_table().schema
+    assert {f.name: str(f.type) for f in sp} == {f.name: str(f.type) for f in dd}
