@@ -143,3 +143,20 @@ def test_golden_backtest_on_committed_history_is_acceptable(spark):
     res = me.backtest(pred.withColumnRenamed("yhat", "yhat"), ["s"], "2023-01-01").first()
     assert res["n_test"] == 13
     assert res["mape"] < 0.20 and res["verdict"] in ("EXCELLENT", "ACCEPTABLE")
+
+
+def test_gram_fit_equals_numpy_lstsq_on_same_design(spark):
+    rng = np.random.default_rng(7)
+    data = [("s", _month(i), float(np.exp(3 + 0.01 * i + 0.2 * rng.normal())), float(rng.normal()), float(rng.normal()))
+            for i in range(60)]
+    df = spark.createDataFrame(data, "s string, ds date, y double, a double, b double")
+    m = fc.fit_forecast(df, ["s"], "ds", "y", ["a", "b"], holdout=0, ridge=0.0, interval_calibration=0)
+    stats = fc.series_stats(df, ["s"], "ds", "y", ["a", "b"])
+    x = fc.design(df, stats, ["s"], "ds", ["a", "b"]).withColumn("_t", fc.target_expr("y"))
+    feats = fc.feature_names(3, ["a", "b"])
+    rows_ = x.select(*[F.col(f).cast("double") for f in feats], F.col("_t").cast("double")).collect()
+    X = np.array([[r[f] for f in feats] for r in rows_])
+    t = np.array([r["_t"] for r in rows_])
+    beta = np.linalg.lstsq(X, t, rcond=None)[0]
+    got = np.array(m.first()["beta"])
+    assert np.allclose(got, beta, rtol=1e-8, atol=1e-9)
