@@ -522,3 +522,27 @@ def q_forecast_components(spark, sf):
     fut = fc.future_frame(df.select("entity", "component", "ds", "y"), model, drv_nat, keys, "ds", 24, DRIVERS,
                           driver_keys=["entity"])
     return fc.predict_forecast(fut, model, keys, "ds", DRIVERS)
+
+
+# ---------------------------------------------------------------- more inventory coverage
+@query("training_frame")
+def q_training_frame(spark, sf):
+    """D-13 (second half): spliced revenue history joined with the global
+    drivers; months lacking any driver are dropped."""
+    spliced = q_history_splice(spark, sf)
+    return drv.training_frame(spliced, fx.drivers(spark, sf), ["entity"], "ds")
+
+
+@query("scenario_totals")
+def q_scenario_totals(spark, sf):
+    """D-19 totals: per-nation sums of both scenarios' net cash, in date order."""
+    return ru.scenario_totals(q_scenario_comparison(spark, sf), ["entity"], "ds")
+
+
+@query("dim_incremental")
+def q_dim_incremental(spark, sf):
+    """R-13 get-or-create: an existing brand dimension (parts of size < 25)
+    keeps its ids; brands and types seen only now get ids after its max."""
+    p = fx.table(spark, sf, "part")
+    existing = dim.load_dimension([p.filter(F.col("p_size") < 25).select("p_brand")])
+    return dim.load_dimension([p.select("p_brand"), p.select("p_type")], existing=existing)

@@ -686,3 +686,31 @@ SELECT entity, {', '.join(aggs)} FROM x WHERE t IS NOT NULL GROUP BY entity
 
 
 ORACLE["forecast_gram"] = _gram_sql()
+
+ORACLE["training_frame"] = f"""
+WITH sp AS ({ORACLE["history_splice"]}),
+drv AS ({DRIVERS})
+SELECT sp.entity, sp.ds, sp.revenue, sp.source, {', '.join('drv.' + c for c in DRV)}
+FROM sp JOIN drv ON sp.ds = drv.ds
+WHERE {' AND '.join('drv.' + c + ' IS NOT NULL' for c in DRV)}
+"""
+
+ORACLE["scenario_totals"] = f"""
+WITH c AS ({ORACLE["scenario_comparison"]})
+SELECT entity,
+       case when count(base_value) > 0 then list_reduce(list_prepend(cast(0.0 as double),
+            list_filter(list(base_value ORDER BY ds), lambda v: v IS NOT NULL)), lambda a, b: a + b) end AS base_total,
+       case when count(alt_value) > 0 then list_reduce(list_prepend(cast(0.0 as double),
+            list_filter(list(alt_value ORDER BY ds), lambda v: v IS NOT NULL)), lambda a, b: a + b) end AS alt_total
+FROM c GROUP BY entity
+"""
+
+ORACLE["dim_incremental"] = """
+WITH ex AS (SELECT name, row_number() OVER (ORDER BY name) AS id
+            FROM (SELECT DISTINCT p_brand AS name FROM part WHERE p_size < 25 AND p_brand IS NOT NULL)),
+nw AS (SELECT name FROM (SELECT p_brand AS name FROM part UNION SELECT p_type FROM part)
+       WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM ex))
+SELECT name, id FROM ex
+UNION ALL
+SELECT name, row_number() OVER (ORDER BY name) + (SELECT coalesce(max(id), 0) FROM ex) AS id FROM nw
+"""
