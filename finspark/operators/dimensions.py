@@ -124,17 +124,19 @@ def clean_campaigns(df: DataFrame, uplift_col: str = "sales_uplift_est",
 
 
 def load_statement(src: DataFrame, target_columns: Sequence[str], key: str = "statement_date",
-                   target: DataFrame | None = None, order_cols: Sequence[str] = ()) -> DataFrame:
+                   target: DataFrame | None = None, order_cols: Sequence[str] = (),
+                   keys: Sequence[str] = ()) -> DataFrame:
     """D-07: standardise names, the discovered date column becomes ``key``,
-    keep catalog columns only, upsert on the date."""
+    keep catalog columns only (plus ``keys`` and ``order_cols``), upsert on
+    (``keys``, date). ``keys``/``order_cols`` are given in standardised form."""
     df = standardise_columns(src)
     dcol = find_date_column(df) or df.columns[0]
     df = df.withColumn(key, F.col(dcol).try_cast("date"))
     if dcol != key:
         df = df.drop(dcol)
-    keep = [c for c in df.columns if c in set(target_columns) | {key}]
-    df = df.select(*keep).filter(F.col(key).isNotNull())
-    return upsert(target, df, [key], order_cols)
+    wanted = set(target_columns) | {key} | set(keys) | set(order_cols)
+    df = df.select(*[c for c in df.columns if c in wanted]).filter(F.col(key).isNotNull())
+    return upsert(target, df, [*keys, key], order_cols)
 
 
 def merge_peer_financials(income_year: DataFrame, balance_year: DataFrame,

@@ -546,3 +546,64 @@ def q_dim_incremental(spark, sf):
     p = fx.table(spark, sf, "part")
     existing = dim.load_dimension([p.filter(F.col("p_size") < 25).select("p_brand")])
     return dim.load_dimension([p.select("p_brand"), p.select("p_type")], existing=existing)
+
+
+# Statement line items kept by the income-statement catalog.
+STATEMENT_CATALOG = ("revenue", "cogs_materials", "cogs_labor", "cogs_overhead", "operating_expenses",
+                     "interest_expense", "taxes")
+
+
+@query("statement_load")
+def q_statement_load(spark, sf):
+    """D-07: a sheet-like income statement per nation (two revisions of every
+    month, spreadsheet-style column names, an extra non-catalog column) loaded
+    into the catalog schema: names standardised, date column discovered,
+    catalog columns kept, latest revision wins per (entity, month)."""
+    inc = fx.income(spark, sf, by="nation")
+    sheet_names = {"entity": "Entity", "ds": "Statement Date", "revenue": "Revenue",
+                   "cogs_materials": "COGS - Materials", "cogs_labor": "COGS Labor",
+                   "cogs_overhead": "COGS (Overhead)", "operating_expenses": "Operating Expenses",
+                   "interest_expense": "Interest Expense", "taxes": "Taxes"}
+    rev0 = inc.select(*[F.col(c).alias(n) for c, n in sheet_names.items()],
+                      F.lit(0).alias("Revision"), F.lit("draft").alias("Notes"))
+    rev1 = inc.select(*[(F.col(c) * F.lit(1.01) if c == "revenue" else F.col(c)).alias(n)
+                        for c, n in sheet_names.items()],
+                      F.lit(1).alias("Revision"), F.lit("final").alias("Notes"))
+    src = rev0.unionByName(rev1).withColumn("Statement Date", F.col("Statement Date").cast("string"))
+    return dim.load_statement(src, STATEMENT_CATALOG, key="statement_date", order_cols=["revision"],
+                              keys=["entity"])
+
+
+# Profile attributes pivoted to columns.
+PROFILE_ATTRS = ("Founded", "Employees", "Region", "Headquarters")
+
+
+@query("profile_attributes")
+def q_profile_attributes(spark, sf):
+    """D-04: attribute/value rows per nation (founded year and head count as
+    text, region name) pivoted to one row per company, ints parsed; rows
+    without a company name are dropped."""
+    n = fx.table(spark, sf, "nation")
+    r = fx.table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    c = fx.table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
+        F.count(F.lit(1)).alias("n_cust"))
+    base = n.join(r, "n_regionkey").join(c, "n_nationkey", "left")
+    arr = F.array(
+        F.struct(F.lit("Founded").alias("attribute"), (F.col("n_nationkey") + 1900).cast("string").alias("value")),
+        F.struct(F.lit("Employees").alias("attribute"),
+                 F.concat(F.coalesce(F.col("n_cust"), F.lit(0)).cast("string"), F.lit(".0")).alias("value")),
+        F.struct(F.lit("Region").alias("attribute"), F.col("r_name").alias("value")))
+    long = base.select(F.col("n_name").alias("company"), F.explode(arr).alias("_a")).select(
+        "company", "_a.attribute", "_a.value")
+    return dim.profile_pivot(long, "company", "attribute", "value", PROFILE_ATTRS, agg="first",
+                             int_attrs=["Founded", "Employees"])
+
+
+@query("series_pivot")
+def q_series_pivot(spark, sf):
+    """R-06: a long macro-style table (series id, day, daily mean) pivoted to
+    one column per listed series, renamed to model names."""
+    from ..sources.files import pivot_series
+    long = cal.resample(fx.series_long(spark, sf).withColumnRenamed("series_id", "entity"), ["entity"], "ds",
+                        ["value"], how="mean", freq="day").withColumnRenamed("entity", "series_id")
+    return pivot_series(long, {t: f"{t}_value" for t in EVENT_TYPES})

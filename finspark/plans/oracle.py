@@ -714,3 +714,29 @@ SELECT name, id FROM ex
 UNION ALL
 SELECT name, row_number() OVER (ORDER BY name) + (SELECT coalesce(max(id), 0) FROM ex) AS id FROM nw
 """
+
+ORACLE["statement_load"] = f"""
+WITH inc AS ({INCOME_NATION})
+SELECT entity, ds AS statement_date, 1 AS revision, revenue * 1.01 AS revenue, cogs_materials, cogs_labor,
+       cogs_overhead, operating_expenses, interest_expense, taxes
+FROM inc
+"""
+
+ORACLE["profile_attributes"] = """
+WITH c AS (SELECT c_nationkey, count(*) AS n_cust FROM customer GROUP BY 1),
+b AS (SELECT n.n_name AS company, n.n_nationkey, r.r_name, c.n_cust
+      FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey LEFT JOIN c ON n.n_nationkey = c.c_nationkey)
+SELECT company, cast(n_nationkey + 1900 as integer) AS "Founded",
+       cast(coalesce(n_cust, 0) as integer) AS "Employees", r_name AS "Region",
+       cast(NULL as varchar) AS "Headquarters"
+FROM b WHERE company IS NOT NULL
+"""
+
+ORACLE["series_pivot"] = "WITH m AS (SELECT event_type AS series_id, cast(ts as date) AS ds, " + \
+    _mean("value") + " AS value FROM events GROUP BY 1, 2),\n" + \
+    "rng AS (SELECT series_id, min(ds) AS lo, max(ds) AS hi FROM m GROUP BY 1),\n" + \
+    "sp AS (SELECT series_id, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) AS ds FROM rng),\n" + \
+    "f AS (SELECT sp.series_id, sp.ds, m.value FROM sp LEFT JOIN m ON sp.series_id = m.series_id AND sp.ds = m.ds)\n" + \
+    "SELECT ds, " + ", ".join(f"max(case when series_id = '{t}' then value end) AS {t}_value"
+                             for t in ("click", "error", "purchase", "signup", "view")) + \
+    " FROM f WHERE series_id IN ('click', 'error', 'purchase', 'signup', 'view') GROUP BY ds"
