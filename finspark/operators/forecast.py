@@ -13,10 +13,12 @@ Spark plan:
 1. per-series statistics (first month, driver mean/std, positivity) as one
    grouped aggregate;
 2. the design matrix as column expressions and its Gram matrix
-   ``sum(x_i x_j), sum(x_i y), sum(y y)`` as ONE grouped aggregate. Features
-   are rounded to ``decimal(16,6)`` so the products and sums are exact: the
-   fit does not depend on partitioning or task order, and the raw rows never
-   leave their executors (partial aggregation);
+   ``sum(x_i x_j), sum(x_i y), sum(y y)`` as ONE grouped aggregate. The target
+   is standardised per series (model scale), and features and target are
+   rounded to 4-decimal fixed point (``bigint`` units of 1e-4), so the
+   products and sums are exact long arithmetic: the fit does not depend on
+   partitioning or task order, stays in codegen (no BigDecimal), and the raw
+   rows never leave their executors (partial aggregation);
 3. the p x p solve (p = 2 + 2K + R) per series in numpy via ``mapInPandas``
    over the aggregated rows (one small row per series);
 4. prediction as a join of the coefficients and a dot-product expression,
@@ -40,8 +42,9 @@ from .calendar import fill_both
 from .history import ordered_mean
 from .joins import sized_broadcast
 
-FEAT = "decimal(16,6)"
-GRAM = "decimal(38,12)"
+# Fixed-point scale of features and target: units of 10^-DIGITS.
+DIGITS = 4
+UNIT = float(10 ** DIGITS)
 Z80 = 1.2815515655446004
 TWO_PI_OVER_YEAR = 2.0 * math.pi / 365.25
 
@@ -59,20 +62,31 @@ def _month_index(ds: Column) -> Column:
 
 
 def series_stats(train: DataFrame, keys: Sequence[str], ds: str, y: str, drivers: Sequence[str]) -> DataFrame:
-    """Per-series first training month, driver mean / std and whether the
-    target is strictly positive (log model) on the training rows."""
+    """Per-series first training month, driver mean / std, whether the target
+    is strictly positive (log model) and the mean / std of the target on the
+    model scale, all on the training rows (one grouped aggregate)."""
+    yv = F.col(y).cast("double")
+    ly = F.when(yv > 0, F.log(yv))
     aggs = [F.min(_month_index(F.col(ds))).alias("_m0"),
-            (F.min(F.col(y)) > 0).alias("_multiplicative"),
-            F.count(F.col(y)).alias("_n_train")]
+            (F.min(yv) > 0).alias("_multiplicative"),
+            F.count(yv).alias("_n_train"),
+            F.avg(ly).alias("_mu_log"), F.stddev_samp(ly).alias("_sd_log"),
+            F.avg(yv).alias("_mu_lin"), F.stddev_samp(yv).alias("_sd_lin")]
     for d in drivers:
         aggs += [F.avg(F.col(d)).alias(f"_mu_{d}"), F.stddev_samp(F.col(d)).alias(f"_sd_{d}")]
     aggs.append(F.max(F.col(ds)).alias("train_end"))
-    return train.groupBy(*keys).agg(*aggs)
+    st = train.groupBy(*keys).agg(*aggs)
+    mult = F.col("_multiplicative")
+    sd = F.when(mult, F.col("_sd_log")).otherwise(F.col("_sd_lin"))
+    st = st.withColumns({"_ymu": F.coalesce(F.when(mult, F.col("_mu_log")).otherwise(F.col("_mu_lin")), F.lit(0.0)),
+                         "_ysd": F.coalesce(F.when(sd > 0, sd), F.lit(1.0))})
+    return st.drop("_mu_log", "_sd_log", "_mu_lin", "_sd_lin")
 
 
 def design(df: DataFrame, stats: DataFrame, keys: Sequence[str], ds: str, drivers: Sequence[str],
            n_season: int = 3) -> DataFrame:
-    """Add the feature columns ``x_*`` (rounded to ``decimal(16,6)``)."""
+    """Add the feature columns ``x_*`` as 4-decimal fixed point (``bigint``
+    units of 1e-4)."""
     keys = list(keys)
     x = df.join(sized_broadcast(stats), keys, "inner")
     d = F.col(ds).cast("date")
@@ -85,25 +99,37 @@ def design(df: DataFrame, stats: DataFrame, keys: Sequence[str], ds: str, driver
         cols[f"x_cos{k}"] = F.cos(ang)
     for r in drivers:
         cols[f"x_{r}"] = F.coalesce(F.try_divide(F.col(r) - F.col(f"_mu_{r}"), F.col(f"_sd_{r}")), F.lit(0.0))
-    return x.withColumns({k: v.cast(FEAT) for k, v in cols.items()})
+    return x.withColumns({k: scaled(v, DIGITS) for k, v in cols.items()})
 
 
-def target_expr(y: str) -> Column:
+def model_target(y: str) -> Column:
     """Model scale: log for multiplicative series, identity otherwise."""
-    return F.when(F.col("_multiplicative"), F.log(F.col(y))).otherwise(F.col(y)).cast(FEAT)
+    yv = F.col(y).cast("double")
+    return F.when(F.col("_multiplicative"), F.log(yv)).otherwise(yv)
+
+
+def target_expr(y: str) -> Column:
+    """Standardised model-scale target as fixed point (fit input)."""
+    return scaled((model_target(y) - F.col("_ymu")) / F.col("_ysd"), DIGITS)
 
 
 def gram(x: DataFrame, keys: Sequence[str], features: Sequence[str], target: str = "_t") -> DataFrame:
-    """Exact Gram aggregate per series: ``g_i_j = sum(x_i x_j)`` (i <= j),
-    ``xy_i = sum(x_i t)``, ``yy = sum(t t)``, ``n``; returned as doubles."""
+    """Exact Gram aggregate per series over fixed-point columns:
+    ``g_i_j = sum(x_i x_j)`` (i <= j), ``xy_i = sum(x_i t)``, ``yy = sum(t t)``
+    (long sums, returned as doubles in natural units) and ``n``."""
     f = list(features)
+    sq = UNIT * UNIT
+
+    def s2(a: str, b: str) -> Column:
+        return (F.sum(F.col(a) * F.col(b)).cast("double") / F.lit(sq))
+
     aggs = [F.count(F.col(target)).alias("n")]
     for i in range(len(f)):
         for j in range(i, len(f)):
-            aggs.append(F.sum(F.col(f[i]) * F.col(f[j])).cast("double").alias(f"g_{i}_{j}"))
+            aggs.append(s2(f[i], f[j]).alias(f"g_{i}_{j}"))
     for i in range(len(f)):
-        aggs.append(F.sum(F.col(f[i]) * F.col(target)).cast("double").alias(f"xy_{i}"))
-    aggs.append(F.sum(F.col(target) * F.col(target)).cast("double").alias("yy"))
+        aggs.append(s2(f[i], target).alias(f"xy_{i}"))
+    aggs.append(s2(target, target).alias("yy"))
     return x.filter(F.col(target).isNotNull()).groupBy(*keys).agg(*aggs)
 
 
@@ -127,7 +153,11 @@ def _solver(keys: Sequence[str], p: int, ridge: float, unpenalised: int = 2):
                 n = float(row["n"])
                 rss = max(float(row["yy"]) - 2.0 * beta @ b + beta @ g @ beta, 0.0)
                 sigma = math.sqrt(rss / max(n - p, 1.0))
-                out.append([row[k] for k in keys] + [beta.tolist(), sigma, int(n)])
+                # back from the standardised target to the model scale
+                mu, sd = float(row["_ymu"]), float(row["_ysd"])
+                beta = beta * sd
+                beta[0] += mu
+                out.append([row[k] for k in keys] + [beta.tolist(), sigma * sd, int(n)])
             yield pd.DataFrame(out, columns=list(keys) + ["beta", "sigma", "n_fit"])
     return solve
 
@@ -139,7 +169,8 @@ def _fit_core(train: DataFrame, keys: list[str], ds: str, y: str, drivers: list[
     need = max(min_rows or 0, p // 2 + 1)
     stats = stats.filter(F.col("_n_train") >= need)
     x = design(train, stats, keys, ds, drivers, n_season).withColumn("_t", target_expr(y))
-    g = gram(x, keys, feature_names(n_season, drivers))
+    g = gram(x, keys, feature_names(n_season, drivers)).join(
+        sized_broadcast(stats.select(*keys, "_ymu", "_ysd")), keys, "inner")
     kt = {f.name: f.dataType.simpleString() for f in g.schema.fields if f.name in keys}
     schema = ", ".join(f"{k} {kt[k]}" for k in keys) + ", beta array<double>, sigma double, n_fit long"
     coef = g.mapInPandas(_solver(keys, p, ridge), schema)
@@ -149,7 +180,7 @@ def _fit_core(train: DataFrame, keys: list[str], ds: str, y: str, drivers: list[
 def _eta(feats: Sequence[str]) -> Column:
     eta = F.lit(0.0)
     for i, f in enumerate(feats):
-        eta = eta + F.col(f).cast("double") * F.element_at("beta", i + 1)
+        eta = eta + (F.col(f).cast("double") / F.lit(UNIT)) * F.element_at("beta", i + 1)
     return eta
 
 
@@ -188,7 +219,7 @@ def fit_forecast(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
     late = tr.filter(F.col("_rc") <= interval_calibration).drop("_rc")
     m_a = _fit_core(early, keys, ds, y, drivers, n_season, ridge, min_rows)
     xa = design(late, m_a.select(*_model_cols(m_a, keys)), keys, ds, drivers, n_season)
-    err = target_expr(y).cast("double") - _eta(feature_names(n_season, drivers))
+    err = model_target(y) - _eta(feature_names(n_season, drivers))
     xa = xa.withColumn("_e2", err * err)
     oos = xa.groupBy(*keys).agg(F.sqrt(ordered_mean(F.col("_e2"), F.col(ds))).alias("sigma_oos"),
                                F.first("_multiplicative").alias("_mult_a"))

@@ -649,37 +649,49 @@ SELECT entity, cast(n as bigint) AS n, slope, (sy - slope * sx) / n AS intercept
 """
 
 
+def _fixed(v: str) -> str:
+    """4-decimal fixed point of a double expression, half away from zero."""
+    return (f"cast(case when ({v}) < 0 then -floor(-({v}) * 10000.0 + 0.5) "
+            f"else floor(({v}) * 10000.0 + 0.5) end as bigint)")
+
+
 def _gram_sql() -> str:
     import math
     drivers = DRV
     feats = ["x_intercept", "x_trend"] + [f"x_{a}{k}" for k in (1, 2, 3) for a in ("sin", "cos")] + \
         [f"x_{d}" for d in drivers]
-    F_ = "decimal(16,6)"
     ang = lambda k: f"cast(dayofyear(ds) as double) * {repr(2.0 * math.pi / 365.25 * k)}"
-    fx = {"x_intercept": f"cast(1.0 as {F_})",
-          "x_trend": f"cast(cast(year(ds) * 12 + month(ds) - m0 as double) / 12.0 as {F_})"}
+    fx = {"x_intercept": _fixed("1.0"),
+          "x_trend": _fixed("cast(year(ds) * 12 + month(ds) - m0 as double) / 12.0")}
     for k in (1, 2, 3):
-        fx[f"x_sin{k}"] = f"cast(sin({ang(k)}) as {F_})"
-        fx[f"x_cos{k}"] = f"cast(cos({ang(k)}) as {F_})"
+        fx[f"x_sin{k}"] = _fixed(f"sin({ang(k)})")
+        fx[f"x_cos{k}"] = _fixed(f"cos({ang(k)})")
     for d in drivers:
-        fx[f"x_{d}"] = f"cast(coalesce(({d} - mu_{d}) / nullif(sd_{d}, 0), 0.0) as {F_})"
+        fx[f"x_{d}"] = _fixed(f"coalesce(({d} - mu_{d}) / nullif(sd_{d}, 0), 0.0)")
+    sq = "100000000.0"
     aggs = ["count(t) AS n"]
     for i in range(len(feats)):
         for j in range(i, len(feats)):
-            aggs.append(f"cast(sum({feats[i]} * {feats[j]}) as double) AS g_{i}_{j}")
+            aggs.append(f"cast(sum({feats[i]} * {feats[j]}) as double) / {sq} AS g_{i}_{j}")
     for i in range(len(feats)):
-        aggs.append(f"cast(sum({feats[i]} * t) as double) AS xy_{i}")
-    aggs.append("cast(sum(t * t) as double) AS yy")
+        aggs.append(f"cast(sum({feats[i]} * t) as double) / {sq} AS xy_{i}")
+    aggs.append(f"cast(sum(t * t) as double) / {sq} AS yy")
     stats = ", ".join([f"avg({d}) AS mu_{d}, stddev_samp({d}) AS sd_{d}" for d in drivers])
+    ly = "case when y > 0 then ln(y) end"
     return f"""
 WITH f AS ({CASH_FLOW_FACT}),
 dn AS ({DRIVERS_NATION}),
 o AS (SELECT f.entity, f.ds, f.inflow_operating_revenue AS y, {', '.join('dn.' + d for d in drivers)}
       FROM f LEFT JOIN dn ON f.entity = dn.entity AND f.ds = dn.ds WHERE f.inflow_operating_revenue IS NOT NULL),
 tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ds DESC) AS rn FROM o) WHERE rn > 6),
-st AS (SELECT entity, min(year(ds) * 12 + month(ds)) AS m0, min(y) > 0 AS mult, {stats} FROM tr GROUP BY 1),
+st0 AS (SELECT entity, min(year(ds) * 12 + month(ds)) AS m0, min(y) > 0 AS mult,
+               avg({ly}) AS mu_log, stddev_samp({ly}) AS sd_log, avg(y) AS mu_lin, stddev_samp(y) AS sd_lin,
+               {stats} FROM tr GROUP BY 1),
+st AS (SELECT *, coalesce(case when mult then mu_log else mu_lin end, 0.0) AS ymu,
+              coalesce(case when (case when mult then sd_log else sd_lin end) > 0
+                            then (case when mult then sd_log else sd_lin end) end, 1.0) AS ysd FROM st0),
 x AS (SELECT tr.entity, {', '.join(f'{v} AS {k}' for k, v in fx.items())},
-             cast(case when st.mult then ln(y) else y end as {F_}) AS t
+             {_fixed("((case when st.mult then ln(y) else y end) - ymu) / ysd")} AS t
       FROM tr JOIN st ON tr.entity = st.entity)
 SELECT entity, {', '.join(aggs)} FROM x WHERE t IS NOT NULL GROUP BY entity
 """

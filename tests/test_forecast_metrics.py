@@ -154,7 +154,8 @@ def test_gram_fit_equals_numpy_lstsq_on_same_design(spark):
     stats = fc.series_stats(df, ["s"], "ds", "y", ["a", "b"])
     x = fc.design(df, stats, ["s"], "ds", ["a", "b"]).withColumn("_t", fc.target_expr("y"))
     feats = fc.feature_names(3, ["a", "b"])
-    rows_ = x.select(*[F.col(f).cast("double") for f in feats], F.col("_t").cast("double")).collect()
+    rows_ = x.select(*[(F.col(f) / fc.UNIT).alias(f) for f in feats],
+                     (F.col("_t") / fc.UNIT * F.col("_ysd") + F.col("_ymu")).alias("_t")).collect()
     X = np.array([[r[f] for f in feats] for r in rows_])
     t = np.array([r["_t"] for r in rows_])
     beta = np.linalg.lstsq(X, t, rcond=None)[0]
