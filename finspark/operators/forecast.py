@@ -39,7 +39,6 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import scaled, unscaled
 from .calendar import fill_both
-from .history import ordered_mean
 from .joins import sized_broadcast
 
 # Fixed-point scale of features and target: units of 10^-DIGITS.
@@ -113,67 +112,100 @@ def target_expr(y: str) -> Column:
     return scaled((model_target(y) - F.col("_ymu")) / F.col("_ysd"), DIGITS)
 
 
-def gram(x: DataFrame, keys: Sequence[str], features: Sequence[str], target: str = "_t") -> DataFrame:
-    """Exact Gram aggregate per series over fixed-point columns:
-    ``g_i_j = sum(x_i x_j)`` (i <= j), ``xy_i = sum(x_i t)``, ``yy = sum(t t)``
-    (long sums, returned as doubles in natural units) and ``n``."""
+def _gram_aggs(features: Sequence[str], target: str, cond: Column | None = None, prefix: str = "") -> list[Column]:
     f = list(features)
     sq = UNIT * UNIT
 
     def s2(a: str, b: str) -> Column:
-        return (F.sum(F.col(a) * F.col(b)).cast("double") / F.lit(sq))
+        prod = F.col(a) * F.col(b)
+        if cond is not None:
+            prod = F.when(cond, prod)
+        return F.sum(prod).cast("double") / F.lit(sq)
 
-    aggs = [F.count(F.col(target)).alias("n")]
+    n = F.col(target) if cond is None else F.when(cond, F.col(target))
+    aggs = [F.count(n).alias(f"{prefix}n")]
     for i in range(len(f)):
         for j in range(i, len(f)):
-            aggs.append(s2(f[i], f[j]).alias(f"g_{i}_{j}"))
+            aggs.append(s2(f[i], f[j]).alias(f"{prefix}g_{i}_{j}"))
     for i in range(len(f)):
-        aggs.append(s2(f[i], target).alias(f"xy_{i}"))
-    aggs.append(s2(target, target).alias("yy"))
-    return x.filter(F.col(target).isNotNull()).groupBy(*keys).agg(*aggs)
+        aggs.append(s2(f[i], target).alias(f"{prefix}xy_{i}"))
+    aggs.append(s2(target, target).alias(f"{prefix}yy"))
+    return aggs
+
 
+def gram(x: DataFrame, keys: Sequence[str], features: Sequence[str], target: str = "_t") -> DataFrame:
+    """Exact Gram aggregate per series over fixed-point columns:
+    ``g_i_j = sum(x_i x_j)`` (i <= j), ``xy_i = sum(x_i t)``, ``yy = sum(t t)``
+    (long sums, returned as doubles in natural units) and ``n``."""
+    return x.filter(F.col(target).isNotNull()).groupBy(*keys).agg(*_gram_aggs(features, target))
+
+
+def _solver(keys: Sequence[str], p: int, ridge: float, need: int, unpenalised: int = 2):
+    """Per aggregated row: solve the ridge system of all training rows and of
+    the early rows (``e_`` sums); the early model's error on the late rows
+    comes from the Gram differences (late = all - early), so no second pass
+    over the data is needed."""
+    iu = np.triu_indices(p)
+    pen = np.full(p, ridge)
+    pen[:unpenalised] = 0.0
+
+    def unpack(row, pre):
+        g = np.zeros((p, p))
+        g[iu] = [row[f"{pre}g_{i}_{j}"] for i, j in zip(*iu)]
+        g = g + np.triu(g, 1).T
+        b = np.array([row[f"{pre}xy_{i}"] for i in range(p)])
+        return g, b, float(row[f"{pre}yy"]), float(row[f"{pre}n"])
+
+    def solve_sys(g, b):
+        a = g + np.diag(pen)
+        try:
+            return np.linalg.solve(a, b)
+        except np.linalg.LinAlgError:
+            return np.linalg.lstsq(a, b, rcond=None)[0]
+
+    def rss(beta, g, b, yy):
+        return max(yy - 2.0 * beta @ b + beta @ g @ beta, 0.0)
 
-def _solver(keys: Sequence[str], p: int, ridge: float, unpenalised: int = 2):
     def solve(batches):
-        iu = np.triu_indices(p)
         for pdf in batches:
             out = []
             for _, row in pdf.iterrows():
-                g = np.zeros((p, p))
-                g[iu] = [row[f"g_{i}_{j}"] for i, j in zip(*iu)]
-                g = g + np.triu(g, 1).T
-                b = np.array([row[f"xy_{i}"] for i in range(p)])
-                pen = np.full(p, ridge)
-                pen[:unpenalised] = 0.0
-                a = g + np.diag(pen)
-                try:
-                    beta = np.linalg.solve(a, b)
-                except np.linalg.LinAlgError:
-                    beta = np.linalg.lstsq(a, b, rcond=None)[0]
-                n = float(row["n"])
-                rss = max(float(row["yy"]) - 2.0 * beta @ b + beta @ g @ beta, 0.0)
-                sigma = math.sqrt(rss / max(n - p, 1.0))
+                g, b, yy, n = unpack(row, "")
+                beta = solve_sys(g, b)
+                sigma_in = math.sqrt(rss(beta, g, b, yy) / max(n - p, 1.0))
+                sigma_oos = None
+                if "e_n" in row.index:
+                    ge, be, yye, ne = unpack(row, "e_")
+                    if ne >= need and n - ne > 0:
+                        beta_e = solve_sys(ge, be)
+                        sigma_oos = math.sqrt(rss(beta_e, g - ge, b - be, yy - yye) / (n - ne))
                 # back from the standardised target to the model scale
                 mu, sd = float(row["_ymu"]), float(row["_ysd"])
                 beta = beta * sd
                 beta[0] += mu
-                out.append([row[k] for k in keys] + [beta.tolist(), sigma * sd, int(n)])
-            yield pd.DataFrame(out, columns=list(keys) + ["beta", "sigma", "n_fit"])
+                out.append([row[k] for k in keys] + [beta.tolist(), sigma_in * sd,
+                                                      None if sigma_oos is None else sigma_oos * sd, int(n)])
+            yield pd.DataFrame(out, columns=list(keys) + ["beta", "sigma_in", "sigma_oos", "n_fit"])
     return solve
 
 
 def _fit_core(train: DataFrame, keys: list[str], ds: str, y: str, drivers: list[str], n_season: int,
-              ridge: float, min_rows: int | None) -> DataFrame:
+              ridge: float, min_rows: int | None, early: Column | None = None) -> DataFrame:
     stats = series_stats(train, keys, ds, y, drivers)
     p = 2 + 2 * n_season + len(drivers)
     need = max(min_rows or 0, p // 2 + 1)
     stats = stats.filter(F.col("_n_train") >= need)
     x = design(train, stats, keys, ds, drivers, n_season).withColumn("_t", target_expr(y))
-    g = gram(x, keys, feature_names(n_season, drivers)).join(
-        sized_broadcast(stats.select(*keys, "_ymu", "_ysd")), keys, "inner")
+    feats = feature_names(n_season, drivers)
+    aggs = _gram_aggs(feats, "_t")
+    if early is not None:
+        aggs += _gram_aggs(feats, "_t", early, "e_")
+    g = x.filter(F.col("_t").isNotNull()).groupBy(*keys).agg(
+        *aggs, F.first("_ymu").alias("_ymu"), F.first("_ysd").alias("_ysd"))
     kt = {f.name: f.dataType.simpleString() for f in g.schema.fields if f.name in keys}
-    schema = ", ".join(f"{k} {kt[k]}" for k in keys) + ", beta array<double>, sigma double, n_fit long"
-    coef = g.mapInPandas(_solver(keys, p, ridge), schema)
+    schema = (", ".join(f"{k} {kt[k]}" for k in keys)
+              + ", beta array<double>, sigma_in double, sigma_oos double, n_fit long")
+    coef = g.mapInPandas(_solver(keys, p, ridge, need), schema)
     return stats.join(coef, keys, "inner")
 
 
@@ -198,9 +230,11 @@ def fit_forecast(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
     (below ``min_rows`` or half the number of features) are skipped.
 
     Interval width: in-sample residuals understate forecast error, so a
-    second fit leaves out the last ``interval_calibration`` training rows,
-    scores them, and the bounds use ``max(in-sample sigma, out-of-sample
-    RMS error)`` (model scale). ``0`` disables the calibration.
+    second system, fitted without the last ``interval_calibration`` training
+    rows, is scored on them, and the bounds use ``max(in-sample sigma,
+    out-of-sample RMS error)`` (model scale). Both systems come from the same
+    single Gram aggregate (conditional sums), so this costs no extra pass.
+    ``0`` disables the calibration.
 
     Returns one row per series: keys, statistics, ``beta`` (array in
     :func:`feature_names` order), ``sigma`` (used for the bounds),
@@ -209,25 +243,11 @@ def fit_forecast(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
     obs = df.filter(F.col(y).isNotNull())
     w = Window.partitionBy(*keys).orderBy(F.col(ds).desc())
     ranked = obs.withColumn("_rn", F.row_number().over(w))
-    train = ranked.filter(F.col("_rn") > holdout).drop("_rn")
-    model = _fit_core(train, keys, ds, y, drivers, n_season, ridge, min_rows)
-    model = model.withColumn("sigma_in", F.col("sigma"))
-    if interval_calibration <= 0:
-        return model.withColumn("sigma_oos", F.lit(None).cast("double"))
-    tr = train.withColumn("_rc", F.row_number().over(w))
-    early = tr.filter(F.col("_rc") > interval_calibration).drop("_rc")
-    late = tr.filter(F.col("_rc") <= interval_calibration).drop("_rc")
-    m_a = _fit_core(early, keys, ds, y, drivers, n_season, ridge, min_rows)
-    xa = design(late, m_a.select(*_model_cols(m_a, keys)), keys, ds, drivers, n_season)
-    err = model_target(y) - _eta(feature_names(n_season, drivers))
-    xa = xa.withColumn("_e2", err * err)
-    oos = xa.groupBy(*keys).agg(F.sqrt(ordered_mean(F.col("_e2"), F.col(ds))).alias("sigma_oos"),
-                               F.first("_multiplicative").alias("_mult_a"))
-    model = model.join(oos, keys, "left")
-    same_scale = F.col("_mult_a").isNotNull() & (F.col("_mult_a") == F.col("_multiplicative"))
-    model = model.withColumn("sigma", F.when(same_scale & F.col("sigma_oos").isNotNull(),
-                                             F.greatest("sigma_in", "sigma_oos")).otherwise(F.col("sigma_in")))
-    return model.drop("_mult_a")
+    train = ranked.filter(F.col("_rn") > holdout)
+    early = (F.col("_rn") > holdout + interval_calibration) if interval_calibration > 0 else None
+    model = _fit_core(train, keys, ds, y, drivers, n_season, ridge, min_rows, early)
+    return model.withColumn("sigma", F.when(F.col("sigma_oos").isNotNull(),
+                                            F.greatest("sigma_in", "sigma_oos")).otherwise(F.col("sigma_in")))
 
 
 def future_frame(history: DataFrame, model: DataFrame, drivers_df: DataFrame | None, keys: Sequence[str],
