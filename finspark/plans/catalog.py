@@ -360,7 +360,7 @@ def q_history_splice(spark, sf):
 
 
 def _calibration(spark, sf):
-    return hist.calibrate(q_cash_flow_fact(spark, sf), ["entity"], "ds", n=12)
+    return hist.calibrate(_income_components(spark, sf), ["entity"], "ds", n=12)
 
 
 @query("calibration_stats")
@@ -402,8 +402,15 @@ def _fact(spark, sf):
     return materialize(q_cash_flow_fact(spark, sf), "cash_flow_fact")
 
 
+def _income_components(spark, sf):
+    """The fact's revenue / cogs / opex legs depend on the income table only:
+    the fact operator without capex, debt or drivers yields them (identical
+    values) without the extra scans and joins."""
+    return cashflow.cash_flow_fact(fx.income(spark, sf, by="nation"), keys=["entity"], ds="ds", month_end=True)
+
+
 def _components_long(spark, sf):
-    fact = _fact(spark, sf)
+    fact = materialize(_income_components(spark, sf), "components")
     arr = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("y")) for c in COMPONENTS])
     long = fact.select("entity", "ds", F.explode(arr).alias("_c")).select("entity", "_c.component", "ds", "_c.y")
     return long.join(_prior_year(long, ["entity", "component"], "y", "yhat"), ["entity", "component", "ds"], "left")
@@ -483,7 +490,7 @@ DRIVERS = ("economic_activity_index", "consumer_confidence_index", "interest_rat
 def _forecast_input(spark, sf):
     """Long components per nation joined with the nation's drivers,
     materialised (fit and prediction read it in several branches)."""
-    fact = q_cash_flow_fact(spark, sf).select("entity", "ds", *COMPONENTS)
+    fact = _income_components(spark, sf).select("entity", "ds", *COMPONENTS)
     arr = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("y")) for c in COMPONENTS])
     long = fact.select("entity", "ds", F.explode(arr).alias("_c")).select("entity", "_c.component", "ds", "_c.y")
     return materialize(long.join(fx.drivers_by_nation(spark, sf), ["entity", "ds"], "left"), "forecast_input")
