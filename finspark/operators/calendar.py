@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import dmean, dsum, month_end
+from .joins import attach_scalars
 
 FREQS = {"month": ("MM", "1 month"), "day": (None, "1 day")}
 
@@ -51,9 +52,8 @@ def calendar_spine(df: DataFrame, keys: Sequence[str], ds: str = "ds", freq: str
         lo, hi = F.col("_lo"), F.col("_hi")
     elif bounds == "global":
         g = df.agg(F.min(ds).alias("_lo"), F.max(ds).alias("_hi"))
-        rng = df.select(*keys).distinct()
-        lo = g.select("_lo").scalar()
-        hi = g.select("_hi").scalar()
+        rng = attach_scalars(df.select(*keys).distinct(), g)
+        lo, hi = F.col("_lo"), F.col("_hi")
     else:
         raise ValueError(bounds)
     if until is not None:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import sized_broadcast
+from .joins import attach_scalars, sized_broadcast
 
 # The reference tariff scenario (driver, relative shock) and window.
 TARIFF_SHOCKS = (("ev_component_cost_index", 0.25), ("consumer_confidence_index", -0.15))
@@ -79,10 +79,7 @@ def splice_history(older: DataFrame, newer: DataFrame, keys: Sequence[str] = (),
     o = older.withColumn(ds, F.last_day(F.col(ds).cast("date")))
     n = newer.withColumn(ds, F.last_day(F.col(ds).cast("date")))
     first = n.groupBy(*keys).agg(F.min(ds).alias("_first"))
-    if keys:
-        o = o.join(sized_broadcast(first), keys, "left")
-    else:
-        o = o.withColumn("_first", first.select("_first").scalar())
+    o = o.join(sized_broadcast(first), keys, "left") if keys else attach_scalars(o, first)
     o = o.filter(F.col("_first").isNull() | (F.col(ds) < F.col("_first"))).drop("_first")
     if source_col:
         o = o.withColumn(source_col, F.lit("synthetic"))

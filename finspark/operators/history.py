@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import dmean, gaussian_noise
+from .joins import attach_scalars
 
 # Fallbacks when no actual history exists (revenue scale, cogs ratio, opex ratio).
 FALLBACK_REVENUE = 500_000_000.0
@@ -79,12 +80,10 @@ def synthetic_history(macro: DataFrame, calib: DataFrame | None, keys: Sequence[
     stats = m.groupBy(*keys).agg(
         ordered_mean(F.when(F.col("_rn") <= market_window, F.col(sales).cast("double")), F.col(ds)).alias("_market"),
         ordered_mean(F.col(cpi).cast("double"), F.col(ds)).alias("_cpi_mean"))
-    x = m.drop("_rn").join(stats, keys, "inner") if keys else m.drop("_rn").withColumns(
-        {"_market": stats.select("_market").scalar(), "_cpi_mean": stats.select("_cpi_mean").scalar()})
+    x = m.drop("_rn").join(stats, keys, "inner") if keys else attach_scalars(m.drop("_rn"), stats)
     if calib is not None:
         c = calib.select(*keys, "avg_revenue", "avg_cogs_ratio", "avg_opex_ratio")
-        x = x.join(c, keys, "left") if keys else x.withColumns(
-            {k: c.select(k).scalar() for k in ("avg_revenue", "avg_cogs_ratio", "avg_opex_ratio")})
+        x = x.join(c, keys, "left") if keys else attach_scalars(x, c)
     else:
         x = x.withColumns({"avg_revenue": F.lit(None).cast("double"), "avg_cogs_ratio": F.lit(None).cast("double"),
                            "avg_opex_ratio": F.lit(None).cast("double")})

@@ -37,3 +37,12 @@ def outer_merge(frames, keys, how: str = "first"):
         u = f if u is None else u.unionByName(f, allowMissingColumns=True)
     vals = [c for c in u.columns if c not in keys]
     return u.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in vals])
+
+
+def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add every column of a one-row aggregate to all rows of ``df`` through a
+    single scalar subquery (one evaluation), instead of a cross join or one
+    subquery per column."""
+    cols = one_row.columns
+    s = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    return df.withColumn("_scalars", s).withColumns({c: F.col(f"_scalars.{c}") for c in cols}).drop("_scalars")

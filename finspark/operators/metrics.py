@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .history import ordered_mean
+from .joins import attach_scalars
 
 # Backtest verdict bands on MAPE (as a fraction) and their labels.
 VERDICT_BANDS = ((0.10, "EXCELLENT"), (0.20, "ACCEPTABLE"))
@@ -76,5 +77,5 @@ def scaled_truth(series: DataFrame, keys: Sequence[str], value: str, scale: Colu
     base = (train.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= window)
             .groupBy(*keys).agg(ordered_mean(F.col(value), F.col(ds)).alias("_base")))
     sc = scale if isinstance(scale, Column) else F.lit(float(scale))
-    j = series.join(base, keys, "inner") if keys else series.withColumn("_base", base.select("_base").scalar())
+    j = series.join(base, keys, "inner") if keys else attach_scalars(series, base)
     return j.withColumn(out, F.col(value) * F.try_divide(sc, F.col("_base"))).drop("_base")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .history import ordered_sum
+from .joins import attach_scalars
 
 # Interest on projected long-term debt (annual rate, months per year)
 # and the tax rate on positive earnings before tax.
@@ -65,9 +66,7 @@ def net_cash_rollup(components: DataFrame, hist: DataFrame, capex: DataFrame | N
     df = comp.join(h, keys + [ds], "left")
 
     def attach(frame, stats):
-        if keys:
-            return frame.join(stats, keys, "left")
-        return frame.withColumns({c: stats.select(c).scalar() for c in stats.columns})
+        return frame.join(stats, keys, "left") if keys else attach_scalars(frame, stats)
 
     if mode == "forecast_start":
         # Per-entity statistics from the components and history only (small
