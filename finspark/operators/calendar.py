@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.expr import dmean, dsum, month_end
 from .joins import attach_scalars
 
-FREQS = {"month": ("MM", "1 month"), "day": (None, "1 day")}
-
-
 def period_of(c, freq: str = "month"):
     if freq == "month":
         return month_end(c)

@@ -37,17 +37,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a private folder set."""
+    Only a local-mode session without one (tests) gets a private folder; on
+    a cluster a missing setting is an error, since a machine-local folder is
+    not visible to the executors and does not survive their loss."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        d = d or sc.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Connect)
+        pass
     if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Connect)
-            d = None
-    if not d:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         d = tempfile.mkdtemp(prefix="finspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -78,3 +85,14 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{base}/finspark-materialized/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete the tables :func:`materialize` wrote under the checkpoint folder
+    (call when the DataFrames built on them are no longer used)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/finspark-materialized"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)

@@ -83,3 +83,10 @@ def test_column_name_cleaning_and_date_discovery(spark):
     assert N.find_date_column(df2) is None
     out = N.ensure_columns(df2, {"b": "double"})
     assert out.columns == ["a", "b"] and out.first().b is None
+
+
+def test_materialize_roundtrip_and_drop(spark):
+    from finspark.session import drop_materialized, materialize
+    df = materialize(spark.range(10).withColumnRenamed("id", "x"), "t")
+    assert df.count() == 10 and df.columns == ["x"]
+    drop_materialized(spark)
