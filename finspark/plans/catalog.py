@@ -614,3 +614,22 @@ def q_series_pivot(spark, sf):
     long = cal.resample(fx.series_long(spark, sf).withColumnRenamed("series_id", "entity"), ["entity"], "ds",
                         ["value"], how="mean", freq="day").withColumnRenamed("entity", "series_id")
     return pivot_series(long, {t: f"{t}_value" for t in EVENT_TYPES})
+
+
+# Statement line items (long form) and their column names.
+STATEMENT_ITEMS = (("Total Revenue", "revenue"), ("Cost of Revenue", "cogs_materials"),
+                   ("Operating Expense", "operating_expenses"), ("Tax Provision", "taxes"))
+
+
+@query("statement_transpose")
+def q_statement_transpose(spark, sf):
+    """R-07: a supplier's statement stored long (ticker, item, date, value),
+    as downloaded, transposed to one row per (ticker, fiscal year) with one
+    column per listed item."""
+    from ..sources.files import transpose_statement
+    inc = fx.income(spark, sf, by="supplier", period="year")
+    arr = F.array(*[F.struct(F.lit(item).alias("item"), F.col(col).alias("value")) for item, col in STATEMENT_ITEMS])
+    long = inc.select(F.concat(F.lit("S"), F.col("entity").cast("string")).alias("ticker"),
+                      F.make_date(F.col("fiscal_year"), F.lit(12), F.lit(31)).alias("date"),
+                      F.explode(arr).alias("_i")).select("ticker", "_i.item", "date", "_i.value")
+    return transpose_statement(long, [i for i, _ in STATEMENT_ITEMS])

@@ -752,3 +752,10 @@ ORACLE["series_pivot"] = "WITH m AS (SELECT event_type AS series_id, cast(ts as
     "SELECT ds, " + ", ".join(f"max(case when series_id = '{t}' then value end) AS {t}_value"
                              for t in ("click", "error", "purchase", "signup", "view")) + \
     " FROM f WHERE series_id IN ('click', 'error', 'purchase', 'signup', 'view') GROUP BY ds"
+
+ORACLE["statement_transpose"] = f"""
+WITH inc AS ({INCOME_SUPPLIER_YEAR})
+SELECT 'S' || cast(entity as varchar) AS ticker, fiscal_year, revenue AS "Total Revenue",
+       cogs_materials AS "Cost of Revenue", operating_expenses AS "Operating Expense", taxes AS "Tax Provision"
+FROM inc
+"""
