@@ -224,7 +224,7 @@ def _model_cols(model: DataFrame, keys: Sequence[str]) -> list[str]:
 def fit_forecast(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y",
                  drivers: Sequence[str] = (), holdout: int = 6, n_season: int = 3,
                  ridge: float = 0.1, min_rows: int | None = None,
-                 interval_calibration: int = 6) -> DataFrame:
+                 interval_calibration: int = 6, null_target: str = "drop") -> DataFrame:
     """Fit one model per series. Training rows: non-null target, all but the
     last ``holdout`` rows of the series (R-59). Series with too few rows
     (below ``min_rows`` or half the number of features) are skipped.
@@ -236,11 +236,20 @@ def fit_forecast(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
     single Gram aggregate (conditional sums), so this costs no extra pass.
     ``0`` disables the calibration.
 
+    ``null_target='zero'`` fills missing targets with 0 before fitting (the
+    multi-component path of the reference; a series that is then all zero, or
+    has any value <= 0, is fitted additively); ``'drop'`` ignores them.
+
     Returns one row per series: keys, statistics, ``beta`` (array in
     :func:`feature_names` order), ``sigma`` (used for the bounds),
     ``sigma_in``, ``sigma_oos``, ``n_fit``, ``train_end``."""
     keys, drivers = list(keys), list(drivers)
-    obs = df.filter(F.col(y).isNotNull())
+    if null_target == "zero":
+        obs = df.withColumn(y, F.coalesce(F.col(y).cast("double"), F.lit(0.0)))
+    elif null_target == "drop":
+        obs = df.filter(F.col(y).isNotNull())
+    else:
+        raise ValueError(null_target)
     w = Window.partitionBy(*keys).orderBy(F.col(ds).desc())
     ranked = obs.withColumn("_rn", F.row_number().over(w))
     train = ranked.filter(F.col("_rn") > holdout)

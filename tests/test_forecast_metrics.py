@@ -161,3 +161,12 @@ def test_gram_fit_equals_numpy_lstsq_on_same_design(spark):
     beta = np.linalg.lstsq(X, t, rcond=None)[0]
     got = np.array(m.first()["beta"])
     assert np.allclose(got, beta, rtol=1e-8, atol=1e-9)
+
+
+def test_null_target_zero_fill_makes_all_zero_series_additive(spark):
+    data = [("z", _month(i), None, float(i % 5)) for i in range(30)] + \
+           [("p", _month(i), 100.0 + i, float(i % 5)) for i in range(30)]
+    df = spark.createDataFrame(data, "s string, ds date, y double, z double")
+    m = {r["s"]: r for r in fc.fit_forecast(df, ["s"], "ds", "y", ["z"], holdout=6, null_target="zero").collect()}
+    assert m["z"]["_multiplicative"] is False and m["p"]["_multiplicative"] is True
+    assert set(fc.fit_forecast(df, ["s"], "ds", "y", ["z"], holdout=6).select("s").toPandas()["s"]) == {"p"}
