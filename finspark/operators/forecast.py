@@ -144,48 +144,63 @@ def _solver(keys: Sequence[str], p: int, ridge: float, need: int, unpenalised: i
     """Per aggregated row: solve the ridge system of all training rows and of
     the early rows (``e_`` sums); the early model's error on the late rows
     comes from the Gram differences (late = all - early), so no second pass
-    over the data is needed."""
+    over the data is needed. Each Arrow batch is solved as one stacked
+    ``(m, p, p)`` numpy problem (no per-series Python loop)."""
     iu = np.triu_indices(p)
-    pen = np.full(p, ridge)
-    pen[:unpenalised] = 0.0
-
-    def unpack(row, pre):
-        g = np.zeros((p, p))
-        g[iu] = [row[f"{pre}g_{i}_{j}"] for i, j in zip(*iu)]
-        g = g + np.triu(g, 1).T
-        b = np.array([row[f"{pre}xy_{i}"] for i in range(p)])
-        return g, b, float(row[f"{pre}yy"]), float(row[f"{pre}n"])
-
-    def solve_sys(g, b):
-        a = g + np.diag(pen)
+    pen = np.diag(np.r_[np.zeros(unpenalised), np.full(p - unpenalised, ridge)])
+
+    def unpack(pdf, pre):
+        m = len(pdf)
+        g = np.zeros((m, p, p))
+        for i, j in zip(*iu):
+            col = pdf[f"{pre}g_{i}_{j}"].to_numpy(dtype=float)
+            g[:, i, j] = col
+            g[:, j, i] = col
+        b = np.stack([pdf[f"{pre}xy_{i}"].to_numpy(dtype=float) for i in range(p)], axis=1)
+        return g, b, pdf[f"{pre}yy"].to_numpy(dtype=float), pdf[f"{pre}n"].to_numpy(dtype=float)
+
+    def solve_all(g, b):
+        a = g + pen
         try:
-            return np.linalg.solve(a, b)
+            return np.linalg.solve(a, b[..., None])[..., 0]
         except np.linalg.LinAlgError:
-            return np.linalg.lstsq(a, b, rcond=None)[0]
+            out = np.empty_like(b)
+            for k in range(len(b)):
+                try:
+                    out[k] = np.linalg.solve(a[k], b[k])
+                except np.linalg.LinAlgError:
+                    out[k] = np.linalg.lstsq(a[k], b[k], rcond=None)[0]
+            return out
 
     def rss(beta, g, b, yy):
-        return max(yy - 2.0 * beta @ b + beta @ g @ beta, 0.0)
+        quad = np.einsum("mi,mij,mj->m", beta, g, beta)
+        return np.maximum(yy - 2.0 * np.einsum("mi,mi->m", beta, b) + quad, 0.0)
 
     def solve(batches):
         for pdf in batches:
-            out = []
-            for _, row in pdf.iterrows():
-                g, b, yy, n = unpack(row, "")
-                beta = solve_sys(g, b)
-                sigma_in = math.sqrt(rss(beta, g, b, yy) / max(n - p, 1.0))
-                sigma_oos = None
-                if "e_n" in row.index:
-                    ge, be, yye, ne = unpack(row, "e_")
-                    if ne >= need and n - ne > 0:
-                        beta_e = solve_sys(ge, be)
-                        sigma_oos = math.sqrt(rss(beta_e, g - ge, b - be, yy - yye) / (n - ne))
-                # back from the standardised target to the model scale
-                mu, sd = float(row["_ymu"]), float(row["_ysd"])
-                beta = beta * sd
-                beta[0] += mu
-                out.append([row[k] for k in keys] + [beta.tolist(), sigma_in * sd,
-                                                      None if sigma_oos is None else sigma_oos * sd, int(n)])
-            yield pd.DataFrame(out, columns=list(keys) + ["beta", "sigma_in", "sigma_oos", "n_fit"])
+            if len(pdf) == 0:
+                continue
+            g, b, yy, n = unpack(pdf, "")
+            beta = solve_all(g, b)
+            sigma_in = np.sqrt(rss(beta, g, b, yy) / np.maximum(n - p, 1.0))
+            sigma_oos = np.full(len(pdf), np.nan)
+            if "e_n" in pdf.columns:
+                ge, be, yye, ne = unpack(pdf, "e_")
+                ok = (ne >= need) & (n - ne > 0)
+                if ok.any():
+                    beta_e = solve_all(ge[ok], be[ok])
+                    late = rss(beta_e, g[ok] - ge[ok], b[ok] - be[ok], yy[ok] - yye[ok])
+                    sigma_oos[ok] = np.sqrt(late / (n[ok] - ne[ok]))
+            # back from the standardised target to the model scale
+            mu, sd = pdf["_ymu"].to_numpy(dtype=float), pdf["_ysd"].to_numpy(dtype=float)
+            beta = beta * sd[:, None]
+            beta[:, 0] += mu
+            out = pdf[list(keys)].copy()
+            out["beta"] = list(beta)
+            out["sigma_in"] = sigma_in * sd
+            out["sigma_oos"] = np.where(np.isnan(sigma_oos), None, sigma_oos * sd)
+            out["n_fit"] = n.astype("int64")
+            yield out
     return solve
 
 
