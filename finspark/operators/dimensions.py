@@ -83,7 +83,7 @@ def load_fact(src: DataFrame, fks: Mapping[str, tuple[DataFrame, str]], required
     if mode == "upsert":
         return upsert(target, df, keys, order_cols)
     if mode == "insert":
-        base = target if target is not None else df.limit(0)
+        base = target if target is not None else df.where(F.lit(False))
         return insert_new(base, df, keys, order_cols)
     raise ValueError(mode)
 

@@ -67,9 +67,9 @@ def append(target: DataFrame, batch: DataFrame) -> DataFrame:
 def dense_index(df: DataFrame, order_cols: Sequence[str], out: str = "id", start: int = 1,
                 num_partitions: int | None = None) -> DataFrame:
     """Consecutive ids ``start..start+n-1`` in ``order_cols`` order, computed
-    without moving the data into one task: range-partition + sort, position
-    inside each partition, plus the row count of all earlier partitions
-    (a table with one row per partition, broadcast). ``order_cols`` must be
+    without moving the data into one task: range-partition into balanced
+    chunks, position inside each chunk (a window per chunk), plus the row
+    count of all earlier chunks (a table with one row per chunk, broadcast). ``order_cols`` must be
     unique so the numbering is deterministic. The range-partitioned rows are
     materialised once (dimension-sized: distinct names), since a second
     range shuffle could sample different bounds."""
@@ -77,13 +77,12 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], out: str = "id", start
 
     order_cols = list(order_cols)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id()
-                     - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    # Partition ids and positions depend on the sampled range bounds, so they
-    # are computed once and stored: both branches below read the same values.
+    s = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    # Range-chunk ids depend on the sampled bounds, so they are computed once
+    # and stored: both branches below read the same values.
     s = materialize(s, "dense_index")
+    # position inside a chunk (each chunk is one balanced range of the order)
+    s = s.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)) - F.lit(1))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))

@@ -146,7 +146,7 @@ def q_fact_upsert_last_wins(spark, sf):
 def q_fact_upsert_first_wins(spark, sf):
     """R-11: insert-if-absent keeps the first row per key (ascending order)."""
     facts = fx.dup_facts(spark, sf)
-    return ups.insert_new(facts.limit(0), facts, DUP_KEYS, DUP_ORDER)
+    return ups.insert_new(facts.where(F.lit(False)), facts, DUP_KEYS, DUP_ORDER)
 
 
 @query("unmatched_refs")
