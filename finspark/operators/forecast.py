@@ -33,7 +33,6 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
