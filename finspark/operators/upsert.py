@@ -115,12 +115,12 @@ def upsert_into_table(batch: DataFrame, path: str, keys: Sequence[str], order_co
     (dynamic partition overwrite). Re-running the same batch gives the same
     table. ``partition_by`` columns must be functions of ``keys``."""
     from ..session import cut_lineage
+    from ..sources.files import optional_source
 
     spark = batch.sparkSession
-    try:
-        target = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        target = None
+    # Only a missing path means "no table yet"; any other read error is raised
+    # (treating it as empty would overwrite the table with the batch alone).
+    target = optional_source(spark, path, fmt)
     if target is not None and partition_by:
         target = target.join(batch.select(*partition_by).distinct(), list(partition_by), "left_semi")
     merged = cut_lineage(upsert(target, batch, keys, order_cols))

@@ -94,6 +94,8 @@ def _supplier_brand_text(spark, sf):
     p = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     s = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     pairs = li.join(p, "l_partkey").select("l_suppkey", "p_brand").distinct()
+    # one list per supplier, bounded by the brand dimension (not by row count:
+    # the pairs are already distinct)
     per = pairs.groupBy("l_suppkey").agg(F.sort_array(F.collect_set("p_brand")).alias("b"))
     txt = F.concat(F.array_join("b", "; "), F.lit(" ; "), F.element_at("b", 1), F.lit(" ;"))
     return per.join(s, "l_suppkey").select("s_name", txt.alias("brands"))
