@@ -14,7 +14,7 @@ INPUTS = ["revenue", "cogs_materials", "cogs_labor", "cogs_overhead", "operating
 
 
 def _golden():
-    with open(os.path.join(GOLDEN, "prepared_cash_flow_data.csv")) as f:
+    with open(os.path.join(GOLDEN, "cash_flow_fact_committed.csv")) as f:
         return list(csv.DictReader(f))
 
 
@@ -22,10 +22,10 @@ def test_golden_prepared_fact_is_rebuilt(spark):
     g = _golden()
     inc = spark.createDataFrame([(dt.date.fromisoformat(r["statement_date"]), *[float(r[c]) for c in INPUTS]) for r in g],
                                 "ds date, " + ", ".join(f"{c} double" for c in INPUTS))
-    with open(os.path.join(GOLDEN, "Monthly_Mock_CapEx.csv")) as f:
+    with open(os.path.join(GOLDEN, "capex_monthly.csv")) as f:
         cx = [(dt.date.fromisoformat(r["Date"]), float(r["CapEx_Amount"])) for r in csv.DictReader(f)]
     capex = spark.createDataFrame(cx, "ds date, capex_outflow double")
-    with open(os.path.join(GOLDEN, "mock_economic_indicators.csv")) as f:
+    with open(os.path.join(GOLDEN, "indicators_base.csv")) as f:
         ind = [(dt.date.fromisoformat(r["Date"]), *[float(r[c]) for c in list(r)[1:]]) for r in csv.DictReader(f)]
     indicators = spark.createDataFrame(ind, "ds date, economic_activity_index double, consumer_confidence_index double, "
                                             "interest_rate_proxy double, ev_component_cost_index double")

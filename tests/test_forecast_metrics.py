@@ -131,7 +131,7 @@ def test_golden_backtest_on_committed_history_is_acceptable(spark):
     import os
 
     from tests.conftest import GOLDEN
-    with open(os.path.join(GOLDEN, "synthetic_historical_training_data.csv")) as f:
+    with open(os.path.join(GOLDEN, "synthetic_history_committed.csv")) as f:
         rows_ = list(csv.DictReader(f))
     drivers = ["Interest_Rate_Proxy", "Consumer_Confidence_Index", "EV_Component_Cost_Index", "Economic_Activity_Index"]
     data = [("rev", dt.date.fromisoformat(r["ds"]), float(r["inflow_operating_revenue"]),

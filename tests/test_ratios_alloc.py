@@ -60,7 +60,7 @@ ORDER = ["Manufacturing & Operations", "Strategy & Business Development", "Infor
 
 
 def _golden_budget():
-    with open(os.path.join(GOLDEN, "optimized_budgets_2025_ALL_SCENARIOS.csv")) as f:
+    with open(os.path.join(GOLDEN, "budget_allocation_committed.csv")) as f:
         return list(csv.DictReader(f))
 
 

@@ -22,10 +22,10 @@ def _ind(spark, name):
 
 
 def test_golden_tariff_shock_reproduces_committed_file(spark):
-    base = _ind(spark, "mock_economic_indicators.csv")
+    base = _ind(spark, "indicators_base.csv")
     shocks = drv.shock_table(spark, "tariff", drv.TARIFF_SHOCKS, *drv.TARIFF_WINDOW)
     got = rows(drv.shock_drivers(base, shocks), ["ds"])
-    exp = rows(_ind(spark, "mock_economic_indicators_TARIFF_SCENARIO_EXTENDED.csv"), ["ds"])
+    exp = rows(_ind(spark, "indicators_tariff.csv"), ["ds"])
     assert len(got) == len(exp) == 72
     changed = 0
     for g, e in zip(got, exp):
@@ -67,7 +67,7 @@ def test_training_frame_drops_rows_without_drivers(spark):
 
 
 def test_golden_calibration_matches_committed_history_ratios(spark):
-    with open(os.path.join(GOLDEN, "prepared_cash_flow_data.csv")) as f:
+    with open(os.path.join(GOLDEN, "cash_flow_fact_committed.csv")) as f:
         g = list(csv.DictReader(f))
     df = spark.createDataFrame([(dt.date.fromisoformat(r["statement_date"]), float(r["inflow_operating_revenue"]),
                                  float(r["outflow_cogs"]), float(r["outflow_opex"])) for r in g],
