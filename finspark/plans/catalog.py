@@ -10,7 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import allocate as alloc
+from ..operators import calendar as cal
 from ..operators import cashflow
+from ..operators import dimensions as dim
+from ..operators import drivers as drv
+from ..operators import forecast as fc
+from ..operators import history as hist
+from ..operators import metrics as met
+from ..operators import ratios as rat
+from ..operators import rollup as ru
+from ..operators import upsert as ups
 from ..session import materialize
 from ..sources import fixtures as fx
 
@@ -43,9 +53,6 @@ def q_opex_sanity_patch(spark, sf):
 
 
 # ---------------------------------------------------------------- calendar
-from ..operators import calendar as cal  # noqa: E402
-from ..operators import dimensions as dim  # noqa: E402
-from ..operators import upsert as ups  # noqa: E402
 
 # Event types of the driver's events table (pivot columns).
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -242,8 +249,6 @@ def q_peer_statement_merge(spark, sf):
 
 
 # ---------------------------------------------------------------- benchmark ratios
-from ..operators import allocate as alloc  # noqa: E402
-from ..operators import ratios as rat  # noqa: E402
 
 
 def _annual(spark, sf):
@@ -314,8 +319,6 @@ def q_budget_pivot(spark, sf):
 
 
 # ---------------------------------------------------------------- driver scenarios and history
-from ..operators import drivers as drv  # noqa: E402
-from ..operators import history as hist  # noqa: E402
 
 # Scenario definitions on the fixture calendar (1995-2001): the reference
 # tariff shock moved into the data's range, plus a second scenario.
@@ -382,8 +385,6 @@ def q_synthetic_history(spark, sf):
 
 
 # ---------------------------------------------------------------- metrics, backtest, roll-up
-from ..operators import metrics as met  # noqa: E402
-from ..operators import rollup as ru  # noqa: E402
 
 COMPONENTS = ("inflow_operating_revenue", "outflow_cogs", "outflow_opex")
 ACTUALS_END = "2000-12-31"
@@ -484,7 +485,6 @@ def q_scenario_comparison(spark, sf):
 
 
 # ---------------------------------------------------------------- forecasting
-from ..operators import forecast as fc  # noqa: E402
 
 DRIVERS = ("economic_activity_index", "consumer_confidence_index", "interest_rate_proxy", "ev_component_cost_index")
 
