@@ -635,3 +635,38 @@ def q_statement_transpose(spark, sf):
                       F.make_date(F.col("fiscal_year"), F.lit(12), F.lit(31)).alias("date"),
                       F.explode(arr).alias("_i")).select("ticker", "_i.item", "date", "_i.value")
     return transpose_statement(long, [i for i, _ in STATEMENT_ITEMS])
+
+
+# Scenario window inside the forecast horizon of the fixtures (training ends mid-2001).
+FORECAST_SHOCK_WINDOW = ("2001-06-01", "2002-12-31")
+
+
+@query("scenario_forecast_comparison")
+def q_scenario_forecast_comparison(spark, sf):
+    """D-11 + D-14 + D-17 + D-19 chained as in the reference's scenario flow:
+    fit the driver model per (nation, component) once, score the horizon with
+    baseline drivers and with tariff-shocked drivers (shock applied to the
+    filled future driver paths), roll each up to net cash flow and compare.
+    Rows-only: it depends on the fitted model."""
+    df = _forecast_input(spark, sf)
+    keys = ["entity", "component"]
+    model = fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6)
+    drv_nat = df.select("entity", "ds", *DRIVERS).dropDuplicates(["entity", "ds"])
+    fut = fc.future_frame(df.select("entity", "component", "ds", "y"), model, drv_nat, keys, "ds", 24, DRIVERS,
+                          driver_keys=["entity"])
+    shocks = drv.shock_table(spark, "tariff", drv.TARIFF_SHOCKS, *FORECAST_SHOCK_WINDOW)
+    fut_alt = drv.shock_drivers(fut, shocks, "ds", DRIVERS, keys=keys).drop("scenario").join(
+        fut.select(*keys, "ds", "y"), keys + ["ds"], "inner")
+
+    def wide(pred):
+        # one row per (nation, month): <component>_actual / <component>_forecast
+        return (pred.groupBy("entity", "ds").pivot("component", list(COMPONENTS))
+                .agg(F.first("actual").alias("actual"), F.first("yhat").alias("forecast")))
+
+    hist_ = _hist(_fact(spark, sf))
+    capex = fx.capex(spark, sf)
+    cash = {}
+    for name, frame in (("base", fut), ("tariff", fut_alt)):
+        pred = fc.predict_forecast(frame, model, keys, "ds", DRIVERS)
+        cash[name] = ru.net_cash_rollup(wide(pred), hist_, capex, ["entity"], mode="forecast_start")
+    return ru.compare_scenarios(cash["base"], cash["tariff"], keys=["entity"], window=FORECAST_SHOCK_WINDOW)

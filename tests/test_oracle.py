@@ -29,7 +29,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(E.queries()) - set(ORACLE)
-    assert rows_only == {"forecast_components"}
+    assert rows_only == {"forecast_components", "scenario_forecast_comparison"}
 
 
 def test_entry_smoke(spark):
@@ -64,3 +64,11 @@ def test_arrow_schema_matches_oracle(spark, con, name):
     sp = E.queries()[name](spark, SF).limit(0).toArrow().schema
     dd = con.sql(ORACLE[name]).limit(0).to_arrow_table().schema
     assert {f.name: str(f.type) for f in sp} == {f.name: str(f.type) for f in dd}
+
+
+def test_scenario_forecast_comparison_changes_only_inside_window(spark):
+    df = E.queries()["scenario_forecast_comparison"](spark, SF).toPandas()
+    assert len(df) > 0
+    outside = df[~df["in_window"].astype(bool)]
+    assert (outside["delta"].fillna(0) == 0).all()
+    assert (df[df["in_window"].astype(bool)]["delta"].fillna(0) != 0).any()
