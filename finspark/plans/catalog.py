@@ -526,7 +526,8 @@ def q_forecast_components(spark, sf):
     predict from the first month to 24 months after the training end."""
     df = _forecast_input(spark, sf)
     keys = ["entity", "component"]
-    model = fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6)
+    # one row per series, read by the scoring frame and the prediction
+    model = materialize(fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6), "model")
     drv_nat = df.select("entity", "ds", *DRIVERS).dropDuplicates(["entity", "ds"])
     fut = fc.future_frame(df.select("entity", "component", "ds", "y"), model, drv_nat, keys, "ds", 24, DRIVERS,
                           driver_keys=["entity"])
@@ -650,10 +651,12 @@ def q_scenario_forecast_comparison(spark, sf):
     Rows-only: it depends on the fitted model."""
     df = _forecast_input(spark, sf)
     keys = ["entity", "component"]
-    model = fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6)
+    # the model (one row per series) and the scoring frame feed several
+    # branches: store each once instead of re-running the fit per branch
+    model = materialize(fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6), "model")
     drv_nat = df.select("entity", "ds", *DRIVERS).dropDuplicates(["entity", "ds"])
-    fut = fc.future_frame(df.select("entity", "component", "ds", "y"), model, drv_nat, keys, "ds", 24, DRIVERS,
-                          driver_keys=["entity"])
+    fut = materialize(fc.future_frame(df.select("entity", "component", "ds", "y"), model, drv_nat, keys, "ds", 24,
+                                      DRIVERS, driver_keys=["entity"]), "future")
     shocks = drv.shock_table(spark, "tariff", drv.TARIFF_SHOCKS, *FORECAST_SHOCK_WINDOW)
     fut_alt = drv.shock_drivers(fut, shocks, "ds", DRIVERS, keys=keys).drop("scenario").join(
         fut.select(*keys, "ds", "y"), keys + ["ds"], "inner")
@@ -664,9 +667,11 @@ def q_scenario_forecast_comparison(spark, sf):
                 .agg(F.first("actual").alias("actual"), F.first("yhat").alias("forecast")))
 
     hist_ = _hist(_fact(spark, sf))
-    capex = fx.capex(spark, sf)
+    capex = materialize(fx.capex(spark, sf), "capex")
     cash = {}
     for name, frame in (("base", fut), ("tariff", fut_alt)):
         pred = fc.predict_forecast(frame, model, keys, "ds", DRIVERS)
-        cash[name] = ru.net_cash_rollup(wide(pred), hist_, capex, ["entity"], mode="forecast_start")
+        # entity x month table read by several roll-up branches
+        comp = materialize(wide(pred), f"components_{name}")
+        cash[name] = ru.net_cash_rollup(comp, hist_, capex, ["entity"], mode="forecast_start")
     return ru.compare_scenarios(cash["base"], cash["tariff"], keys=["entity"], window=FORECAST_SHOCK_WINDOW)
