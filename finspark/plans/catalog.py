@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import money_text
 from ..operators import allocate as alloc
 from ..operators import calendar as cal
 from ..operators import cashflow
@@ -21,8 +22,10 @@ from ..operators import metrics as met
 from ..operators import ratios as rat
 from ..operators import rollup as ru
 from ..operators import upsert as ups
+from ..operators.joins import outer_merge
 from ..session import materialize
 from ..sources import fixtures as fx
+from ..sources.files import pivot_series, transpose_statement
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -209,7 +212,6 @@ def q_money_text_clean(spark, sf):
                                      lpad(cast((cast(round(o_totalprice * 100) as bigint) div 100) % 1000 as string), 3, '0'),
                                      '.', lpad(cast(cast(round(o_totalprice * 100) as bigint) % 100 as string), 2, '0'))
                     end""")
-    from ..functions.expr import money_text
     return o.select("o_orderkey", txt.alias("money_text")).withColumn("amount", money_text("money_text"))
 
 
@@ -228,7 +230,6 @@ def q_latest_per_group(spark, sf):
 def q_nway_outer(spark, sf):
     """R-33: three monthly component tables full-outer joined on (entity, ds)
     as one union + group (one shuffle instead of two joins)."""
-    from ..operators.joins import outer_merge
     inc = fx.income(spark, sf, by="nation").select("entity", "ds", "revenue")
     cx = fx.capex(spark, sf)
     db = fx.debt(spark, sf).select("entity", "ds", "long_term_debt")
@@ -613,7 +614,6 @@ def q_profile_attributes(spark, sf):
 def q_series_pivot(spark, sf):
     """R-06: a long macro-style table (series id, day, daily mean) pivoted to
     one column per listed series, renamed to model names."""
-    from ..sources.files import pivot_series
     long = cal.resample(fx.series_long(spark, sf).withColumnRenamed("series_id", "entity"), ["entity"], "ds",
                         ["value"], how="mean", freq="day").withColumnRenamed("entity", "series_id")
     return pivot_series(long, {t: f"{t}_value" for t in EVENT_TYPES})
@@ -629,7 +629,6 @@ def q_statement_transpose(spark, sf):
     """R-07: a supplier's statement stored long (ticker, item, date, value),
     as downloaded, transposed to one row per (ticker, fiscal year) with one
     column per listed item."""
-    from ..sources.files import transpose_statement
     inc = fx.income(spark, sf, by="supplier", period="year")
     arr = F.array(*[F.struct(F.lit(item).alias("item"), F.col(col).alias("value")) for item, col in STATEMENT_ITEMS])
     long = inc.select(F.concat(F.lit("S"), F.col("entity").cast("string")).alias("ticker"),
