@@ -24,7 +24,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,7 +165,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, most_pieces: in
     shards = max(1, -(-docs.count() // shard_rows))
     cut = cut.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
 
-    def group(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def group(key, pdf):
         pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
         place, offset = best_fit(pdf["length"].to_numpy(np.int64), size, most_pieces, attention, rule, weights)
         pdf["sequence_id"], pdf["offset"] = (int(key[0]) << 32) + place, offset
