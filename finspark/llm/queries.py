@@ -8,8 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, sharding, substring
-from .common import read_table
+from . import decontaminate, packing, sharding, substring, toxicity
+from .common import fold_of, read_table
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,6 +31,19 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> toxicity.Model:
+    """Fitted on the labels whose fold is not 0."""
+    docs = read_table(spark, sf_dir, "documents") if docs is None else docs
+    return toxicity.fit(docs, read_table(spark, sf_dir, "labels"), usable=fold_of(F.col("doc_id")) != 0)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    score = toxicity.score_column(toxicity_model(spark, sf_dir), F.col("text"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (fold_of(F.col("doc_id")) == 0).alias("held_out"),
+                       score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.interleave(read_table(spark, sf_dir, "documents"), shards=40, seed=17)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
@@ -44,6 +57,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
