@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, sharding, substring, toxicity
+from . import decontaminate, minhash, packing, sharding, substring, toxicity
 from .common import fold_of, read_table
 
 
@@ -54,11 +54,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
