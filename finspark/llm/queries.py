@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, packing, sharding, substring, toxicity
+from . import decontaminate, minhash, packing, sharding, substring, suffix, toxicity
 from .common import fold_of, read_table
 
 
@@ -50,6 +50,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }

@@ -33,13 +33,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import WordHash, covered, id_text, parts_for, rolling, runs
+from .common import (GROUP_BYTES, WordHash, bucket_edges, covered, from_low, grouped, id_text, low_bytes, rolling, runs,
+                     table_of)
 
-#: Text of a group of documents, and words' hashes of a slice of the hash space.
-GROUP_BYTES = 8 << 20
-LOW40 = np.uint64((1 << 40) - 1)
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                  ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])
 OUT_DDL = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string"
@@ -51,16 +48,6 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def grouped(docs: DataFrame, group_bytes: int) -> tuple[DataFrame, int]:
-    """The documents with their group ``_g``, dealt out by it; groups hold
-    about ``group_bytes`` of text however large the table is."""
-    total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    n = parts_for(docs.sparkSession)
-    groups = max(2 * n, -(-total // group_bytes))
-    g = F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int")
-    return docs.withColumn("_g", g).repartition(max(n, min(groups, 1 << 20) // 2), "_g"), groups
-
-
 class Group:
     """The words of a group's documents, in (id, text) order, as one array of
     hashes; ``rows`` are the row numbers, shorter documents left out."""
@@ -87,22 +74,6 @@ class Group:
         return starts, rolling(self.hashes, k, base)[starts] if len(starts) else np.zeros(0, np.uint64)
 
 
-def bucket_edges(sorted_hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slices of the hash space present in a sorted array: (bucket, first place)."""
-    b = ((sorted_hashes >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
-    return np.unique(b.astype(np.int64), return_index=True)
-
-
-def low_bytes(h: np.ndarray, n: int) -> bytes:
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]).tobytes()
-
-
-def from_low(b: bytes, n: int) -> np.ndarray:
-    raw = np.zeros((len(b) // n, 8), np.uint8)
-    raw[:, :n] = np.frombuffer(b, np.uint8).reshape(-1, n)
-    return raw.view("<u8").ravel()
-
-
 def anchors(g: Group, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct runs of ``block`` words (sorted), which of them is a reference
     block, which occurs twice in the group; starts and each start's number."""
@@ -113,11 +84,6 @@ def anchors(g: Group, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return u, is_block, count > 1, starts, back
 
 
-def table_of(names: list[str], rows: list[tuple], kinds: list[pa.DataType]) -> pa.Table:
-    cols = list(zip(*rows)) if rows else [()] * len(names)
-    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
-
-
 def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text",
                     group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, spans (word numbers of each removed run)
