@@ -32,45 +32,102 @@ from .common import id_text, slices
 
 END_ID = 0
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-#: A blank between two non-blank characters always starts a new word of the
-#: tokenizer's byte-level split; texts with other white space around a blank
-#: are cut only at such blanks.
-ODD_BLANK = re.compile(r"^ | $|\s | \s")
+#: White space other than single blanks and line ends, for which a text is
+#: encoded line by line no further than ``PLAIN`` allows.
+RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
+def plain(text: str) -> bool:
+    """No two white space characters meet, and there are only blanks and line
+    ends: the tokenizer's byte-level split then ends at each of them."""
+    return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or RARE.search(text))
+
+
+def letters(word: str) -> bool:
+    """Only letters, of the Latin blocks (as every Unicode version has them)."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
 class Encoder:
     """Ids of whole texts from the tokenizer file, as little-endian unsigned
-    32-bit bytes. Chunks between single blanks are encoded once and kept, up
-    to ``most`` chunks; texts differ far less in chunks than in length."""
+    32-bit bytes. Words between blanks are encoded once and kept, up to
+    ``most`` of them: texts differ far less in words than in length."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        self.known: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {"": b""}  # as they stand
+        self.tails: dict[str, bytes] = {}  # with a blank before them
+        self.line_end = self.ids(["\n"])[0]
+        self.marks = {m: self.ids([m])[0] for m in ",."}
+        vocab = self.tokenizer.get_vocab()
+        self.begins = {blank: np.zeros(max(vocab.values()) + 1, bool) for blank in " \n"}
+        self.joined = {}
+        for blank, letter in ((" ", "\u0120"), ("\n", "\u010a")):  # how byte-level vocabularies write the two
+            for token, i in vocab.items():
+                self.begins[blank][i] = token[0] == letter
+            # the same model behind a cheaper split, for words of letters only
+            t = self.joined[blank] = Tokenizer.from_file(path)
+            how = "merged_with_next" if blank == " " else "isolated"
+            t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(blank, how), pre_tokenizers.ByteLevel(
+                add_prefix_space=False, use_regex=False)])
+
+    def ids(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def learn(self, known: dict[str, bytes], words: set[str], blank: str, lead: str) -> None:
+        """Ids of new words. The split always ends between a letter and a
+        mark, so a word's last mark is encoded apart; new words of letters
+        go through the tokenizer many at once, joined by ``blank``, which
+        then is all there is to split at."""
+        new = words.difference(known)
+        marked = {w: w[:-1] for w in new if w[-1:] in self.marks and letters(w[:-1])}
+        plain_new = [w for w in new if letters(w)]
+        plain_new += set(marked.values()).difference(known, plain_new)
+        rest = [w for w in new if w not in marked and not letters(w)]
+        for i in range(0, len(plain_new), 4096):
+            part = plain_new[i:i + 4096]
+            ids = np.array(self.joined[blank].encode_batch_fast([blank + blank.join(part)], add_special_tokens=False)[0].ids,
+                           "<u4")
+            cuts = np.flatnonzero(self.begins[blank][ids])
+            skip = 0 if lead else 1  # the line end's own id is no part of the word
+            ends = [*cuts[1:].tolist(), len(ids)]
+            known.update((w, ids[x + skip:y].tobytes()) for w, x, y in zip(part, cuts.tolist(), ends, strict=True))
+        known.update((w, known[stem] + self.marks[w[-1]]) for w, stem in marked.items())
+        known.update(zip(rest, self.ids([lead + w for w in rest])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        chunks = []
+        cut = []  # of each text, the words of its lines
+        heads, tails = set(), set()
         for t in texts:
             if not t:
-                chunks.append([])
-                continue
-            c = SAFE_BLANK.split(t) if ODD_BLANK.search(t) else t.split(" ")
-            chunks.append([c[0], *[" " + x for x in c[1:]]])
-        if len(self.known) > self.most:
-            self.known = {}
-        missing = list({x for c in chunks for x in c}.difference(self.known))
-        for i in range(0, len(missing), 4096):
-            part = missing[i:i + 4096]
-            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[x] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+                lines = [[""]]
+            elif plain(t):
+                lines = [line.split(" ") for line in t.split("\n")]
+            else:
+                lines = [SAFE_BLANK.split(t)]
+            for w in lines:
+                heads.add(w[0])
+                tails.update(w[1:])
+            cut.append(lines)
+        if len(self.heads) + len(self.tails) > self.most:
+            self.heads, self.tails = {"": b""}, {}
+        self.learn(self.heads, heads, "\n", "")
+        self.learn(self.tails, tails, " ", " ")
+        out, get = [], self.tails.__getitem__
+        for lines in cut:
+            parts = []
+            for w in lines:
+                parts += (self.line_end, self.heads[w[0]])
+                parts += map(get, w[1:])
+            out.append(b"".join(parts[1:]))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
