@@ -22,8 +22,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, slices
@@ -122,6 +123,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, id_co
     return id_text(docs, id_col, text_col).mapInArrow(scan, SCHEMA)
 
 
+def contaminated_column(benchmark: DataFrame, text: Column, window: int = 13, item_col: str = "item_id",
+                        item_text_col: str = "text", max_pattern_bytes: int = 32 << 20) -> Column:
+    """The decision alone, for a text column."""
+    chunks = item_chunks(benchmark, item_col, item_text_col, max_pattern_bytes)
+
+    @F.pandas_udf("boolean")
+    def judge(texts: pd.Series) -> pd.Series:
+        words = [words_of(t) for t in texts]
+        hit = [np.zeros(len(w), bool) for w in words]
+        for c in chunks:
+            s = Scanner(patterns_of(c, window))
+            for w, m in zip(words, hit):
+                for a, n in s.hits(w)[0]:
+                    m[a:a + n] = True
+        return pd.Series([_judge(len(w), int(m.sum())) for w, m in zip(words, hit)], dtype=bool)
+
+    return judge(text.cast("string"))
+
+
 def _rows(ids, texts, words, found) -> pa.RecordBatch:
     cols: list[list] = [[] for _ in ARROW]
     for i, t, w, (spans, items) in zip(ids, texts, words, found):

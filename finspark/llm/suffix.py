@@ -33,6 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -363,25 +364,48 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     if length < 2 * K:
         raise ValueError(f"length: {2 * K} bytes at least")
     texts = id_text(docs, id_col, text_col)
+    per = spans_by_document(texts, length, group_bytes, shard_bytes)
+    return texts.join(per.withColumnRenamed("_id", "doc_id"), "doc_id", "left").mapInArrow(_remove, OUT_DDL)
+
+
+def spans_by_document(texts: DataFrame, length: int, group_bytes: int = GROUP_BYTES,
+                      shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """_id and _spans (version, start, end); a document has few after merging."""
     spans = repeats(texts, length, group_bytes, shard_bytes)
-    # A document has few spans after merging; they are gathered per document.
-    per = spans.groupBy("doc_id").agg(F.collect_list(F.struct("ver", "start", "end")).alias("spans"))
-    return texts.join(per, "doc_id", "left").mapInArrow(_remove, OUT_DDL)
+    return spans.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("ver", "start", "end")).alias("_spans"))
+
+
+def without_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with the repeated bytes taken out of the text; a
+    character that a cut splits goes. Null texts stay null."""
+    per = spans_by_document(id_text(docs, id_col, text_col), length)
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else t if s is None else _kept(t.encode("utf-8", "surrogatepass"), s)[0].decode(
+            "utf-8", "ignore") for t, s in zip(texts, spans)], dtype=object)
+
+    joined = docs.join(per, F.col(id_col).cast("bigint") == F.col("_id"), "left")
+    return joined.withColumn(text_col, cut(F.col(text_col).cast("string"), "_spans")).select(*docs.columns)
+
+
+def _kept(raw: bytes, spans) -> tuple[bytes, int]:
+    """What is left of a text, and how many runs went."""
+    ver = xxhash.xxh64_intdigest(raw) - (1 << 63)
+    own = merged([(0, 0, x["start"], x["end"]) for x in spans if x["ver"] == ver])
+    kept, at = [], 0
+    for _, _, a, b in own:
+        kept.append(raw[at:a])
+        at = b
+    return b"".join((*kept, raw[at:])), len(own)
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols: list[list] = [[] for _ in OUT]
-        for i, t, spans in zip(*(batch.column(c) for c in ("doc_id", "text", "spans"))):
+        for i, t, spans in zip(*(batch.column(c) for c in ("doc_id", "text", "_spans"))):
             raw = (t.as_py() or "").encode("utf-8", "surrogatepass")
-            ver = xxhash.xxh64_intdigest(raw) - (1 << 63) if spans.is_valid else 0
-            own = merged([(0, 0, x["start"], x["end"]) for x in spans.as_py() or () if x["ver"] == ver])
-            kept, at = [], 0
-            for _, _, a, b in own:
-                kept.append(raw[at:a])
-                at = b
-            kept.append(raw[at:])
-            kept = b"".join(kept)
-            for c, v in zip(cols, (i.as_py(), len(raw), len(raw) - len(kept), len(own), kept)):
+            kept, n = _kept(raw, spans.as_py()) if spans.is_valid else (raw, 0)
+            for c, v in zip(cols, (i.as_py(), len(raw), len(raw) - len(kept), n, kept)):
                 c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, OUT)], schema=OUT)
