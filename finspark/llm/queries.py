@@ -8,8 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, packing, sharding, substring, suffix, toxicity
-from .common import fold_of, read_table
+from . import decontaminate, license, minhash, packing, rules, sharding, substring, suffix, toxicity, warc
+from .common import fold_of, read_table, stored
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -26,11 +26,24 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(read_table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = stored(rules.statistics(read_table(spark, sf_dir, "documents")), "statistics")
+    learned = rules.learn(stats, read_table(spark, sf_dir, "labels"))
+    return rules.apply_rules(stats, learned).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> toxicity.Model:
     """Fitted on the labels whose fold is not 0."""
     docs = read_table(spark, sf_dir, "documents") if docs is None else docs
@@ -59,17 +72,24 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_warc": op2_warc,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_license_scan": op9_license_scan,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
