@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license, minhash, packing, rules, sharding, substring, suffix, toxicity, warc
+from . import decontaminate, license, minhash, oracle, packing, rules, sharding, substring, suffix, toxicity, warc
 from .common import fold_of, read_table, stored
 
 
@@ -92,4 +92,11 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_substring_dedup": oracle.OP1,
+    "op2_warc": oracle.OP2,
+    "op3_benchmark_decontamination": oracle.OP3,
+    "op7_suffix_array_dedup": oracle.OP7,
+    "op9_license_scan": oracle.op9(license.NOTICES, 0.8),
+    "op10_minhash_near_dedup": oracle.OP10,
+}
