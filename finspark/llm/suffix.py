@@ -44,7 +44,7 @@ from .common import GROUP_BYTES, bucket_edges, grouped, id_text, mix, rolling, s
 K = 32
 #: Windows handled at once; text whose suffixes are sorted at once.
 CHUNK, SHARD_BYTES = 1 << 20, 1 << 20
-SEP = 256
+SEP, END = 256, 511  # symbols between texts and beyond the last
 ALONE, WHOLE, TEXT, WITNESS = 0, 1, 2, 3  # what a group is told about a span
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                  ("kept", pa.binary())])
@@ -117,13 +117,13 @@ def suffix_array(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order is complete (Kasai's bound needs it); only groups that are still
     equal at a depth are sorted again, so few rounds go beyond a span."""
     n = len(sym)
-    padded = np.concatenate((sym, np.full(8, SEP, sym.dtype))).astype(np.uint64)
+    padded = np.concatenate((sym, np.full(8, END, sym.dtype))).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     for j in range(7):
         key = (key << np.uint64(9)) | padded[j:n + j]
     sa = np.argsort(key)
     heads = np.concatenate(([True], key[sa[1:]] != key[sa[:-1]]))
-    rank = np.zeros(n + 1, np.int64)  # 1 + place of the group's head; 0 beyond the end
+    rank = np.full(n + 1, n + 1, np.int64)  # 1 + place of the group's head; the end is the largest
     rank[sa] = np.maximum.accumulate(np.where(heads, np.arange(1, n + 1), 0))
     h = 7
     while True:
