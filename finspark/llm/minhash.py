@@ -13,11 +13,12 @@
 3. Verification on full sets, recomputed from the whole texts: links have
    100 * |intersection| >= share * |union|.
 4. Components by star contraction.
-5. Rest. A meeting whose other members still lie in different components
-   may hide a link that the leader didn't show: there, members of different
-   components are compared by their whole sketches inside tasks (in blocks,
-   when there are many), and those that may reach the share, with a margin
-   of many standard deviations, are verified as well.
+5. Rest. Two documents that met have met one leader. Where a leader's
+   partners still lie in different components, a link between them may be
+   missing: there, partners of different components are compared inside tasks
+   (in blocks, when there are many), by their sketches first, with a margin
+   of many standard deviations, and then on their full sets. Only links that
+   join components leave the task.
 
 With 64 bands of 8 rows a pair at 0.8 is missed with probability 8e-6.
 
@@ -44,8 +45,8 @@ from .common import WordHash, id_text, mix, parts_for, slices, stored
 from .components import components
 
 BANDS, ROWS = 64, 8
-#: Candidates of a leader that are verified together; members compared at once.
-LOT, BLOCK = 256, 2048
+#: Partners of a leader that are verified together; partners compared at once.
+LOT, BLOCK = 256, 512
 #: Sketches that agree on a share this far below the asked one aren't verified:
 #: over 5 standard deviations of 512 coordinates at 0.8.
 MARGIN = 0.1
@@ -101,10 +102,9 @@ def band_keys(s: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch_table(docs: DataFrame, k: int, bands: int, rows: int, buckets: int) -> DataFrame:
-    """Rows of two kinds: of documents (doc_id, n, fp, coords) and of slices
+    """Rows of two kinds: of documents (doc_id, n, fp) and of slices
     (_b and arrays of the band keys that fall into hash slice _b)."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("fp64", pa.int64()), ("coords", pa.binary()),
-                       ("_b", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary()), ("fps", pa.binary()),
+    kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("_b", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary()), ("fps", pa.binary()),
                        ("ns", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,11 +117,8 @@ def sketch_table(docs: DataFrame, k: int, bands: int, rows: int, buckets: int) -
                 fp = np.array([np.frombuffer(f, "<u8")[0] for f in fps], np.uint64)
                 full = np.flatnonzero(n > 0)
                 s = sketches([sets[i] for i in full], bands * rows)
-                coords: list = [None] * len(sets)
-                for i, c in zip(full, (s & np.uint64(0xFF)).astype(np.uint8)):
-                    coords[i] = c.tobytes()
                 nothing = [None] * len(sets)
-                cols = [ids, n, fps, fp.view(np.int64), coords, nothing, nothing, nothing, nothing, nothing]
+                cols = [ids, n, fps, nothing, nothing, nothing, nothing, nothing]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kinds)], schema=kinds)
                 # Equal sets of the slice send one entry, of the smallest id.
                 order = full[np.lexsort((ids[full], fp[full]))]
@@ -135,18 +132,17 @@ def sketch_table(docs: DataFrame, k: int, bands: int, rows: int, buckets: int) -
                 out = []
                 for x, lo, hi in zip(which, at, [*at[1:], len(order)]):
                     o = order[lo:hi]
-                    out.append((None, None, None, None, None, int(x), keys[o].tobytes(), ids[who[o]].astype("<i8").tobytes(),
+                    out.append((None, None, None, int(x), keys[o].tobytes(), ids[who[o]].astype("<i8").tobytes(),
                                 fp[who[o]].tobytes(), n[who[o]].astype("<i8").tobytes()))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), kinds)], schema=kinds)
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, fp binary, fp64 bigint, coords binary, _b int, keys binary, ids binary, "
-                                "fps binary, ns binary")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, fp binary, _b int, keys binary, ids binary, fps binary, ns binary")
 
 
 def meetings(table, share: int):
-    """Of one hash slice: candidate pairs (a leader, b) and, for keys with
-    three nodes or more, the other members (key, b)."""
+    """Of one hash slice: every (leader a, partner b) that met, and whether
+    their sizes leave a link possible."""
     key, ids, fp, n = (np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
                        for c, t in (("keys", "<u8"), ("ids", "<i8"), ("fps", "<u8"), ("ns", "<i8")))
     order = np.lexsort((ids, fp, key))
@@ -158,22 +154,21 @@ def meetings(table, share: int):
     order = np.lexsort((mix(ids.view(np.uint64)), key))
     key, ids, fp, n = key[order], ids[order], fp[order], n[order]
     start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    size = np.diff(np.concatenate((start, [len(key)])))
-    lead, count = np.repeat(start, size), np.repeat(size, size)
+    lead = np.repeat(start, np.diff(np.concatenate((start, [len(key)]))))
     rest = np.flatnonzero(lead != np.arange(len(key)))
-    small, large = np.minimum(n[rest], n[lead[rest]]), np.maximum(n[rest], n[lead[rest]])
-    pair = rest[100 * small >= share * large]
-    pairs = np.stack([ids[lead[pair]], fp[lead[pair]].view(np.int64), ids[pair], fp[pair].view(np.int64)], axis=1)
+    lead = lead[rest]
+    fits = 100 * np.minimum(n[rest], n[lead]) >= share * np.maximum(n[rest], n[lead])
+    pairs = np.stack([ids[lead], fp[lead].view(np.int64), ids[rest], fp[rest].view(np.int64), fits.astype(np.int64)], axis=1)
     pairs = np.unique(pairs, axis=0)
-    many = rest[count[rest] >= 3]
-    none = np.zeros(len(many), np.int64)
-    cols = [np.concatenate((np.zeros(len(pairs), np.int32), np.ones(len(many), np.int32))),
-            np.concatenate((pairs[:, 0], key[many].view(np.int64))), np.concatenate((pairs[:, 1], none)),
-            np.concatenate((pairs[:, 2], ids[many])), np.concatenate((pairs[:, 3], fp[many].view(np.int64)))]
-    return pa.table(cols, names=["kind", "a", "a_fp", "b", "b_fp"])
+    return pa.table([pairs[:, k] for k in range(5)], names=["a", "a_fp", "b", "b_fp", "fits"])
 
 
-MEETINGS = "kind int, a bigint, a_fp bigint, b bigint, b_fp bigint"
+MEETINGS = "a bigint, a_fp bigint, b bigint, b_fp bigint, fits bigint"
+
+
+def fp64(own: np.ndarray) -> int:
+    """The set's short fingerprint, as meetings carry it."""
+    return int.from_bytes(xxhash.xxh3_128_digest(own.tobytes())[:8], "little", signed=True)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, k: int, share: int) -> DataFrame:
@@ -185,7 +180,8 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, share: int) -> DataFrame
     pairs = pairs.join(lots, "a").withColumn("lot", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int"))
     need = pairs.select("a", "lot", F.lit(1).alias("part"), F.col("b").alias("doc_id"), F.col("b_fp").alias("fp")).unionByName(
         pairs.select("a", "lot", F.lit(0).alias("part"), F.col("a").alias("doc_id"), F.col("a_fp").alias("fp")).distinct())
-    rows = need.join(docs, "doc_id").repartition(n, "a", "lot").sortWithinPartitions("a", "lot", "part", "doc_id")
+    # A merge join at every size: the texts of candidates are a share of all.
+    rows = need.join(docs.hint("merge"), "doc_id").repartition(n, "a", "lot").sortWithinPartitions("a", "lot", "part", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, lead = None, None
@@ -194,7 +190,7 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, share: int) -> DataFrame
             cols = [batch.column(c).to_pylist() for c in ("a", "lot", "part", "doc_id", "fp", "text")]
             for a, lot, part, i, fp, text in zip(*cols):
                 own = shingles(text, k)
-                if int.from_bytes(xxhash.xxh3_128_digest(own.tobytes())[:8], "little", signed=True) != fp:
+                if fp64(own) != fp:
                     continue  # another row of the same id
                 if part == 0:
                     at, lead = (a, lot), own
@@ -208,38 +204,65 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, share: int) -> DataFrame
     return rows.select("a", "lot", "part", "doc_id", "fp", "text").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def unsettled(crowds: DataFrame, labels: DataFrame, coords: DataFrame, share: int) -> DataFrame:
-    """Pairs of nodes that met, lie in different components and whose
-    sketches leave a link possible."""
-    c = crowds.join(labels.withColumnRenamed("node", "b"), "b", "left").withColumn(
+def compare(table: pa.Table, k: int, share: int, bands: int, rows: int, cross: bool) -> list[tuple[int, int]]:
+    """Links that join components, among the table's nodes (b, b_fp,
+    component, _i, text); ``cross``: only between its two blocks."""
+    ids, comp, block, fps = (table.column(c).to_numpy() for c in ("b", "component", "_i", "b_fp"))
+    sets = [shingles(t.as_py(), k) for t in table.column("text")]
+    right = np.array([fp64(x) == f for x, f in zip(sets, fps)], bool)  # not another row of the id
+    n = np.array([len(x) for x in sets], np.int64)
+    s = np.zeros((len(sets), bands * rows), np.uint64)
+    if right.any():
+        s[right] = sketches([x for x, r in zip(sets, right) if r], bands * rows)
+    s = (s & np.uint64(0xFFFF)).astype(np.uint16)
+    names, comp = np.unique(comp, return_inverse=True)
+    top = np.argmax(np.bincount(comp))
+    parent, links = np.arange(len(names)), []
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in np.flatnonzero(right & (comp != top)):  # the others meet all of another component
+        ok = right & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= share * np.maximum(n, n[i]))
+        if cross:
+            ok &= block != block[i]
+        j = np.flatnonzero(ok)
+        like = (s[j] == s[i]).mean(axis=1)
+        for x, e in sorted(zip(j.tolist(), like.tolist()), key=lambda r: -r[1]):
+            if e < share / 100 - MARGIN:
+                break
+            p, q = find(comp[i]), find(comp[x])
+            if p == q:
+                continue
+            both = len(np.intersect1d(sets[i], sets[x], assume_unique=True))
+            if 100 * both >= share * (n[i] + n[x] - both):
+                parent[q] = p
+                links.append((int(ids[i]), int(ids[x])))
+    return links
+
+
+def rest_links(docs: DataFrame, met: DataFrame, labels: DataFrame, k: int, share: int, bands: int, rows: int) -> DataFrame:
+    """The links (a, b) between partners of one leader that lie in different
+    components so far."""
+    c = met.select("a", "b", "b_fp").distinct().join(labels.withColumnRenamed("node", "b"), "b", "left").withColumn(
         "component", F.coalesce("component", "b"))
-    open_keys = c.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                     F.count(F.lit(1)).alias("size")).filter("lo < hi").select("key", "size")
-    nodes = c.join(open_keys, "key").join(coords, ["b", "b_fp"])
-    # Blocks of a large meeting are compared two by two.
-    nodes = nodes.withColumn("_n", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn(
+    open_ = c.groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                               F.count(F.lit(1)).alias("size")).filter("lo < hi").select("a", "size")
+    nodes = c.join(open_, "a").withColumn("_n", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn(
         "_i", F.pmod(F.xxhash64("b"), F.col("_n")).cast("int"))
+    # Blocks of many partners are compared two by two.
+    nodes = nodes.join(docs.withColumnRenamed("doc_id", "b").hint("merge"), "b")
     nodes = nodes.withColumn("_j", F.explode(F.expr("sequence(0, _n - 1)"))).select(
-        "key", F.least("_i", "_j").alias("_x"), F.greatest("_i", "_j").alias("_y"), "_i", "b", "b_fp", "component", "n", "coords")
-
-    def compare(key, table):
-        ids, fp, comp, n, block = (table.column(c).to_numpy() for c in ("b", "b_fp", "component", "n", "_i"))
-        s = np.frombuffer(b"".join(table.column("coords").to_pylist()), np.uint8).reshape(len(ids), -1)
-        names, count = np.unique(comp, return_counts=True)
-        cross = key[1].as_py() != key[2].as_py()
-        out = []
-        for i in np.flatnonzero(comp != names[np.argmax(count)]):  # the others meet all of another component
-            ok = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= share * np.maximum(n, n[i]))
-            if cross:
-                ok &= block != block[i]
-            j = np.flatnonzero(ok)
-            j = j[(s[j] == s[i]).mean(axis=1) >= share / 100 - MARGIN]
-            out += [(min((ids[i], fp[i]), (ids[x], fp[x])), max((ids[i], fp[i]), (ids[x], fp[x]))) for x in j]
-        rows = [(*x, *y) for x, y in set(out)]
-        cols = list(zip(*rows)) if rows else [()] * 4
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["a", "a_fp", "b", "b_fp"])
-
-    return nodes.groupBy("key", "_x", "_y").applyInArrow(compare, "a bigint, a_fp bigint, b bigint, b_fp bigint").distinct()
+        "a", F.least("_i", "_j").alias("_x"), F.greatest("_i", "_j").alias("_y"), "_i", "b", "b_fp", "component", "text")
+
+    def run(key, table):
+        links = compare(table, k, share, bands, rows, key[1].as_py() != key[2].as_py())
+        cols = list(zip(*links)) if links else ((), ())
+        return pa.table([pa.array(x, pa.int64()) for x in cols], names=["a", "b"])
+
+    return nodes.groupBy("a", "_x", "_y").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 2, share: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -254,13 +277,11 @@ def near_duplicates(docs: DataFrame, k: int = 2, share: int = 80, bands: int = B
         return meetings(table, share)
 
     met = stored(both.filter("_b is not null").select("_b", "keys", "ids", "fps", "ns").groupBy("_b").applyInArrow(
-        meet, MEETINGS), "meetings")
-    links = stored(verified(texts, met.filter("kind = 0").drop("kind").distinct(), k, share), "links")
+        meet, MEETINGS).distinct(), "meetings")
+    links = stored(verified(texts, met.filter("fits = 1"), k, share), "links")
     labels = components(links)
-    crowds = met.filter("kind = 1").select(F.col("a").alias("key"), "b", "b_fp")
-    rest = stored(unsettled(crowds, labels, own.filter("n > 0").select(F.col("doc_id").alias("b"), F.col("fp64").alias("b_fp"), "n", "coords"), share), "unsettled")
-    if not rest.isEmpty():
-        more = verified(texts, rest, k, share)
+    more = stored(rest_links(texts, met, labels, k, share, bands, rows), "rest")
+    if not more.isEmpty():
         labels = components(links.unionByName(more))
     classes = own.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("node"))
     classes = classes.join(labels, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))

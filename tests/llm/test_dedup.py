@@ -158,17 +158,18 @@ def test_minhash_star_without_leader(docs_of):
     assert got == {i: c for i, (_, c) in brute.links(rows).items()}
 
 
-def test_unsettled_finds_what_the_leader_missed(spark):
-    s = np.arange(512, dtype=np.uint8)
-    other = (s + 1).astype(np.uint8)
-    near = s.copy()
-    near[:40] += 7
-    coords = spark.createDataFrame([(1, 11, 50, bytearray(s)), (2, 12, 50, bytearray(near)), (3, 13, 50, bytearray(other))],
-                                   "b bigint, b_fp bigint, n bigint, coords binary")
-    crowds = spark.createDataFrame([(7, 1, 11), (7, 2, 12), (7, 3, 13)], "key bigint, b bigint, b_fp bigint")
+def test_rest_finds_what_the_leader_missed(spark, docs_of):
+    """1 and 2 are alike; they only met 9, which is like neither."""
+    base = [f"w{k}" for k in range(200)]
+    texts = {1: " ".join(base), 2: " ".join([*base[:195], "x"]), 3: " ".join(base[:100] + [f"y{k}" for k in range(100)]), 4: ""}
+    docs = docs_of([*texts.items(), (1, "another row of the id")]).select("doc_id", "text")
+    fp = {i: minhash.fp64(minhash.shingles(t, 2)) for i, t in texts.items()}
+    met = spark.createDataFrame([(9, 0, i, fp[i], 1) for i in (1, 2, 3)] + [(8, 0, 1, fp[1], 1)], minhash.MEETINGS)
     labels = spark.createDataFrame([(3, 3), (9, 3)], "node bigint, component bigint")
-    got = minhash.unsettled(crowds, labels, coords, 80).collect()
-    assert [(r.a, r.a_fp, r.b, r.b_fp) for r in got] == [(1, 11, 2, 12)]
+    got = minhash.rest_links(docs, met, labels, 2, 80, 64, 8).collect()
+    assert [tuple(sorted(r)) for r in got] == [(1, 2)]
+    settled = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node bigint, component bigint")
+    assert minhash.rest_links(docs, met, settled, 2, 80, 64, 8).count() == 0
 
 
 def test_sketch_estimates_similarity():
