@@ -91,7 +91,8 @@ def spans_of(lot: list[tuple[int, int, int, bytes]], length: int):
     new = np.concatenate(([True], (at[1:] != at[:-1]) | (part[1:] != part[:-1])))
     lo = np.flatnonzero(new)
     hi = np.concatenate((lo[1:], [len(at)])) - 1
-    p1, p2, anchor = starts[lo], starts[hi], h[at[lo]]
+    # Smallest hashes crowd at the low end: mixed again, they spread over the slices.
+    p1, p2, anchor = starts[lo], starts[hi], mix(h[at[lo]])
     view = memoryview(raw)
     delta = (at[lo] - p1).tolist()
     span = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b + length], d) for a, b, d in zip(p1.tolist(), p2.tolist(), delta)),
