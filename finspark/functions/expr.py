@@ -13,6 +13,8 @@ from .._compat import col_of
 
 # Scale used for exact, order-independent money sums (G9).
 MONEY = "decimal(18,4)"
+#: Just below 2^63: scaled values must be smaller.
+SCALED_LIMIT = 9.2e18
 
 
 def nan_to_null(c) -> Column:
@@ -34,10 +36,14 @@ def scaled(c, digits: int = 4) -> Column:
     Money sums use this instead of ``cast(x as decimal)`` (G9): integer sums
     are exact and order-independent like decimals, but stay in codegen'd long
     arithmetic (a double -> decimal cast goes through a string per value).
-    Exact while ``|x| * 10^digits`` fits a long; ANSI mode fails loudly past it."""
-    c = col_of(c).cast("double")
+    NaN is missing (G1). A value whose ``|x| * 10^digits`` does not fit a long
+    raises an error: a cast would saturate without a word."""
+    c = nan_to_null(c)
     f = F.lit(float(10 ** digits))
-    return F.when(c < 0, -F.floor(-c * f + F.lit(0.5))).otherwise(F.floor(c * f + F.lit(0.5))).cast("bigint")
+    fits = F.abs(c) * f < F.lit(SCALED_LIMIT)
+    v = F.when(c < 0, -F.floor(-c * f + F.lit(0.5))).otherwise(F.floor(c * f + F.lit(0.5))).cast("bigint")
+    return F.when(c.isNull() | fits, v).otherwise(
+        F.raise_error(F.concat(F.lit("value outside the exact fixed-point range: "), c.cast("string"))).cast("bigint"))
 
 
 def unscaled(c, digits: int = 4) -> Column:
@@ -63,7 +69,7 @@ def dsum_if(pred: Column, c) -> Column:
 
 def dmean(c) -> Column:
     """Mean as exact sum / count of non-null values (G9: never avg(double))."""
-    c = col_of(c)
+    c = nan_to_null(c)
     return F.try_divide(unscaled(F.sum(scaled(c))), F.count(c).cast("double"))
 
 
@@ -85,21 +91,22 @@ def to_date_safe(c, fmt: str | None = None) -> Column:
 
 
 def to_double_safe(c) -> Column:
-    """R-71: numeric coercion, bad -> null; surrounding blanks accepted."""
-    return F.trim(col_of(c).cast("string")).try_cast("double")
+    """R-71: numeric coercion, bad text and 'NaN' -> null; surrounding blanks
+    accepted."""
+    return nan_to_null(F.trim(col_of(c).cast("string")).try_cast("double"))
 
 
 def money_text(c) -> Column:
     """R-72: '1,234.50' -> 1234.5; blank -> null; junk -> null."""
     s = F.trim(F.regexp_replace(col_of(c).cast("string"), ",", ""))
-    return F.nullif(s, F.lit("")).try_cast("double")
+    return nan_to_null(F.nullif(s, F.lit("")).try_cast("double"))
 
 
 def percent_text(c) -> Column:
     """R-73: '5%' -> 0.05, 'N/A' -> null, junk -> null. A bare number is
     also divided by 100, as in the reference."""
     s = F.trim(col_of(c).cast("string"))
-    num = F.regexp_replace(s, "%", "").try_cast("double")
+    num = nan_to_null(F.regexp_replace(s, "%", "").try_cast("double"))
     return F.when(F.upper(s) == F.lit("N/A"), F.lit(None).cast("double")).otherwise(num / F.lit(100.0))
 
 

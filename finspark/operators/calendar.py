@@ -100,17 +100,19 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[
 
 
 def fill_backward(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
-    w = _w(keys, order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in cols})
+    """The next non-null value: the last one in descending order, so the
+    frame only grows (one pass) instead of being rebuilt for each row."""
+    w = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
 def fill_both(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
               default: float = 0.0) -> DataFrame:
     """R-57: forward fill, then backward fill, then a constant."""
     wf = _w(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wb = _w(keys, order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    wb = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({
-        c: F.coalesce(F.last(c, ignorenulls=True).over(wf), F.first(c, ignorenulls=True).over(wb),
+        c: F.coalesce(F.last(c, ignorenulls=True).over(wf), F.last(c, ignorenulls=True).over(wb),
                       F.lit(default))
         for c in cols})
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import dsum
 from ..functions.names import ensure_columns
+from ..sources.files import clean_numeric
 from .calendar import diff_prev
 from .joins import sized_broadcast
 
@@ -84,6 +85,8 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
     serves the forward-fill window.
     """
     keys = list(keys)
+    # G1: a missing number may arrive as NaN; coalesce would keep it.
+    income, capex, indicators, debt = (None if t is None else clean_numeric(t) for t in (income, capex, indicators, debt))
 
     def period(df):
         return F.col(ds) if month_end else F.last_day(F.col(ds).cast("date"))

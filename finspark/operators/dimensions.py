@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import concat_sep, dsum, money_text, percent_text, split_trim, year_from_text
-from ..functions.names import find_date_column, standardise_columns, standardise_name
+from ..functions.names import standardise_columns, standardise_name
 from .joins import sized_broadcast
 from .upsert import assign_keys, dedupe, insert_new, upsert
 
@@ -126,16 +126,20 @@ def clean_campaigns(df: DataFrame, uplift_col: str = "sales_uplift_est",
 def load_statement(src: DataFrame, target_columns: Sequence[str], key: str = "statement_date",
                    target: DataFrame | None = None, order_cols: Sequence[str] = (),
                    keys: Sequence[str] = ()) -> DataFrame:
-    """D-07: standardise names, the discovered date column becomes ``key``,
-    keep catalog columns only (plus ``keys`` and ``order_cols``), upsert on
-    (``keys``, date). ``keys``/``order_cols`` are given in standardised form."""
+    """D-07: standardise names, the first column that is no entity key becomes
+    ``key`` (unless a column has that name), keep catalog columns only (plus
+    ``keys`` and ``order_cols``), upsert on (``keys``, date).
+    ``keys``/``order_cols`` are given in standardised form. A date that does
+    not parse, or is missing, fails the load: no row is left out silently."""
     df = standardise_columns(src)
-    dcol = find_date_column(df) or df.columns[0]
-    df = df.withColumn(key, F.col(dcol).try_cast("date"))
+    dcol = key if key in df.columns else next(c for c in df.columns if c not in keys)
+    date = F.col(dcol).try_cast("date")
+    bad = F.concat(F.lit(f"{dcol}: not a date: "), F.coalesce(F.col(dcol).cast("string"), F.lit("null")))
+    df = df.withColumn(key, F.coalesce(date, F.raise_error(bad).cast("date")))
     if dcol != key:
         df = df.drop(dcol)
     wanted = set(target_columns) | {key} | set(keys) | set(order_cols)
-    df = df.select(*[c for c in df.columns if c in wanted]).filter(F.col(key).isNotNull())
+    df = df.select(*[c for c in df.columns if c in wanted])
     return upsert(target, df, [*keys, key], order_cols)
 
 

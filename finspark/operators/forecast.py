@@ -44,6 +44,8 @@ from .joins import sized_broadcast
 DIGITS = 4
 UNIT = float(10 ** DIGITS)
 Z80 = 1.2815515655446004
+#: Training rows that a target's mean and spread need.
+LEAST_ROWS = 2
 TWO_PI_OVER_YEAR = 2.0 * math.pi / 365.25
 
 
@@ -181,7 +183,8 @@ def _solver(keys: Sequence[str], p: int, ridge: float, need: int, unpenalised: i
                 continue
             g, b, yy, n = unpack(pdf, "")
             beta = solve_all(g, b)
-            sigma_in = np.sqrt(rss(beta, g, b, yy) / np.maximum(n - p, 1.0))
+            # no residual is left to estimate a spread from when n <= p
+            sigma_in = np.where(n > p, np.sqrt(rss(beta, g, b, yy) / np.maximum(n - p, 1.0)), np.nan)
             sigma_oos = np.full(len(pdf), np.nan)
             if "e_n" in pdf.columns:
                 ge, be, yye, ne = unpack(pdf, "e_")
@@ -196,7 +199,7 @@ def _solver(keys: Sequence[str], p: int, ridge: float, need: int, unpenalised: i
             beta[:, 0] += mu
             out = pdf[list(keys)].copy()
             out["beta"] = list(beta)
-            out["sigma_in"] = sigma_in * sd
+            out["sigma_in"] = np.where(np.isnan(sigma_in), None, sigma_in * sd)
             out["sigma_oos"] = np.where(np.isnan(sigma_oos), None, sigma_oos * sd)
             out["n_fit"] = n.astype("int64")
             yield out
@@ -207,8 +210,8 @@ def _fit_core(train: DataFrame, keys: list[str], ds: str, y: str, drivers: list[
               ridge: float, min_rows: int | None, early: Column | None = None) -> DataFrame:
     stats = series_stats(train, keys, ds, y, drivers)
     p = 2 + 2 * n_season + len(drivers)
-    need = max(min_rows or 0, p // 2 + 1)
-    stats = stats.filter(F.col("_n_train") >= need)
+    need = p + 1  # rows for an out-of-sample check of the fit
+    stats = stats.filter(F.col("_n_train") >= max(min_rows or 0, LEAST_ROWS))
     x = design(train, stats, keys, ds, drivers, n_season).withColumn("_t", target_expr(y))
     feats = feature_names(n_season, drivers)
     aggs = _gram_aggs(feats, "_t")
@@ -240,8 +243,10 @@ def fit_forecast(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
                  ridge: float = 0.1, min_rows: int | None = None,
                  interval_calibration: int = 6, null_target: str = "drop") -> DataFrame:
     """Fit one model per series. Training rows: non-null target, all but the
-    last ``holdout`` rows of the series (R-59). Series with too few rows
-    (below ``min_rows`` or half the number of features) are skipped.
+    last ``holdout`` rows of the series (R-59). A series with no more rows
+    than the holdout (or fewer training rows than ``min_rows``, or than the
+    two that a scale needs) is skipped; :func:`fit_report` lists those. A
+    series with no more training rows than terms gets a fit without sigma.
 
     Interval width: in-sample residuals understate forecast error, so a
     second system, fitted without the last ``interval_calibration`` training
@@ -273,6 +278,19 @@ def fit_forecast(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
                                             F.greatest("sigma_in", "sigma_oos")).otherwise(F.col("sigma_in")))
 
 
+def fit_report(df: DataFrame, model: DataFrame, keys: Sequence[str], y: str = "y", null_target: str = "drop") -> DataFrame:
+    """One row per series of ``df``: rows with a target, training rows used
+    and status - ``fitted``, ``fitted_no_interval`` (too few rows for a
+    spread) or ``skipped_too_short``."""
+    keys = list(keys)
+    n = F.count(F.lit(1)) if null_target == "zero" else F.count(F.col(y))
+    rows = df.groupBy(*keys).agg(n.alias("n_rows"))
+    out = rows.join(model.select(*keys, "n_fit", "sigma"), keys, "left")
+    status = (F.when(F.col("n_fit").isNull(), "skipped_too_short").when(F.col("sigma").isNull(), "fitted_no_interval")
+              .otherwise("fitted"))
+    return out.select(*keys, "n_rows", F.coalesce("n_fit", F.lit(0).cast("bigint")).alias("n_fit"), status.alias("status"))
+
+
 def future_frame(history: DataFrame, model: DataFrame, drivers_df: DataFrame | None, keys: Sequence[str],
                  ds: str = "ds", horizon: int = 24, drivers: Sequence[str] = (),
                  driver_keys: Sequence[str] = ()) -> DataFrame:

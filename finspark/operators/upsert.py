@@ -8,7 +8,10 @@ sorted in one task. Ordering on every column makes ties deterministic.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,9 +125,37 @@ def upsert_into_table(batch: DataFrame, path: str, keys: Sequence[str], order_co
     # (treating it as empty would overwrite the table with the batch alone).
     target = optional_source(spark, path, fmt)
     if target is not None and partition_by:
-        target = target.join(batch.select(*partition_by).distinct(), list(partition_by), "left_semi")
-    merged = cut_lineage(upsert(target, batch, keys, order_cols))
-    w = merged.write.mode("overwrite").format(fmt)
+        touched = batch.select(*[F.col(c).alias(f"_p_{c}") for c in partition_by]).distinct()
+        # Null-safe: rows of the null partition must be read back as well, as
+        # the overwrite below replaces that partition like any other.
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_by])
+        target = target.join(touched, same, "left_semi")
+    merged = upsert(target, batch, keys, order_cols)
     if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.save(path)
+        merged = cut_lineage(merged)
+        merged.write.mode("overwrite").format(fmt).partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "dynamic").save(path)
+        return
+    # Unpartitioned: write the whole result beside the table, then swap, so a
+    # crash before the swap leaves the stored table as it was.
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    merged.write.format(fmt).save(staged)
+    _swap(spark, staged, path)
+
+
+def _swap(spark, staged: str, path: str) -> None:
+    """Rename ``path`` aside, ``staged`` to ``path``, then drop the old one;
+    if the second rename fails the first is undone."""
+    jvm = spark.sparkContext._jvm
+    new, live = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    fs = live.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = fs.exists(live)
+    if had and not fs.rename(live, old):
+        raise OSError(f"cannot move {path} aside; the new table is in {staged}")
+    if not fs.rename(new, live):
+        if had:
+            fs.rename(old, live)
+        raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        fs.delete(old, True)

@@ -80,10 +80,8 @@ def q_resample_mean_ffill(spark, sf):
 
 # ---------------------------------------------------------------- dimensional ETL
 def _brand_dim(spark, sf):
-    """Brand dimension restricted to brands sorting before 'Brand#2' so the
-    bridge meets unknown names."""
-    p = fx.table(spark, sf, "part")
-    return dim.load_dimension([p.select("p_brand").filter(F.col("p_brand") < "Brand#2")])
+    """All brands; the bridge text brings in the unknown names."""
+    return dim.load_dimension([fx.table(spark, sf, "part").select("p_brand")])
 
 
 def _supplier_dim(spark, sf):
@@ -99,7 +97,8 @@ def q_dim_load(spark, sf):
 
 def _supplier_brand_text(spark, sf):
     """Bridge source: one row per supplier, its part brands as '; '-joined
-    text plus a padded repeat of the first brand (duplicates and blanks)."""
+    text plus a padded repeat of the first brand (duplicates and blanks) and
+    a misspelt one that no dimension has."""
     li = fx.table(spark, sf, "lineitem").select("l_suppkey", "l_partkey").distinct()
     p = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     s = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
@@ -107,7 +106,8 @@ def _supplier_brand_text(spark, sf):
     # one list per supplier, bounded by the brand dimension (not by row count:
     # the pairs are already distinct)
     per = pairs.groupBy("l_suppkey").agg(F.sort_array(F.collect_set("p_brand")).alias("b"))
-    txt = F.concat(F.array_join("b", "; "), F.lit(" ; "), F.element_at("b", 1), F.lit(" ;"))
+    wrong = F.concat(F.lit("Brandt#"), (F.col("l_suppkey") % 7).cast("string"))
+    txt = F.concat(F.array_join("b", "; "), F.lit(" ; "), F.element_at("b", 1), F.lit(" ; "), wrong, F.lit(" ;"))
     return per.join(s, "l_suppkey").select("s_name", txt.alias("brands"))
 
 
@@ -131,13 +131,12 @@ def q_bridge_unknown(spark, sf):
 @query("fact_append_fk")
 def q_fact_append_fk(spark, sf):
     """D-03 append mode: lineitem rows keyed by part code and supplier name
-    mapped to ids; rows whose part is not in the (p_size < 25) part
-    dimension are dropped."""
+    mapped to ids; rows whose code is misspelt (every line 7) are dropped."""
     p = fx.table(spark, sf, "part")
-    part_dim = dim.load_dimension([p.filter(F.col("p_size") < 25)
-                                   .select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")))])
+    part_dim = dim.load_dimension([p.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")))])
+    letter = F.when(F.col("l_linenumber") == 7, F.lit("Q")).otherwise(F.lit("P"))
     li = fx.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("part_code"),
+        "l_orderkey", "l_linenumber", F.concat(letter, F.col("l_partkey").cast("string")).alias("part_code"),
         "l_suppkey", "l_quantity", "l_extendedprice")
     src = li.join(fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"),
                   "l_suppkey")
@@ -161,6 +160,40 @@ def q_fact_upsert_first_wins(spark, sf):
     return ups.insert_new(facts.where(F.lit(False)), facts, DUP_KEYS, DUP_ORDER)
 
 
+def _balances_and_batch(spark, sf):
+    """Existing customers' balances, and a batch from all orders: order
+    values for known customers and as many unknown ones, some of them null."""
+    target = fx.table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    o = fx.table(spark, sf, "orders")
+    own = F.col("o_custkey").cast("bigint")
+    batch = o.select(F.explode(F.array(own, own + F.lit(10_000_000_000))).alias("c_custkey"),
+                     F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice")).alias("c_acctbal"),
+                     F.col("o_orderkey").alias("batch_seq"))
+    return target.withColumn("c_custkey", F.col("c_custkey").cast("bigint")), batch
+
+
+@query("upsert_into_existing")
+def q_upsert_into_existing(spark, sf):
+    """R-10 against data: the batch's last value (null included) replaces the
+    balance, columns that the batch lacks keep theirs, new keys are added."""
+    target, batch = _balances_and_batch(spark, sf)
+    return ups.upsert(target, batch, ["c_custkey"], ["batch_seq"])
+
+
+@query("insert_into_existing")
+def q_insert_into_existing(spark, sf):
+    """R-11 against data: existing rows stay, new keys take their first value."""
+    target, batch = _balances_and_batch(spark, sf)
+    batch = batch.withColumn("c_nationkey", F.lit(None).cast(target.schema["c_nationkey"].dataType))
+    return ups.insert_new(target, batch, ["c_custkey"], ["batch_seq"])
+
+
+@query("append_existing")
+def q_append_existing(spark, sf):
+    """R-12: every batch row after every existing row."""
+    return ups.append(*_balances_and_batch(spark, sf))
+
+
 @query("unmatched_refs")
 def q_unmatched_refs(spark, sf):
     """R-36: orders with no lineitem."""
@@ -236,16 +269,23 @@ def q_nway_outer(spark, sf):
     return outer_merge([inc, cx, db], ["entity", "ds"])
 
 
+def _also_in(df, year, other):
+    """Every row, and the rows of ``year`` again as rows of ``other``."""
+    years = F.when(F.col("fiscal_year") == year, F.array(F.col("fiscal_year"), F.lit(other).cast("int"))).otherwise(
+        F.array("fiscal_year"))
+    return df.withColumn("fiscal_year", F.explode(years)).select(*df.columns)
+
+
 @query("peer_statement_merge")
 def q_peer_statement_merge(spark, sf):
-    """D-08: supplier income-years (1997 missing) full outer join balance-years
-    (1995 and 2001 missing), upserted on (competitor_id, fiscal_year)."""
-    inc = fx.income(spark, sf, by="supplier", period="year").withColumnRenamed("entity", "competitor_id") \
-        .filter(F.col("fiscal_year") != 1997)
+    """D-08: all supplier income-years full outer join all balance-years,
+    upserted on (competitor_id, fiscal_year). Each side also brings years
+    that the other lacks: income restated for 2010, balances for 2011."""
+    inc = fx.income(spark, sf, by="supplier", period="year").withColumnRenamed("entity", "competitor_id")
+    inc = _also_in(inc, 1997, 2010)
     sup = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("bigint").alias("competitor_id"),
                                                   F.col("s_nationkey").cast("bigint").alias("nation"))
-    bal = (fx.balance_year_end(spark, sf).join(sup, "nation").drop("nation")
-           .filter(~F.col("fiscal_year").isin(1995, 2001)))
+    bal = _also_in(fx.balance_year_end(spark, sf).join(sup, "nation").drop("nation"), 1995, 2011)
     return dim.merge_peer_financials(inc, bal, ["competitor_id"], "fiscal_year")
 
 
@@ -345,23 +385,19 @@ def q_driver_shock(spark, sf):
 
 @query("scenario_overlay")
 def q_scenario_overlay(spark, sf):
-    """D-12: base drivers, shocked values inside 1998-01-31..1999-06-30; the
-    alternative table stops at 1999-03 so late window months become null."""
+    """D-12: base drivers, shocked values inside 1998-01-31..1999-06-30."""
     base = fx.drivers(spark, sf)
     alt = drv.shock_drivers(base, drv.shock_table(spark, "alt", drv.TARIFF_SHOCKS, "1995-01-01", "2001-12-31"))
-    alt = alt.drop("scenario").filter(F.col("ds") <= F.lit("1999-03-31").cast("date"))
+    alt = alt.drop("scenario")
     return drv.overlay_window(base, alt, "1998-01-31", "1999-06-30")
 
 
 @query("history_splice")
 def q_history_splice(spark, sf):
-    """D-13: order-value history before each nation's first shipped-revenue
-    month (1998-01 for regions 0-1, 1999-06 for the rest), then actuals."""
-    older = fx.order_revenue_by_nation(spark, sf)
-    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("entity"), "n_regionkey")
-    start = F.when(F.col("n_regionkey") <= 1, F.lit("1998-01-31")).otherwise(F.lit("1999-06-30")).cast("date")
-    newer = (fx.income(spark, sf, by="nation").select("entity", "ds", "revenue").join(n, "entity")
-             .filter(F.col("ds") >= start).drop("n_regionkey"))
+    """D-13: order-value history, dated three years back, before each
+    nation's first shipped-revenue month, then all actuals."""
+    older = fx.order_revenue_by_nation(spark, sf).withColumn("ds", F.last_day(F.add_months("ds", -36)))
+    newer = fx.income(spark, sf, by="nation").select("entity", "ds", "revenue")
     return drv.splice_history(older, newer, ["entity"])
 
 

@@ -142,11 +142,11 @@ FROM (SELECT p_brand AS name FROM part UNION SELECT p_type FROM part) WHERE name
 """
 
 _BRAND_DIM = """SELECT name, row_number() OVER (ORDER BY name) AS id
-  FROM (SELECT DISTINCT p_brand AS name FROM part WHERE p_brand < 'Brand#2' AND p_brand IS NOT NULL)"""
+  FROM (SELECT DISTINCT p_brand AS name FROM part WHERE p_brand IS NOT NULL)"""
 _SUPP_DIM = """SELECT name, row_number() OVER (ORDER BY name) AS id
   FROM (SELECT DISTINCT s_name AS name FROM supplier WHERE s_name IS NOT NULL)"""
 _BRAND_TEXT = """
-  SELECT s.s_name, b.brands || ' ; ' || b.first_brand || ' ;' AS brands
+  SELECT s.s_name, b.brands || ' ; ' || b.first_brand || ' ; Brandt#' || cast(b.l_suppkey % 7 as varchar) || ' ;' AS brands
   FROM (SELECT l_suppkey, string_agg(p_brand, '; ' ORDER BY p_brand) AS brands, min(p_brand) AS first_brand
         FROM (SELECT DISTINCT l.l_suppkey, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
         GROUP BY 1) b
@@ -169,11 +169,11 @@ WHERE i.item NOT IN (SELECT name FROM ({_BRAND_DIM}))
 
 ORACLE["fact_append_fk"] = f"""
 WITH pd AS (SELECT name, row_number() OVER (ORDER BY name) AS id
-            FROM (SELECT DISTINCT 'P' || cast(p_partkey as varchar) AS name FROM part WHERE p_size < 25)),
+            FROM (SELECT DISTINCT 'P' || cast(p_partkey as varchar) AS name FROM part)),
 sd AS ({_SUPP_DIM})
 SELECT l.l_orderkey, l.l_linenumber, pd.id AS part_id, sd.id AS supplier_id, l.l_quantity, l.l_extendedprice
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-JOIN pd ON 'P' || cast(l.l_partkey as varchar) = pd.name JOIN sd ON s.s_name = sd.name
+JOIN pd ON (case when l.l_linenumber = 7 then 'Q' else 'P' end) || cast(l.l_partkey as varchar) = pd.name JOIN sd ON s.s_name = sd.name
 """
 
 _DUP = """SELECT l_orderkey, l_linenumber, cast(l_shipdate as date) AS l_shipdate, l_partkey, l_suppkey,
@@ -273,11 +273,12 @@ INC_COLS = ("revenue", "cogs_materials", "cogs_labor", "cogs_overhead", "operati
             "interest_expense", "taxes")
 
 ORACLE["peer_statement_merge"] = f"""
-WITH inc AS (SELECT entity AS competitor_id, fiscal_year, {', '.join(INC_COLS)} FROM ({INCOME_SUPPLIER_YEAR})
-             WHERE fiscal_year <> 1997),
-bal AS (SELECT cast(s.s_suppkey as bigint) AS competitor_id, b.fiscal_year, {', '.join('b.' + c for c in BAL_COLS)}
+WITH i0 AS (SELECT entity AS competitor_id, fiscal_year, {', '.join(INC_COLS)} FROM ({INCOME_SUPPLIER_YEAR})),
+inc AS (SELECT * FROM i0 UNION ALL SELECT * REPLACE (cast(2010 as integer) AS fiscal_year) FROM i0 WHERE fiscal_year = 1997),
+b0 AS (SELECT cast(s.s_suppkey as bigint) AS competitor_id, b.fiscal_year, {', '.join('b.' + c for c in BAL_COLS)}
         FROM ({BALANCE_YEAR_END}) b JOIN supplier s ON b.nation = cast(s.s_nationkey as bigint)
-        WHERE b.fiscal_year NOT IN (1995, 2001))
+),
+bal AS (SELECT * FROM b0 UNION ALL SELECT * REPLACE (cast(2011 as integer) AS fiscal_year) FROM b0 WHERE fiscal_year = 1995)
 SELECT coalesce(inc.competitor_id, bal.competitor_id) AS competitor_id, coalesce(inc.fiscal_year, bal.fiscal_year) AS fiscal_year,
        {', '.join('inc.' + c for c in INC_COLS)}, {', '.join('bal.' + c for c in BAL_COLS)}
 FROM inc FULL OUTER JOIN bal ON inc.competitor_id = bal.competitor_id AND inc.fiscal_year = bal.fiscal_year
@@ -438,7 +439,7 @@ alt AS (SELECT ds, economic_activity_index * 1.0 AS economic_activity_index,
                consumer_confidence_index * (1.0 + cast(-0.15 as double)) AS consumer_confidence_index,
                interest_rate_proxy * 1.0 AS interest_rate_proxy,
                ev_component_cost_index * (1.0 + cast(0.25 as double)) AS ev_component_cost_index
-        FROM drv WHERE ds <= DATE '1999-03-31')
+        FROM drv)
 SELECT drv.ds, {', '.join(f"case when drv.ds BETWEEN DATE '1998-01-31' AND DATE '1999-06-30' then alt.{c} else drv.{c} end AS {c}" for c in DRV)}
 FROM drv LEFT JOIN alt ON drv.ds = alt.ds
 """
@@ -449,9 +450,8 @@ ORDER_REVENUE_NATION = f"""
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2"""
 
 ORACLE["history_splice"] = f"""
-WITH older AS ({ORDER_REVENUE_NATION}),
-newer AS (SELECT i.entity, i.ds, i.revenue FROM ({INCOME_NATION}) i JOIN nation n ON i.entity = n.n_nationkey
-          WHERE i.ds >= case when n.n_regionkey <= 1 then DATE '1998-01-31' else DATE '1999-06-30' end),
+WITH older AS (SELECT entity, last_day(cast(ds - interval 36 month as date)) AS ds, revenue FROM ({ORDER_REVENUE_NATION})),
+newer AS (SELECT entity, ds, revenue FROM ({INCOME_NATION})),
 f AS (SELECT entity, min(ds) AS first_ds FROM newer GROUP BY 1)
 SELECT o.entity, o.ds, o.revenue, 'synthetic' AS source FROM older o LEFT JOIN f ON o.entity = f.entity
 WHERE f.first_ds IS NULL OR o.ds < f.first_ds
@@ -759,3 +759,28 @@ SELECT 'S' || cast(entity as varchar) AS ticker, fiscal_year, revenue AS "Total
        cogs_materials AS "Cost of Revenue", operating_expenses AS "Operating Expense", taxes AS "Tax Provision"
 FROM inc
 """
+
+_BATCH = """SELECT cast(k as bigint) AS c_custkey, case when o_orderkey % 5 <> 0 then o_totalprice end AS c_acctbal,
+                   o_orderkey AS batch_seq
+            FROM (SELECT *, unnest([o_custkey, o_custkey + 10000000000]) AS k FROM orders)"""
+
+ORACLE["upsert_into_existing"] = f"""
+WITH b AS ({_BATCH}),
+w AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY batch_seq DESC) = 1)
+SELECT coalesce(cast(c.c_custkey as bigint), w.c_custkey) AS c_custkey,
+       case when w.c_custkey IS NULL then c.c_acctbal else w.c_acctbal end AS c_acctbal, c.c_nationkey, w.batch_seq
+FROM customer c FULL JOIN w ON c.c_custkey = w.c_custkey
+"""
+
+ORACLE["insert_into_existing"] = f"""
+WITH b AS ({_BATCH}),
+w AS (SELECT * FROM b WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)
+      QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY batch_seq) = 1)
+SELECT cast(c_custkey as bigint) AS c_custkey, c_acctbal, c_nationkey FROM customer
+UNION ALL SELECT c_custkey, c_acctbal, NULL FROM w
+"""
+
+ORACLE["append_existing"] = f"""
+SELECT cast(c_custkey as bigint) AS c_custkey, c_acctbal, c_nationkey, cast(NULL as bigint) AS batch_seq FROM customer
+UNION ALL SELECT c_custkey, c_acctbal, NULL, batch_seq FROM ({_BATCH})
+"""

@@ -82,15 +82,16 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     pruning, filter pushdown and size statistics for the planner."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/finspark-materialized/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/finspark-materialized/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def drop_materialized(spark: SparkSession) -> None:
-    """Delete the tables :func:`materialize` wrote under the checkpoint folder
-    (call when the DataFrames built on them are no longer used)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/") + "/finspark-materialized"
+    """Delete the tables that :func:`materialize` wrote for THIS application
+    under the checkpoint folder (call when the DataFrames built on them are
+    no longer used); other applications' tables stay."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/finspark-materialized/{spark.sparkContext.applicationId}"
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

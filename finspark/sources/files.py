@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,15 +73,15 @@ def optional_source(spark: SparkSession, path: str, fmt: str = "parquet",
         df = read_table(spark, path, fmt, schema, **options)
         df.schema  # noqa: B018 - resolves the path now
         return df
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def clean_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """G1: NaN -> NULL on the listed double columns."""
-    cs = set(cols)
+def clean_numeric(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
+    """G1: NaN -> NULL on the listed (default: all floating) columns."""
+    cs = {c for c, t in df.dtypes if t in ("double", "float")} if cols is None else set(cols)
     return df.select(*[nan_to_null(c).alias(c) if c in cs else F.col(c) for c in df.columns])
 
 

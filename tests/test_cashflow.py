@@ -1,49 +1,58 @@
-"""D-09 / D-10: golden rebuild of the committed prepared fact and unit rows."""
+"""D-09 / D-10: a four-year fact rebuilt by plain rules, and unit rows."""
 
-import csv
 import datetime as dt
-import os
+import random
 
 import pytest
 
 from finspark.operators import cashflow as cf
-from tests.conftest import GOLDEN, rows
+from tests.conftest import rows
 
 INPUTS = ["revenue", "cogs_materials", "cogs_labor", "cogs_overhead", "operating_expenses",
           "interest_expense", "taxes"]
 
 
-def _golden():
-    with open(os.path.join(GOLDEN, "cash_flow_fact_committed.csv")) as f:
-        return list(csv.DictReader(f))
+def month_end(i, start=2021):
+    y, m = start + i // 12, i % 12 + 1
+    return dt.date(y + (m == 12), m % 12 + 1, 1) - dt.timedelta(days=1)
 
 
-def test_golden_prepared_fact_is_rebuilt(spark):
-    g = _golden()
-    inc = spark.createDataFrame([(dt.date.fromisoformat(r["statement_date"]), *[float(r[c]) for c in INPUTS]) for r in g],
-                                "ds date, " + ", ".join(f"{c} double" for c in INPUTS))
-    with open(os.path.join(GOLDEN, "capex_monthly.csv")) as f:
-        cx = [(dt.date.fromisoformat(r["Date"]), float(r["CapEx_Amount"])) for r in csv.DictReader(f)]
-    capex = spark.createDataFrame(cx, "ds date, capex_outflow double")
-    with open(os.path.join(GOLDEN, "indicators_base.csv")) as f:
-        ind = [(dt.date.fromisoformat(r["Date"]), *[float(r[c]) for c in list(r)[1:]]) for r in csv.DictReader(f)]
-    indicators = spark.createDataFrame(ind, "ds date, economic_activity_index double, consumer_confidence_index double, "
-                                            "interest_rate_proxy double, ev_component_cost_index double")
-    debt = spark.createDataFrame([(dt.date.fromisoformat(r["statement_date"]), float(r["long_term_debt"]),
-                                   float(r["short_term_debt"])) for r in g],
-                                 "ds date, long_term_debt double, short_term_debt double")
-    out = rows(cf.cash_flow_fact(inc, capex, indicators, debt), ["ds"])
-    assert len(out) == 48
-    for got, exp in zip(out, g):
-        assert str(got["ds"]) == exp["statement_date"]
-        for c in ["capex_outflow", "net_debt_financing_activity", "outflow_cogs", "outflow_opex",
-                  "net_operating_cash_flow", "net_investing_cash_flow", "net_financing_cash_flow",
-                  "net_change_in_cash_total", "economic_activity_index", "ev_component_cost_index"]:
-            name = {"economic_activity_index": "Economic_Activity_Index",
-                    "ev_component_cost_index": "EV_Component_Cost_Index"}.get(c, c)
-            assert got[c] == pytest.approx(float(exp[name]), rel=1e-9, abs=1e-6), (c, exp["statement_date"])
-    # G11: the 1% patch fires on every committed month
-    assert all(r["outflow_opex"] == pytest.approx(0.15 * r["revenue"]) for r in out)
+def test_four_year_fact_follows_the_rules(spark):
+    r = random.Random(11)
+    ds = [month_end(i) for i in range(48)]
+    income = [[r.uniform(1e6, 5e6)] + [r.uniform(1e4, 9e5) for _ in range(3)] + [r.choice([0.5, 2e5]) * r.random()]
+              + [r.uniform(1e3, 1e5) for _ in range(2)] for _ in ds]
+    debt = [(r.uniform(1e6, 2e6), r.uniform(1e5, 2e5)) for _ in ds]
+    spend = [(d.replace(day=k), r.uniform(10, 1e5)) for d in ds[::2] for k in (3, 17)]
+    index = [100 + r.random() for _ in ds]
+    out = rows(cf.cash_flow_fact(
+        spark.createDataFrame([(d, *v) for d, v in zip(ds, income)], "ds date, " + ", ".join(f"{c} double" for c in INPUTS)),
+        spark.createDataFrame(spend, "ds date, capex_outflow double"),
+        spark.createDataFrame([(d, v) for d, v in list(zip(ds, index))[:-3]], "ds date, idx double"),
+        spark.createDataFrame([(d, *v) for d, v in zip(ds, debt)], "ds date, long_term_debt double, short_term_debt double")), ["ds"])
+    assert [x["ds"] for x in out] == ds
+    patched = 0
+    for i, (x, v) in enumerate(zip(out, income)):
+        rev, opex = v[0], v[4]
+        patched += opex < 0.01 * rev
+        opex = 0.15 * rev if opex < 0.01 * rev else opex
+        operating = rev - (sum(v[1:4]) + opex + v[5] + v[6])
+        capex = sum(round(a, 4) for d, a in spend if (d.year, d.month) == (ds[i].year, ds[i].month))
+        financing = sum(debt[i]) - sum(debt[i - 1]) if i else 0.0
+        want = {"outflow_cogs": sum(v[1:4]), "outflow_opex": opex, "net_operating_cash_flow": operating, "capex_outflow": capex,
+                "net_investing_cash_flow": -capex, "net_financing_cash_flow": financing, "idx": index[min(i, 44)],
+                "net_change_in_cash_total": operating - capex + financing}
+        for c, w in want.items():
+            assert x[c] == pytest.approx(w, rel=1e-9, abs=1e-3), (c, ds[i])
+    assert 0 < patched < 48
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    inc = spark.createDataFrame([(dt.date(2024, 1, 31), nan, 10.0)], "ds date, revenue double, taxes double")
+    cx = spark.createDataFrame([(dt.date(2024, 1, 31), nan), (dt.date(2024, 1, 31), 2.0)], "ds date, capex_outflow double")
+    x = cf.cash_flow_fact(inc, cx).first()
+    assert (x["revenue"], x["outflow_opex"], x["net_change_in_cash_total"]) == (0.0, 0.0, -12.0)
 
 
 def test_patch_is_strict_and_nulls_are_zero(spark):

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from finspark.operators import dimensions as dim
@@ -81,10 +83,17 @@ def test_profile_pivot_parse_goals_campaigns(spark):
 
 
 def test_load_statement_and_peer_merge(spark):
-    src = spark.createDataFrame([("2024-01-31", 10.0, 1.0), ("2024-01-31", 11.0, 2.0), ("bad", 1.0, 0.0)],
+    src = spark.createDataFrame([("2024-01-31", 10.0, 1.0), ("2024-01-31", 11.0, 2.0)],
                                 "`Statement Date` string, Revenue double, `Junk.Col` double")
     out = dim.load_statement(src, ["revenue"], key="statement_date", order_cols=["revenue"])
     assert [(str(r["statement_date"]), r["revenue"]) for r in out.collect()] == [("2024-01-31", 11.0)]
+    # the first column is the date, whatever other columns are called
+    two = spark.createDataFrame([("2024-01-31", "2020-05-05", 1.0)], "Month string, posting_date string, revenue double")
+    assert str(dim.load_statement(two, ["revenue"]).first()["statement_date"]) == "2024-01-31"
+    for bad in ("bad", None):
+        df = spark.createDataFrame([(bad, 1.0)], "month string, revenue double")
+        with pytest.raises(Exception, match="not a date"):
+            dim.load_statement(df, ["revenue"]).collect()
     inc = spark.createDataFrame([(1, 2021, "1,000"), (1, 2022, "2,000")], "competitor_id int, fiscal_year int, `Total Revenue` string")
     bal = spark.createDataFrame([(1, 2022, "5"), (1, 2023, "6")], "competitor_id int, fiscal_year int, `Total Assets` string")
     m = rows(dim.merge_peer_financials(inc, bal, money_cols=["total_revenue", "total_assets"]), ["fiscal_year"])
@@ -127,3 +136,26 @@ def test_upsert_into_table_and_optional_source(spark, tmp_path):
     ups.upsert_into_table(b2, p, ["k"], ["o"], partition_by=["part"])  # idempotent re-run
     got = sorted((r.k, r.part, r.v) for r in files.optional_source(spark, p).collect())
     assert got == [(1, "x", 5.0), (2, "y", 2.0), (3, "x", 3.0)]
+
+
+def test_upsert_keeps_other_rows_of_the_null_partition(spark, tmp_path):
+    p = str(tmp_path / "facts")
+    schema = "k int, p string, v double"
+    ups.upsert_into_table(spark.createDataFrame([(1, None, 1.0), (2, None, 2.0), (3, "a", 3.0)], schema), p, ["k"], partition_by=["p"])
+    ups.upsert_into_table(spark.createDataFrame([(1, None, 9.0)], schema), p, ["k"], partition_by=["p"])
+    assert sorted((r.k, r.p, r.v) for r in spark.read.parquet(p).collect()) == [(1, None, 9.0), (2, None, 2.0), (3, "a", 3.0)]
+
+
+def test_unpartitioned_upsert_swaps_a_staged_table(spark, tmp_path):
+    p = str(tmp_path / "facts")
+    for batch in ([(1, 1.0), (2, 2.0)], [(2, 5.0), (3, 3.0)], [(2, 5.0), (3, 3.0)]):
+        ups.upsert_into_table(spark.createDataFrame(batch, "k int, v double"), p, ["k"])
+    assert sorted((r.k, r.v) for r in spark.read.parquet(p).collect()) == [(1, 1.0), (2, 5.0), (3, 3.0)]
+    assert [x.name for x in tmp_path.iterdir()] == ["facts"]
+
+
+def test_only_a_missing_path_is_an_absent_source(spark, tmp_path):
+    (tmp_path / "broken does not exist.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        files.optional_source(spark, str(tmp_path / "broken does not exist.parquet")).collect()
+    assert files.optional_source(spark, str(tmp_path / "nowhere")) is None

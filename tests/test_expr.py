@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from finspark.functions import expr as X
@@ -90,3 +91,18 @@ def test_materialize_roundtrip_and_drop(spark):
     df = materialize(spark.range(10).withColumnRenamed("id", "x"), "t")
     assert df.count() == 10 and df.columns == ["x"]
     drop_materialized(spark)
+
+
+def test_nan_text_is_missing(spark):
+    df = spark.createDataFrame([("NaN",), ("nan%",), ("3",)], "t string")
+    for f, want in ((X.to_double_safe, [None, None, 3.0]), (X.money_text, [None, None, 3.0]), (X.percent_text, [None, None, 0.03])):
+        assert [r.v for r in df.select(f("t").alias("v")).collect()] == want
+
+
+def test_exact_sums_skip_nan_and_fail_beyond_their_range(spark):
+    df = spark.createDataFrame([(float("nan"),), (2.0,), (None,)], "x double")
+    r = df.agg(X.dmean("x").alias("m"), X.dsum("x").alias("s")).first()
+    assert (r.m, r.s) == (2.0, 2.0)
+    for big in (1e16, float("inf"), -1e16):
+        with pytest.raises(Exception, match="fixed-point range"):
+            spark.createDataFrame([(big,)], "x double").agg(X.dsum("x")).collect()

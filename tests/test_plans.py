@@ -7,7 +7,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
+from finspark.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -17,9 +17,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 PYTHON_ALLOWED = {"forecast_components", "scenario_forecast_comparison"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
-    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
     if name not in PYTHON_ALLOWED:
@@ -32,7 +32,7 @@ def test_plan_shape(spark, name):
 
 
 def test_flagship_scans_are_pruned_and_pushed(spark):
-    plan = E.queries()["cash_flow_fact"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["cash_flow_fact"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     # lineitem is read with only the columns the income and driver sums need
     for line in plan.split("\n"):
         if "FileScan parquet" in line and "lineitem" in line:
