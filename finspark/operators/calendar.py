@@ -66,26 +66,29 @@ def resample(df: DataFrame, keys: Sequence[str], ds: str, values: Sequence[str],
     ``how='sum'``: empty periods are 0 (pandas ``resample().sum()``);
     ``how='mean'``: empty periods are null. With ``exact`` the sums run in
     exact fixed point so results do not depend on partitioning (G9).
-    Spine rows are unioned in before the single aggregation, so the spine
-    costs no extra join."""
+
+    The source is aggregated to its periods first, in one scan; each row then
+    generates the periods up to the next one, so gaps need no spine to join."""
     keys = list(keys)
-    base = df.select(*keys, period_of(ds, freq).alias(ds), *values)
-    spine = calendar_spine(base, keys, ds, freq, bounds).select(
-        *keys, ds, *[F.lit(None).cast("double").alias(v) for v in values])
-    allrows = base.unionByName(spine)
-    aggs = []
-    for v in values:
-        if how == "sum":
-            s = dsum(v) if exact else F.sum(v)
-            aggs.append(F.coalesce(s, F.lit(0.0)).alias(v))
-        elif how == "mean":
-            if exact:
-                aggs.append(dmean(v).alias(v))
-            else:
-                aggs.append(F.avg(v).alias(v))
-        else:
-            raise ValueError(how)
-    return allrows.groupBy(*keys, ds).agg(*aggs)
+    if how not in ("sum", "mean"):
+        raise ValueError(how)
+    if bounds not in ("entity", "global"):
+        raise ValueError(bounds)
+    agg = {("sum", True): dsum, ("sum", False): F.sum, ("mean", True): dmean, ("mean", False): F.avg}[how, exact]
+    per = df.select(*keys, period_of(ds, freq).alias(ds), *values).groupBy(*keys, ds).agg(*[agg(v).alias(v) for v in values])
+    per = per.filter(F.col(ds).isNotNull())
+    w = _w(keys, ds)
+    nxt = F.lead(ds).over(w)
+    lo, hi = F.col(ds), F.coalesce(F.last_day(F.add_months(nxt, -1)) if freq == "month" else F.date_sub(nxt, 1), F.col(ds))
+    if bounds == "global":
+        per = attach_scalars(per, per.agg(F.min(ds).alias("_lo"), F.max(ds).alias("_hi")))
+        lo = F.when(F.lag(ds).over(w).isNull(), F.col("_lo")).otherwise(lo)
+        hi = F.when(nxt.isNull(), F.col("_hi")).otherwise(hi)
+    rows = per.withColumns({"_from": lo, "_to": hi}).withColumn(
+        "_p", F.explode(_spine_sequence(F.col("_from"), F.col("_to"), freq)))
+    empty = F.lit(0.0 if how == "sum" else None).cast("double")
+    own = [F.when(F.col("_p") == F.col(ds), F.coalesce(v, empty)).otherwise(empty).alias(v) for v in values]
+    return rows.select(*keys, F.col("_p").alias(ds), *own)
 
 
 def _w(keys: Sequence[str], order: str | Sequence[str]):
