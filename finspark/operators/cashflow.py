@@ -47,12 +47,12 @@ def impute_low_cost(df: DataFrame, cost: str, base: str, floor: float = 0.01, sh
     return df.withColumns(cols)
 
 
-def net_debt_activity(debt: DataFrame, keys: Sequence[str], ds: str = "ds") -> DataFrame:
+def net_debt_activity(debt: DataFrame, keys: Sequence[str], ds: str = "ds", also: Sequence[str] = ()) -> DataFrame:
     """Debt legs: nulls -> 0, total = long + short, net financing = change of
     total vs the previous debt row (first row 0). Taken on the debt table
     itself, before it is joined to the income months."""
     d = ensure_columns(debt, {"long_term_debt": "double", "short_term_debt": "double"})
-    d = d.select(*keys, ds,
+    d = d.select(*keys, ds, *also,
                  F.coalesce(F.col("long_term_debt").cast("double"), F.lit(0.0)).alias("long_term_debt"),
                  F.coalesce(F.col("short_term_debt").cast("double"), F.lit(0.0)).alias("short_term_debt"))
     d = d.withColumn("_total_debt", F.col("long_term_debt") + F.col("short_term_debt"))
@@ -64,7 +64,7 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
                    indicators: DataFrame | None = None, debt: DataFrame | None = None,
                    keys: Sequence[str] = (), ds: str = "ds", opex_floor: float = 0.01,
                    opex_share: float = 0.15, driver_cols: Sequence[str] | None = None,
-                   month_end: bool = False) -> DataFrame:
+                   month_end: bool = False, legs: DataFrame | None = None) -> DataFrame:
     """D-09: one row per (keys, month) of ``income`` with capex, drivers,
     debt and the derived cash-flow legs.
 
@@ -76,6 +76,10 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
       (D-10); CFO = revenue - (cogs + opex + interest + taxes); CFI = -capex;
       CFF = net financing; net = CFO + CFI + CFF.
 
+    ``legs`` gives capex and debt together, one row per (keys, month) with
+    ``capex_outflow`` and the debt columns: where both come from one source,
+    it is read and joined once. It replaces ``capex`` and ``debt``.
+
     ``month_end=True`` declares that every input's ``ds`` is already a month
     end, so periods are not re-snapped (keeps the inputs' partitioning).
 
@@ -86,7 +90,10 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
     """
     keys = list(keys)
     # G1: a missing number may arrive as NaN; coalesce would keep it.
-    income, capex, indicators, debt = (None if t is None else clean_numeric(t) for t in (income, capex, indicators, debt))
+    if legs is not None and (capex is not None or debt is not None):
+        raise ValueError("legs replaces capex and debt")
+    income, capex, indicators, debt, legs = (None if t is None else clean_numeric(t)
+                                             for t in (income, capex, indicators, debt, legs))
 
     def period(df):
         return F.col(ds) if month_end else F.last_day(F.col(ds).cast("date"))
@@ -95,7 +102,12 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
     fact = inc.select(*keys, period(inc).alias(ds),
                       *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in INCOME_COLUMNS])
 
-    if capex is not None:
+    if legs is not None:
+        lg = legs.withColumn(ds, period(legs))
+        db = net_debt_activity(lg, keys, ds, also=["capex_outflow"])
+        fact = fact.join(db, keys + [ds], "left")
+        fact = fact.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("capex_outflow", *DEBT_COLUMNS)})
+    elif capex is not None:
         cx = capex.groupBy(*keys, period(capex).alias(ds)).agg(
             dsum("capex_outflow").alias("capex_outflow"))
         fact = fact.join(cx, keys + [ds], "left")
@@ -103,7 +115,9 @@ def cash_flow_fact(income: DataFrame, capex: DataFrame | None = None,
     else:
         fact = fact.withColumn("capex_outflow", F.lit(0.0))
 
-    if debt is not None:
+    if legs is not None:
+        pass
+    elif debt is not None:
         db = net_debt_activity(debt.withColumn(ds, period(debt)), keys, ds)
         fact = fact.join(db, keys + [ds], "left")
         fact = fact.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in DEBT_COLUMNS})

@@ -42,8 +42,8 @@ def query(name: str):
 def q_cash_flow_fact(spark, sf):
     """D-09 flagship: income + capex + debt + drivers per (nation, month)."""
     return cashflow.cash_flow_fact(
-        fx.income(spark, sf, by="nation"), capex=fx.capex(spark, sf),
-        indicators=fx.drivers(spark, sf), debt=fx.debt(spark, sf), keys=["entity"], ds="ds", month_end=True)
+        fx.income(spark, sf, by="nation"), legs=fx.capex_and_debt(spark, sf),
+        indicators=fx.drivers(spark, sf), keys=["entity"], ds="ds", month_end=True)
 
 
 @query("opex_sanity_patch")

@@ -109,6 +109,13 @@ def debt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_monthly(spark, sf_dir).select("entity", "ds", "long_term_debt", "short_term_debt")
 
 
+def capex_and_debt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both of the above from one pass over the orders: one row per month
+    with orders, no capex where none is urgent."""
+    return orders_monthly(spark, sf_dir).select(
+        "entity", "ds", F.when(F.col("n_urgent") > 0, F.col("capex")).alias("capex_outflow"), "long_term_debt", "short_term_debt")
+
+
 def _mean(c: Column) -> Column:
     return F.try_divide(unscaled(F.sum(scaled(c))), F.count(c).cast("double"))
 

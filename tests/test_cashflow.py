@@ -73,3 +73,15 @@ def test_missing_month_ffill_and_debt_diff_before_join(spark):
     assert [r["idx"] for r in out] == [5.0, 5.0, 5.0]
     # diff is taken on debt rows (Dec -> Feb = +5), January has no debt row -> 0
     assert [r["net_debt_financing_activity"] for r in out] == [0.0, 5.0, 0.0]
+
+
+def test_legs_give_what_capex_and_debt_give(spark):
+    ds = [month_end(i) for i in range(5)]
+    inc = spark.createDataFrame([("e", d, 100.0) for d in ds], "k string, ds date, revenue double")
+    both = spark.createDataFrame([("e", d, 7.0 * i if i % 2 else None, 10.0 + i, None) for i, d in enumerate(ds[1:])],
+                                 "k string, ds date, capex_outflow double, long_term_debt double, short_term_debt double")
+    apart = cf.cash_flow_fact(inc, both.select("k", "ds", "capex_outflow"), None,
+                              both.select("k", "ds", "long_term_debt", "short_term_debt"), ["k"])
+    assert rows(cf.cash_flow_fact(inc, keys=["k"], legs=both), ["ds"]) == rows(apart, ["ds"])
+    with pytest.raises(ValueError):
+        cf.cash_flow_fact(inc, capex=both, keys=["k"], legs=both)
