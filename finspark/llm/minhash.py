@@ -27,7 +27,8 @@ what meets is packed by hash slices; a leader's candidates are verified in
 lots of ``LOT`` with the leader's text sent to each lot.
 
 Defined results: null, empty or blank text = empty set, linked with nothing;
-one word = the set of it; an exact repetition of a row counts as its copy;
+one word = the set of it; an exact repetition of a row counts as its copy; a
+row without an id is kept, without a component, and compared with nothing;
 an empty table gives an empty result.
 """
 
@@ -110,16 +111,18 @@ def sketch_table(docs: DataFrame, k: int, bands: int, rows: int, buckets: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, most=2 << 20):
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+                known = part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+                ids = part.column("doc_id").fill_null(0).to_numpy()
                 sets = [shingles(x.as_py(), k) for x in part.column("text")]
                 n = np.array([len(x) for x in sets], np.int64)
                 fps = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
                 fp = np.array([np.frombuffer(f, "<u8")[0] for f in fps], np.uint64)
-                full = np.flatnonzero(n > 0)
+                full = np.flatnonzero((n > 0) & known)
                 s = sketches([sets[i] for i in full], bands * rows)
                 nothing = [None] * len(sets)
-                cols = [ids, n, fps, nothing, nothing, nothing, nothing, nothing]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kinds)], schema=kinds)
+                cols = [part.column("doc_id"), n, fps, nothing, nothing, nothing, nothing, nothing]
+                yield pa.RecordBatch.from_arrays(
+                    [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, kinds)], schema=kinds)
                 # Equal sets of the slice send one entry, of the smallest id.
                 order = full[np.lexsort((ids[full], fp[full]))]
                 one = order[np.concatenate(([True], fp[order][1:] != fp[order][:-1]))] if len(order) else order
@@ -283,8 +286,8 @@ def near_duplicates(docs: DataFrame, k: int = 2, share: int = 80, bands: int = B
     more = stored(rest_links(texts, met, labels, k, share, bands, rows), "rest")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    classes = own.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("node"))
+    classes = own.filter("n > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
     classes = classes.join(labels, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    out = own.select("doc_id", "n", F.when(F.col("n") > 0, F.col("fp")).alias("fp")).join(classes, "fp", "left")
+    out = own.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("fp")).alias("fp")).join(classes, "fp", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
-                      ).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+                      ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -13,8 +13,8 @@ the document, so memory and time of a task do not grow with the corpus; each
 shard wastes a fraction of one sequence, which is a share of 1/thousands.
 Only lengths and checksums move between tasks unless ids are asked for.
 
-Defined results: null or empty text = the end id alone; repeated rows are
-packed each; an empty table gives an empty result.
+Defined results: null or empty text = the end id alone; repeated rows and
+rows without an id are packed each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -222,11 +222,11 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, most_pieces: in
     shards = max(1, -(-docs.count() // shard_rows))
     cut = cut.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
 
-    def group(key, pdf):
-        pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
-        place, offset = best_fit(pdf["length"].to_numpy(np.int64), size, most_pieces, attention, rule, weights)
-        pdf["sequence_id"], pdf["offset"] = (int(key[0]) << 32) + place, offset
-        return pdf.drop(columns="_shard")
+    def group(key, table):
+        table = table.sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")])
+        place, offset = best_fit(table.column("length").to_numpy(), size, most_pieces, attention, rule, weights)
+        return table.drop_columns("_shard").append_column(
+            "sequence_id", pa.array((key[0].as_py() << 32) + place)).append_column("offset", pa.array(offset))
 
     out = PIECES + (", ids binary" if keep_ids else "") + ", sequence_id bigint, offset bigint"
-    return cut.groupBy("_shard").applyInPandas(group, out)
+    return cut.groupBy("_shard").applyInArrow(group, out)

@@ -53,7 +53,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame | None = No
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     score = toxicity.score_column(toxicity_model(spark, sf_dir), F.col("text"))
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (fold_of(F.col("doc_id")) == 0).alias("held_out"),
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
                        score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

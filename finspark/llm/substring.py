@@ -23,7 +23,8 @@ share one exchange.
 
 Defined results: null or empty text = no words, empty kept text; documents
 with fewer words than a window keep all; ties of id (repeated rows) are
-ordered by text, so an exact repetition of a row counts as later; an empty
+ordered by text, so an exact repetition of a row counts as later; rows
+without an id come after all others; an empty
 table gives an empty result.
 """
 
@@ -40,6 +41,8 @@ from .common import (GROUP_BYTES, WordHash, bucket_edges, covered, from_low, gro
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                  ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])
 OUT_DDL = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string"
+#: Rows without an id come after all others.
+NO_ID = (1 << 63) - 1
 _WORDS = WordHash()
 
 
@@ -53,6 +56,8 @@ class Group:
     hashes; ``rows`` are the row numbers, shorter documents left out."""
 
     def __init__(self, table: pa.Table, least: int):
+        ids = pc.fill_null(table.column("doc_id"), NO_ID)
+        table = table.set_column(table.schema.get_field_index("doc_id"), "doc_id", ids)
         order = pc.sort_indices(table, [("doc_id", "ascending"), ("text", "ascending")])
         self.table = table.take(order)
         self.ids = self.table.column("doc_id").to_numpy()
@@ -175,7 +180,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
             if r in inside and (m := gone[slice(*inside[r])]).any():
                 spans = [{"start": int(a), "end": int(b)} for a, b in runs(m)]
                 words = [w for w, x in zip(words, m.tolist()) if not x]
-            for c, v in zip(cols, (int(i), n, n - len(words), spans, b" ".join(words).decode("utf-8", "surrogatepass"))):
+            for c, v in zip(cols, (None if i == NO_ID else int(i), n, n - len(words), spans, b" ".join(words).decode("utf-8", "surrogatepass"))):
                 c.append(v)
         return pa.table([pa.array(c, f.type) for c, f in zip(cols, OUT)], schema=OUT)
 

@@ -23,7 +23,8 @@ else (another document or place) is removed; matches stay inside documents.
 Work grows with the text (1, 4) and the text around repeats' ends (2, 3),
 never with pairs; a shard holds ``SHARD_BYTES`` at once.
 
-Defined results: null text = empty; texts shorter than ``length`` keep all;
+Defined results: null text = empty; rows without an id are neither cut nor
+searched; texts shorter than ``length`` keep all;
 exact repetitions of a row repeat each other; an empty table gives an empty
 result. What is kept are bytes: a cut may split a character.
 """
@@ -203,7 +204,7 @@ def repeated_windows(texts: list[bytes], length: int) -> tuple[np.ndarray, np.nd
 def repeats(docs: DataFrame, length: int, group_bytes: int = GROUP_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, ver, start, end): bytes covered by repeated windows; ``ver``
     is the text's hash. ``docs`` has doc_id and text."""
-    d, groups = grouped(docs, group_bytes)
+    d, groups = grouped(docs.filter("doc_id is not null"), group_bytes)
     buckets = min(groups, 1 << 24)
     i32, i64, blob = pa.int32(), pa.int64(), pa.binary()
 
@@ -366,28 +367,32 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
         raise ValueError(f"length: {2 * K} bytes at least")
     texts = id_text(docs, id_col, text_col)
     per = spans_by_document(texts, length, group_bytes, shard_bytes)
-    return texts.join(per.withColumnRenamed("_id", "doc_id"), "doc_id", "left").mapInArrow(_remove, OUT_DDL)
+    return texts.join(per, "doc_id", "left").mapInArrow(_remove, OUT_DDL)
 
 
 def spans_by_document(texts: DataFrame, length: int, group_bytes: int = GROUP_BYTES,
                       shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """_id and _spans (version, start, end); a document has few after merging."""
+    """doc_id and _spans (version, start, end); a document has few after merging."""
     spans = repeats(texts, length, group_bytes, shard_bytes)
-    return spans.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("ver", "start", "end")).alias("_spans"))
+    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("ver", "start", "end")).alias("_spans"))
 
 
 def without_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all columns, with the repeated bytes taken out of the text; a
     character that a cut splits goes. Null texts stay null."""
-    per = spans_by_document(id_text(docs, id_col, text_col), length)
+    own = {"doc_id": "_id", "_spans": "_spans"}  # names that the documents don't have
+    for k in own:
+        while own[k] in docs.columns:
+            own[k] += "_"
+    per = spans_by_document(id_text(docs, id_col, text_col), length).withColumnsRenamed(own)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else t if s is None else _kept(t.encode("utf-8", "surrogatepass"), s)[0].decode(
             "utf-8", "ignore") for t, s in zip(texts, spans)], dtype=object)
 
-    joined = docs.join(per, F.col(id_col).cast("bigint") == F.col("_id"), "left")
-    return joined.withColumn(text_col, cut(F.col(text_col).cast("string"), "_spans")).select(*docs.columns)
+    joined = docs.join(per, F.col(id_col).cast("bigint") == F.col(own["doc_id"]), "left")
+    return joined.withColumn(text_col, cut(F.col(text_col).cast("string"), own["_spans"])).select(*docs.columns)
 
 
 def _kept(raw: bytes, spans) -> tuple[bytes, int]:

@@ -20,7 +20,7 @@ only digests and ids are grouped, never payloads.
 
 Defined results: null html is the empty payload; empty payloads equal each
 other; repeated page ids are written each, the response being chosen by id
-and digest; an empty table gives an empty result.
+and digest; a page without an id is a response of its own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -137,12 +137,12 @@ def members(read: Callable[[int, int], bytes], size: int) -> dict[str, tuple[int
 
 # --- WARC ------------------------------------------------------------------
 
-def record(page_id: int, url: str | None, payload: bytes, own: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, own: str, refers_to: int | None) -> bytes:
     """One gzip member: a resource-like response, or a revisit without payload."""
     kind = "response" if refers_to is None else "revisit"
     heads = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id} {own}')}>"),
              ("WARC-Date", DATE), ("WARC-Target-URI", re.sub(r"[\r\n]", " ", url or "")), ("WARC-Payload-Digest", f"sha1:{own}"),
-             ("X-Page-Id", str(page_id)), ("X-Payload-Length", str(len(payload)))]
+             ("X-Page-Id", "" if page_id is None else str(page_id)), ("X-Payload-Length", str(len(payload)))]
     body = payload
     if refers_to is not None:
         heads += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
@@ -166,7 +166,7 @@ def parsed(member: bytes) -> dict:
     own, response = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"] == "response"
     if response and digest(body) != own:
         raise ValueError(f"damaged payload of page {head['X-Page-Id']}")
-    return {"page_id": int(head["X-Page-Id"]), "url": head["WARC-Target-URI"], "record_type": head["WARC-Type"],
+    return {"page_id": int(head["X-Page-Id"]) if head["X-Page-Id"] else None, "url": head["WARC-Target-URI"], "record_type": head["WARC-Type"],
             "payload_digest": own, "payload_bytes": len(body) if response else int(head["X-Payload-Length"]),
             "refers_to": None if response else int(head["X-Refers-To-Page-Id"]), "payload": body if response else None}
 

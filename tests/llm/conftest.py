@@ -10,7 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                      T.StructField("n_chars", T.LongType()), T.StructField("n_words", T.StringType()),
-                     T.StructField("_g", T.StringType()), T.StructField("score", T.StringType())])
+                     T.StructField("_g", T.StringType()), T.StructField("score", T.StringType()),
+                     T.StructField("_id", T.StringType()), T.StructField("_spans", T.StringType())])
 
 
 @pytest.fixture
@@ -18,7 +19,7 @@ def docs_of(spark):
     """A documents table (with clashing extra columns) of (doc_id, text[, source]) rows."""
 
     def make(rows, partitions=3):
-        rows = [(r[0], r[1], None, r[2] if len(r) > 2 else "s", len(r[1] or ""), "x", None, "y") for r in rows]
+        rows = [(r[0], r[1], None, r[2] if len(r) > 2 else "s", len(r[1] or ""), "x", None, "y", "z", None) for r in rows]
         return spark.createDataFrame(rows, DOCS).repartition(partitions)
 
     return make

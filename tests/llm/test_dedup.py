@@ -8,7 +8,8 @@ import pytest
 
 from finspark.llm import components, minhash, substring, suffix
 
-ODD = [(900, None), (901, ""), (902, " \t\n"), (903, "one"), (904, "one"), (905, "é " * 3)]
+ODD = [(900, None), (901, ""), (902, " \t\n"), (903, "one"), (904, "one"), (905, "é " * 3),
+       (906, " ".join(f"l{k}" for k in range(30_000)))]
 
 
 def corpus(seed=1, n=60, vocab=400):
@@ -59,6 +60,18 @@ def test_substring_empty_table_and_repeated_rows(docs_of):
     assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (1, 25), (2, 25)]
 
 
+def test_rows_without_an_id(docs_of):
+    t = " ".join(f"w{k}" for k in range(150))
+    rows = [(3, t), (None, t), (None, "x"), (None, None), (4, t + " y")]
+    got = substring.substring_dedup(docs_of(rows)).collect()
+    assert sorted((r.doc_id or -1, r.n_words, r.n_removed) for r in got) == [(-1, 0, 0), (-1, 1, 0), (-1, 150, 150), (3, 150, 0), (4, 151, 150)]
+    got = suffix.remove_repeats(docs_of(rows)).collect()
+    assert sorted((r.doc_id or -1, r.n_removed) for r in got) == [(-1, 0), (-1, 0), (-1, 0), (3, len(t)), (4, len(t))]
+    assert suffix.without_repeats(docs_of(rows)).count() == 5
+    got = minhash.near_duplicates(docs_of(rows)).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [(-1, -1, True)] * 3 + [(3, 3, True), (4, 3, False)]
+
+
 def byte_rows(seed=3):
     r = random.Random(seed)
     text = lambda k: "".join(r.choice("abcdefgh \né") for _ in range(k))

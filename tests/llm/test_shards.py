@@ -65,6 +65,12 @@ def test_foreign_zip_with_comment_and_deflated_member():
         warc.members(lambda a, n: b"no"[a:a + n], 2)
 
 
+def test_pages_without_an_id(spark):
+    df = spark.createDataFrame([(None, "u", "p", ""), (4, "u", "p", ""), (9, "u", "p", "")], PAGES)
+    got = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in warc.read_archives(warc.write_archives(df)).collect())
+    assert got == [(0, "response", None), (4, "response", None), (9, "revisit", 4)]
+
+
 def test_archive_files_by_spark(spark, tmp_path):
     (tmp_path / "one.wacz").write_bytes(warc.archive([(1, warc.record(1, "u", b"p", warc.digest(b"p"), None))]))
     got = warc.read_archives(warc.archives_in(spark, str(tmp_path))).collect()
@@ -78,6 +84,7 @@ def test_warc_empty_table(spark):
 def test_interleaving(docs_of):
     rows = [(i, f"t{i}" if i % 9 else None, "hot" if i % 3 == 0 else ["a", "b", None][i % 3]) for i in range(700)]
     rows += [(5, "t5", "a")] * 2 + [(6, "", "c")]
+    rows += [(1 << 60, None, None)]
     got = sharding.interleave(docs_of(rows, 5), 16, seed=3).collect()
     assert len(got) == len(rows)
     sizes = Counter(r.shard for r in got)
@@ -113,9 +120,10 @@ def test_packing_ids_and_places(docs_of):
 
     tok = Tokenizer.from_file(tokenizer_path())
     odd = ["a  b", " x", "x ", "a\n\nb", "\n", "tab\tz", "it's 12 é<|endoftext|>", "a \n b", "wide　x", "Été, ß."]
-    rows = [(i, t) for i, t in enumerate(odd)] + [(50, None), (51, ""), (60, "word and more. " * 90), (60, "word and more. " * 90)]
+    rows = [(i, t) for i, t in enumerate(odd)] + [(50, None), (51, ""), (60, "word and more. " * 90), (60, "word and more. " * 90),
+                                                   (None, "no id")]
     got = packing.pack(docs_of(rows), tokenizer_path(), size=64, keep_ids=True).collect()
-    for i, t in dict(rows).items():
+    for i, t in dict(rows[:-1]).items():
         want = tok.encode(t or "", add_special_tokens=False).ids + [0]
         own = sorted((r for r in got if r.doc_id == i), key=lambda r: r.piece)
         own = own[::2] if i == 60 else own
@@ -126,6 +134,7 @@ def test_packing_ids_and_places(docs_of):
             assert k == 0 or r.length == 64
             at += r.length
     check_packing(got, 64)
+    assert len([r for r in got if r.doc_id is None]) == 1
     assert packing.pack(docs_of([]), tokenizer_path()).count() == 0
 
 
