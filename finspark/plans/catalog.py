@@ -546,15 +546,38 @@ def q_forecast_trend(spark, sf):
 
 @query("forecast_gram")
 def q_forecast_gram(spark, sf):
-    """D-14 fit statistics: the exact Gram aggregate of the revenue model's
-    design (trend, 3 seasonal pairs, 4 standardised drivers) per nation."""
-    df = _forecast_input(spark, sf).filter(F.col("component") == "inflow_operating_revenue").drop("component")
+    """D-14 fit statistics: the exact Gram aggregate of every model's design
+    (trend, 3 seasonal pairs, 4 standardised drivers) per nation and component."""
+    return _gram_of(_forecast_input(spark, sf))
+
+
+def _gram_of(df):
+    keys = ["entity", "component"]
     obs = df.filter(F.col("y").isNotNull())
-    w = Window.partitionBy("entity").orderBy(F.col("ds").desc())
+    w = Window.partitionBy(*keys).orderBy(F.col("ds").desc())
     train = obs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 6).drop("_rn")
-    stats = fc.series_stats(train, ["entity"], "ds", "y", DRIVERS)
-    x = fc.design(train, stats, ["entity"], "ds", DRIVERS).withColumn("_t", fc.target_expr("y"))
-    return fc.gram(x, ["entity"], fc.feature_names(3, DRIVERS))
+    stats = fc.series_stats(train, keys, "ds", "y", DRIVERS)
+    x = fc.design(train, stats, keys, "ds", DRIVERS).withColumn("_t", fc.target_expr("y"))
+    return fc.gram(x, keys, fc.feature_names(3, DRIVERS))
+
+
+@query("forecast_fit_check")
+def q_forecast_fit_check(spark, sf):
+    """D-14 fit: of every series the training rows, the training end, and
+    whether the fitted coefficients solve the normal equations of its Gram
+    sums (the oracle expects every series, all solved)."""
+    df = _forecast_input(spark, sf)
+    keys = ["entity", "component"]
+    ridge = 0.1
+    model = fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6, ridge=ridge, interval_calibration=0)
+    both = _gram_of(df).join(model.select(*keys, "beta", "_ymu", "_ysd", "n_fit", "train_end"), keys, "left")
+    p = len(fc.feature_names(3, DRIVERS))
+    b = [(F.element_at("beta", i + 1) - (F.col("_ymu") if i == 0 else F.lit(0.0))) / F.col("_ysd") for i in range(p)]
+    solved = F.lit(True)
+    for i in range(p):
+        left = sum((F.col(f"g_{min(i, j)}_{max(i, j)}") * b[j] for j in range(p)), F.lit(ridge if i >= 2 else 0.0) * b[i])
+        solved = solved & (F.abs(left - F.col(f"xy_{i}")) <= F.lit(1e-7) * (F.lit(1.0) + F.abs(F.col(f"xy_{i}")) + F.col("n")))
+    return both.select(*keys, F.col("n").alias("n_gram"), "n_fit", "train_end", F.coalesce(solved, F.lit(False)).alias("solved"))
 
 
 @query("forecast_components")

@@ -655,7 +655,12 @@ def _fixed(v: str) -> str:
             f"else floor(({v}) * 10000.0 + 0.5) end as bigint)")
 
 
-def _gram_sql() -> str:
+#: Components of the forecast, as in the Spark queries.
+_FITTED = ("inflow_operating_revenue", "outflow_cogs", "outflow_opex")
+
+
+def _gram_sql(what: str | None = None) -> str:
+    """The Gram sums of every series, or other aggregates of the design rows."""
     import math
     drivers = DRV
     feats = ["x_intercept", "x_trend"] + [f"x_{a}{k}" for k in (1, 2, 3) for a in ("sin", "cos")] + \
@@ -678,26 +683,29 @@ def _gram_sql() -> str:
     aggs.append(f"cast(sum(t * t) as double) / {sq} AS yy")
     stats = ", ".join([f"avg({d}) AS mu_{d}, stddev_samp({d}) AS sd_{d}" for d in drivers])
     ly = "case when y > 0 then ln(y) end"
+    parts = " UNION ALL ".join(f"SELECT entity, ds, '{c}' AS component, {c} AS y FROM f" for c in _FITTED)
     return f"""
 WITH f AS ({CASH_FLOW_FACT}),
 dn AS ({DRIVERS_NATION}),
-o AS (SELECT f.entity, f.ds, f.inflow_operating_revenue AS y, {', '.join('dn.' + d for d in drivers)}
-      FROM f LEFT JOIN dn ON f.entity = dn.entity AND f.ds = dn.ds WHERE f.inflow_operating_revenue IS NOT NULL),
-tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ds DESC) AS rn FROM o) WHERE rn > 6),
-st0 AS (SELECT entity, min(year(ds) * 12 + month(ds)) AS m0, min(y) > 0 AS mult,
+c AS ({parts}),
+o AS (SELECT c.entity, c.component, c.ds, c.y, {', '.join('dn.' + d for d in drivers)}
+      FROM c LEFT JOIN dn ON c.entity = dn.entity AND c.ds = dn.ds WHERE c.y IS NOT NULL),
+tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, component ORDER BY ds DESC) AS rn FROM o) WHERE rn > 6),
+st0 AS (SELECT entity, component, min(year(ds) * 12 + month(ds)) AS m0, min(y) > 0 AS mult,
                avg({ly}) AS mu_log, stddev_samp({ly}) AS sd_log, avg(y) AS mu_lin, stddev_samp(y) AS sd_lin,
-               {stats} FROM tr GROUP BY 1),
+               {stats} FROM tr GROUP BY 1, 2),
 st AS (SELECT *, coalesce(case when mult then mu_log else mu_lin end, 0.0) AS ymu,
               coalesce(case when (case when mult then sd_log else sd_lin end) > 0
                             then (case when mult then sd_log else sd_lin end) end, 1.0) AS ysd FROM st0),
-x AS (SELECT tr.entity, {', '.join(f'{v} AS {k}' for k, v in fx.items())},
+x AS (SELECT tr.entity, tr.component, tr.ds, {', '.join(f'{v} AS {k}' for k, v in fx.items())},
              {_fixed("((case when st.mult then ln(y) else y end) - ymu) / ysd")} AS t
-      FROM tr JOIN st ON tr.entity = st.entity)
-SELECT entity, {', '.join(aggs)} FROM x WHERE t IS NOT NULL GROUP BY entity
+      FROM tr JOIN st ON tr.entity = st.entity AND tr.component = st.component)
+SELECT entity, component, {', '.join(aggs) if what is None else what} FROM x WHERE t IS NOT NULL GROUP BY entity, component
 """
 
 
 ORACLE["forecast_gram"] = _gram_sql()
+ORACLE["forecast_fit_check"] = _gram_sql("count(t) AS n_gram, count(t) AS n_fit, max(ds) AS train_end, true AS solved")
 
 ORACLE["training_frame"] = f"""
 WITH sp AS ({ORACLE["history_splice"]}),

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas")
-PYTHON_ALLOWED = {"forecast_components", "scenario_forecast_comparison"}
+PYTHON_ALLOWED = {"forecast_components", "forecast_fit_check", "scenario_forecast_comparison"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
