@@ -89,6 +89,17 @@ def anchors(g: Group, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return u, is_block, count > 1, starts, back
 
 
+def short_ids(ids: np.ndarray) -> tuple[int, bytes]:
+    """The least id, and the distances to it in four bytes each where they fit."""
+    least = int(ids.min())
+    wide = int(ids.max()) - least >= 1 << 32
+    return least, ids.astype("<i8").tobytes() if wide else (ids - least).astype("<u4").tobytes()
+
+
+def long_ids(least: int, packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, "<i8") if len(packed) == 8 * n else np.frombuffer(packed, "<u4").astype(np.int64) + least
+
+
 def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text",
                     group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, spans (word numbers of each removed run)
@@ -122,7 +133,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
         return table_of(["_g", "_b", "hits"], rows, [i32, i32, blob])
 
     def extend(key, table, replies):
-        names, kinds = ["_b", "_g", "hashes", "more", "ids"], [i32, i32, blob, blob, blob]
+        names, kinds = ["_b", "_g", "hashes", "more", "least", "ids"], [i32, i32, blob, blob, pa.int64(), blob]
         if not table.num_rows or not replies.num_rows:
             return table_of(names, [], kinds)
         g = Group(table, window)
@@ -145,14 +156,15 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
         ids = g.ids[g.rows][np.searchsorted(g.first, at20[one], side="right") - 1] if len(u) else np.zeros(0, np.int64)
         b, at = bucket_edges(u, buckets)
         rows = [(int(k), key[0].as_py(), low_bytes(u[x:y], 8), low_bytes(more[x:y], 4),
-                 ids[x:y].astype("<i8").tobytes()) for k, x, y in zip(b, at, [*at[1:], len(u)])]
+                 *short_ids(ids[x:y])) for k, x, y in zip(b, at, [*at[1:], len(u)])]
         return table_of(names, rows, kinds)
 
     def first_of(table):
         hs = [np.frombuffer(x.as_py(), "<u8") for x in table.column("hashes")]
         n = [len(h) for h in hs]
         h, more = np.concatenate(hs), np.concatenate([from_low(x.as_py(), 4) for x in table.column("more")])
-        ids = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table.column("ids")])
+        ids = np.concatenate([long_ids(a, x, k) for a, x, k in zip(table.column("least").to_pylist(),
+                                                                   table.column("ids").to_pylist(), n)])
         order = np.lexsort((ids, more, h))
         later = np.zeros(len(h), bool)
         later[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (more[order[1:]] == more[order[:-1]])
@@ -190,6 +202,6 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     sent = by_key(d, send_anchors, "_b int, _g int, hashes binary, is_block binary, twice binary", "_g")
     hits = by_key(sent, probe, "_g int, _b int, hits binary", "_b")
     tried = d.groupBy("_g").cogroup(hits.groupBy("_g")).applyInArrow(
-        extend, "_b int, _g int, hashes binary, more binary, ids binary")
+        extend, "_b int, _g int, hashes binary, more binary, least bigint, ids binary")
     repeats = by_key(tried, first_of, "_g int, hashes binary", "_b")
     return d.groupBy("_g").cogroup(repeats.groupBy("_g")).applyInArrow(remove, OUT_DDL)

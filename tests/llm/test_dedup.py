@@ -53,6 +53,13 @@ def test_substring_other_windows(docs_of, window):
     assert {x.doc_id: (x.n_words, x.n_removed, x.kept) for x in got} == brute.substring(rows, window)
 
 
+def test_packed_ids():
+    for ids in ([5], [-3, 9, 4], [-(1 << 62), 1 << 62], [7, 7 + (1 << 32)]):
+        a = np.array(ids, np.int64)
+        assert (substring.long_ids(*substring.short_ids(a), len(a)) == a).all()
+    assert len(substring.short_ids(np.array([1 << 40, 1 + (1 << 40)]))[1]) == 8
+
+
 def test_substring_empty_table_and_repeated_rows(docs_of):
     assert substring.substring_dedup(docs_of([])).count() == 0
     t = " ".join(map(str, range(25)))
