@@ -10,12 +10,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import concat_sep, dsum, money_text, percent_text, split_trim, year_from_text
-from ..functions.names import standardise_columns, standardise_name
+from ..functions.expr import concat_sep, dsum, money_text, percent_text, split_trim, to_double_safe, year_from_text
+from ..functions.names import ensure_columns, standardise_columns, standardise_financial_name, standardise_name
 from .joins import sized_broadcast
 from .upsert import assign_keys, dedupe, insert_new, upsert
 
 
+#: The peer catalog's measures and the names that differ.
+PEER_MEASURES = ("total_revenue", "cost_of_revenue", "gross_profit", "operating_income", "interest_expense", "net_income",
+                 "total_assets", "inventory", "accounts_payable", "long_term_debt")
+PEER_RENAMES = {"year": "fiscal_year", "ap": "accounts_payable"}
+
+
 def distinct_names(sources: Sequence[DataFrame], name_col: str = "name") -> DataFrame:
     """R-46 / R-66: distinct non-null names over several sources (each source
     is a one-column DataFrame)."""
@@ -158,6 +164,35 @@ def merge_peer_financials(income_year: DataFrame, balance_year: DataFrame,
     return upsert(target, m, keys + [year])
 
 
-__all__ = ["distinct_names", "load_dimension", "lookup", "unmatched", "load_bridge", "load_fact",
+def peer_measures(raw: DataFrame, company: str = "company") -> DataFrame:
+    """One statement of text columns, as delivered: financial names (R-17),
+    ``year`` -> ``fiscal_year`` and ``ap`` -> ``accounts_payable``, the
+    catalog's measures as numbers, other columns dropped. A year that is no
+    whole number is null; a statement without a year column is an error."""
+    df = standardise_columns(raw, standardise_financial_name)
+    df = df.withColumnsRenamed({k: v for k, v in PEER_RENAMES.items() if k in df.columns and v not in df.columns})
+    if "fiscal_year" not in df.columns:
+        raise ValueError("no year column in the statement")
+    year = to_double_safe("fiscal_year")
+    own = [c for c in PEER_MEASURES if c in df.columns]
+    return df.select(company, F.when(year == F.floor(year), year.cast("int")).alias("fiscal_year"),
+                     *[money_text(c).alias(c) for c in own])
+
+
+def load_peers(income: DataFrame, balance: DataFrame, companies: DataFrame, company: str = "company",
+               target: DataFrame | None = None, name_key: str = "name", id_col: str = "id") -> DataFrame:
+    """D-08 from raw text: both statements through :func:`peer_measures`, full
+    outer join on (company, year), null years dropped, company ids looked up
+    (``companies``, kept up by :func:`load_dimension`), all ten measures
+    present, upserted on (competitor_id, fiscal_year)."""
+    keys = [company, "fiscal_year"]
+    sides = [dedupe(peer_measures(s, company).na.drop(subset=["fiscal_year"]), keys, []) for s in (income, balance)]
+    both = sides[0].join(sides[1], keys, "full_outer")
+    both = lookup(both, companies, company, name_key, id_col, "competitor_id").drop(company)
+    both = ensure_columns(both, {c: "double" for c in PEER_MEASURES})
+    return upsert(target, both.select("competitor_id", "fiscal_year", *PEER_MEASURES), ["competitor_id", "fiscal_year"])
+
+
+__all__ = ["load_peers", "peer_measures", "distinct_names", "load_dimension", "lookup", "unmatched", "load_bridge", "load_fact",
            "profile_pivot", "parse_goals", "clean_campaigns", "load_statement",
            "merge_peer_financials", "insert_new"]

@@ -289,6 +289,31 @@ def q_peer_statement_merge(spark, sf):
     return dim.merge_peer_financials(inc, bal, ["competitor_id"], "fiscal_year")
 
 
+@query("peer_load")
+def q_peer_load(spark, sf):
+    """D-08 from raw statements: text with thousands marks under delivered
+    names, an extra note, rows whose year is no number, ids by company name."""
+    sup = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("bigint").alias("entity"), "s_name", "s_nationkey")
+
+    def text(c):
+        return F.format_number(F.floor(F.col(c)).cast("bigint"), 0)
+
+    def also_undated(df):  # every row, and 1996 again without a usable year
+        years = F.when(F.col("fiscal_year") == 1996, F.array(F.lit("1996"), F.lit("n/a"))).otherwise(
+            F.array(F.col("fiscal_year").cast("string")))
+        return df.withColumn("Year", F.explode(years))
+
+    inc = also_undated(fx.income(spark, sf, by="supplier", period="year").join(sup, "entity")).select(
+        F.col("s_name").alias("Company"), "Year", text("revenue").alias("Total Revenue"),
+        text("cogs_materials").alias("Cost of Revenue"), text("interest_expense").alias("Interest-Expense"),
+        F.lit("audited").alias("Note"))
+    bal = fx.balance_year_end(spark, sf)
+    bal = also_undated(bal.join(sup, bal.nation == sup.s_nationkey)).select(
+        F.col("s_name").alias("Company"), "Year", text("total_assets").alias("Total Assets"),
+        text("accounts_payable").alias("A.P."), text("long_term_debt").alias("Long-Term Debt"))
+    return dim.load_peers(inc, bal, _supplier_dim(spark, sf))
+
+
 # ---------------------------------------------------------------- benchmark ratios
 
 

@@ -792,3 +792,18 @@ ORACLE["append_existing"] = f"""
 SELECT cast(c_custkey as bigint) AS c_custkey, c_acctbal, c_nationkey, cast(NULL as bigint) AS batch_seq FROM customer
 UNION ALL SELECT c_custkey, c_acctbal, NULL, batch_seq FROM ({_BATCH})
 """
+
+ORACLE["peer_load"] = f"""
+WITH sd AS ({_SUPP_DIM}),
+inc AS (SELECT s.s_name, i.* FROM ({INCOME_SUPPLIER_YEAR}) i JOIN supplier s ON i.entity = s.s_suppkey),
+bal AS (SELECT s.s_name, b.* FROM ({BALANCE_YEAR_END}) b JOIN supplier s ON b.nation = s.s_nationkey),
+j AS (SELECT coalesce(inc.s_name, bal.s_name) AS s_name, coalesce(inc.fiscal_year, bal.fiscal_year) AS fiscal_year,
+             floor(revenue) AS total_revenue, floor(cogs_materials) AS cost_of_revenue, floor(interest_expense) AS interest_expense,
+             floor(total_assets) AS total_assets, floor(bal.accounts_payable) AS accounts_payable,
+             floor(bal.long_term_debt) AS long_term_debt
+      FROM inc FULL JOIN bal ON inc.s_name = bal.s_name AND inc.fiscal_year = bal.fiscal_year)
+SELECT sd.id AS competitor_id, cast(fiscal_year as integer) AS fiscal_year, total_revenue, cost_of_revenue,
+       cast(NULL as double) AS gross_profit, cast(NULL as double) AS operating_income, interest_expense,
+       cast(NULL as double) AS net_income, total_assets, cast(NULL as double) AS inventory, accounts_payable, long_term_debt
+FROM j JOIN sd ON j.s_name = sd.name
+"""

@@ -159,3 +159,19 @@ def test_only_a_missing_path_is_an_absent_source(spark, tmp_path):
     with pytest.raises(Exception):
         files.optional_source(spark, str(tmp_path / "broken does not exist.parquet")).collect()
     assert files.optional_source(spark, str(tmp_path / "nowhere")) is None
+
+
+def test_peers_from_raw_text(spark):
+    inc = spark.createDataFrame([("a", "2021", "1,000", "x"), ("a", "n/a", "9", "x"), ("b", "2022", "NaN", "x")],
+                                "Company string, Year string, `Total Revenue` string, Note string")
+    bal = spark.createDataFrame([("a", "2021", "5"), ("a", "2023", ""), ("zz", "2021", "1")],
+                                "Company string, Year string, `A.P` string")
+    ids = spark.createDataFrame([("a", 1), ("b", 2)], "name string, id long")
+    out = rows(dim.load_peers(inc, bal, ids), ["competitor_id", "fiscal_year"])
+    assert [(r["competitor_id"], r["fiscal_year"], r["total_revenue"], r["accounts_payable"], r["inventory"]) for r in out] == [
+        (1, 2021, 1000.0, 5.0, None), (1, 2023, None, None, None), (2, 2022, None, None, None)]
+    again = dim.load_peers(spark.createDataFrame([("a", "2021", "7")], "company string, year string, total_revenue string"),
+                           bal, ids, target=dim.load_peers(inc, bal, ids))
+    assert {(r["competitor_id"], r["fiscal_year"]): r["total_revenue"] for r in again.collect()}[(1, 2021)] == 7.0
+    with pytest.raises(ValueError, match="year"):
+        dim.peer_measures(spark.createDataFrame([("a",)], "company string"))
