@@ -145,17 +145,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column
     y = rows["y"].to_numpy(bool) if len(rows) else np.zeros(0, bool)
     if not y.any() or y.all():
         return Model(np.zeros(0, np.int64), np.zeros(0), -35.0)
-    feats = np.concatenate([np.frombuffer(x, "<i4") for x in rows["feats"]])
-    sizes = [np.frombuffer(x, "<i4") for x in rows["sizes"]]
-    doc = np.repeat(np.arange(len(y)), [len(s) for s in sizes])
-    sent = np.repeat(np.arange(len(doc)), np.concatenate(sizes))
-    # Features of fewer than least_docs documents say nothing reliable.
-    pairs = np.unique(feats.astype(np.int64) * len(y) + doc[sent])
-    ids, n = np.unique(pairs // len(y), return_counts=True)
-    ids = ids[n >= least_docs]
-    at = np.minimum(np.searchsorted(ids, feats), max(len(ids) - 1, 0))
-    keep = ids[at] == feats if len(ids) else np.zeros(len(feats), bool)
-    w, b = fit_noisy_or(at[keep], sent[keep], doc, y, len(ids))
+    # Features of fewer than least_docs documents say nothing reliable. They
+    # are left out document by document, which bounds the driver's memory.
+    count = np.zeros(SPACE, np.int32)
+    for x in rows["feats"]:
+        count[np.unique(np.frombuffer(x, "<i4"))] += 1
+    ids = np.flatnonzero(count >= least_docs)
+    number = np.full(SPACE, -1, np.int32)
+    number[ids] = np.arange(len(ids))
+    feats, sent, doc, n_sent = [], [], [], 0
+    for k, (x, s) in enumerate(zip(rows.pop("feats"), rows.pop("sizes"))):
+        sizes = np.frombuffer(s, "<i4")
+        f = number[np.frombuffer(x, "<i4")]
+        own = np.repeat(np.arange(n_sent, n_sent + len(sizes), dtype=np.int32), sizes)
+        feats.append(f[f >= 0])
+        sent.append(own[f >= 0])
+        doc.append(np.full(len(sizes), k, np.int32))
+        n_sent += len(sizes)
+    w, b = fit_noisy_or(np.concatenate(feats), np.concatenate(sent), np.concatenate(doc), y, len(ids))
     return Model(ids[w != 0], w[w != 0], b)
 
 
