@@ -18,7 +18,7 @@ from ..session import materialize
 SLICE_BYTES = 4 << 20
 #: Text of a group of documents that is worked on together.
 GROUP_BYTES = 8 << 20
-#: Rows of 64-bit mixing: odd multipliers of a splitmix finaliser (fixed values).
+#: Odd multipliers of a splitmix finaliser (fixed values).
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
