@@ -7,9 +7,12 @@ writes it as Parquet under the shared checkpoint folder and reads it again as
 the next one's ``docs``. All but the last return the columns they were given.
 
 Defined results: rows with null or empty texts pass the filters, and pack as
-an end id alone; rows with a null id are kept by the filters; an empty table
-gives an empty result. A model of toxicity, the classes of near copies and
-the repeats are those of the documents that the stage is given.
+an end id alone; rows with a null id are kept by the filters; a row present
+more than once (same id and text) counts as one after the second stage; of
+different texts under one id each is judged by itself, and all of them stay
+unless they are near copies; an empty table gives an empty result. A model of
+toxicity, the classes of near copies and the repeats are those of the
+documents that the stage is given.
 """
 
 from __future__ import annotations
@@ -28,9 +31,22 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Only the smallest id of each class stays."""
-    gone = minhash.near_duplicates(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each class stays: of the smallest id and, within an id, of
+    the smallest hash of its text. Classes are of rows, not of ids: each row
+    gets a number, stored with it so that it is the same in every later scan."""
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    i = F.col("doc_id").cast("bigint")
+    numbered = stored(docs.withColumn(row, F.when(i.isNotNull(), F.monotonically_increasing_id())), "numbered")
+    found = minhash.near_duplicates(numbered, id_col=row).filter("doc_id is not null").withColumnRenamed("doc_id", "r")
+    rows = numbered.filter(F.col(row).isNotNull()).select(F.col(row).alias("r"), i.alias("i"), F.xxhash64("text").alias("t"))
+    # A row without shingles has no class; its repetitions share id and text.
+    some = F.col("n_shingles") > 0
+    first = found.join(rows, "r").groupBy(F.when(some, F.col("component_id")), F.when(~some, F.col("i")), F.when(~some, F.col("t"))).agg(
+        F.min(F.struct("i", "t", "r")).alias("first")).select("first.r")
+    gone = rows.select("r").join(first, "r", "left_anti").withColumnRenamed("r", row)
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,6 +79,36 @@ def test_pipeline_on_planted_cases(spark, docs_of, folder):
     assert sorted(map(tuple, final.select(*cols).collect())) == sorted(tuple(x[c] for c in cols) for x in out)
 
 
+def test_pipeline_with_repeated_rows_and_shared_ids(spark, docs_of, folder):
+    import random
+
+    r = random.Random(9)
+    words = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "lmnrst"]
+    text = lambda k: " ".join(r.choice(words) for _ in range(k)) + "."
+    twice, copied, only, under_one, without = (text(150) for _ in range(5))
+    rows = [(i, text(120)) for i in range(10, 30)]
+    rows += [(40, twice), (40, twice), (1, copied), (41, copied + " extra"), (41, only)]
+    rows += [(42, under_one), (42, under_one + " more"), (43, None), (43, None), (44, " "), (44, " ")]
+    rows += [(None, without), (None, without), (None, None)]
+    docs = docs_of(rows)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = [(x.doc_id, x.text) for x in kept.collect()]
+    of = lambda i: sorted((t for k, t in got if k == i), key=str)
+    assert of(40) == [twice] and of(1) == [copied] and of(41) == [only]
+    assert len(of(42)) == 1 and of(42)[0] in (under_one, under_one + " more")
+    assert of(43) == [None] and of(44) == [" "] and of(None) == sorted([without, without, None], key=str)
+    assert sorted(x for x in got if x[0] in range(10, 30)) == sorted(rows[:20])
+    # no stage after it takes the only copy
+    cut = corpus_pipeline.cut_repeats(spark, kept, "")
+    assert sorted(((x.doc_id, x.text) for x in cut.collect()), key=str) == sorted(got, key=str)
+    at = folder(documents=docs, labels=spark.createDataFrame([], "doc_id bigint, toxic int"),
+                benchmark=spark.createDataFrame([], "item_id bigint, text string"))
+    packed = corpus_pipeline.run(spark, at)
+    assert {x.doc_id for x in packed.collect()} == {i for i, _ in got}
+    assert packed.filter("doc_id in (40, 41)").agg({"length": "min"}).first()[0] > 100
+
+
 def test_pipeline_on_empty_tables(spark, docs_of, folder):
     at = folder(documents=docs_of([]), labels=spark.createDataFrame([], "doc_id bigint, toxic int"),
                 benchmark=spark.createDataFrame([], "item_id bigint, text string"))
