@@ -73,7 +73,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license.scan(read_table(spark, sf_dir, "documents"))
+    return license.scan(read_table(spark, sf_dir, "documents"), license.NOTICES | license.license_texts(), passages=True)
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,3 +149,21 @@ def test_license_limits(docs_of):
         license.scan(docs_of([]), notices={"x": "y" * (17 << 20)})
     assert license.scan(docs_of([]), notices={}).count() == 0
     assert license.scan(docs_of([(1, "a b")]), notices={}).count() == 0
+
+
+def test_license_passages(docs_of):
+    texts = license.license_texts()
+    assert {"mit-text", "gpl-3-text", "apache-2.0-text", "mpl-2.0-text"} <= set(texts)
+    r = random.Random(11)
+    prose = lambda k: " ".join(r.choice(["under", "the", "license", *(f"w{x}" for x in range(300))]) for _ in range(k))
+    mpl, bsd = license.NOTICES["mpl-2.0"], license.NOTICES["bsd-3-clause"]
+    rows = [(1, f"{prose(30)}\n# {mpl[:50]}\n# {mpl[50:]}\n{prose(30)}"),  # over two lines
+            (2, f"{prose(40)} {bsd} {prose(40)}"),  # inside a longer line
+            (3, f"{prose(300)}\n{texts['mit-text']}\n{prose(300)}"), (4, texts["gpl-3-text"]),  # embedded, alone
+            (5, f"{prose(90)}\n{texts['gpl-3-text']}\n{prose(4000)}"),
+            (6, f"{mpl}\n{prose(9)}"), (7, prose(500)), (8, None), (9, "")]
+    rows += [(10, f"{prose(20)} {mpl.replace('subject', 'x y z subject')} {prose(20)} {bsd} {prose(20)}")]  # two, one with words put in
+    templates = license.NOTICES | texts
+    got = sorted((x.doc_id, x.segment, x.license) for x in license.scan(docs_of(rows), templates, passages=True).collect())
+    assert got == [(1, 1, "mpl-2.0"), (2, 0, "bsd-3-clause"), (3, 1, "mit-text"), (4, -1, "gpl-3-text"), (5, 1, "gpl-3-text"),
+                   (6, 0, "mpl-2.0"), (10, 0, "bsd-3-clause"), (10, 0, "mpl-2.0")]
