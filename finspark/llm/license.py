@@ -91,8 +91,8 @@ class Templates:
         if not own or not self.smallest <= len(own) <= self.largest:
             return None
         shared: dict[int, int] = defaultdict(int)
-        for b in own.intersection(self.having):
-            for k in self.having[b]:
+        for b in own:  # an intersection with the dict would walk all of the templates' bigrams
+            for k in self.having.get(b, ()):
                 shared[k] += 1
         found = None
         for k, n in sorted(shared.items()):
