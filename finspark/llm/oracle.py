@@ -98,3 +98,49 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.q FROM reach r
 comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN comp USING (doc_id)
 """
+
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12 = rf"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+       FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+sc AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+       FROM q JOIN tf USING (term) JOIN wt USING (term), s GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM sc WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER w <= 10
+"""
+
+# crc32 bit by bit; a node's key is the run of its turns' hashes, and a node's
+# subtree is found through the path of each node's smallest member.
+OP13 = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, k, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos FROM (
+        SELECT conv_id, turn, md5(length(r) || ':' || r || x) AS k, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM t)),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+        [CAST(ascii(z) AS BIGINT) for z in string_split(CAST(conv_id AS VARCHAR), '')]),
+        lambda a, b: list_reduce(list_concat([xor(a, b)], CAST(range(8) AS BIGINT[])),
+          lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END)),
+        CAST(4294967295 AS BIGINT)) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+size AS (SELECT conv_id, count(*) AS n FROM o GROUP BY conv_id),
+built AS (SELECT c.conv_id, k, o.n, pos FROM c JOIN o ON o.conv_id = c.base AND pos <= h
+          UNION ALL SELECT c.conv_id, k, o.n, least(h, coalesce(size.n, 0)) + pos - h FROM c JOIN o USING (conv_id)
+          LEFT JOIN size ON size.conv_id = c.base WHERE pos > h),
+m AS (SELECT conv_id, pos AS depth, n, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY pos) AS key FROM built
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+node AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) AS n, left(key, length(key) - 32) AS up FROM m GROUP BY depth, key),
+kids AS (SELECT up AS key, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY up),
+last AS (SELECT conv_id, max(depth) AS depth FROM m GROUP BY conv_id),
+ends AS (SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM m JOIN last USING (conv_id, depth) GROUP BY key),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (key)),
+below AS (SELECT m.key, sum((y.n_convs - 1) * y.n) AS saved, count(*) FILTER (y.n_children = 0) AS leaves
+          FROM full_node y JOIN m ON m.conv_id = y.conv_id AND m.depth <= y.depth GROUP BY m.key)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children, CAST(leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_node x LEFT JOIN node p ON x.depth > 0 AND p.key = x.up JOIN below b ON b.key = x.key LEFT JOIN ends e ON e.key = x.key
+"""

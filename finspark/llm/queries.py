@@ -8,7 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license, minhash, oracle, packing, rules, sharding, substring, suffix, toxicity, warc
+from . import (decontaminate, license, minhash, oracle, packing, prefixes, ranked, rules, sharding, substring, suffix, tagpaths,
+               toxicity, warc)
 from .common import fold_of, read_table, stored
 
 
@@ -80,6 +81,18 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tagpaths.extract(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(prefixes.shared_heads(prefixes.turn_paths(read_table(spark, sf_dir, "conversations")), every=20, most=4))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_warc": op2_warc,
@@ -91,6 +104,9 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_license_scan": op9_license_scan,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE = {
     "op1_substring_dedup": oracle.OP1,
@@ -99,4 +115,6 @@ ORACLE = {
     "op7_suffix_array_dedup": oracle.OP7,
     "op9_license_scan": oracle.op9(license.NOTICES, 0.8),
     "op10_minhash_near_dedup": oracle.OP10,
+    "op12_ranked_search": oracle.OP12,
+    "op13_prefix_trie": oracle.OP13,
 }
