@@ -18,6 +18,7 @@ from ..operators import dimensions as dim
 from ..operators import drivers as drv
 from ..operators import forecast as fc
 from ..operators import history as hist
+from ..operators import piecewise as pw
 from ..operators import metrics as met
 from ..operators import ratios as rat
 from ..operators import rollup as ru
@@ -619,6 +620,30 @@ def q_forecast_components(spark, sf):
     return fc.predict_forecast(fut, model, keys, "ds", DRIVERS)
 
 
+@query("forecast_hinge_gram")
+def q_forecast_hinge_gram(spark, sf):
+    """D-14 piecewise trend: the sums of every candidate break's hinge column
+    with all terms and the target, from prefix sums of the monthly buckets."""
+    df = _forecast_input(spark, sf)
+    keys = ["entity", "component"]
+    w = Window.partitionBy(*keys).orderBy(F.col("ds").desc())
+    train = df.filter(F.col("y").isNotNull()).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 6).drop("_rn")
+    stats, segments = pw.segment_gram(train, keys, "ds", "y", DRIVERS)
+    return pw.hinge_sums(materialize(segments, "segments"), stats, keys, len(fc.feature_names(3, DRIVERS)))
+
+
+@query("forecast_piecewise")
+def q_forecast_piecewise(spark, sf):
+    """D-14 with a trend that may bend and bounds by lead month, per (nation,
+    component), to 24 months after the training end."""
+    df = _forecast_input(spark, sf)
+    keys = ["entity", "component"]
+    model = materialize(pw.fit_piecewise(df, keys, "ds", "y", DRIVERS, holdout=6), "piecewise")
+    drv_nat = df.select("entity", "ds", *DRIVERS).dropDuplicates(["entity", "ds"])
+    fut = fc.future_frame(df.select("entity", "component", "ds", "y"), model, drv_nat, keys, "ds", 24, DRIVERS, driver_keys=["entity"])
+    return pw.predict_piecewise(fut, model, keys, "ds", DRIVERS)
+
+
 # ---------------------------------------------------------------- more inventory coverage
 @query("training_frame")
 def q_training_frame(spark, sf):

@@ -659,12 +659,28 @@ def _fixed(v: str) -> str:
 _FITTED = ("inflow_operating_revenue", "outflow_cogs", "outflow_opex")
 
 
+_GRAM_FEATURES = ["x_intercept", "x_trend"] + [f"x_{a}{k}" for k in (1, 2, 3) for a in ("sin", "cos")] + [f"x_{d}" for d in DRV]
+
+
 def _gram_sql(what: str | None = None) -> str:
     """The Gram sums of every series, or other aggregates of the design rows."""
+    aggs = ["count(t) AS n"]
+    f, sq = _GRAM_FEATURES, "100000000.0"
+    for i in range(len(f)):
+        for j in range(i, len(f)):
+            aggs.append(f"cast(sum({f[i]} * {f[j]}) as double) / {sq} AS g_{i}_{j}")
+    for i in range(len(f)):
+        aggs.append(f"cast(sum({f[i]} * t) as double) / {sq} AS xy_{i}")
+    aggs.append(f"cast(sum(t * t) as double) / {sq} AS yy")
+    return f"""{_design_sql()}
+SELECT entity, component, {', '.join(aggs) if what is None else what} FROM x WHERE t IS NOT NULL GROUP BY entity, component
+"""
+
+
+def _design_sql() -> str:
+    """CTEs up to ``x``, the fixed-point design of every training row."""
     import math
     drivers = DRV
-    feats = ["x_intercept", "x_trend"] + [f"x_{a}{k}" for k in (1, 2, 3) for a in ("sin", "cos")] + \
-        [f"x_{d}" for d in drivers]
     ang = lambda k: f"cast(dayofyear(ds) as double) * {repr(2.0 * math.pi / 365.25 * k)}"
     fx = {"x_intercept": _fixed("1.0"),
           "x_trend": _fixed("cast(year(ds) * 12 + month(ds) - m0 as double) / 12.0")}
@@ -673,14 +689,6 @@ def _gram_sql(what: str | None = None) -> str:
         fx[f"x_cos{k}"] = _fixed(f"cos({ang(k)})")
     for d in drivers:
         fx[f"x_{d}"] = _fixed(f"coalesce(({d} - mu_{d}) / nullif(sd_{d}, 0), 0.0)")
-    sq = "100000000.0"
-    aggs = ["count(t) AS n"]
-    for i in range(len(feats)):
-        for j in range(i, len(feats)):
-            aggs.append(f"cast(sum({feats[i]} * {feats[j]}) as double) / {sq} AS g_{i}_{j}")
-    for i in range(len(feats)):
-        aggs.append(f"cast(sum({feats[i]} * t) as double) / {sq} AS xy_{i}")
-    aggs.append(f"cast(sum(t * t) as double) / {sq} AS yy")
     stats = ", ".join([f"avg({d}) AS mu_{d}, stddev_samp({d}) AS sd_{d}" for d in drivers])
     ly = "case when y > 0 then ln(y) end"
     parts = " UNION ALL ".join(f"SELECT entity, ds, '{c}' AS component, {c} AS y FROM f" for c in _FITTED)
@@ -697,16 +705,27 @@ st0 AS (SELECT entity, component, min(year(ds) * 12 + month(ds)) AS m0, min(y) >
 st AS (SELECT *, coalesce(case when mult then mu_log else mu_lin end, 0.0) AS ymu,
               coalesce(case when (case when mult then sd_log else sd_lin end) > 0
                             then (case when mult then sd_log else sd_lin end) end, 1.0) AS ysd FROM st0),
-x AS (SELECT tr.entity, tr.component, tr.ds, {', '.join(f'{v} AS {k}' for k, v in fx.items())},
+x AS (SELECT tr.entity, tr.component, tr.ds, year(tr.ds) * 12 + month(tr.ds) - m0 AS month_no, {', '.join(f'{v} AS {k}' for k, v in fx.items())},
              {_fixed("((case when st.mult then ln(y) else y end) - ymu) / ysd")} AS t
-      FROM tr JOIN st ON tr.entity = st.entity AND tr.component = st.component)
-SELECT entity, component, {', '.join(aggs) if what is None else what} FROM x WHERE t IS NOT NULL GROUP BY entity, component
-"""
+      FROM tr JOIN st ON tr.entity = st.entity AND tr.component = st.component)"""
 
 
 ORACLE["forecast_gram"] = _gram_sql()
 ORACLE["forecast_fit_check"] = _gram_sql("count(t) AS n_gram, count(t) AS n_fit, max(ds) AS train_end, true AS solved")
 
+# Hinge columns formed row by row, for every candidate break.
+ORACLE["forecast_hinge_gram"] = f"""{_design_sql()},
+size AS (SELECT entity, component, count(t) AS n, cast(max(month_no) + 1 as integer) AS months FROM x GROUP BY ALL),
+brk AS (SELECT DISTINCT entity, component, cast(floor(j * floor((months - 1) * 0.8) / 12.0) as integer) AS break_month, months
+        FROM size, range(1, 13) AS r(j) WHERE n > {len(_GRAM_FEATURES)}),
+h AS (SELECT x.*, break_month, x_trend - cast(floor(break_month / 12.0 * 10000.0 + 0.5) as bigint) AS h FROM x JOIN brk USING (entity, component)
+      WHERE break_month > 0 AND break_month < months - 1 AND month_no > break_month AND t IS NOT NULL)
+SELECT entity, component, break_month, count(*) AS n_after,
+  {', '.join(f"cast(sum(h * {f}) as double) / 100000000.0 AS hx_{i}" for i, f in enumerate(_GRAM_FEATURES))},
+  cast(sum(h * t) as double) / 100000000.0 AS hy, cast(sum(h * h) as double) / 100000000.0 AS hh
+FROM h GROUP BY entity, component, break_month
+"""
+
 ORACLE["training_frame"] = f"""
 WITH sp AS ({ORACLE["history_splice"]}),
 drv AS ({DRIVERS})
