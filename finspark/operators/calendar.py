@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import dmean, dsum, month_end
 from .joins import attach_scalars
+from .scans import carry
+
 
 def period_of(c, freq: str = "month"):
     if freq == "month":
@@ -96,33 +98,53 @@ def _w(keys: Sequence[str], order: str | Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def fill_forward(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
+def _orders(order: str | Sequence[str]) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
+
+
+def fill_forward(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], cols: Sequence[str], hot: bool = False) -> DataFrame:
     """R-56: last non-null value up to the current row, per entity."""
+    if hot or not keys:
+        return carry(df, keys, _orders(order), forward={c: c for c in cols})
     w = _w(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
-def fill_backward(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
+def fill_backward(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], cols: Sequence[str], hot: bool = False) -> DataFrame:
     """The next non-null value: the last one in descending order, so the
     frame only grows (one pass) instead of being rebuilt for each row."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if hot or not keys:
+        return carry(df, keys, _orders(order), backward={c: c for c in cols})
+    w = _backwards(keys, order)
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
-def fill_both(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
-              default: float = 0.0) -> DataFrame:
+def _backwards(keys: Sequence[str], order: str | Sequence[str]):
+    return (Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in _orders(order)])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def fill_both(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], cols: Sequence[str],
+              default: float = 0.0, hot: bool = False) -> DataFrame:
     """R-57: forward fill, then backward fill, then a constant."""
+    if hot or not keys:
+        behind = {f"_behind_{c}": c for c in cols}
+        out = carry(df, keys, _orders(order), forward={c: c for c in cols}, backward=behind)
+        return out.withColumns({c: F.coalesce(c, f"_behind_{c}", F.lit(default)) for c in cols}).drop(*behind)
     wf = _w(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wb = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wb = _backwards(keys, order)
     return df.withColumns({
         c: F.coalesce(F.last(c, ignorenulls=True).over(wf), F.last(c, ignorenulls=True).over(wb),
                       F.lit(default))
         for c in cols})
 
 
-def diff_prev(df: DataFrame, keys: Sequence[str], order: str, col: str, out: str) -> DataFrame:
+def diff_prev(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], col: str, out: str, hot: bool = False) -> DataFrame:
     """R-54: ``x - previous x`` per entity; the first row (and a missing side,
     as pandas ``diff().fillna(0)``) gives 0."""
+    if hot or not keys:
+        x = carry(df, keys, _orders(order), previous={"_before": col})
+        return x.withColumn(out, F.coalesce(F.col(col) - F.col("_before"), F.lit(0.0))).drop("_before")
     w = _w(keys, order)
     return df.withColumn(out, F.coalesce(F.col(col) - F.lag(col).over(w), F.lit(0.0)))
 

@@ -22,6 +22,7 @@ from ..operators import piecewise as pw
 from ..operators import metrics as met
 from ..operators import ratios as rat
 from ..operators import rollup as ru
+from ..operators import scans
 from ..operators import upsert as ups
 from ..operators.joins import outer_merge
 from ..session import materialize
@@ -746,6 +747,27 @@ def q_statement_transpose(spark, sf):
     return transpose_statement(long, [i for i, _ in STATEMENT_ITEMS])
 
 
+@query("long_series_carries")
+def q_long_series_carries(spark, sf):
+    """R-54..R-57 on ONE series: all events by time, error readings missing:
+    the value before and behind each row, both fills and the difference."""
+    e = fx.table(spark, sf, "events").select("event_id", "ts", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    out = scans.carry(e, [], ["ts", "event_id"], forward={"filled": "value"}, backward={"next_known": "value"},
+                      previous={"before": "value"}, following={"behind": "value"})
+    return out.select("event_id", "value", "filled", "next_known", "before", "behind",
+                      F.coalesce(F.col("value") - F.col("before"), F.lit(0.0)).alias("diff"))
+
+
+@query("hot_entity_fill")
+def q_hot_entity_fill(spark, sf):
+    """R-57 at row grain where one entity holds most rows (all event types
+    but two are one entity): forward, then backward, then 0."""
+    e = fx.table(spark, sf, "events")
+    who = F.when(F.col("event_type").isin("error", "view"), F.col("event_type")).otherwise(F.lit("rest"))
+    part = e.select("event_id", "ts", who.alias("entity"), F.when(F.col("value") > 10, F.col("value")).alias("value"))
+    return cal.fill_both(part, ["entity"], ["ts", "event_id"], ["value"], 0.0, hot=True).select("event_id", "entity", "value")
+
+
 # Scenario window inside the forecast horizon of the fixtures (training ends mid-2001).
 FORECAST_SHOCK_WINDOW = ("2001-06-01", "2002-12-31")
 

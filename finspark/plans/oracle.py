@@ -826,3 +826,19 @@ SELECT sd.id AS competitor_id, cast(fiscal_year as integer) AS fiscal_year, tota
        cast(NULL as double) AS net_income, total_assets, cast(NULL as double) AS inventory, accounts_payable, long_term_debt
 FROM j JOIN sd ON j.s_name = sd.name
 """
+
+ORACLE["long_series_carries"] = """
+SELECT event_id, value, last_value(value IGNORE NULLS) OVER up AS filled, first_value(value IGNORE NULLS) OVER down AS next_known,
+       lag(value) OVER o AS before, lead(value) OVER o AS behind, coalesce(value - lag(value) OVER o, 0.0) AS diff
+FROM (SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN value END AS value FROM events)
+WINDOW o AS (ORDER BY ts, event_id), up AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       down AS (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+"""
+
+ORACLE["hot_entity_fill"] = """
+SELECT event_id, entity, coalesce(last_value(value IGNORE NULLS) OVER up, first_value(value IGNORE NULLS) OVER down, 0.0) AS value
+FROM (SELECT event_id, ts, CASE WHEN event_type IN ('error', 'view') THEN event_type ELSE 'rest' END AS entity,
+             CASE WHEN value > 10 THEN value END AS value FROM events)
+WINDOW up AS (PARTITION BY entity ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       down AS (PARTITION BY entity ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+"""
