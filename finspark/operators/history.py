@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_mean
 from ..functions.expr import dmean, gaussian_noise
 from .joins import attach_scalars
 
@@ -19,22 +20,6 @@ NOISE_STD = 0.02
 NOISE_SEED = 42
 
 
-def ordered_mean(value: Column, order: Column) -> Column:
-    """Mean of a small bounded group summed in ``order`` (sequential), so the
-    double result does not depend on partitioning. Use only where the group
-    size is bounded by a parameter (e.g. the first 12 months)."""
-    arr = F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v"))))
-    vals = F.filter(F.transform(arr, lambda s: s["v"]), lambda v: v.isNotNull())
-    return F.try_divide(F.aggregate(vals, F.lit(0.0), lambda a, v: a + v), F.size(vals).cast("double"))
-
-
-def ordered_sum(value: Column, order: Column) -> Column:
-    """Sum of a bounded group in ``order`` (sequential), null when empty."""
-    arr = F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v"))))
-    vals = F.filter(F.transform(arr, lambda s: s["v"]), lambda v: v.isNotNull())
-    return F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda a, v: a + v))
-
-
 def calibrate(actual: DataFrame, keys: Sequence[str] = (), ds: str = "ds", n: int = 12,
               revenue: str = "inflow_operating_revenue", cogs: str = "outflow_cogs",
               opex: str = "outflow_opex", which: str = "first") -> DataFrame:
@@ -50,7 +35,7 @@ def calibrate(actual: DataFrame, keys: Sequence[str] = (), ds: str = "ds", n: in
     def ratio(c: str, fallback: float) -> Column:
         if c not in actual.columns:
             return F.lit(fallback)
-        return ordered_mean(F.try_divide(F.col(c).cast("double"), rev), F.col(ds))
+        return exact_mean(F.try_divide(F.col(c).cast("double"), rev))
 
     return head.groupBy(*keys).agg(
         dmean(rev).alias("avg_revenue"),
@@ -74,12 +59,10 @@ def synthetic_history(macro: DataFrame, calib: DataFrame | None, keys: Sequence[
     keys = list(keys)
     w_last = Window.partitionBy(*keys).orderBy(F.col(ds).desc())
     m = macro.withColumn("_rn", F.row_number().over(w_last))
-    # Both means are over one entity's calendar months (bounded by the
-    # horizon, not the data volume) and are summed in date order, so they do
-    # not depend on partitioning.
+    # Exact sums: the means do not depend on partitioning.
     stats = m.groupBy(*keys).agg(
-        ordered_mean(F.when(F.col("_rn") <= market_window, F.col(sales).cast("double")), F.col(ds)).alias("_market"),
-        ordered_mean(F.col(cpi).cast("double"), F.col(ds)).alias("_cpi_mean"))
+        exact_mean(F.when(F.col("_rn") <= market_window, F.col(sales).cast("double"))).alias("_market"),
+        exact_mean(F.col(cpi).cast("double")).alias("_cpi_mean"))
     x = m.drop("_rn").join(stats, keys, "inner") if keys else attach_scalars(m.drop("_rn"), stats)
     if calib is not None:
         c = calib.select(*keys, "avg_revenue", "avg_cogs_ratio", "avg_opex_ratio")

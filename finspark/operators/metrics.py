@@ -1,8 +1,7 @@
 """Holdout metrics and the blind backtest (D-15, D-16; R-49 .. R-52, R-59).
 
-Errors are averaged per (keys, component) over the holdout rows, which are
-few per group (``n`` months), summed in date order so the doubles do not
-depend on partitioning.
+Errors are averaged per (keys, component) with exact sums, so the doubles do
+not depend on partitioning and no group is collected.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .history import ordered_mean
+from ..functions.exact import exact_mean
 from .joins import attach_scalars
 
 # Backtest verdict bands on MAPE (as a fraction) and their labels.
@@ -21,16 +20,16 @@ VERDICT_ELSE = "VOLATILE"
 MAPE_EPS = 2.220446049250313e-16
 
 
-def _err_aggs(y: Column, yhat: Column, order: Column, pct: bool = True) -> list[Column]:
+def _err_aggs(y: Column, yhat: Column, pct: bool = True) -> list[Column]:
     e = y - yhat
     aggs = [
         F.count(F.when(y.isNotNull() & yhat.isNotNull(), F.lit(1))).alias("n"),
-        ordered_mean(F.abs(e), order).alias("mae"),
-        F.sqrt(ordered_mean(e * e, order)).alias("rmse"),
+        exact_mean(F.abs(e)).alias("mae"),
+        F.sqrt(exact_mean(e * e)).alias("rmse"),
     ]
     if pct:
         # R-51: zero actuals are skipped (null ratio), result x 100.
-        aggs.append((ordered_mean(F.abs(F.try_divide(e, y)), order) * F.lit(100.0)).alias("mape"))
+        aggs.append((exact_mean(F.abs(F.try_divide(e, y))) * F.lit(100.0)).alias("mape"))
     return aggs
 
 
@@ -41,12 +40,12 @@ def holdout_metrics(df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str =
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(F.col(ds).desc())
     h = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-    return h.groupBy(*keys).agg(*_err_aggs(F.col(y), F.col(yhat), F.col(ds)))
+    return h.groupBy(*keys).agg(*_err_aggs(F.col(y), F.col(yhat)))
 
 
-def mape_fraction(y: Column, yhat: Column, order: Column) -> Column:
+def mape_fraction(y: Column, yhat: Column) -> Column:
     """R-52: mean(|y - yhat| / max(|y|, eps)) (library form, a fraction)."""
-    return ordered_mean(F.abs(y - yhat) / F.greatest(F.abs(y), F.lit(MAPE_EPS)), order)
+    return exact_mean(F.abs(y - yhat) / F.greatest(F.abs(y), F.lit(MAPE_EPS)))
 
 
 def verdict(mape: Column) -> Column:
@@ -63,7 +62,7 @@ def backtest(df: DataFrame, keys: Sequence[str], cutoff: str, ds: str = "ds", y:
     keys = list(keys)
     t = df.filter(F.col(ds) >= F.lit(cutoff).cast("date")).filter(F.col(y).isNotNull() & F.col(yhat).isNotNull())
     m = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_test"),
-                             mape_fraction(F.col(y), F.col(yhat), F.col(ds)).alias("mape"))
+                             mape_fraction(F.col(y), F.col(yhat)).alias("mape"))
     return m.withColumn("verdict", verdict(F.col("mape")))
 
 
@@ -75,7 +74,7 @@ def scaled_truth(series: DataFrame, keys: Sequence[str], value: str, scale: Colu
     train = series.filter(F.col(ds) < F.lit(cutoff).cast("date"))
     w = Window.partitionBy(*keys).orderBy(F.col(ds).desc())
     base = (train.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= window)
-            .groupBy(*keys).agg(ordered_mean(F.col(value), F.col(ds)).alias("_base")))
+            .groupBy(*keys).agg(exact_mean(F.col(value)).alias("_base")))
     sc = scale if isinstance(scale, Column) else F.lit(float(scale))
     j = series.join(base, keys, "inner") if keys else attach_scalars(series, base)
     return j.withColumn(out, F.col(value) * F.try_divide(sc, F.col("_base"))).drop("_base")

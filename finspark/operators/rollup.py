@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .history import ordered_sum
+from ..functions.exact import exact_sum
 from .joins import attach_scalars
 
 # Interest on projected long-term debt (annual rate, months per year)
@@ -161,8 +161,6 @@ def compare_scenarios(base: DataFrame, alt: DataFrame, value: str = "net_change_
     return j
 
 
-def scenario_totals(comparison: DataFrame, keys: Sequence[str] = (), ds: str = "ds") -> DataFrame:
-    """Per-entity totals of both scenarios (summed in date order: one entity's
-    months, a calendar-bounded group)."""
-    return comparison.groupBy(*keys).agg(ordered_sum(F.col("base_value"), F.col(ds)).alias("base_total"),
-                                         ordered_sum(F.col("alt_value"), F.col(ds)).alias("alt_total"))
+def scenario_totals(comparison: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Per-entity totals of both scenarios, as exact sums."""
+    return comparison.groupBy(*keys).agg(exact_sum("base_value").alias("base_total"), exact_sum("alt_value").alias("alt_total"))

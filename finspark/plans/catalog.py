@@ -656,8 +656,8 @@ def q_training_frame(spark, sf):
 
 @query("scenario_totals")
 def q_scenario_totals(spark, sf):
-    """D-19 totals: per-nation sums of both scenarios' net cash, in date order."""
-    return ru.scenario_totals(q_scenario_comparison(spark, sf), ["entity"], "ds")
+    """D-19 totals: per-nation exact sums of both scenarios' net cash."""
+    return ru.scenario_totals(q_scenario_comparison(spark, sf), ["entity"])
 
 
 @query("dim_incremental")

@@ -460,16 +460,33 @@ SELECT entity, ds, revenue, 'actual' FROM newer
 """
 
 
-def _ordered_mean(expr: str, order: str) -> str:
-    lst = f"list_filter(list({expr} ORDER BY {order}), lambda v: v IS NOT NULL)"
-    return (f"list_reduce(list_prepend(cast(0.0 as double), {lst}), lambda a, b: a + b) "
-            f"/ nullif(cast(len({lst}) as double), 0)")
+_TWO96 = f"cast({2 ** 96} as hugeint)"
+
+
+def _exact_sum(expr: str) -> str:
+    """Sum of doubles without rounding between rows: whole parts and parts
+    below one (in units of 2^-96) as two integer sums, written out in digits
+    of 24 bits and turned into a double from the largest one on."""
+    whole = f"sum(cast(trunc({expr}) as hugeint))"
+    part = f"sum(cast((({expr}) - trunc({expr})) * {float(2 ** 96)!r} as hugeint))"
+    down = lambda h, f: f"({h} + {f} // {_TWO96} - (case when {f} % {_TWO96} < 0 then 1 else 0 end))"
+    sign = f"case when {down('s.h', 's.f')} < 0 then -1 else 1 end"
+    digits = [f"cast((t.h // cast({2 ** (24 * k)} as hugeint)) % 16777216 as double) * {float(2 ** (24 * k))!r}" for k in range(4, -1, -1)]
+    digits += [f"cast((t.f // cast({2 ** (24 * (4 - k))} as hugeint)) % 16777216 as double) * {2.0 ** (-24 * k)!r}" for k in range(1, 5)]
+    return (f"list_transform(list_transform(list_transform([{{'h': {whole}, 'f': {part}}}], lambda s: {{'s': s, 'g': {sign}}}), "
+            f"lambda r: {{'g': r.g, 'h': {down('r.g * r.s.h', 'r.g * r.s.f')}, "
+            f"'f': (r.g * r.s.f) % {_TWO96} + (case when (r.g * r.s.f) % {_TWO96} < 0 then {_TWO96} else 0 end)}}), "
+            f"lambda t: t.g * (0.0::double + {' + '.join(digits)}))[1]")
+
+
+def _exact_mean(expr: str) -> str:
+    return f"{_exact_sum(expr)} / nullif(cast(count({expr}) as double), 0)"
 
 
 CALIBRATION = f"""
   SELECT entity, cast(sum(cast(inflow_operating_revenue as {D})) as double) / count(inflow_operating_revenue) AS avg_revenue,
-         {_ordered_mean('outflow_cogs / nullif(inflow_operating_revenue, 0)', 'ds')} AS avg_cogs_ratio,
-         {_ordered_mean('outflow_opex / nullif(inflow_operating_revenue, 0)', 'ds')} AS avg_opex_ratio,
+         {_exact_mean('outflow_cogs / nullif(inflow_operating_revenue, 0)')} AS avg_cogs_ratio,
+         {_exact_mean('outflow_opex / nullif(inflow_operating_revenue, 0)')} AS avg_opex_ratio,
          count(*) AS n_months
   FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ds) AS rn FROM ({CASH_FLOW_FACT}))
   WHERE rn <= 12 GROUP BY entity"""
@@ -496,8 +513,8 @@ DRIVERS_NATION = f"""
 ORACLE["synthetic_history"] = f"""
 WITH m AS (SELECT *, economic_activity_index AS total_vehicle_sales, ev_component_cost_index AS cpi,
                   row_number() OVER (PARTITION BY entity ORDER BY ds DESC) AS rn FROM ({DRIVERS_NATION})),
-st AS (SELECT entity, {_ordered_mean('case when rn <= 12 then total_vehicle_sales end', 'ds')} AS market,
-              {_ordered_mean('cpi', 'ds')} AS cpi_mean
+st AS (SELECT entity, {_exact_mean('case when rn <= 12 then total_vehicle_sales end')} AS market,
+              {_exact_mean('cpi')} AS cpi_mean
        FROM m GROUP BY entity),
 c AS ({CALIBRATION}),
 x AS (SELECT m.*, st.market, st.cpi_mean, coalesce(c.avg_revenue, 500000000.0) AS scale,
@@ -519,9 +536,9 @@ j AS (SELECT l.entity, l.component, l.ds, l.y, p.y AS yhat FROM l
       LEFT JOIN l p ON p.entity = l.entity AND p.component = l.component AND last_day(p.ds + INTERVAL 12 MONTH) = l.ds),
 h AS (SELECT *, row_number() OVER (PARTITION BY entity, component ORDER BY ds DESC) AS rn FROM j)
 SELECT entity, component, count(case when y IS NOT NULL AND yhat IS NOT NULL then 1 end) AS n,
-       {_ordered_mean('abs(y - yhat)', 'ds')} AS mae,
-       sqrt({_ordered_mean('(y - yhat) * (y - yhat)', 'ds')}) AS rmse,
-       {_ordered_mean('abs((y - yhat) / nullif(y, 0))', 'ds')} * 100.0 AS mape
+       {_exact_mean('abs(y - yhat)')} AS mae,
+       sqrt({_exact_mean('(y - yhat) * (y - yhat)')}) AS rmse,
+       {_exact_mean('abs((y - yhat) / nullif(y, 0))')} * 100.0 AS mape
 FROM h WHERE rn <= 6 GROUP BY 1, 2
 """
 
@@ -531,7 +548,7 @@ tr AS (SELECT entity, month(ds) AS moy, y AS yhat FROM inc WHERE ds < DATE '2000
 s AS (SELECT i.entity, i.ds, i.y, tr.yhat FROM inc i LEFT JOIN tr ON i.entity = tr.entity AND month(i.ds) = tr.moy
       WHERE i.ds >= DATE '2000-01-01' AND i.y IS NOT NULL AND tr.yhat IS NOT NULL),
 m AS (SELECT entity, count(*) AS n_test,
-             {_ordered_mean('abs(y - yhat) / greatest(abs(y), 2.220446049250313e-16)', 'ds')} AS mape
+             {_exact_mean('abs(y - yhat) / greatest(abs(y), 2.220446049250313e-16)')} AS mape
       FROM s GROUP BY 1)
 SELECT entity, n_test, mape,
        case when mape < 0.10 then 'EXCELLENT' when mape < 0.20 then 'ACCEPTABLE' else 'VOLATILE' end AS verdict
@@ -736,11 +753,7 @@ WHERE {' AND '.join('drv.' + c + ' IS NOT NULL' for c in DRV)}
 
 ORACLE["scenario_totals"] = f"""
 WITH c AS ({ORACLE["scenario_comparison"]})
-SELECT entity,
-       case when count(base_value) > 0 then list_reduce(list_prepend(cast(0.0 as double),
-            list_filter(list(base_value ORDER BY ds), lambda v: v IS NOT NULL)), lambda a, b: a + b) end AS base_total,
-       case when count(alt_value) > 0 then list_reduce(list_prepend(cast(0.0 as double),
-            list_filter(list(alt_value ORDER BY ds), lambda v: v IS NOT NULL)), lambda a, b: a + b) end AS alt_total
+SELECT entity, {_exact_sum('base_value')} AS base_total, {_exact_sum('alt_value')} AS alt_total
 FROM c GROUP BY entity
 """
 
