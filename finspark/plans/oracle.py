@@ -470,13 +470,13 @@ def _exact_sum(expr: str) -> str:
     whole = f"sum(cast(trunc({expr}) as hugeint))"
     part = f"sum(cast((({expr}) - trunc({expr})) * {float(2 ** 96)!r} as hugeint))"
     down = lambda h, f: f"({h} + {f} // {_TWO96} - (case when {f} % {_TWO96} < 0 then 1 else 0 end))"
-    sign = f"case when {down('s.h', 's.f')} < 0 then -1 else 1 end"
-    digits = [f"cast((t.h // cast({2 ** (24 * k)} as hugeint)) % 16777216 as double) * {float(2 ** (24 * k))!r}" for k in range(4, -1, -1)]
-    digits += [f"cast((t.f // cast({2 ** (24 * (4 - k))} as hugeint)) % 16777216 as double) * {2.0 ** (-24 * k)!r}" for k in range(1, 5)]
-    return (f"list_transform(list_transform(list_transform([{{'h': {whole}, 'f': {part}}}], lambda s: {{'s': s, 'g': {sign}}}), "
-            f"lambda r: {{'g': r.g, 'h': {down('r.g * r.s.h', 'r.g * r.s.f')}, "
-            f"'f': (r.g * r.s.f) % {_TWO96} + (case when (r.g * r.s.f) % {_TWO96} < 0 then {_TWO96} else 0 end)}}), "
-            f"lambda t: t.g * (0.0::double + {' + '.join(digits)}))[1]")
+    sign = f"case when {down('_s.h', '_s.f')} < 0 then -1 else 1 end"
+    digits = [f"cast((_t.h // cast({2 ** (24 * k)} as hugeint)) % 16777216 as double) * {float(2 ** (24 * k))!r}" for k in range(4, -1, -1)]
+    digits += [f"cast((_t.f // cast({2 ** (24 * (4 - k))} as hugeint)) % 16777216 as double) * {2.0 ** (-24 * k)!r}" for k in range(1, 5)]
+    return (f"list_transform(list_transform(list_transform([{{'h': {whole}, 'f': {part}}}], lambda _s: {{'s': _s, 'g': {sign}}}), "
+            f"lambda _r: {{'g': _r.g, 'h': {down('_r.g * _r.s.h', '_r.g * _r.s.f')}, "
+            f"'f': (_r.g * _r.s.f) % {_TWO96} + (case when (_r.g * _r.s.f) % {_TWO96} < 0 then {_TWO96} else 0 end)}}), "
+            f"lambda _t: _t.g * (0.0::double + {' + '.join(digits)}))[1]")
 
 
 def _exact_mean(expr: str) -> str:
