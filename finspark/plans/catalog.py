@@ -20,12 +20,13 @@ from ..operators import forecast as fc
 from ..operators import history as hist
 from ..operators import piecewise as pw
 from ..operators import metrics as met
+from ..operators import moves
 from ..operators import ratios as rat
 from ..operators import rollup as ru
 from ..operators import scans
 from ..operators import upsert as ups
 from ..operators.joins import outer_merge
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
 from ..sources.files import pivot_series, transpose_statement
 
@@ -196,6 +197,23 @@ def q_append_existing(spark, sf):
     return ups.append(*_balances_and_batch(spark, sf))
 
 
+@query("upsert_moved_keys")
+def q_upsert_moved_keys(spark, sf):
+    """R-10 with keys that change partition: all orders stored by status;
+    every third one comes back with another status, some twice (the higher
+    price wins), with new orders; a key is in one partition afterwards."""
+    o = fx.table(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_totalprice", "o_orderstatus")
+    path = scratch_path(spark, "orders-by-status")
+    moves.upsert_moving(o, path, ["o_orderkey"], ["o_orderstatus"])
+    shifted = F.translate("o_orderstatus", "FOP", "OPX")
+    third = o.filter(F.col("o_orderkey") % 3 == 0)
+    again = third.select("o_orderkey", (F.col("o_totalprice") + 1.0).alias("o_totalprice"), shifted.alias("o_orderstatus"))
+    lower = third.filter(F.col("o_orderkey") % 2 == 0)
+    new = o.select((F.col("o_orderkey") + F.lit(10_000_000_000)).alias("o_orderkey"), "o_totalprice", F.lit("N").alias("o_orderstatus"))
+    moves.upsert_moving(again.unionByName(lower).unionByName(new), path, ["o_orderkey"], ["o_orderstatus"], ["o_totalprice"])
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
 @query("unmatched_refs")
 def q_unmatched_refs(spark, sf):
     """R-36: orders with no lineitem."""

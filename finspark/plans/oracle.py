@@ -855,3 +855,12 @@ FROM (SELECT event_id, ts, CASE WHEN event_type IN ('error', 'view') THEN event_
 WINDOW up AS (PARTITION BY entity ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
        down AS (PARTITION BY entity ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
 """
+
+ORACLE["upsert_moved_keys"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1.0 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 3 = 0 THEN translate(o_orderstatus, 'FOP', 'OPX') ELSE o_orderstatus END AS o_orderstatus
+FROM orders
+UNION ALL
+SELECT CAST(o_orderkey + 10000000000 AS BIGINT), o_totalprice, 'N' FROM orders
+"""

@@ -74,6 +74,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
         df.unpersist()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder, dropped with the
+    tables of :func:`materialize`."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/finspark-materialized/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: lineage is cut (a lost executor re-reads files instead of
@@ -81,8 +88,7 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     without a cache computes its plan twice), and the read-back keeps column
     pruning, filter pushdown and size statistics for the planner."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/finspark-materialized/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
