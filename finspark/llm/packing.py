@@ -8,8 +8,8 @@ fit under EVERY capacity, the one with the largest weighted dot product of
 residual and demand (``rule='dot'``) or the smallest weighted residual norm
 after placing (``rule='norm'``) takes the piece.
 
-Packing runs on shards of about ``shard_rows`` documents, dealt by a hash of
-the document, so memory and time of a task do not grow with the corpus; each
+Packing runs on shards of about ``shard_rows`` documents, their pieces dealt
+by a hash, so memory and time of a task do not grow with the corpus; each
 shard wastes a fraction of one sequence, which is a share of 1/thousands.
 Only lengths and checksums move between tasks unless ids are asked for.
 
@@ -19,9 +19,12 @@ rows without an id are packed each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,102 +35,69 @@ from .common import id_text, slices
 
 END_ID = 0
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-#: White space other than single blanks and line ends, for which a text is
-#: encoded line by line no further than ``PLAIN`` allows.
-RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
-
-
-def plain(text: str) -> bool:
-    """No two white space characters meet, and there are only blanks and line
-    ends: the tokenizer's byte-level split then ends at each of them."""
-    return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or RARE.search(text))
-
-
-def letters(word: str) -> bool:
-    """Only letters, of the Latin blocks (as every Unicode version has them)."""
-    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+#: Texts of these characters alone go through the faster encoder: Latin
+#: letters, and common marks. In others the two libraries' Unicode tables
+#: might differ.
+LATIN = re.compile("[\x00-\u024f\u2010-\u2027]*").fullmatch
+#: How byte-level BPE files of this kind split a text (fixed value).
+SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+
+
+def byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for:
+    printable ones for themselves, the others in order from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def fast_encoder(spec: dict):
+    """The tokenizer of a file as a tiktoken encoding, or None where it is
+    anything but byte-level BPE whose merges are in the order of their ids."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    if (model.get("type") != "BPE" or spec.get("normalizer") or spec.get("truncation") or split.get("type") != "ByteLevel"
+            or split.get("add_prefix_space") or not split.get("use_regex", True)
+            or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))):
+        return None
+    import tiktoken
+
+    added = spec.get("added_tokens") or []
+    if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        return None
+    special = {t["content"]: t["id"] for t in added}
+    table = byte_of()
+    try:
+        ranks = {bytes(table[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        merged = [ranks[bytes(table[c] for c in a + b)] for a, b in pairs]
+    except KeyError:
+        return None
+    if any(x >= y for x, y in zip(merged, merged[1:])) or len(ranks) != 256 + len(merged):
+        return None
+    return tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
 class Encoder:
     """Ids of whole texts from the tokenizer file, as little-endian unsigned
-    32-bit bytes. Words between blanks are encoded once and kept, up to
-    ``most`` of them: texts differ far less in words than in length."""
-
-    def __init__(self, path: str, most: int = 500_000):
-        import os
+    32-bit bytes. Latin texts go through a faster reader of the same
+    vocabulary and merges (tests hold its ids against the tokenizer's)."""
 
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
-        self.heads: dict[str, bytes] = {"": b""}  # as they stand
-        self.tails: dict[str, bytes] = {}  # with a blank before them
-        self.line_end = self.ids(["\n"])[0]
-        self.marks = {m: self.ids([m])[0] for m in ",."}
-        vocab = self.tokenizer.get_vocab()
-        self.begins = {blank: np.zeros(max(vocab.values()) + 1, bool) for blank in " \n"}
-        self.joined = {}
-        for blank, letter in ((" ", "\u0120"), ("\n", "\u010a")):  # how byte-level vocabularies write the two
-            for token, i in vocab.items():
-                self.begins[blank][i] = token[0] == letter
-            # the same model behind a cheaper split, for words of letters only
-            t = self.joined[blank] = Tokenizer.from_file(path)
-            how = "merged_with_next" if blank == " " else "isolated"
-            t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(blank, how), pre_tokenizers.ByteLevel(
-                add_prefix_space=False, use_regex=False)])
-
-    def ids(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def learn(self, known: dict[str, bytes], words: set[str], blank: str, lead: str) -> None:
-        """Ids of new words. The split always ends between a letter and a
-        mark, so a word's last mark is encoded apart; new words of letters
-        go through the tokenizer many at once, joined by ``blank``, which
-        then is all there is to split at."""
-        new = words.difference(known)
-        marked = {w: w[:-1] for w in new if w[-1:] in self.marks and letters(w[:-1])}
-        plain_new = [w for w in new if letters(w)]
-        plain_new += set(marked.values()).difference(known, plain_new)
-        rest = [w for w in new if w not in marked and not letters(w)]
-        for i in range(0, len(plain_new), 4096):
-            part = plain_new[i:i + 4096]
-            ids = np.array(self.joined[blank].encode_batch_fast([blank + blank.join(part)], add_special_tokens=False)[0].ids,
-                           "<u4")
-            cuts = np.flatnonzero(self.begins[blank][ids])
-            skip = 0 if lead else 1  # the line end's own id is no part of the word
-            ends = [*cuts[1:].tolist(), len(ids)]
-            known.update((w, ids[x + skip:y].tobytes()) for w, x, y in zip(part, cuts.tolist(), ends, strict=True))
-        known.update((w, known[stem] + self.marks[w[-1]]) for w, stem in marked.items())
-        known.update(zip(rest, self.ids([lead + w for w in rest])))
+        self.fast = fast_encoder(json.loads(Path(path).read_text("utf-8")))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = []  # of each text, the words of its lines
-        heads, tails = set(), set()
-        for t in texts:
-            if not t:
-                lines = [[""]]
-            elif plain(t):
-                lines = [line.split(" ") for line in t.split("\n")]
-            else:
-                lines = [SAFE_BLANK.split(t)]
-            for w in lines:
-                heads.add(w[0])
-                tails.update(w[1:])
-            cut.append(lines)
-        if len(self.heads) + len(self.tails) > self.most:
-            self.heads, self.tails = {"": b""}, {}
-        self.learn(self.heads, heads, "\n", "")
-        self.learn(self.tails, tails, " ", " ")
-        out, get = [], self.tails.__getitem__
-        for lines in cut:
-            parts = []
-            for w in lines:
-                parts += (self.line_end, self.heads[w[0]])
-                parts += map(get, w[1:])
-            out.append(b"".join(parts[1:]))
-        return out
+        return [self.ids(t) if t else b"" for t in texts]
+
+    def ids(self, text: str) -> bytes:
+        if self.fast is not None and LATIN(text):
+            ids = self.fast.encode(text, allowed_special="all", disallowed_special=())
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -209,10 +179,13 @@ def best_fit(lengths: np.ndarray, tokens: int, most_pieces: int, attention: floa
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, most_pieces: int | None = None,
          attention: float | None = None, rule: str = "norm", weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6),
-         shard_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+         shard_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False,
+         wanted_pieces: int | None = None) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``. ``most_pieces`` (per
     sequence) and ``attention`` (sum of squared lengths) default to values
-    that the token capacity implies, so they bind only when set."""
+    that the token capacity implies, so they bind only when set.
+    ``wanted_pieces`` is a capacity that gives way: it binds in a shard
+    unless the shard then takes more sequences than its tokens need."""
     if rule not in ("dot", "norm"):
         raise ValueError(f"rule {rule!r}: dot or norm")
     attention = float(size) ** 2 if attention is None else float(attention)
@@ -220,11 +193,20 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, most_pieces: in
     piece_size = min(size, int(attention ** 0.5))  # a piece must fit alone
     cut = pieces(id_text(docs, id_col, text_col), tokenizer_path, piece_size, keep_ids)
     shards = max(1, -(-docs.count() // shard_rows))
-    cut = cut.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    # Dealt by piece and place, so that many rows of one id (or without any) are spread.
+    of = F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())
+    cut = cut.withColumn("_shard", F.pmod(of, F.lit(shards)).cast("int"))
 
     def group(key, table):
         table = table.sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")])
-        place, offset = best_fit(table.column("length").to_numpy(), size, most_pieces, attention, rule, weights)
+        lengths = table.column("length").to_numpy()
+        place = None
+        if wanted_pieces is not None:
+            place, offset = best_fit(lengths, size, min(wanted_pieces, most_pieces), attention, rule, weights)
+            if place.max(initial=-1) + 1 > -(-int(lengths.sum()) // size):
+                place = None
+        if place is None:
+            place, offset = best_fit(lengths, size, most_pieces, attention, rule, weights)
         return table.drop_columns("_shard").append_column(
             "sequence_id", pa.array((key[0].as_py() << 32) + place)).append_column("offset", pa.array(offset))
 

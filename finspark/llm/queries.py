@@ -70,7 +70,7 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), wanted_pieces=64)
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

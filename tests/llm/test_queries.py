@@ -66,7 +66,7 @@ def test_pipeline_on_planted_cases(spark, docs_of, folder):
     assert set(seen[0]) == ids - toxic
     linked = brute.links([(i, t) for i, t in seen[0].items()])
     assert set(seen[1]) == {i for i, (_, c) in linked.items() if c == i} and {200, 201}.isdisjoint(seen[1])
-    gone = brute.byte_repeats(list(seen[1].items()), 400)
+    gone = brute.byte_repeats(list(seen[1].items()), corpus_pipeline.REPEAT_BYTES)
     for i, t in seen[2].items():
         want = bytes(b for b, g in zip((seen[1][i] or "").encode(), gone[i]) if not g).decode("utf-8", "ignore")
         assert (t or "") == want

@@ -1,6 +1,7 @@
 """Operators 2, 6 and 8."""
 
 import io
+import random
 import zipfile
 import zlib
 from collections import Counter
@@ -160,3 +161,50 @@ def test_packing_attention_limit(docs_of):
     assert max(r.length for r in got) <= 20
     with pytest.raises(ValueError):
         packing.pack(docs_of([]), tokenizer_path(), rule="first")
+
+
+def test_fast_encoder_gives_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    plain, enc = Tokenizer.from_file(path), packing.Encoder(path)
+    assert enc.fast is not None
+    r = random.Random(5)
+    letters = [chr(i) for i in range(0x250)] + ["’", "…", "“", "–"] + ["a", "b", " ", "  ", "\n", "1", "'s", "'ll", ".", ", "] * 15
+    other = ["日本", "Ω", "я", "😀", "<|endoftext|>", "　", " ", " "]
+    texts = [chr(i) + s for i in range(0x250) for s in ("", "b", " x", "'s")]
+    texts += ["".join(r.choice(letters + (other if k % 3 == 0 else [])) for _ in range(r.randint(0, 40))) for k in range(4000)]
+    texts += ["a" * 50_000, " " * 20_000, "x. " * 20_000, "<|endoftext|>a<|endoftext|>", "a\r\n\r\n b"]
+    for t, got in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t[:50])
+    assert enc.encode([None, ""]) == [b"", b""]
+
+
+def test_files_of_another_kind_go_through_the_tokenizer(tmp_path):
+    import json
+
+    spec = json.loads(open(tokenizer_path(), encoding="utf-8").read())
+    for change in ({"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"normalizer": {"type": "Lowercase"}},
+                   {"model": spec["model"] | {"merges": spec["model"]["merges"][::-1]}},
+                   {"model": spec["model"] | {"merges": spec["model"]["merges"][:-1]}}):
+        assert packing.fast_encoder(spec | change) is None
+    assert packing.fast_encoder(spec) is not None
+
+
+def test_wanted_pieces_bind_but_cost_no_sequence(docs_of):
+    r = random.Random(6)
+    rows = [(i, "word " * r.choice([1, 2, 3, 20, 45, 50])) for i in range(300)]
+    loose = packing.pack(docs_of(rows), tokenizer_path(), size=64).collect()
+    kept = packing.pack(docs_of(rows), tokenizer_path(), size=64, wanted_pieces=6).collect()
+    few = lambda got: len({x.sequence_id for x in got})
+    check_packing(kept, 64)
+    assert few(kept) == few(loose) == -(-sum(x.length for x in loose) // 64)
+    per = {}
+    for x in kept:
+        per[x.sequence_id] = per.get(x.sequence_id, 0) + 1
+    assert max(per.values()) <= 6
+    tiny = packing.pack(docs_of([(i, "a") for i in range(100)]), tokenizer_path(), size=64, wanted_pieces=6).collect()
+    check_packing(tiny, 64)
+    assert few(tiny) == -(-sum(x.length for x in tiny) // 64)  # it gives way
+    hot = packing.pack(docs_of([(None, "same text")] * 60), tokenizer_path(), size=64, shard_rows=10).collect()
+    assert len(hot) == 60 and len({x.sequence_id >> 32 for x in hot}) > 3  # rows without an id are spread
