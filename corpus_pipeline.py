@@ -24,6 +24,11 @@ from finspark.llm import decontaminate, minhash, packing, suffix, toxicity
 from finspark.llm.common import read_table, stored
 from finspark.llm.queries import tokenizer_path, toxicity_model
 
+#: Shortest repeated passage that is cut. Passages of over 50 words count as
+#: repeats; 51 words take 305 bytes (median; 5 % take less than 267) in the
+#: English documents, more in the other languages.
+REPEAT_BYTES = 256
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     score = toxicity.score_column(toxicity_model(spark, sf_dir, docs), F.col("text"))
@@ -50,7 +55,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = suffix.without_repeats(docs)
+    out = suffix.without_repeats(docs, REPEAT_BYTES)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
