@@ -29,11 +29,6 @@ from finspark.llm.queries import tokenizer_path, toxicity_model
 #: English documents, more in the other languages.
 REPEAT_BYTES = 256
 
-#: Shortest repeated passage that is cut. Passages of over 50 words count as
-#: repeats; 51 words take 305 bytes (median; 5 % take less than 267) in the
-#: English documents, more in the other languages.
-REPEAT_BYTES = 256
-
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     score = toxicity.score_column(toxicity_model(spark, sf_dir, docs), F.col("text"))
