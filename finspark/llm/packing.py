@@ -185,7 +185,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, most_pieces: in
     sequence) and ``attention`` (sum of squared lengths) default to values
     that the token capacity implies, so they bind only when set.
     ``wanted_pieces`` is a capacity that gives way: it binds in a shard
-    unless the shard then takes more sequences than its tokens need."""
+    unless the shard takes fewer sequences without it."""
     if rule not in ("dot", "norm"):
         raise ValueError(f"rule {rule!r}: dot or norm")
     attention = float(size) ** 2 if attention is None else float(attention)
@@ -200,13 +200,12 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, most_pieces: in
     def group(key, table):
         table = table.sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")])
         lengths = table.column("length").to_numpy()
-        place = None
-        if wanted_pieces is not None:
-            place, offset = best_fit(lengths, size, min(wanted_pieces, most_pieces), attention, rule, weights)
-            if place.max(initial=-1) + 1 > -(-int(lengths.sum()) // size):
-                place = None
-        if place is None:
-            place, offset = best_fit(lengths, size, most_pieces, attention, rule, weights)
+        most = most_pieces if wanted_pieces is None else min(wanted_pieces, most_pieces)
+        place, offset = best_fit(lengths, size, most, attention, rule, weights)
+        if most < most_pieces and place.max(initial=-1) + 1 > -(-int(lengths.sum()) // size):
+            loose = best_fit(lengths, size, most_pieces, attention, rule, weights)
+            if loose[0].max(initial=-1) < place.max(initial=-1):
+                place, offset = loose
         return table.drop_columns("_shard").append_column(
             "sequence_id", pa.array((key[0].as_py() << 32) + place)).append_column("offset", pa.array(offset))
 
