@@ -145,6 +145,20 @@ def gaussian_noise(seed: int, *key_cols) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(6.283185307179586) * u2)
 
 
+def portable_noise(seed: int, *key_cols) -> Column:
+    """R-82: near-normal noise of mean 0 and spread 1 that any SQL engine
+    draws alike: twelve uniform numbers of 20 bits, taken from the md5 digits
+    of the seed and the row's key, summed and centred (all exact in doubles;
+    values lie between -6 and 6). Null keys count as ''."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(col_of(k).cast("string"), F.lit("")) for k in key_cols])
+    halves = [F.md5(F.concat(F.lit(h), text).cast("binary")) for h in ("a", "b")]
+    digits = [F.conv(F.substring(h, 5 * i + 1, 5), 16, 10).cast("double") for h in halves for i in range(6)]
+    total = digits[0]
+    for d in digits[1:]:
+        total = total + d
+    return (total + F.lit(6.0)) / F.lit(float(1 << 20)) - F.lit(6.0)
+
+
 def concat_sep(sep: str, *cols) -> Column:
     """R-75: null-safe concatenation (nulls skipped)."""
     return F.concat_ws(sep, *[col_of(c) for c in cols])

@@ -164,11 +164,11 @@ def merge_peer_financials(income_year: DataFrame, balance_year: DataFrame,
     return upsert(target, m, keys + [year])
 
 
-def peer_measures(raw: DataFrame, company: str = "company") -> DataFrame:
+def peer_measures(raw: DataFrame, company: str = "company", keep: Sequence[str] = ()) -> DataFrame:
     """One statement of text columns, as delivered: financial names (R-17),
     ``year`` -> ``fiscal_year`` and ``ap`` -> ``accounts_payable``, the
-    catalog's measures as numbers, other columns dropped. A year that is no
-    whole number is null; a statement without a year column is an error."""
+    catalog's measures as numbers, other columns but those to ``keep``
+    (standardised names) dropped. A year that is no whole number is null; a statement without a year column is an error."""
     df = standardise_columns(raw, standardise_financial_name)
     df = df.withColumnsRenamed({k: v for k, v in PEER_RENAMES.items() if k in df.columns and v not in df.columns})
     if "fiscal_year" not in df.columns:
@@ -176,17 +176,22 @@ def peer_measures(raw: DataFrame, company: str = "company") -> DataFrame:
     year = to_double_safe("fiscal_year")
     own = [c for c in PEER_MEASURES if c in df.columns]
     return df.select(company, F.when(year == F.floor(year), year.cast("int")).alias("fiscal_year"),
-                     *[money_text(c).alias(c) for c in own])
+                     *[money_text(c).alias(c) for c in own], *keep)
 
 
 def load_peers(income: DataFrame, balance: DataFrame, companies: DataFrame, company: str = "company",
-               target: DataFrame | None = None, name_key: str = "name", id_col: str = "id") -> DataFrame:
+               target: DataFrame | None = None, name_key: str = "name", id_col: str = "id",
+               order_cols: Sequence[str] = ()) -> DataFrame:
     """D-08 from raw text: both statements through :func:`peer_measures`, full
     outer join on (company, year), null years dropped, company ids looked up
-    (``companies``, kept up by :func:`load_dimension`), all ten measures
-    present, upserted on (competitor_id, fiscal_year)."""
+    (``companies``, kept up by :func:`load_dimension`, or as
+    :func:`stored_ids.register` returns them after it was given the
+    statements' names), all ten measures present, upserted on
+    (competitor_id, fiscal_year). Of rows for one company and year in a
+    statement the last by ``order_cols`` (standardised names) counts."""
     keys = [company, "fiscal_year"]
-    sides = [dedupe(peer_measures(s, company).na.drop(subset=["fiscal_year"]), keys, []) for s in (income, balance)]
+    sides = [dedupe(peer_measures(s, company, order_cols).na.drop(subset=["fiscal_year"]), keys, order_cols).drop(*order_cols)
+             for s in (income, balance)]
     both = sides[0].join(sides[1], keys, "full_outer")
     both = lookup(both, companies, company, name_key, id_col, "competitor_id").drop(company)
     both = ensure_columns(both, {c: "double" for c in PEER_MEASURES})

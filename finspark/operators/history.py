@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import exact_mean
-from ..functions.expr import dmean, gaussian_noise
+from ..functions.expr import dmean, portable_noise
 from .joins import attach_scalars
 
 # Fallbacks when no actual history exists (revenue scale, cogs ratio, opex ratio).
@@ -54,8 +54,8 @@ def synthetic_history(macro: DataFrame, calib: DataFrame | None, keys: Sequence[
     x CPI / mean(CPI); opex = revenue x opex ratio.
 
     ``calib`` is the output of :func:`calibrate` (per ``keys``); without it
-    the fallbacks apply. Noise is a hash of (keys, ds, seed): reruns and
-    retried tasks draw the same values."""
+    the fallbacks apply. Noise is drawn from a hash of (keys, ds,
+    seed): reruns, retried tasks and other engines draw the same values."""
     keys = list(keys)
     w_last = Window.partitionBy(*keys).orderBy(F.col(ds).desc())
     m = macro.withColumn("_rn", F.row_number().over(w_last))
@@ -73,7 +73,7 @@ def synthetic_history(macro: DataFrame, calib: DataFrame | None, keys: Sequence[
     scale = F.coalesce(F.col("avg_revenue"), F.lit(FALLBACK_REVENUE))
     r_cogs = F.coalesce(F.col("avg_cogs_ratio"), F.lit(FALLBACK_COGS_RATIO))
     r_opex = F.coalesce(F.col("avg_opex_ratio"), F.lit(FALLBACK_OPEX_RATIO))
-    z = gaussian_noise(seed, *keys, ds) if noise_std else F.lit(0.0)
+    z = portable_noise(seed, *keys, ds) if noise_std else F.lit(0.0)
     rev = (F.col(sales).cast("double") * F.try_divide(scale, F.col("_market"))
            * (F.lit(1.0) + F.lit(float(noise_std)) * z))
     x = x.withColumn("inflow_operating_revenue", rev)

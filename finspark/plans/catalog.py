@@ -23,7 +23,7 @@ from ..operators import metrics as met
 from ..operators import moves
 from ..operators import ratios as rat
 from ..operators import rollup as ru
-from ..operators import scans
+from ..operators import scans, stored_ids
 from ..operators import upsert as ups
 from ..operators.joins import outer_merge
 from ..session import materialize, scratch_path
@@ -149,6 +149,41 @@ def q_fact_append_fk(spark, sf):
     return out.select("l_orderkey", "l_linenumber", "part_id", "supplier_id", "l_quantity", "l_extendedprice")
 
 
+@query("fact_load_upsert")
+def q_fact_load_upsert(spark, sf):
+    """D-03 upsert mode with an unmatched reference kept: two loads of the
+    lineitems, one row per order and part code, the last by ship date and
+    line; a supplier name that is misspelt (every line 7) keeps a null id."""
+    p = fx.table(spark, sf, "part")
+    part_dim = dim.load_dimension([p.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")))])
+    sup = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    name = F.when(F.col("l_linenumber") == 7, F.concat(F.lit("?"), "s_name")).otherwise(F.col("s_name"))
+    li = fx.table(spark, sf, "lineitem").join(sup, "l_suppkey").select(
+        "l_orderkey", F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("part_code"), name.alias("supplier"),
+        F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_linenumber", "l_quantity")
+    fks = {"part_code": (part_dim, "part_id"), "supplier": (_supplier_dim(spark, sf), "supplier_id")}
+    args = {"required": ["part_id"], "keys": ["l_orderkey", "part_id"], "order_cols": ["l_shipdate", "l_linenumber"],
+            "mode": "upsert", "keep_unmatched": ["supplier"]}
+    first = dim.load_fact(li.filter(F.col("l_linenumber") <= 3), fks, **args)
+    later = li.filter(F.col("l_linenumber") > 3)
+    return dim.load_fact(later, fks, target=first, **args).select("l_orderkey", "part_id", "supplier_id", "l_shipdate", "l_linenumber",
+                                                                  "l_quantity")
+
+
+@query("dim_stored_batches")
+def q_dim_stored_batches(spark, sf):
+    """R-13 / D-01 in storage: brands of small parts with their count, then
+    all brands and types with the brands' full count, then that load again:
+    ids stay, new names follow, the count is the last one given."""
+    p = fx.table(spark, sf, "part")
+    path = scratch_path(spark, "part-names")
+    count = lambda d: d.groupBy(F.col("p_brand").alias("name")).agg(F.count(F.lit(1)).alias("n_parts"))
+    small = p.filter(F.col("p_size") < 25)
+    stored_ids.load_stored_dimension([small.select("p_brand")], path, count(small))
+    stored_ids.load_stored_dimension([p.select("p_brand"), p.select("p_type")], path, count(p))
+    return stored_ids.load_stored_dimension([p.select("p_brand"), p.select("p_type")], path, count(p))
+
+
 @query("fact_upsert_last_wins")
 def q_fact_upsert_last_wins(spark, sf):
     """D-03 / D-07 / R-10: one row per (l_orderkey, l_linenumber), the last by
@@ -313,6 +348,11 @@ def q_peer_statement_merge(spark, sf):
 def q_peer_load(spark, sf):
     """D-08 from raw statements: text with thousands marks under delivered
     names, an extra note, rows whose year is no number, ids by company name."""
+    return dim.load_peers(*_peer_statements(spark, sf), _supplier_dim(spark, sf))
+
+
+def _peer_statements(spark, sf):
+    """Income and balance of every supplier as delivered text."""
     sup = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("bigint").alias("entity"), "s_name", "s_nationkey")
 
     def text(c):
@@ -331,7 +371,28 @@ def q_peer_load(spark, sf):
     bal = also_undated(bal.join(sup, bal.nation == sup.s_nationkey)).select(
         F.col("s_name").alias("Company"), "Year", text("total_assets").alias("Total Assets"),
         text("accounts_payable").alias("A.P."), text("long_term_debt").alias("Long-Term Debt"))
-    return dim.load_peers(inc, bal, _supplier_dim(spark, sf))
+    return inc, bal
+
+
+@query("peer_load_new_companies")
+def q_peer_load_new_companies(spark, sf):
+    """D-08 with companies that have no id yet: a first delivery names every
+    third supplier, the second one all, with corrected revenue delivered
+    after the first figure; unknown companies get ids after the known ones."""
+    inc, bal = (materialize(d.toDF(*[c.replace(" ", "_").replace(".", "_") for c in d.columns]), "delivery")
+                for d in _peer_statements(spark, sf))
+    third = F.col("Company").substr(-1, 1).isin("3", "6", "9")
+    path = scratch_path(spark, "companies")
+    revised = inc.withColumn("Seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
+        "Total_Revenue", F.when(F.col("Seq") == 1, F.lit("9,999,999,999,999")).otherwise(F.col("Total_Revenue")))
+    out = None
+    for part in (lambda d: d.filter(third), lambda d: d):
+        i, b = part(revised), part(bal).withColumn("Seq", F.lit(1))
+        ids = stored_ids.register(dim.distinct_names([i.select("Company"), b.select("Company")]), path)
+        out = dim.load_peers(i, b, ids, target=out, order_cols=["seq"])
+    return out.join(ids.withColumnRenamed("id", "competitor_id"), "competitor_id").select(
+        F.col("name").alias("company"), "competitor_id", "fiscal_year", "total_revenue", "interest_expense", "total_assets",
+        "long_term_debt")
 
 
 # ---------------------------------------------------------------- benchmark ratios
@@ -460,9 +521,19 @@ def q_calibration_stats(spark, sf):
 def q_synthetic_history(spark, sf):
     """D-25: per-nation drivers as the macro series (order count = vehicle
     sales, unit price = CPI), calibrated on the nation's actuals, noise 0."""
+    return _synthetic(spark, sf, 0.0)
+
+
+@query("synthetic_history_noise")
+def q_synthetic_history_noise(spark, sf):
+    """D-25 / R-82: the same with 2 % noise, drawn alike by every engine."""
+    return _synthetic(spark, sf, hist.NOISE_STD).select("entity", "ds", "inflow_operating_revenue", "outflow_cogs", "outflow_opex")
+
+
+def _synthetic(spark, sf, noise):
     macro = fx.drivers_by_nation(spark, sf).withColumnsRenamed(
         {"economic_activity_index": "total_vehicle_sales"}).withColumn("cpi", F.col("ev_component_cost_index"))
-    return hist.synthetic_history(macro, _calibration(spark, sf), ["entity"], "ds", noise_std=0.0,
+    return hist.synthetic_history(macro, _calibration(spark, sf), ["entity"], "ds", noise_std=noise,
                                   passthrough=["interest_rate_proxy", "consumer_confidence_index"])
 
 
@@ -519,6 +590,18 @@ def q_backtest_verdict(spark, sf):
     return met.backtest(scored, ["entity"], BACKTEST_CUTOFF)
 
 
+@query("backtest_rescaled_truth")
+def q_backtest_rescaled_truth(spark, sf):
+    """D-16 against the market: the truth is each nation's order count scaled
+    so that its last 12 months before 2000 average the fixed revenue scale;
+    the prediction is the truth of the same month a year earlier."""
+    market = materialize(fx.drivers_by_nation(spark, sf).select("entity", "ds", F.col("economic_activity_index").alias("sales")), "market")
+    truth = met.scaled_truth(market, ["entity"], "sales", hist.FALLBACK_REVENUE, BACKTEST_CUTOFF)
+    w = Window.partitionBy("entity").orderBy("ds")
+    same = F.lag("ds", 12).over(w) == F.last_day(F.add_months("ds", -12))
+    return met.backtest(truth.withColumn("yhat", F.when(same, F.lag("y", 12).over(w))), ["entity"], BACKTEST_CUTOFF)
+
+
 def _components_wide(fact):
     """Actuals hidden after 2000-12; forecast = same month of the prior year."""
     cols = {}

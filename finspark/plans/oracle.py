@@ -527,6 +527,31 @@ SELECT entity, ds, inflow_operating_revenue, inflow_operating_revenue * r_cogs *
 FROM y
 """
 
+def _noise(seed: int, *keys: str) -> str:
+    """Twelve 20-bit numbers out of two md5 sums, summed and centred."""
+    text = f"'{seed}' || " + " || ".join(f"'|' || coalesce(cast({k} as varchar), '')" for k in keys)
+    parts = [f"cast(cast('0x' || substr(md5('{h}' || {text}), {5 * i + 1}, 5) as bigint) as double)" for h in "ab" for i in range(6)]
+    return f"(({' + '.join(parts)} + 6.0) / 1048576.0 - 6.0)"
+
+
+ORACLE["synthetic_history_noise"] = ORACLE["synthetic_history"].replace(
+    "total_vehicle_sales * (scale / nullif(market, 0)) AS",
+    f"total_vehicle_sales * (scale / nullif(market, 0)) * (1.0 + 0.02 * {_noise(42, 'm_entity', 'm_ds')}) AS").replace(
+    "x AS (SELECT m.*,", "x AS (SELECT m.*, m.entity AS m_entity, m.ds AS m_ds,").replace(
+    """cpi AS ev_component_cost_index,
+       interest_rate_proxy, consumer_confidence_index""", "").replace("AS outflow_opex, ", "AS outflow_opex ")
+
+ORACLE["backtest_rescaled_truth"] = f"""
+WITH m AS (SELECT entity, ds, economic_activity_index AS sales FROM ({DRIVERS_NATION})),
+b AS (SELECT entity, {_exact_mean('sales')} AS base FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ds DESC) AS rn
+      FROM m WHERE ds < DATE '2000-01-01') WHERE rn <= 12 GROUP BY entity),
+t AS (SELECT m.entity, m.ds, sales * (500000000.0 / nullif(base, 0)) AS y FROM m JOIN b ON m.entity = b.entity),
+s AS (SELECT t.entity, t.y, p.y AS yhat FROM t JOIN t p ON p.entity = t.entity AND p.ds = last_day(t.ds - INTERVAL 12 MONTH)
+      WHERE t.ds >= DATE '2000-01-01' AND t.y IS NOT NULL AND p.y IS NOT NULL),
+e AS (SELECT entity, count(*) AS n_test, {_exact_mean('abs(y - yhat) / greatest(abs(y), 2.220446049250313e-16)')} AS mape FROM s GROUP BY entity)
+SELECT entity, n_test, mape, case when mape < 0.10 then 'EXCELLENT' when mape < 0.20 then 'ACCEPTABLE' else 'VOLATILE' end AS verdict FROM e
+"""
+
 _COMP = ("inflow_operating_revenue", "outflow_cogs", "outflow_opex")
 
 ORACLE["holdout_metrics"] = f"""
@@ -864,3 +889,34 @@ FROM orders
 UNION ALL
 SELECT CAST(o_orderkey + 10000000000 AS BIGINT), o_totalprice, 'N' FROM orders
 """
+
+ORACLE["fact_load_upsert"] = f"""
+WITH pd AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM (SELECT DISTINCT 'P' || cast(p_partkey as varchar) AS name FROM part)),
+sd AS ({_SUPP_DIM}),
+f AS (SELECT l_orderkey, pd.id AS part_id, sd.id AS supplier_id, cast(l_shipdate as date) AS l_shipdate, l_linenumber, l_quantity
+      FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN pd ON 'P' || cast(l.l_partkey as varchar) = pd.name
+      LEFT JOIN sd ON (case when l_linenumber = 7 then '?' || s_name else s_name end) = sd.name)
+SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY l_orderkey, part_id
+  ORDER BY case when l_linenumber <= 3 then 0 else 1 end DESC, l_shipdate DESC, l_linenumber DESC, l_quantity DESC, supplier_id DESC NULLS LAST) = 1
+"""
+
+ORACLE["dim_stored_batches"] = """
+WITH a AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM (SELECT DISTINCT p_brand AS name FROM part
+           WHERE p_size < 25 AND p_brand IS NOT NULL)),
+b AS (SELECT name, row_number() OVER (ORDER BY name) + (SELECT count(*) FROM a) AS id FROM (
+      SELECT p_brand AS name FROM part UNION SELECT p_type FROM part) WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM a)),
+n AS (SELECT p_brand AS name, count(*) AS n_parts FROM part GROUP BY p_brand)
+SELECT name, id, n_parts FROM (SELECT * FROM a UNION ALL SELECT * FROM b) LEFT JOIN n USING (name)
+"""
+
+ORACLE["peer_load_new_companies"] = f"""
+WITH j AS (SELECT coalesce(i.s_name, b.s_name) AS company, coalesce(i.fiscal_year, b.fiscal_year) AS fiscal_year, floor(revenue) AS total_revenue,
+                  floor(interest_expense) AS interest_expense, floor(total_assets) AS total_assets, floor(b.long_term_debt) AS long_term_debt
+      FROM (SELECT s_name, i.* FROM ({INCOME_SUPPLIER_YEAR}) i JOIN supplier s ON i.entity = s.s_suppkey) i
+      FULL JOIN (SELECT s_name, b.* FROM ({BALANCE_YEAR_END}) b JOIN supplier s ON b.nation = s.s_nationkey) b
+      ON i.s_name = b.s_name AND i.fiscal_year = b.fiscal_year),
+names AS (SELECT DISTINCT company, right(company, 1) IN ('3', '6', '9') AS early FROM j WHERE company IS NOT NULL),
+ids AS (SELECT company, row_number() OVER (ORDER BY early DESC, company) AS id FROM names)
+SELECT company, id AS competitor_id, cast(fiscal_year as integer) AS fiscal_year, total_revenue, interest_expense, total_assets, long_term_debt
+FROM j JOIN ids USING (company)
+"""
