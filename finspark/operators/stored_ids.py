@@ -51,7 +51,7 @@ def register(names: DataFrame, path: str, name_col: str = "name", id_col: str =
     new, first = names.select(name_col).filter(F.col(name_col).isNotNull()).distinct(), 1
     if known is not None:
         new = new.join(known.select(name_col), name_col, "left_anti")
-        first = known.agg(F.max(id_col)).first()[0] + 1
+        first = (known.agg(F.max(id_col)).first()[0] or 0) + 1
     fresh = dense_index(new, [name_col], id_col, first).select(name_col, id_col)
     if known is not None and fresh.isEmpty():
         return known

@@ -44,9 +44,11 @@ def query(name: str):
 @query("cash_flow_fact")
 def q_cash_flow_fact(spark, sf):
     """D-09 flagship: income + capex + debt + drivers per (nation, month)."""
-    return cashflow.cash_flow_fact(
-        fx.income(spark, sf, by="nation"), legs=fx.capex_and_debt(spark, sf),
-        indicators=fx.drivers(spark, sf), keys=["entity"], ds="ds", month_end=True)
+    return _cash_flow_fact(fx.Monthly(spark, sf))
+
+
+def _cash_flow_fact(m):
+    return cashflow.cash_flow_fact(m.income(), legs=m.capex_and_debt(), indicators=m.drivers(), keys=["entity"], ds="ds", month_end=True)
 
 
 @query("opex_sanity_patch")
@@ -318,9 +320,9 @@ def q_latest_per_group(spark, sf):
 def q_nway_outer(spark, sf):
     """R-33: three monthly component tables full-outer joined on (entity, ds)
     as one union + group (one shuffle instead of two joins)."""
-    inc = fx.income(spark, sf, by="nation").select("entity", "ds", "revenue")
-    cx = fx.capex(spark, sf)
-    db = fx.debt(spark, sf).select("entity", "ds", "long_term_debt")
+    m = fx.Monthly(spark, sf)
+    inc, cx = m.income().select("entity", "ds", "revenue"), m.capex()
+    db = m.debt().select("entity", "ds", "long_term_debt")
     return outer_merge([inc, cx, db], ["entity", "ds"])
 
 
@@ -492,7 +494,7 @@ def q_driver_shock(spark, sf):
 @query("scenario_overlay")
 def q_scenario_overlay(spark, sf):
     """D-12: base drivers, shocked values inside 1998-01-31..1999-06-30."""
-    base = fx.drivers(spark, sf)
+    base = fx.Monthly(spark, sf).drivers()
     alt = drv.shock_drivers(base, drv.shock_table(spark, "alt", drv.TARIFF_SHOCKS, "1995-01-01", "2001-12-31"))
     alt = alt.drop("scenario")
     return drv.overlay_window(base, alt, "1998-01-31", "1999-06-30")
@@ -502,19 +504,22 @@ def q_scenario_overlay(spark, sf):
 def q_history_splice(spark, sf):
     """D-13: order-value history, dated three years back, before each
     nation's first shipped-revenue month, then all actuals."""
-    older = fx.order_revenue_by_nation(spark, sf).withColumn("ds", F.last_day(F.add_months("ds", -36)))
-    newer = fx.income(spark, sf, by="nation").select("entity", "ds", "revenue")
-    return drv.splice_history(older, newer, ["entity"])
+    return _spliced(fx.Monthly(spark, sf))
+
+
+def _spliced(m):
+    older = m.order_revenue().withColumn("ds", F.last_day(F.add_months("ds", -36)))
+    return drv.splice_history(older, m.income().select("entity", "ds", "revenue"), ["entity"])
 
 
-def _calibration(spark, sf):
-    return hist.calibrate(_income_components(spark, sf), ["entity"], "ds", n=12)
+def _calibration(m):
+    return hist.calibrate(_income_components(m), ["entity"], "ds", n=12)
 
 
 @query("calibration_stats")
 def q_calibration_stats(spark, sf):
     """D-24: first 12 months of each nation's cash-flow fact."""
-    return _calibration(spark, sf)
+    return _calibration(fx.Monthly(spark, sf))
 
 
 @query("synthetic_history")
@@ -531,9 +536,10 @@ def q_synthetic_history_noise(spark, sf):
 
 
 def _synthetic(spark, sf, noise):
-    macro = fx.drivers_by_nation(spark, sf).withColumnsRenamed(
+    m = fx.Monthly(spark, sf)
+    macro = m.drivers_by_nation().withColumnsRenamed(
         {"economic_activity_index": "total_vehicle_sales"}).withColumn("cpi", F.col("ev_component_cost_index"))
-    return hist.synthetic_history(macro, _calibration(spark, sf), ["entity"], "ds", noise_std=noise,
+    return hist.synthetic_history(macro, _calibration(m), ["entity"], "ds", noise_std=noise,
                                   passthrough=["interest_rate_proxy", "consumer_confidence_index"])
 
 
@@ -551,22 +557,22 @@ def _prior_year(df, keys, value, out):
     return df.select(*keys, F.last_day(F.add_months("ds", 12)).alias("ds"), F.col(value).alias(out))
 
 
-def _fact(spark, sf):
+def _fact(m):
     """The monthly fact materialised once in the shared checkpoint folder:
     queries below consume it in several branches, which would otherwise each
     re-scan the raw tables."""
-    return materialize(q_cash_flow_fact(spark, sf), "cash_flow_fact")
+    return materialize(_cash_flow_fact(m), "cash_flow_fact")
 
 
-def _income_components(spark, sf):
+def _income_components(m):
     """The fact's revenue / cogs / opex legs depend on the income table only:
     the fact operator without capex, debt or drivers yields them (identical
     values) without the extra scans and joins."""
-    return cashflow.cash_flow_fact(fx.income(spark, sf, by="nation"), keys=["entity"], ds="ds", month_end=True)
+    return cashflow.cash_flow_fact(m.income(), keys=["entity"], ds="ds", month_end=True)
 
 
 def _components_long(spark, sf):
-    fact = materialize(_income_components(spark, sf), "components")
+    fact = materialize(_income_components(fx.Monthly(spark, sf)), "components")
     arr = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("y")) for c in COMPONENTS])
     long = fact.select("entity", "ds", F.explode(arr).alias("_c")).select("entity", "_c.component", "ds", "_c.y")
     return long.join(_prior_year(long, ["entity", "component"], "y", "yhat"), ["entity", "component", "ds"], "left")
@@ -582,7 +588,7 @@ def q_holdout_metrics(spark, sf):
 def q_backtest_verdict(spark, sf):
     """D-16: blind backtest from 2000-01-01; prediction = the same calendar
     month of the last training year; MAPE fraction and verdict band."""
-    inc = fx.income(spark, sf, by="nation").select("entity", "ds", F.col("revenue").alias("y"))
+    inc = fx.Monthly(spark, sf).income().select("entity", "ds", F.col("revenue").alias("y"))
     cut = F.lit(BACKTEST_CUTOFF).cast("date")
     train12 = inc.filter((F.col("ds") < cut) & (F.col("ds") >= F.add_months(cut, -12))).select(
         "entity", F.month("ds").alias("_moy"), F.col("y").alias("yhat"))
@@ -621,13 +627,14 @@ def _hist(fact):
 @query("net_cash_rollup")
 def q_net_cash_rollup(spark, sf):
     """D-17 (forecast-start path): components + history + full capex -> cash flow."""
-    fact = _fact(spark, sf)
-    return ru.net_cash_rollup(_components_wide(fact), _hist(fact), fx.capex(spark, sf),
+    m = fx.Monthly(spark, sf)
+    fact = _fact(m)
+    return ru.net_cash_rollup(_components_wide(fact), _hist(fact), m.capex(),
                               ["entity"], mode="forecast_start")
 
 
-def _elasticity(spark, sf, fact):
-    base = fx.drivers(spark, sf)
+def _elasticity(spark, m, fact):
+    base = m.drivers()
     alt = drv.shock_drivers(base, drv.shock_table(spark, "alt", ELASTICITY_SHOCKS, *ELASTICITY_WINDOW)).drop("scenario")
     return ru.elasticity_overlay(_components_wide(fact), base, alt, ["entity"])
 
@@ -635,17 +642,19 @@ def _elasticity(spark, sf, fact):
 @query("elasticity_overlay")
 def q_elasticity_overlay(spark, sf):
     """D-18: revenue forecasts scaled by driver changes where actuals are missing."""
-    return _elasticity(spark, sf, _fact(spark, sf)).select("entity", "ds", *[f"{c}_final" for c in COMPONENTS],
+    m = fx.Monthly(spark, sf)
+    return _elasticity(spark, m, _fact(m)).select("entity", "ds", *[f"{c}_final" for c in COMPONENTS],
                                          "activity_pct_delta", "confidence_pct_delta", "cost_pct_delta")
 
 
 @query("scenario_comparison")
 def q_scenario_comparison(spark, sf):
     """D-19: base vs elasticity scenario net cash (projection-everywhere path)."""
-    fact = _fact(spark, sf)
+    m = fx.Monthly(spark, sf)
+    fact = _fact(m)
     hist = _hist(fact)
     base = ru.net_cash_rollup(_components_wide(fact), hist, keys=["entity"], mode="everywhere")
-    alt = ru.net_cash_rollup(_elasticity(spark, sf, fact), hist, keys=["entity"], mode="everywhere")
+    alt = ru.net_cash_rollup(_elasticity(spark, m, fact), hist, keys=["entity"], mode="everywhere")
     return ru.compare_scenarios(base, alt, keys=["entity"], window=ELASTICITY_WINDOW)
 
 
@@ -654,13 +663,13 @@ def q_scenario_comparison(spark, sf):
 DRIVERS = ("economic_activity_index", "consumer_confidence_index", "interest_rate_proxy", "ev_component_cost_index")
 
 
-def _forecast_input(spark, sf):
+def _forecast_input(m):
     """Long components per nation joined with the nation's drivers,
     materialised (fit and prediction read it in several branches)."""
-    fact = _income_components(spark, sf).select("entity", "ds", *COMPONENTS)
+    fact = _income_components(m).select("entity", "ds", *COMPONENTS)
     arr = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("y")) for c in COMPONENTS])
     long = fact.select("entity", "ds", F.explode(arr).alias("_c")).select("entity", "_c.component", "ds", "_c.y")
-    return materialize(long.join(fx.drivers_by_nation(spark, sf), ["entity", "ds"], "left"), "forecast_input")
+    return materialize(long.join(m.drivers_by_nation(), ["entity", "ds"], "left"), "forecast_input")
 
 
 @query("forecast_trend")
@@ -676,7 +685,7 @@ def q_forecast_trend(spark, sf):
 def q_forecast_gram(spark, sf):
     """D-14 fit statistics: the exact Gram aggregate of every model's design
     (trend, 3 seasonal pairs, 4 standardised drivers) per nation and component."""
-    return _gram_of(_forecast_input(spark, sf))
+    return _gram_of(_forecast_input(fx.Monthly(spark, sf)))
 
 
 def _gram_of(df):
@@ -694,7 +703,7 @@ def q_forecast_fit_check(spark, sf):
     """D-14 fit: of every series the training rows, the training end, and
     whether the fitted coefficients solve the normal equations of its Gram
     sums (the oracle expects every series, all solved)."""
-    df = _forecast_input(spark, sf)
+    df = _forecast_input(fx.Monthly(spark, sf))
     keys = ["entity", "component"]
     ridge = 0.1
     model = fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6, ridge=ridge, interval_calibration=0)
@@ -712,7 +721,7 @@ def q_forecast_fit_check(spark, sf):
 def q_forecast_components(spark, sf):
     """D-14 full model: fit per (nation, component) with a 6-month holdout,
     predict from the first month to 24 months after the training end."""
-    df = _forecast_input(spark, sf)
+    df = _forecast_input(fx.Monthly(spark, sf))
     keys = ["entity", "component"]
     # one row per series, read by the scoring frame and the prediction
     model = materialize(fc.fit_forecast(df, keys, "ds", "y", DRIVERS, holdout=6), "model")
@@ -726,7 +735,7 @@ def q_forecast_components(spark, sf):
 def q_forecast_hinge_gram(spark, sf):
     """D-14 piecewise trend: the sums of every candidate break's hinge column
     with all terms and the target, from prefix sums of the monthly buckets."""
-    df = _forecast_input(spark, sf)
+    df = _forecast_input(fx.Monthly(spark, sf))
     keys = ["entity", "component"]
     w = Window.partitionBy(*keys).orderBy(F.col("ds").desc())
     train = df.filter(F.col("y").isNotNull()).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 6).drop("_rn")
@@ -738,7 +747,7 @@ def q_forecast_hinge_gram(spark, sf):
 def q_forecast_piecewise(spark, sf):
     """D-14 with a trend that may bend and bounds by lead month, per (nation,
     component), to 24 months after the training end."""
-    df = _forecast_input(spark, sf)
+    df = _forecast_input(fx.Monthly(spark, sf))
     keys = ["entity", "component"]
     model = materialize(pw.fit_piecewise(df, keys, "ds", "y", DRIVERS, holdout=6), "piecewise")
     drv_nat = df.select("entity", "ds", *DRIVERS).dropDuplicates(["entity", "ds"])
@@ -751,8 +760,8 @@ def q_forecast_piecewise(spark, sf):
 def q_training_frame(spark, sf):
     """D-13 (second half): spliced revenue history joined with the global
     drivers; months lacking any driver are dropped."""
-    spliced = q_history_splice(spark, sf)
-    return drv.training_frame(spliced, fx.drivers(spark, sf), ["entity"], "ds")
+    m = fx.Monthly(spark, sf)
+    return drv.training_frame(_spliced(m), m.drivers(), ["entity"], "ds")
 
 
 @query("scenario_totals")
@@ -880,7 +889,8 @@ def q_scenario_forecast_comparison(spark, sf):
     baseline drivers and with tariff-shocked drivers (shock applied to the
     filled future driver paths), roll each up to net cash flow and compare.
     Rows-only: it depends on the fitted model."""
-    df = _forecast_input(spark, sf)
+    m = fx.Monthly(spark, sf)
+    df = _forecast_input(m)
     keys = ["entity", "component"]
     # the model (one row per series) and the scoring frame feed several
     # branches: store each once instead of re-running the fit per branch
@@ -897,8 +907,8 @@ def q_scenario_forecast_comparison(spark, sf):
         return (pred.groupBy("entity", "ds").pivot("component", list(COMPONENTS))
                 .agg(F.first("actual").alias("actual"), F.first("yhat").alias("forecast")))
 
-    hist_ = _hist(_fact(spark, sf))
-    capex = materialize(fx.capex(spark, sf), "capex")
+    hist_ = _hist(_fact(m))
+    capex = m.capex()
     cash = {}
     for name, frame in (("base", fut), ("tariff", fut_alt)):
         pred = fc.predict_forecast(frame, model, keys, "ds", DRIVERS)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import scaled, unscaled
+from ..session import materialize
 
 # Table names provided by the driver.
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -287,3 +288,84 @@ def order_revenue_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     return (op.join(cust, "o_custkey").groupBy(F.col("c_nationkey").cast("bigint").alias("entity"), "ds")
             .agg(unscaled(F.sum("p")).alias("revenue")))
+
+
+class Monthly:
+    """The adapters at (nation, month) grain from ONE scan of each fact
+    table. What several of them need is summed together, as exact long units,
+    to one small row per nation and month, and stored; income, capex, debt
+    and drivers are columns of that. Same values as the functions above."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._lines: DataFrame | None = None
+        self._orders: DataFrame | None = None
+
+    def lines(self) -> DataFrame:
+        """entity, ds, ``known`` (the supplier is in its table), sums of the lineitems."""
+        if self._lines is None:
+            li = table(self.spark, self.sf_dir, "lineitem").select(
+                "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_tax", "l_quantity", "l_returnflag")
+            ext, disc, tax, flag = (F.col(c) for c in ("l_extendedprice", "l_discount", "l_tax", "l_returnflag"))
+            part = li.groupBy(F.col("l_suppkey").alias("_k"), F.last_day(F.col("l_shipdate").cast("date")).alias("ds")).agg(
+                _dsum(ext * (F.lit(1.0) - disc)).alias("revenue"), _dsum_if(flag == "R", ext).alias("cogs_materials"),
+                _dsum_if(flag == "A", ext).alias("cogs_labor"), _dsum_if(flag == "N", ext * tax).alias("cogs_overhead"),
+                _dsum(ext * disc).alias("operating_expenses"), _dsum(F.col("l_quantity")).alias("interest_expense"),
+                _dsum(ext * tax).alias("taxes"), _dsum(disc).alias("discount"), F.count(disc).alias("n_discount"), _dsum(ext).alias("price"))
+            sup = table(self.spark, self.sf_dir, "supplier").select(F.col("s_suppkey").alias("_k"), "s_nationkey", F.lit(True).alias("known"))
+            sums = [c for c in part.columns if c not in ("_k", "ds")]
+            self._lines = materialize(part.join(sup, "_k", "left").groupBy(
+                F.col("s_nationkey").cast("bigint").alias("entity"), F.coalesce("known", F.lit(False)).alias("known"), "ds").agg(
+                *[F.sum(c).alias(c) for c in sums]), "lines")
+        return self._lines
+
+    def orders(self) -> DataFrame:
+        """entity, ds, ``known`` (the customer is in its table), sums of the orders."""
+        if self._orders is None:
+            o = table(self.spark, self.sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority")
+            p, urgent = F.col("o_totalprice"), F.col("o_orderpriority") == "1-URGENT"
+            part = o.groupBy(F.col("o_custkey").alias("_k"), F.last_day(F.col("o_orderdate").cast("date")).alias("ds")).agg(
+                _dsum_if(urgent, p).alias("capex"), F.sum(F.when(urgent, 1).otherwise(0)).alias("n_urgent"),
+                _dsum_if(F.col("o_orderstatus") == "F", p).alias("long_term_debt"),
+                _dsum_if(F.col("o_orderstatus") == "P", p).alias("short_term_debt"),
+                F.count(F.lit(1)).alias("n"), _dsum(p).alias("price"), F.count(p).alias("n_price"))
+            cust = table(self.spark, self.sf_dir, "customer").select(F.col("c_custkey").alias("_k"), "c_nationkey", F.lit(True).alias("known"))
+            sums = [c for c in part.columns if c not in ("_k", "ds")]
+            self._orders = materialize(part.join(cust, "_k", "left").groupBy(
+                F.col("c_nationkey").cast("bigint").alias("entity"), F.coalesce("known", F.lit(False)).alias("known"), "ds").agg(
+                *[F.sum(c).alias(c) for c in sums]), "orders")
+        return self._orders
+
+    def income(self) -> DataFrame:
+        return self.lines().filter("known").select("entity", "ds", *[unscaled(c).alias(c) for c in INCOME_OUT])
+
+    def capex(self) -> DataFrame:
+        return self.orders().filter("known and n_urgent > 0").select("entity", "ds", unscaled("capex").alias("capex_outflow"))
+
+    def debt(self) -> DataFrame:
+        return self.orders().filter("known").select("entity", "ds", unscaled("long_term_debt").alias("long_term_debt"),
+                                                    unscaled("short_term_debt").alias("short_term_debt"))
+
+    def capex_and_debt(self) -> DataFrame:
+        return self.orders().filter("known").select(
+            "entity", "ds", F.when(F.col("n_urgent") > 0, unscaled("capex")).alias("capex_outflow"),
+            unscaled("long_term_debt").alias("long_term_debt"), unscaled("short_term_debt").alias("short_term_debt"))
+
+    def order_revenue(self) -> DataFrame:
+        return self.orders().filter("known").select("entity", "ds", unscaled("price").alias("revenue"))
+
+    def _drivers(self, keys: list[str]) -> DataFrame:
+        lines, orders = (d.filter("known") if len(keys) > 1 else d for d in (self.lines(), self.orders()))
+        od = orders.groupBy(*keys).agg(
+            F.sum("n").cast("double").alias("economic_activity_index"),
+            F.try_divide(unscaled(F.sum("price")), F.sum("n_price").cast("double")).alias("consumer_confidence_index"))
+        ld = lines.groupBy(*keys).agg(
+            F.try_divide(unscaled(F.sum("discount")), F.sum("n_discount").cast("double")).alias("interest_rate_proxy"),
+            F.try_divide(unscaled(F.sum("price")), unscaled(F.sum("interest_expense"))).alias("ev_component_cost_index"))
+        return od.join(ld, keys, "full_outer")
+
+    def drivers(self) -> DataFrame:
+        return self._drivers(["ds"])
+
+    def drivers_by_nation(self) -> DataFrame:
+        return self._drivers(["entity", "ds"])
