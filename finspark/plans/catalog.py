@@ -28,6 +28,7 @@ from ..operators import upsert as ups
 from ..operators.joins import outer_merge
 from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
+from ..sources import sheets as sh
 from ..sources.files import pivot_series, transpose_statement
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -878,6 +879,44 @@ def q_hot_entity_fill(spark, sf):
     return cal.fill_both(part, ["entity"], ["ts", "event_id"], ["value"], 0.0, hot=True).select("event_id", "entity", "value")
 
 
+#: The orders as a text sheet.
+ORDER_SHEET = sh.Sheet("orders", {"order": "int", "ordered": "date", "amount": "money", "discount": "percent", "note": "string"},
+                       required=("order", "ordered"), options={"escape": '"'})
+
+
+def _order_sheet(spark, sf):
+    """All orders written as delimited text with what exports contain -
+    thousands marks, quoted commas, blanks, bad dates and numbers, short
+    lines - and read back into (rows, rejects)."""
+    o = fx.table(spark, sf, "orders")
+    k, cents = F.col("o_orderkey"), F.round(F.col("o_totalprice") * 100).cast("bigint")
+    amount = F.when(k % 11 == 0, F.lit("n/a")).when(k % 13 == 0, F.lit("")).otherwise(F.concat(
+        F.lit('"'), F.expr("cast(cast(round(o_totalprice * 100) as bigint) div 100000 as string)"), F.lit(","),
+        F.lpad(F.expr("(cast(round(o_totalprice * 100) as bigint) div 100) % 1000").cast("string"), 3, "0"), F.lit("."),
+        F.lpad((cents % 100).cast("string"), 2, "0"), F.lit('"')))
+    day = F.when(k % 17 == 0, F.lit("1996-13-45")).when(k % 19 == 0, F.lit(" ")).otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd"))
+    share = F.when(k % 5 == 0, F.lit("N/A")).when(k % 7 == 0, F.lit("7 of 9")).otherwise(F.concat((k % 9).cast("string"), F.lit("%")))
+    note = F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit(', ""'), F.col("o_orderstatus"), F.lit('"""'))
+    line = F.when(k % 23 == 0, F.concat_ws(",", k.cast("string"), day)).otherwise(
+        F.concat_ws(",", F.concat(F.lit(" "), k.cast("string")), day, amount, share, note))
+    path = scratch_path(spark, "sheets")
+    o.select(line.alias("value")).write.text(f"{path}/orders")
+    return sh.read_sheets(spark, path, [ORDER_SHEET, sh.Sheet("absent", {"a": "string"})])["orders"]
+
+
+@query("text_sheet_rows")
+def q_text_sheet_rows(spark, sf):
+    """R-01..R-03, R-05, R-08: the typed rows of a text sheet."""
+    return _order_sheet(spark, sf)[0].drop("source_file")
+
+
+@query("text_sheet_rejects")
+def q_text_sheet_rejects(spark, sf):
+    """The same sheet's rejected lines, with the first reason."""
+    return _order_sheet(spark, sf)[1].drop("source_file")
+
+
 # Scenario window inside the forecast horizon of the fixtures (training ends mid-2001).
 FORECAST_SHOCK_WINDOW = ("2001-06-01", "2002-12-31")
 

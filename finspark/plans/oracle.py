@@ -920,3 +920,27 @@ ids AS (SELECT company, row_number() OVER (ORDER BY early DESC, company) AS id F
 SELECT company, id AS competitor_id, cast(fiscal_year as integer) AS fiscal_year, total_revenue, interest_expense, total_assets, long_term_debt
 FROM j JOIN ids USING (company)
 """
+
+_SHEET = """
+SELECT o_orderkey AS k, o_orderkey % 23 = 0 AS short,
+  CASE WHEN o_orderkey % 17 = 0 THEN '1996-13-45' WHEN o_orderkey % 19 = 0 THEN ' ' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS ordered,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' WHEN o_orderkey % 13 = 0 THEN ''
+       ELSE printf('%d,%03d.%02d', cast(round(o_totalprice * 100) as bigint) // 100000,
+                   (cast(round(o_totalprice * 100) as bigint) // 100) % 1000, cast(round(o_totalprice * 100) as bigint) % 100) END AS amount,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'N/A' WHEN o_orderkey % 7 = 0 THEN '7 of 9' ELSE (o_orderkey % 9) || '%' END AS discount,
+  o_orderpriority || ', "' || o_orderstatus || '"' AS note
+FROM orders"""
+_SHEET_REASON = """CASE WHEN short THEN 'wrong number of fields' WHEN ordered = ' ' THEN 'ordered: missing'
+  WHEN ordered = '1996-13-45' THEN 'ordered: no date: 1996-13-45' WHEN amount = 'n/a' THEN 'amount: no money: n/a'
+  WHEN discount = '7 of 9' THEN 'discount: no percent: 7 of 9' END"""
+
+ORACLE["text_sheet_rows"] = f"""
+SELECT CAST(k AS BIGINT) AS "order", CAST(ordered AS DATE) AS ordered, CAST(nullif(replace(amount, ',', ''), '') AS DOUBLE) AS amount,
+       CASE WHEN discount <> 'N/A' THEN CAST(replace(discount, '%', '') AS DOUBLE) / 100.0 END AS discount, note
+FROM ({_SHEET}) WHERE {_SHEET_REASON} IS NULL
+"""
+
+ORACLE["text_sheet_rejects"] = f"""
+SELECT CASE WHEN short THEN k || ',' || ordered ELSE concat_ws(',', ' ' || k, ordered, amount, discount, note) END AS line, {_SHEET_REASON} AS reason
+FROM ({_SHEET}) WHERE {_SHEET_REASON} IS NOT NULL
+"""
