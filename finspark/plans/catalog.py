@@ -604,9 +604,8 @@ def q_backtest_rescaled_truth(spark, sf):
     the prediction is the truth of the same month a year earlier."""
     market = materialize(fx.drivers_by_nation(spark, sf).select("entity", "ds", F.col("economic_activity_index").alias("sales")), "market")
     truth = met.scaled_truth(market, ["entity"], "sales", hist.FALLBACK_REVENUE, BACKTEST_CUTOFF)
-    w = Window.partitionBy("entity").orderBy("ds")
-    same = F.lag("ds", 12).over(w) == F.last_day(F.add_months("ds", -12))
-    return met.backtest(truth.withColumn("yhat", F.when(same, F.lag("y", 12).over(w))), ["entity"], BACKTEST_CUTOFF)
+    scored = truth.join(_prior_year(truth, ["entity"], "y", "yhat"), ["entity", "ds"], "left")
+    return met.backtest(scored, ["entity"], BACKTEST_CUTOFF)
 
 
 def _components_wide(fact):
