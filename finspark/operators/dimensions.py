@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import concat_sep, dsum, money_text, percent_text, split_trim, to_double_safe, year_from_text
 from ..functions.names import ensure_columns, standardise_columns, standardise_financial_name, standardise_name
+from ..session import materialize
 from .joins import sized_broadcast
+from .references import resolve_names
 from .upsert import assign_keys, dedupe, insert_new, upsert
 
 
@@ -74,13 +76,20 @@ def load_bridge(src: DataFrame, left_name: str, list_col: str, left_dim: DataFra
 def load_fact(src: DataFrame, fks: Mapping[str, tuple[DataFrame, str]], required: Sequence[str] = (),
               keys: Sequence[str] | None = None, order_cols: Sequence[str] = (),
               target: DataFrame | None = None, mode: str = "upsert",
-              keep_unmatched: Sequence[str] = (), name_key: str = "name", id_col: str = "id") -> DataFrame:
+              keep_unmatched: Sequence[str] = (), name_key: str = "name", id_col: str = "id",
+              hot_names: Sequence[str] = ()) -> DataFrame:
     """D-03: map each FK name column to its id (``fks = {name_col: (dim, out)}``),
     drop rows missing a required FK or field, then write by ``mode``:
-    'upsert' (last wins on ``keys``), 'insert' (first wins) or 'append'."""
+    'upsert' (last wins on ``keys``), 'insert' (first wins) or 'append'.
+    Columns of ``hot_names`` have large dimensions and names that hold many
+    rows (:func:`references.resolve_names`; the rows are stored before each)."""
     df = src
     for name_col, (dim, out) in fks.items():
-        df = lookup(df, dim, name_col, name_key, id_col, out, keep_unmatched=name_col in keep_unmatched)
+        keep = name_col in keep_unmatched
+        if name_col in hot_names:
+            df = resolve_names(materialize(df, "fact"), dim, name_col, out, name_key, id_col, keep)
+        else:
+            df = lookup(df, dim, name_col, name_key, id_col, out, keep_unmatched=keep)
         df = df.drop(name_col)
     if required:
         df = df.na.drop(subset=list(required))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import money_text
 from ..operators import allocate as alloc
+from ..operators import backtest as bt
+from ..operators import benchmarks as bench
 from ..operators import calendar as cal
 from ..operators import cashflow
 from ..operators import dimensions as dim
@@ -23,7 +25,7 @@ from ..operators import metrics as met
 from ..operators import moves
 from ..operators import ratios as rat
 from ..operators import rollup as ru
-from ..operators import scans, stored_ids
+from ..operators import scans, statements, stored_ids
 from ..operators import upsert as ups
 from ..operators.joins import outer_merge
 from ..session import materialize, scratch_path
@@ -152,6 +154,25 @@ def q_fact_append_fk(spark, sf):
     return out.select("l_orderkey", "l_linenumber", "part_id", "supplier_id", "l_quantity", "l_extendedprice")
 
 
+@query("fact_hot_names")
+def q_fact_hot_names(spark, sf):
+    """R-34 / R-35 at scale: the first two lines of every order name one part
+    and one supplier, so each name holds over a third of the rows; a supplier
+    that no dimension has (line 3) and a missing one (line 4) keep a null id,
+    misspelt parts (line 7) are dropped."""
+    p = fx.table(spark, sf, "part")
+    part_dim = dim.load_dimension([p.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")))])
+    sup = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    line = F.col("l_linenumber")
+    li = fx.table(spark, sf, "lineitem").join(sup, "l_suppkey").select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        F.when(line <= 2, F.lit("P1")).when(line == 7, F.lit("?")).otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("part"),
+        F.when(line <= 2, F.lit("Supplier#000000001")).when(line == 3, F.lit("nobody")).when(line != 4, F.col("s_name")).alias("supplier"))
+    out = dim.load_fact(li, {"part": (part_dim, "part_id"), "supplier": (_supplier_dim(spark, sf), "supplier_id")},
+                        mode="append", keep_unmatched=["supplier"], hot_names=["part", "supplier"])
+    return out.select("l_orderkey", "l_linenumber", "part_id", "supplier_id", "l_quantity")
+
+
 @query("fact_load_upsert")
 def q_fact_load_upsert(spark, sf):
     """D-03 upsert mode with an unmatched reference kept: two loads of the
@@ -354,26 +375,31 @@ def q_peer_load(spark, sf):
     return dim.load_peers(*_peer_statements(spark, sf), _supplier_dim(spark, sf))
 
 
-def _peer_statements(spark, sf):
-    """Income and balance of every supplier as delivered text."""
+def _peer_statements(spark, sf, more=False):
+    """Income and balance of every supplier as delivered text, with ``more``
+    measures by choice."""
     sup = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("bigint").alias("entity"), "s_name", "s_nationkey")
 
     def text(c):
-        return F.format_number(F.floor(F.col(c)).cast("bigint"), 0)
+        return F.format_number(F.floor(c).cast("bigint"), 0)
 
     def also_undated(df):  # every row, and 1996 again without a usable year
         years = F.when(F.col("fiscal_year") == 1996, F.array(F.lit("1996"), F.lit("n/a"))).otherwise(
             F.array(F.col("fiscal_year").cast("string")))
         return df.withColumn("Year", F.explode(years))
 
+    profit = [text(F.col("revenue") - F.col("cogs_materials")).alias("Gross Profit"),
+              text(F.col("revenue") - F.col("operating_expenses")).alias("Operating Income"),
+              text(F.col("revenue") - F.col("taxes")).alias("Net Income")] if more else []
+    stock = [text("inventory_raw_materials").alias("Inventory")] if more else []
     inc = also_undated(fx.income(spark, sf, by="supplier", period="year").join(sup, "entity")).select(
         F.col("s_name").alias("Company"), "Year", text("revenue").alias("Total Revenue"),
         text("cogs_materials").alias("Cost of Revenue"), text("interest_expense").alias("Interest-Expense"),
-        F.lit("audited").alias("Note"))
+        F.lit("audited").alias("Note"), *profit)
     bal = fx.balance_year_end(spark, sf)
     bal = also_undated(bal.join(sup, bal.nation == sup.s_nationkey)).select(
         F.col("s_name").alias("Company"), "Year", text("total_assets").alias("Total Assets"),
-        text("accounts_payable").alias("A.P."), text("long_term_debt").alias("Long-Term Debt"))
+        text("accounts_payable").alias("A.P."), text("long_term_debt").alias("Long-Term Debt"), *stock)
     return inc, bal
 
 
@@ -428,6 +454,25 @@ def q_growth_yoy(spark, sf):
     return rat.financial_ratios(_annual(spark, sf), ["entity"], include="growth")
 
 
+@query("company_ratios")
+def q_company_ratios(spark, sf):
+    """D-20 .. D-22 in one keyed store: the nations as home companies from
+    monthly tables, the suppliers as peers from delivered text. A draft of
+    the home ratios (revenue doubled) is stored first and then replaced."""
+    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("entity"), F.col("n_name").alias("company_name"))
+    inc = materialize(fx.income(spark, sf, by="nation").join(F.broadcast(n), "entity").drop("entity"), "home_income")
+    bal = materialize(fx.balance_monthly(spark, sf).withColumnRenamed("nation", "entity").join(F.broadcast(n), "entity").drop("entity"),
+                      "home_balance")
+    home = bench.home_statements(inc, bal)
+    companies = materialize(_supplier_dim(spark, sf), "companies")
+    peers = bench.peer_statements(materialize(dim.load_peers(*_peer_statements(spark, sf, more=True), companies), "peers"), companies)
+    path = scratch_path(spark, "company_ratios")
+    draft = bench.home_statements(inc.withColumn("revenue", F.col("revenue") * 2), bal)
+    bench.store_ratios(bench.company_ratios(draft, peers.limit(0)), path)
+    bench.store_ratios(bench.company_ratios(home, peers), path)
+    return spark.read.parquet(path).select("company_name", "fiscal_year", "ratio_category", "ratio_name", "ratio_value")
+
+
 @query("derive_equity")
 def q_derive_equity(spark, sf):
     """D-22: nations of regions 0 and 2 lose equity in every year (derived
@@ -608,6 +653,19 @@ def q_backtest_rescaled_truth(spark, sf):
     return met.backtest(scored, ["entity"], BACKTEST_CUTOFF)
 
 
+@query("backtest_model")
+def q_backtest_model(spark, sf):
+    """D-16 with the model: fitted on each nation's revenue before 2000 (on
+    the fixed scale), predicted with the drivers as they were, and scored
+    against the market (order count) on the same scale."""
+    m = fx.Monthly(spark, sf)
+    drivers = materialize(m.drivers_by_nation(), "drivers")
+    history = met.scaled_truth(m.income().select("entity", "ds", "revenue"), ["entity"], "revenue", hist.FALLBACK_REVENUE, BACKTEST_CUTOFF)
+    truth = met.scaled_truth(drivers, ["entity"], "economic_activity_index", hist.FALLBACK_REVENUE, BACKTEST_CUTOFF)
+    # The market itself is no driver of its own prediction.
+    return bt.backtest_model(history, truth, drivers, ["entity"], BACKTEST_CUTOFF, DRIVERS[1:])[0]
+
+
 def _components_wide(fact):
     """Actuals hidden after 2000-12; forecast = same month of the prior year."""
     cols = {}
@@ -805,6 +863,40 @@ def q_statement_load(spark, sf):
                               keys=["entity"])
 
 
+def _catalogue(spark, sf):
+    """A stored statement table (all nations' months before 1997) loaded with
+    a text sheet of all months: thousands marks, blanks, a tax figure that is
+    no number (nation 3), months without a date (nation 5 in 1995), a column
+    that the table lacks. Returns the table and the rejects."""
+    inc = fx.income(spark, sf, by="nation")
+    path = scratch_path(spark, "statements")
+    inc.filter(F.col("ds") < F.lit("1997-01-01").cast("date")).select(
+        "entity", F.col("ds").alias("statement_date"), F.floor("revenue").cast("double").alias("revenue"), "taxes",
+        F.lit("opening").alias("status"), F.lit(None).cast("int").alias("revision")).write.parquet(path)
+    lost = (F.col("entity") == 5) & (F.year("ds") == 1995)
+    sheet = inc.select(
+        F.col("entity").cast("string").alias("Entity"), F.when(~lost, F.col("ds").cast("string")).alias("Date"),
+        F.concat(F.lit(" "), F.format_number(F.floor(F.col("revenue") * 1.5).cast("bigint"), 0)).alias("Revenue"),
+        F.when(F.col("entity") == 3, F.lit("tba")).when(F.col("entity") != 4, F.floor("taxes").cast("string")).otherwise(F.lit(" ")).alias("Taxes"),
+        F.lit("1").alias("Revision"), F.concat(F.lit("by "), F.col("entity").cast("string")).alias("Prepared-By"))
+    rejects = statements.load_into_catalogue(materialize(sheet.toDF("Entity", "Date", "Revenue", "Taxes", "Revision", "Prepared_By"), "sheet"),
+                                             path, keys=["entity"], order_cols=["revision"], add_columns=True)
+    return spark.read.parquet(path), rejects
+
+
+@query("statement_catalogue")
+def q_statement_catalogue(spark, sf):
+    """R-14 / D-07: the stored table after the load; it keeps the status that
+    the sheet lacks and gains the sheet's new column."""
+    return _catalogue(spark, sf)[0]
+
+
+@query("statement_catalogue_rejects")
+def q_statement_catalogue_rejects(spark, sf):
+    """The same load's rejects, counted by reason."""
+    return _catalogue(spark, sf)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # Profile attributes pivoted to columns.
 PROFILE_ATTRS = ("Founded", "Employees", "Region", "Headquarters")
 

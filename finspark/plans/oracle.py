@@ -944,3 +944,58 @@ ORACLE["text_sheet_rejects"] = f"""
 SELECT CASE WHEN short THEN k || ',' || ordered ELSE concat_ws(',', ' ' || k, ordered, amount, discount, note) END AS line, {_SHEET_REASON} AS reason
 FROM ({_SHEET}) WHERE {_SHEET_REASON} IS NOT NULL
 """
+
+ORACLE["fact_hot_names"] = f"""
+WITH pd AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM (SELECT DISTINCT 'P' || cast(p_partkey as varchar) AS name FROM part)),
+sd AS ({_SUPP_DIM}),
+f AS (SELECT l_orderkey, l_linenumber, l_quantity,
+             CASE WHEN l_linenumber <= 2 THEN 'P1' WHEN l_linenumber = 7 THEN '?' ELSE 'P' || cast(l_partkey as varchar) END AS part,
+             CASE WHEN l_linenumber <= 2 THEN 'Supplier#000000001' WHEN l_linenumber = 3 THEN 'nobody'
+                  WHEN l_linenumber <> 4 THEN s_name END AS supplier
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
+SELECT l_orderkey, l_linenumber, pd.id AS part_id, sd.id AS supplier_id, l_quantity
+FROM f JOIN pd ON f.part = pd.name LEFT JOIN sd ON f.supplier = sd.name
+"""
+
+_RATIO_COLS = ("total_revenue", "cost_of_revenue", "gross_profit", "operating_income", "net_income", "interest_expense", "total_assets",
+               "inventory", "total_current_assets", "total_current_liabilities", "total_liabilities", "total_equity")
+_ABSENT = ", ".join(f"cast(NULL as double) AS {c}" for c in _RATIO_COLS[-4:])
+_HOME_MONTH = f"SELECT *, {_COGS} AS cogs FROM ({INCOME_NATION})"
+_COMPANIES = f"""
+  SELECT n.n_name AS company_name, i.fiscal_year, {', '.join(_RATIO_COLS)}
+  FROM (SELECT entity, cast(year(ds) as integer) AS fiscal_year, cast(sum({_dd('revenue')}) as double) AS total_revenue,
+               cast(sum(cogs) as double) AS cost_of_revenue, cast(sum({_dd('revenue')} - cogs) as double) AS gross_profit,
+               cast(sum({_dd('revenue')} - cogs - {_dd('operating_expenses')}) as double) AS operating_income,
+               cast(sum({_dd('interest_expense')}) as double) AS interest_expense,
+               cast(sum({_dd('revenue')} - cogs - {_dd('operating_expenses')} - {_dd('interest_expense')} - {_dd('taxes')}) as double) AS net_income
+        FROM ({_HOME_MONTH}) GROUP BY 1, 2) i
+  JOIN ({YEAR_END}) b ON b.nation = i.entity AND b.fiscal_year = i.fiscal_year
+  JOIN nation n ON n.n_nationkey = i.entity
+  UNION ALL
+  SELECT coalesce(i.s_name, b.s_name), coalesce(i.fiscal_year, b.fiscal_year), floor(revenue), floor(cogs_materials),
+         floor(revenue - cogs_materials), floor(revenue - operating_expenses), floor(revenue - taxes), floor(interest_expense),
+         floor(total_assets), floor(inventory_raw_materials), {_ABSENT}
+  FROM (SELECT s_name, x.* FROM ({INCOME_SUPPLIER_YEAR}) x JOIN supplier s ON x.entity = s.s_suppkey) i
+  FULL JOIN (SELECT s_name, x.* FROM ({BALANCE_YEAR_END}) x JOIN supplier s ON x.nation = s.s_nationkey) b
+  ON i.s_name = b.s_name AND i.fiscal_year = b.fiscal_year"""
+_GROWN = [(f"{label} Growth YoY", c) for label, c in (("Revenue", "total_revenue"), ("Net Income", "net_income"))]
+ORACLE["company_ratios"] = f"WITH a AS ({_COMPANIES}),\n" + (
+    "g AS (SELECT *, lag(total_revenue) OVER w AS prev_total_revenue, lag(net_income) OVER w AS prev_net_income FROM a\n"
+    "      WINDOW w AS (PARTITION BY company_name ORDER BY fiscal_year))\nSELECT * FROM (\n") + "\nUNION ALL\n".join(
+    [f"SELECT company_name, fiscal_year, '{cat}' AS ratio_category, '{name}' AS ratio_name, "
+     f"cast({num} as double) / nullif(cast({den} as double), 0) AS ratio_value FROM a" for cat, name, num, den in _LEVEL]
+    + [f"SELECT company_name, fiscal_year, 'Growth', '{name}', ({c} - prev_{c}) / nullif(abs(prev_{c}), 0) FROM g"
+       for name, c in _GROWN]) + "\n) WHERE ratio_value IS NOT NULL"
+
+_STATEMENT = f"""
+WITH i AS (SELECT *, entity = 5 AND year(ds) = 1995 AS lost FROM ({INCOME_NATION})),
+r AS (SELECT *, CASE WHEN entity = 3 THEN 'taxes: no double: tba' WHEN lost THEN 'statement_date: missing' END AS reason FROM i)"""
+ORACLE["statement_catalogue"] = f"""{_STATEMENT}
+SELECT entity, ds AS statement_date, CASE WHEN reason IS NULL THEN floor(revenue * 1.5) ELSE floor(revenue) END AS revenue,
+       CASE WHEN reason IS NOT NULL THEN taxes WHEN entity <> 4 THEN floor(taxes) END AS taxes,
+       CASE WHEN ds < DATE '1997-01-01' THEN 'opening' END AS status,
+       CASE WHEN reason IS NULL THEN cast(1 as integer) END AS revision,
+       CASE WHEN reason IS NULL THEN 'by ' || cast(entity as varchar) END AS prepared_by
+FROM r WHERE reason IS NULL OR ds < DATE '1997-01-01'
+"""
+ORACLE["statement_catalogue_rejects"] = f"{_STATEMENT}\nSELECT reason, count(*) AS n_rows FROM r WHERE reason IS NOT NULL GROUP BY reason\n"
