@@ -24,8 +24,9 @@ share one exchange.
 Defined results: null or empty text = no words, empty kept text; documents
 with fewer words than a window keep all; ties of id (repeated rows) are
 ordered by text, so an exact repetition of a row counts as later; rows
-without an id come after all others; an empty
-table gives an empty result.
+without an id come after all others, in the order of their texts, and are
+dealt to groups like others (they take the highest ids while the job runs);
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,14 +35,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import (GROUP_BYTES, WordHash, bucket_edges, covered, from_low, grouped, id_text, low_bytes, rolling, runs,
-                     table_of)
+                     stored, table_of)
+from .sharding import numbered
 
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                  ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])
 OUT_DDL = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string"
-#: Rows without an id come after all others.
+#: The last of the rows without an id, which come after all others.
 NO_ID = (1 << 63) - 1
 _WORDS = WordHash()
 
@@ -51,13 +54,23 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def with_ids(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Rows without an id numbered by text up to ``NO_ID``, so that they don't
+    make up one group; and the first number given. Only they are sorted."""
+    unnamed = stored(docs.filter("doc_id is null").select("text"), "unnamed")
+    n = unnamed.count()
+    if not n:
+        return docs, NO_ID
+    named = numbered(unnamed, [F.col("text").asc_nulls_first()], "_k", "unnamed-order")
+    named = named.select((F.col("_k") + F.lit(NO_ID - n + 1)).cast("bigint").alias("doc_id"), "text")
+    return docs.filter("doc_id is not null").unionByName(named), NO_ID - n + 1
+
+
 class Group:
     """The words of a group's documents, in (id, text) order, as one array of
     hashes; ``rows`` are the row numbers, shorter documents left out."""
 
     def __init__(self, table: pa.Table, least: int):
-        ids = pc.fill_null(table.column("doc_id"), NO_ID)
-        table = table.set_column(table.schema.get_field_index("doc_id"), "doc_id", ids)
         order = pc.sort_indices(table, [("doc_id", "ascending"), ("text", "ascending")])
         self.table = table.take(order)
         self.ids = self.table.column("doc_id").to_numpy()
@@ -107,7 +120,8 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     if window < 2:
         raise ValueError("window: two words at least")
     block = window // 2  # 2 * block - 1 <= window: any window holds a whole block
-    d, groups = grouped(id_text(docs, id_col, text_col), group_bytes)
+    named, unnamed_from = with_ids(id_text(docs, id_col, text_col))
+    d, groups = grouped(named, group_bytes)
     buckets = min(groups, 1 << 24)
     i32, blob = pa.int32(), pa.binary()
 
@@ -192,7 +206,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
             if r in inside and (m := gone[slice(*inside[r])]).any():
                 spans = [{"start": int(a), "end": int(b)} for a, b in runs(m)]
                 words = [w for w, x in zip(words, m.tolist()) if not x]
-            for c, v in zip(cols, (None if i == NO_ID else int(i), n, n - len(words), spans, b" ".join(words).decode("utf-8", "surrogatepass"))):
+            for c, v in zip(cols, (None if i >= unnamed_from else int(i), n, n - len(words), spans, b" ".join(words).decode("utf-8", "surrogatepass"))):
                 c.append(v)
         return pa.table([pa.array(c, f.type) for c, f in zip(cols, OUT)], schema=OUT)
 

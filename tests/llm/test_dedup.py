@@ -6,7 +6,7 @@ import brute
 import numpy as np
 import pytest
 
-from finspark.llm import components, minhash, substring, suffix
+from finspark.llm import common, components, minhash, substring, suffix
 
 ODD = [(900, None), (901, ""), (902, " \t\n"), (903, "one"), (904, "one"), (905, "é " * 3),
        (906, " ".join(f"l{k}" for k in range(30_000)))]
@@ -79,6 +79,24 @@ def test_rows_without_an_id(docs_of):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [(-1, -1, True)] * 3 + [(3, 3, True), (4, 3, False)]
 
 
+def test_many_rows_without_an_id(docs_of):
+    """They are dealt to groups like others; among them the first by text keeps a passage."""
+    r = random.Random(5)
+    shared = " ".join(f"w{k}" for k in range(30))
+    tails = [" ".join(r.choice("abcdefgh") * 3 for _ in range(r.randrange(40))) for _ in range(60)]
+    unnamed = sorted(f"{r.randrange(10**6)} {shared} {t}" for t in tails) + [shared, shared]
+    named = [(i, f"{i} {shared[: 60 + i]} {t}") for i, t in enumerate(tails)]
+    rows = named + [(None, t) for t in unnamed] + [(None, None), (None, "")]
+    want = brute.substring(named + [(1000 + k, t) for k, t in enumerate(sorted(unnamed))])
+    docs = docs_of(rows, 7)
+    got = substring.substring_dedup(docs, group_bytes=2000).collect()
+    assert len(got) == len(rows)
+    whole = [(r.doc_id if r.doc_id is not None else 1000, r.n_removed, r.kept) for r in got if r.n_words]
+    assert sorted(whole) == sorted((min(i, 1000), gone, kept) for i, (n, gone, kept) in want.items())
+    groups = common.grouped(substring.with_ids(docs.select("doc_id", "text"))[0], 2000)[0]
+    assert max(r["count"] for r in groups.groupBy("_g").count().collect()) < 20
+
+
 def byte_rows(seed=3):
     r = random.Random(seed)
     text = lambda k: "".join(r.choice("abcdefgh \né") for _ in range(k))
