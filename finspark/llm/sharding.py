@@ -11,6 +11,8 @@ partitions and numbered by partition offsets (one small row per partition).
 No window and no group holds a source, so a source with a third of all rows
 costs nothing special. Only ids, source and digests move, never texts.
 
+:func:`write_shards` writes the rows themselves, shard by shard in slot order.
+
 Defined results: a null source is a source of its own; null or empty texts
 are rows like others; repeated rows each get a slot (ties broken by every
 digest column); an empty table gives an empty result.
@@ -41,13 +43,15 @@ def numbered(df: DataFrame, order: list[Column], out: str, name: str) -> DataFra
 
 
 def interleave(docs: DataFrame, shards: int, seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
-               source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, text_crc32, shard and slot of every row."""
+               source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """doc_id, source, size, text_crc32, shard and slot of every row, and its
+    number ``row_col``, if it has one."""
+    own = [F.col(row_col).alias("_row")] if row_col else []
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         (F.octet_length(text).cast("bigint") + F.lit(16)).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"))
+        F.crc32(text.cast("binary")).alias("text_crc32"), *own)
     rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "source"))
     ties = [F.col("_h"), F.col("doc_id"), F.col("text_crc32"), F.col("size")]
     # Rank inside the source = place in (source, hash) order less the source's first place.
@@ -62,4 +66,27 @@ def interleave(docs: DataFrame, shards: int, seed: int = 0, id_col: str = "doc_i
     exact = F.expr(f"(_k * {int(shards)}) div _n")
     return (spread.withColumn("_n", total).withColumn("shard", exact.cast("int"))
             .withColumn("slot", F.col("_k") - F.expr(f"(shard * _n + {int(shards) - 1}) div {int(shards)}"))
-            .select("doc_id", "source", "size", "text_crc32", "shard", "slot"))
+            .select("doc_id", "source", "size", "text_crc32", "shard", "slot", *(["_row"] if row_col else [])))
+
+
+def write_shards(docs: DataFrame, path: str, shards: int, seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
+                 source_col: str = "source", files: int | None = None) -> None:
+    """Writes all rows with all their columns as Parquet under ``path``, one
+    folder ``shard=i`` for each shard, with a column ``slot``. Inside a shard
+    the rows lie in slot order, over files in the order of their names, so a
+    shard may be larger than a task; ``files`` is the number of tasks. Places
+    are those of :func:`interleave`; each row is numbered and stored first,
+    so repeated rows get a slot each and a repeated task reads the same rows.
+    Columns of ``docs`` named ``shard`` or ``slot`` are an error."""
+    taken = {"shard", "slot"} & {c.lower() for c in docs.columns}
+    if taken:
+        raise ValueError(f"columns in the way: {sorted(taken)}")
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "shard-rows")
+    placed = interleave(rows, shards, seed, id_col, text_col, source_col, row).select(F.col("_row").alias(row), "shard", F.col("slot").cast("bigint").alias("slot"))
+    whole = rows.join(placed, row).drop(row)
+    n = files or max(shards, parts_for(docs.sparkSession))
+    (whole.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot")
+     .write.mode("overwrite").partitionBy("shard").parquet(path))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from finspark.llm import packing, sharding, warc
@@ -103,6 +104,26 @@ def test_interleaving(docs_of):
     assert sorted((r.shard, r.slot) for r in sharding.interleave(docs_of(rows[:3]), 16).collect()) == [(0, 0), (5, 0), (10, 0)]
 
 
+def test_shards_written_with_their_texts(spark, docs_of, tmp_path):
+    rows = [(i, f"t{i}" if i % 9 else None, "hot" if i % 3 == 0 else "ab"[i % 2]) for i in range(500)] + [(5, "t5", "b")] * 3 + [(None, "", None)]
+    docs = docs_of(rows, 5)
+    path = str(tmp_path / "shards")
+    for _ in range(2):  # a repeated run replaces the files
+        sharding.write_shards(docs, path, 7, seed=3, files=12)
+    back = spark.read.parquet(path)
+    assert set(back.columns) == {*docs.columns, "shard", "slot"}
+    got = back.select("doc_id", "text", "source", "shard", "slot").collect()
+    assert sorted(((r.doc_id, r.text, r.source) for r in got), key=str) == sorted(rows, key=str)
+    placed = sharding.interleave(docs, 7, seed=3).collect()
+    assert sorted(str((r.doc_id, r.shard, r.slot)) for r in got) == sorted(str((r.doc_id, r.shard, r.slot)) for r in placed)
+    for s in range(7):  # slot order inside the files, over the files by name
+        slots = [x for f in sorted((tmp_path / "shards" / f"shard={s}").glob("*.parquet"))
+                 for x in pq.read_table(f, partitioning=None).column("slot").to_pylist()]
+        assert slots == list(range(len(slots))) and slots
+    with pytest.raises(ValueError, match="shard"):
+        sharding.write_shards(docs.withColumnRenamed("lang", "Shard"), path, 7)
+
+
 def check_packing(got, size):
     bins = {}
     for r in got:
