@@ -178,18 +178,20 @@ def score_column(model: Model, text: Column) -> Column:
 
 
 def offending(docs: DataFrame, model: Model, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, number and byte span (in the lower-cased UTF-8 text) and score
-    of every sentence scored ``least`` or more."""
+    """doc_id, number and byte span (in the UTF-8 text) and score of every
+    sentence scored ``least`` or more. Rows with a null text have none; the
+    id of a row without one is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = model.lookup()
         for batch in batches:
             rows = []
             for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                raw, at = (t or "").lower().encode("utf-8", "surrogatepass").translate(TABLE), 0
-                spans = []
-                for s in raw.split(b"\n"):
-                    if s.split():
+                # Lower case changes lengths, but neither makes nor takes a sentence's end.
+                own, low = ((x.encode("utf-8", "surrogatepass").translate(TABLE)).split(b"\n") for x in (t or "", (t or "").lower()))
+                spans, at = [], 0
+                for s, lower in zip(own, low, strict=True):
+                    if lower.split():
                         spans.append((at, at + len(s)))
                     at += len(s) + 1
                 for k, (p, (a, b)) in enumerate(zip(model.sentence_scores(t, lookup), spans)):

@@ -111,6 +111,15 @@ def test_toxicity_held_out_and_sentences(spark, docs_of):
     assert len(right) > 100 and sum(right) / len(right) > 0.95
 
 
+def test_offending_spans_are_of_the_text_itself(spark, docs_of):
+    docs, labels = labelled(docs_of, spark, 400)
+    model = toxicity.fit(docs, labels)
+    text = "İİİİ is one place. You VILE nasty thing! ẞ \u212a fine\nAll good."
+    found = toxicity.offending(docs_of([(1, text), (2, None), (None, "You nasty VILE thing"), (3, "")]), model).collect()
+    cut = {r.doc_id: text.encode()[r.start:r.end].decode() for r in found if r.doc_id}
+    assert cut == {1: " You VILE nasty thing"} and [r for r in found if r.doc_id is None]
+
+
 def test_toxicity_without_labels(spark, docs_of):
     docs = docs_of([(1, "a b."), (2, None)])
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id bigint, toxic int"))
