@@ -104,13 +104,13 @@ def load_fact(src: DataFrame, fks: Mapping[str, tuple[DataFrame, str]], required
 
 
 def profile_pivot(long: DataFrame, entity: str, attr: str, value: str, attrs: Sequence[str],
-                  agg: str = "first", int_attrs: Sequence[str] = ()) -> DataFrame:
+                  agg: str = "one", int_attrs: Sequence[str] = ()) -> DataFrame:
     """D-04 / R-48: attribute/value rows -> one row per entity with one column
     per listed attribute (listing them avoids a distinct pass). Rows without
     an entity name are dropped; ``int_attrs`` are cast to int."""
     g = long.filter(F.col(entity).isNotNull()).groupBy(entity).pivot(attr, list(attrs))
-    if agg == "first":
-        out = g.agg(F.first(value, ignorenulls=True))
+    if agg == "one":
+        out = g.agg(F.min(value))  # one value a pair; of repeated ones the least, in any order
     elif agg == "sum":
         out = g.agg(dsum(value))
     else:

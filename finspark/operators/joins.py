@@ -27,16 +27,17 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
     return df
 
 
-def outer_merge(frames, keys, how: str = "first"):
+def outer_merge(frames, keys):
     """R-33 N-way full outer join on the same keys as ``unionByName`` + one
-    ``groupBy`` (first non-null per column): one shuffle for N inputs
-    instead of N-1 join shuffles. Inputs must not repeat a key."""
+    ``groupBy``: one shuffle for N inputs instead of N-1 join shuffles. Inputs
+    must not repeat a key; of a repeated one the least value of each column
+    is taken, whatever the rows' order."""
     keys = list(keys)
     u = None
     for f in frames:
         u = f if u is None else u.unionByName(f, allowMissingColumns=True)
     vals = [c for c in u.columns if c not in keys]
-    return u.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in vals])
+    return u.groupBy(*keys).agg(*[F.min(c).alias(c) for c in vals])
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

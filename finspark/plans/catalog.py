@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import money_text
+from ..functions.expr import alnum_only, money_text
 from ..operators import allocate as alloc
 from ..operators import backtest as bt
 from ..operators import benchmarks as bench
@@ -31,7 +31,7 @@ from ..operators.joins import outer_merge
 from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
 from ..sources import sheets as sh
-from ..sources.files import pivot_series, transpose_statement
+from ..sources.files import clean_numeric, pivot_series, read_csv_as_text, read_table, transpose_statement, write_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -884,6 +884,25 @@ def _catalogue(spark, sf):
     return spark.read.parquet(path), rejects
 
 
+@query("csv_round_trip")
+def q_csv_round_trip(spark, sf):
+    """R-01..R-03, R-09, R-62, R-77, R-80: all orders written as CSV by status,
+    sorted inside the files, and read back twice: with a typed schema, NaN
+    prices to null, and as text cast later; codes reduced to letters and digits."""
+    key = F.col("o_orderkey").cast("bigint")
+    orders = fx.table(spark, sf, "orders").select(
+        key.alias("k"), F.col("o_orderdate").cast("date").alias("ds"),
+        F.when(key % 11 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("price"),
+        F.concat(F.lit("No. "), F.lower("o_orderpriority"), F.lit(" / "), "o_orderstatus").alias("code"), F.col("o_orderstatus").alias("status"))
+    path = scratch_path(spark, "orders-csv")
+    write_table(orders, path, "csv", partition_by=["status"], sort_within=["status", "k"])
+    typed = clean_numeric(read_table(spark, path, "csv", "k bigint, ds date, price double, code string, status string"))
+    text = read_csv_as_text(spark, path, ["k", "ds", "price", "code"], numeric=["price"])
+    text = text.withColumns({"k": F.col("k").cast("bigint"), "ds": F.col("ds").cast("date"), "status": F.col("status").cast("string")})
+    both = typed.withColumn("read_as", F.lit("typed")).unionByName(text.withColumn("read_as", F.lit("text")))
+    return both.withColumn("code", alnum_only("code"))
+
+
 @query("statement_catalogue")
 def q_statement_catalogue(spark, sf):
     """R-14 / D-07: the stored table after the load; it keeps the status that
@@ -918,7 +937,7 @@ def q_profile_attributes(spark, sf):
         F.struct(F.lit("Region").alias("attribute"), F.col("r_name").alias("value")))
     long = base.select(F.col("n_name").alias("company"), F.explode(arr).alias("_a")).select(
         "company", "_a.attribute", "_a.value")
-    return dim.profile_pivot(long, "company", "attribute", "value", PROFILE_ATTRS, agg="first",
+    return dim.profile_pivot(long, "company", "attribute", "value", PROFILE_ATTRS,
                              int_attrs=["Founded", "Employees"])
 
 

@@ -999,3 +999,9 @@ SELECT entity, ds AS statement_date, CASE WHEN reason IS NULL THEN floor(revenue
 FROM r WHERE reason IS NULL OR ds < DATE '1997-01-01'
 """
 ORACLE["statement_catalogue_rejects"] = f"{_STATEMENT}\nSELECT reason, count(*) AS n_rows FROM r WHERE reason IS NOT NULL GROUP BY reason\n"
+
+ORACLE["csv_round_trip"] = """
+SELECT cast(o_orderkey as bigint) AS k, cast(o_orderdate as date) AS ds, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS price,
+       regexp_replace('No' || lower(o_orderpriority) || o_orderstatus, '[^A-Za-z0-9]', '', 'g') AS code, o_orderstatus AS status, read_as
+FROM orders, (VALUES ('typed'), ('text')) v(read_as)
+"""

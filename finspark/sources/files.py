@@ -48,20 +48,22 @@ def load_sheet(spark: SparkSession, folder: str, sheet: str, schema=None,
 def pivot_series(long: DataFrame, ids: Mapping[str, str], id_col: str = "series_id",
                  ds_col: str = "ds", value_col: str = "value") -> DataFrame:
     """R-06: long (series_id, ds, value) -> wide, ids renamed to names. The
-    pivot values are listed so Spark does not run a distinct job first."""
+    pivot values are listed so Spark does not run a distinct job first. Of
+    repeated values the least is taken."""
     wide = (long.filter(F.col(id_col).isin(list(ids)))
-            .groupBy(ds_col).pivot(id_col, list(ids)).agg(F.first(value_col, ignorenulls=True)))
+            .groupBy(ds_col).pivot(id_col, list(ids)).agg(F.min(value_col)))
     return wide.withColumnsRenamed(dict(ids))
 
 
 def transpose_statement(long: DataFrame, items: Iterable[str], key_cols=("ticker",),
                         item_col: str = "item", date_col: str = "date",
                         value_col: str = "value") -> DataFrame:
-    """R-07: statement stored item x date -> one row per (key, year)."""
+    """R-07: statement stored item x date -> one row per (key, year); of
+    several values for an item and year the least."""
     items = list(items)
     return (long.withColumn("fiscal_year", F.year(date_col))
             .groupBy(*key_cols, "fiscal_year").pivot(item_col, items)
-            .agg(F.first(value_col, ignorenulls=True)))
+            .agg(F.min(value_col)))
 
 
 def optional_source(spark: SparkSession, path: str, fmt: str = "parquet",

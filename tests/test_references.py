@@ -7,8 +7,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from finspark.operators import backtest, benchmarks, dimensions, references, statements
+from finspark.operators import backtest, benchmarks, dimensions, joins, references, statements
 from finspark.session import scratch_path
+from finspark.sources import files
 
 HOT = [("hot" if i % 3 == 0 else "lost" if i % 3 == 1 else None if i % 9 == 2 else f"n{i % 50}", i) for i in range(3000)]
 
@@ -144,3 +145,25 @@ def test_backtest_of_the_model(spark):
     blind = h.withColumn("y", F.when(F.col("ds") < "2019-01-01", F.col("y")).otherwise(F.lit(1.0)))
     again = backtest.backtest_model(blind, truth, x, ["k"], "2019-01-01", ["x"])[1]
     assert sorted(map(tuple, predicted.select("k", "ds", "yhat").collect())) == sorted(map(tuple, again.select("k", "ds", "yhat").collect()))
+
+
+def test_repeated_values_pivot_alike_in_any_order(spark):
+    rows = [("a", "x", 3.0), ("a", "x", 1.0), ("a", "x", None), ("a", "y", 2.0), (None, "x", 9.0)]
+    got = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k string, c string, v double").coalesce(1)
+        got.append((dimensions.profile_pivot(df, "k", "c", "v", ["x", "y"]).collect(),
+                    joins.outer_merge([df.filter("k is not null").select("k", "v"), df.select("k", "v").filter("v > 1")], ["k"]).orderBy("k").collect(),
+                    files.pivot_series(df.withColumnRenamed("k", "ds"), {"x": "ex", "y": "ey"}, "c", "ds", "v").orderBy("ds").collect()))
+    assert got[0] == got[1] and tuple(got[0][0][0]) == ("a", 1.0, 2.0)
+
+
+def test_files_are_sorted_inside(spark, tmp_path):
+    df = spark.range(200).select((F.col("id") * 37 % 200).alias("k"), (F.col("id") % 3).cast("string").alias("part")).repartition(3)
+    path = str(tmp_path / "out")
+    for _ in range(2):  # dynamic overwrite: a second run replaces the same partitions
+        files.write_table(df, path, "csv", partition_by=["part"], sort_within=["part", "k"])
+    found = list((tmp_path / "out").glob("part=*/*.csv"))
+    assert len(found) >= 3
+    per = [[int(x) for x in f.read_text().split("\n")[1:] if x] for f in found]
+    assert all(p == sorted(p) for p in per) and sum(map(len, per)) == 200
